@@ -38,40 +38,49 @@ def id_text(df: DataFrame, column: str) -> Column:
     return F.col(f"`{column}`").cast("string")
 
 
-def build_bridge(
-    master: DataFrame,
-    id_columns: dict[str, str] = S.MASTER_ID_COLUMNS,
-    row_order: str = "row_seq",
-    unicode_ids: bool = True,
-) -> DataFrame:
-    """Wide master to (identifier_type, identifier_value, master_sku, style_code, row_seq).
-
-    One explode turns a master row into its identifiers; null ones are dropped
-    and the first master row wins per (type, value, sku).
-    """
-    clean = norm_id if unicode_ids else plain_id
+def _exploded_ids(master: DataFrame, id_columns: dict[str, str], row_order: str, clean, attribute_names=()) -> DataFrame:
+    """One row per identifier a master row carries; null ones are dropped."""
     present = {c: t for c, t in id_columns.items() if c in master.columns}
     ids = F.array(*[
         F.struct(F.lit(kind).alias("identifier_type"), clean(id_text(master, column)).alias("identifier_value"))
         for column, kind in present.items()
     ])
-    long = master.select(
+    return master.select(
         F.explode(ids).alias("id"),
         clean("Sku Code").alias("master_sku"),
         clean("Item Name").alias("style_code"),
         F.col(row_order).alias("row_seq"),
-    ).select("id.*", "master_sku", "style_code", "row_seq")
-    long = long.filter("identifier_value is not null and master_sku is not null")
+        *attribute_names,
+    ).select("id.*", "master_sku", "style_code", "row_seq", *attribute_names).filter(
+        "identifier_value is not null and master_sku is not null"
+    )
+
+
+def build_bridge(
+    master: DataFrame,
+    id_columns: dict[str, str] = S.MASTER_ID_COLUMNS,
+    row_order: str = "row_seq",
+    unicode_ids: bool = True,
+) -> DataFrame:
+    """Wide master to (identifier_type, identifier_value, master_sku, style_code, row_seq).
+
+    One explode instead of one scan per id column; the first master row wins
+    per (type, value, sku).
+    """
+    long = _exploded_ids(master, id_columns, row_order, norm_id if unicode_ids else plain_id)
     return long.groupBy("identifier_type", "identifier_value", "master_sku").agg(
         F.min_by("style_code", "row_seq").alias("style_code"), F.min("row_seq").alias("row_seq")
     )
 
 
 def build_lookup(
-    bridge: DataFrame,
+    master: DataFrame,
+    id_columns: dict[str, str] = S.MASTER_ID_COLUMNS,
     fallback: Sequence[str] = S.FALLBACK_ID_TYPES,
+    row_order: str = "row_seq",
     attributes: DataFrame | None = None,
     attribute_names: Sequence[str] = (),
+    unicode_ids: bool = True,
 ) -> DataFrame:
     """One row per identifier value with everything a fact row may need.
 
@@ -79,32 +88,32 @@ def build_lookup(
     ``fallback`` the hit of the first type in the fallback order,
     ``is_style`` whether the value names a style.
 
+    A single aggregation on the value does it all: per type the earliest master
+    row, merged map-side, so a placeholder id shared by many rows stays cheap.
     SKU attributes such as the list price ride along in the hit, which saves
     the fact table a second join.
     """
-    rows = bridge
+    clean = norm_id if unicode_ids else plain_id
+    rows = master
     if attributes is not None:
         keyed = attributes.select(F.col("master_sku").alias("_sku"), *attribute_names)
-        rows = rows.join(keyed, F.col("master_sku") == F.col("_sku"), "left").drop("_sku")
-    priority = F.coalesce(*[F.when(F.col("identifier_type") == t, F.lit(i)) for i, t in enumerate(fallback)])
+        rows = rows.join(keyed, clean("Sku Code") == F.col("_sku"), "left").drop("_sku")
+    long = _exploded_ids(rows, id_columns, row_order, clean, attribute_names)
+    kinds = [t for c, t in id_columns.items() if c in master.columns and t != "style_code"]
     hit = F.struct("master_sku", "style_code", *attribute_names)
-    per_type = (
-        rows.filter("identifier_type <> 'style_code'")
-        .groupBy("identifier_value", "identifier_type")
-        .agg(F.min_by(hit, "row_seq").alias("hit"))
-        .select("identifier_value", "identifier_type", "hit", priority.alias("priority"), F.lit(False).alias("is_style"))
-    )
-    styles = (
-        bridge.filter("identifier_type = 'sku_code' and style_code is not null")
-        .groupBy(F.col("style_code").alias("identifier_value"))
-        .agg(F.lit(True).alias("is_style"))
+    found = long.groupBy("identifier_value").agg(
+        *[F.min_by(hit, F.when(F.col("identifier_type") == t, F.col("row_seq"))).alias(f"hit_{t}") for t in kinds],
+        F.bool_or(F.col("identifier_type") == "style_code").alias("is_style"),
     )
-    both = per_type.unionByName(styles, allowMissingColumns=True)
-    entry = F.struct("identifier_type", "hit")
-    return both.groupBy("identifier_value").agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("identifier_type").isNotNull(), entry))).alias("by_type"),
-        F.min_by(entry, "priority").alias("fallback"),
-        F.max("is_style").alias("is_style"),
+    entry = [
+        F.when(F.col(f"hit_{t}").isNotNull(), F.struct(F.lit(t).alias("identifier_type"), F.col(f"hit_{t}").alias("hit")))
+        for t in fallback if t in kinds
+    ]
+    return found.select(
+        "identifier_value",
+        F.map_from_arrays(F.array(*[F.lit(t) for t in kinds]), F.array(*[F.col(f"hit_{t}") for t in kinds])).alias("by_type"),
+        F.coalesce(*entry).alias("fallback"),
+        "is_style",
     )
 
 

@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from stockweave import schemas as S
 from stockweave.operators.facts import conform, map_ledger, value_basis
-from stockweave.operators.resolve import build_bridge, build_lookup, resolve
+from stockweave.operators.resolve import build_lookup, resolve
 
 
 def lookup_for(master: DataFrame, prices: DataFrame | None = None, unicode_ids: bool = True) -> DataFrame:
     """The resolve lookup, carrying the SKU list price when a price table is given."""
-    bridge = build_bridge(master, unicode_ids=unicode_ids)
     if prices is None:
-        return build_lookup(bridge)
-    return build_lookup(bridge, attributes=prices, attribute_names=["mrp"])
+        return build_lookup(master, unicode_ids=unicode_ids)
+    return build_lookup(master, attributes=prices, attribute_names=["mrp"], unicode_ids=unicode_ids)
 
 
 def price_list(stock_rows: DataFrame, sku: str, price: str, row_order: str = "row_seq") -> DataFrame:

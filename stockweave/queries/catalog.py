@@ -43,11 +43,11 @@ def sales(spark, sf):
 
 
 def inventory(spark, sf):
-    return FP.fact_inventory(T.stock_extract(spark, sf), lookup(spark, sf, False), unicode_ids=False)
+    return FP.fact_inventory(T.stock_extract(spark, sf), lookup(spark, sf), unicode_ids=False)
 
 
 def purchases(spark, sf):
-    return FP.fact_purchase(T.purchase_extract(spark, sf), lookup(spark, sf, False), unicode_ids=False)
+    return FP.fact_purchase(T.purchase_extract(spark, sf), lookup(spark, sf), unicode_ids=False)
 
 
 def notes(spark, sf):
@@ -76,7 +76,7 @@ def alerts(spark, sf, asof=T.ASOF):
 
 @query
 def resolve_identifiers(spark, sf):
-    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf, False), T.CHANNELS, unicode_ids=False)
+    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS, unicode_ids=False)
     return rows.groupBy("external_id", "external_id_type", "matched_via", "master_sku", "style_code").agg(
         F.count(F.lit(1)).alias("rows")
     )
@@ -220,7 +220,7 @@ def returns_report(spark, sf):
 
 @query
 def exceptions(spark, sf):
-    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf, False), T.CHANNELS, unicode_ids=False)
+    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS, unicode_ids=False)
     return P.exceptions(R.unresolved(rows, "qty_sold", "net_value"))
 
 
@@ -231,7 +231,7 @@ def po_exceptions(spark, sf):
 
 @query
 def load_audit(spark, sf):
-    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf, False), T.CHANNELS, unicode_ids=False)
+    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS, unicode_ids=False)
     return P.load_audit(rows, "qty_sold", "net_value")
 
 
@@ -239,7 +239,7 @@ def load_audit(spark, sf):
 def load_audit_scoped(spark, sf):
     extract = T.purchase_extract(spark, sf)
     kept = O.facility_rows(extract, "facility", "LOC1", unicode_ids=False)
-    rows = FP.fact_purchase(kept, lookup(spark, sf, False), unicode_ids=False)
+    rows = FP.fact_purchase(kept, lookup(spark, sf), unicode_ids=False)
     return P.load_audit(rows, "qty_ordered", "total", O.facility_drops(extract, "facility", "LOC1", unicode_ids=False))
 
 

@@ -27,6 +27,7 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "stockweave"
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", tempfile.gettempdir() + "/stockweave-warehouse")
     )
     for key, value in RECOMMENDED.items():
