@@ -35,11 +35,15 @@ def exact_sum(c: str | Column) -> Column:
 
 def money_sum(c: str | Column) -> Column:
     """Sum of money, 0 when there is nothing to add."""
+    if isinstance(c, str):
+        return F.expr(f"coalesce(cast(sum(cast({c} as {EXACT})) as double), 0.0D)")
     return F.coalesce(exact_sum(c), F.lit(0.0))
 
 
 def unit_sum(c: str | Column) -> Column:
     """Sum of units, 0 when there is nothing to add."""
+    if isinstance(c, str):
+        return F.expr(f"coalesce(sum({c}), 0.0D)")
     return F.coalesce(F.sum(as_col(c)), F.lit(0.0))
 
 
@@ -66,11 +70,10 @@ def percent(a: str | Column, b: str | Column, digits: int = 1) -> Column:
     return round_half_even(ratio(a, b) * F.lit(100.0), digits)
 
 
-def fmt(c: str | Column) -> Column:
-    """A number as reading text: no decimals from 10 up, else one; a dash for null."""
-    n = as_col(c)
-    return (
-        F.when(n.isNull(), F.lit("—"))
-        .when(F.abs(n) >= 10, F.format_number(n, 0))
-        .otherwise(F.format_number(n, 1))
-    )
+def fmt_sql(n: str) -> str:
+    """SQL for a number as reading text: no decimals from 10 up, else one; a dash for null."""
+    return f"coalesce(format_number({n}, if(abs({n}) >= 10, 0, 1)), '—')"
+
+
+def fmt(n: str) -> Column:
+    return F.expr(fmt_sql(n))

@@ -17,8 +17,11 @@ MAX_LEDGERS = 10_000
 def channel_table(spark: SparkSession, channel_map: dict = S.CHANNEL_MAP) -> DataFrame:
     if len(channel_map) > MAX_LEDGERS:
         raise ValueError(f"ledger table has {len(channel_map)} entries, more than {MAX_LEDGERS}")
-    rows = [(k.strip().upper(), *v) for k, v in channel_map.items()]
-    return spark.createDataFrame(rows, "_ledger_key string, _channel string, _type string, _flow string")
+    rows = ", ".join(
+        "struct(" + ", ".join("'" + part.replace("\\", "\\\\").replace("'", "\\'") + "'" for part in (k.strip().upper(), *v)) + ")"
+        for k, v in channel_map.items()
+    )
+    return spark.range(1).selectExpr(f"inline(array({rows})) as (_ledger_key, _channel, _type, _flow)")
 
 
 def map_ledger(df: DataFrame, channel_map: dict = S.CHANNEL_MAP, ledger: str = "ledger") -> DataFrame:
@@ -80,9 +83,11 @@ def value_basis(df: DataFrame, list_price: str = "mrp") -> DataFrame:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exact projection to a fact schema; absent columns are null."""
-    have = set(df.columns)
-    return df.select([
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+    have = dict(df.dtypes)
+    kinds = {f.name: f.dataType.simpleString() for f in schema}
+    return df.selectExpr(*[
+        f"`{name}`" if have.get(name) == kind else f"cast({f'`{name}`' if name in have else 'null'} as {kind}) as `{name}`"
+        for name, kind in kinds.items()
     ])
 
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from stockweave import schemas as S
-from stockweave.functions.numbers import EXACT, fmt, ratio, round_half_even
+from stockweave.functions.numbers import EXACT, fmt_sql, ratio
 from stockweave.operators.dedup import top_per_group
-from stockweave.plans.merchandising import q
 
 ALERT_COLUMNS = (
     "alert", "label", "severity", "sev_rank", "key", "sku", "item", "category", "stock", "monthly_ros",
@@ -69,104 +68,120 @@ def prepare(skus: DataFrame, fallback_to_asp: bool = True) -> DataFrame:
     measures, so valuing needs no further look at the facts; only the overall
     price is one extra aggregate row.
     """
-    base = skus.select(
-        *[F.coalesce(F.trim(q(src).cast("string")), F.lit("")).alias(name) for name, src in _TEXT.items()],
-        *[F.coalesce(q(src).cast("double"), F.lit(0.0)).alias(name) for name, src in _NUMBERS.items()],
-        F.when(q("_stock_value") > 0, q("_stock_value")).alias("reported_value"),
-        F.when(q("_all_sold") > 0, F.coalesce("_so_net", F.lit(0.0))).alias("_net"),
-        F.when(q("_all_sold") > 0, q("_all_sold")).alias("_qty"),
+    base = skus.selectExpr(
+        *[f"coalesce(trim(cast(`{src}` as string)), '') as {name}" for name, src in _TEXT.items()],
+        *[f"coalesce(cast(`{src}` as double), 0.0D) as {name}" for name, src in _NUMBERS.items()],
+        "case when _stock_value > 0 then _stock_value end as reported_value",
+        "case when _all_sold > 0 then coalesce(_so_net, 0.0D) end as _net",
+        "case when _all_sold > 0 then _all_sold end as _qty",
     ).filter("sku <> ''")
     if fallback_to_asp:
-        total = base.agg(
-            F.coalesce(ratio(F.sum(F.col("_net").cast(EXACT)).cast("double"), F.sum("_qty")), F.lit(0.0)).alias("overall_price")
+        total = base.selectExpr(
+            f"coalesce(try_divide(cast(sum(cast(_net as {EXACT})) as double), nullif(sum(_qty), 0.0D)), 0.0D) as overall_price"
         )
         base = base.crossJoin(F.broadcast(total))  # one row
-        own_price = ratio("_net", "_qty")
-        own_price = F.when(own_price > 0, own_price)
     else:
-        base = base.withColumn("overall_price", F.lit(0.0))
-        own_price = F.lit(None).cast("double")
+        base = base.selectExpr("*", "0.0D as overall_price").withColumn("_net", F.lit(None).cast("double"))
     # A zero 15-day rate is normal right after a cycle closes; the period rate stands in.
-    rated = base.withColumn("unit", F.coalesce(own_price, "overall_price")).withColumn(
-        "demand_rate", F.when(F.col("monthly_ros") > 0, F.col("monthly_ros")).otherwise(F.col("ros_month"))
-    ).withColumn("daily_rate", F.col("demand_rate") / 30.0)
-    sold_and_back = F.col("overall_sale") + F.col("overall_ret")
-    valued = rated.withColumns({
-        "cover_days": F.when(F.col("daily_rate") > 0, ratio("stock", "daily_rate")),
-        "return_rate": F.when(sold_and_back > 0, ratio("overall_ret", sold_and_back)),
-        "value_at_risk": round_half_even(F.coalesce("reported_value", F.col("stock") * F.col("unit"), F.lit(0.0))),
-    })
-    priced = valued.withColumn(
-        "value_basis",
-        F.when(F.coalesce(F.col("value_at_risk") > 0, F.lit(False)),
-               F.when(F.col("reported_value").isNotNull(), "reported").otherwise("estimated")).otherwise("none"),
-    ).withColumn("unit_price", F.coalesce(F.when(F.col("stock") > 0, ratio("value_at_risk", "stock")), "unit"))
-    return priced.withColumn(
-        "revenue_at_risk", round_half_even(F.col("demand_rate") * F.col("unit_price"))
-    ).drop("_net", "_qty", "unit", "overall_price", "reported_value")
-
-
-def _floor(cfg: dict, name: str, default) -> Column:
-    return F.lit(float(cfg.get(name, default)))
+    rated = base.selectExpr(
+        "* except (_net, _qty, overall_price)",
+        "coalesce(case when _net / _qty > 0 then _net / _qty end, overall_price) as unit",
+        "case when monthly_ros > 0 then monthly_ros else ros_month end as demand_rate",
+        "overall_sale + overall_ret as _volume",
+    )
+    valued = rated.selectExpr(
+        "* except (_volume)",
+        "demand_rate / 30.0D as daily_rate",
+        "case when demand_rate / 30.0D > 0 then stock / (demand_rate / 30.0D) end as cover_days",
+        "case when _volume > 0 then overall_ret / _volume end as return_rate",
+        "rint(coalesce(reported_value, stock * unit, 0.0D)) + 0.0D as value_at_risk",
+    )
+    priced = valued.selectExpr(
+        "* except (unit, reported_value)",
+        """case when not coalesce(value_at_risk > 0, false) then 'none'
+            when reported_value is not null then 'reported' else 'estimated' end as value_basis""",
+        "case when stock > 0 then value_at_risk / stock else unit end as unit_price",
+    )
+    return priced.selectExpr("*", "rint(demand_rate * unit_price) + 0.0D as revenue_at_risk")
+
+
+def _text_list(values) -> str:
+    return ", ".join("'" + str(v).replace("'", "\\'") + "'" for v in values)
+
+
+def _floor(cfg: dict, name: str, default) -> str:
+    return f"{float(cfg.get(name, default))!r}D"
 
 
 def _out_of_stock(cfg):
-    hit = (F.col("stock") <= 0) & (F.col("demand_rate") >= _floor(cfg, "min_monthly_ros", 0.5))
-    return hit, F.concat(F.lit("sells ~"), fmt("demand_rate"), F.lit("/month, stock is zero"))
+    return (
+        f"stock <= 0 and demand_rate >= {_floor(cfg, 'min_monthly_ros', 0.5)}",
+        f"concat('sells ~', {fmt_sql('demand_rate')}, '/month, stock is zero')",
+    )
 
 
 def _low_stock(cfg):
+    """Short cover, or already called low by the SKU table: either is enough."""
     cover = cfg.get("cover_days", 21)
-    by_cover = F.coalesce(
-        (F.col("stock") > 0) & (F.col("cover_days") < F.lit(float(cover)))
-        & (F.col("demand_rate") >= _floor(cfg, "min_monthly_ros", 0.5)), F.lit(False))
-    by_status = (F.col("stock") > 0) & (F.lower("inv_status") == "low stock")
-    why = F.when(by_cover, F.concat(fmt("cover_days"), F.lit(f" days of cover left (floor is {cover})")))
-    return by_cover | by_status, why.otherwise("flagged low stock in the workbook")
+    short = f"coalesce(cover_days < {float(cover)!r}D and demand_rate >= {_floor(cfg, 'min_monthly_ros', 0.5)}, false)"
+    return (
+        f"stock > 0 and ({short} or lower(inv_status) = 'low stock')",
+        f"""case when {short} then concat({fmt_sql('cover_days')}, ' days of cover left (floor is {cover})')
+            else 'flagged low stock in the workbook' end""",
+    )
 
 
 def _reorder_level(cfg):
-    hit = F.upper("inv_level") == "REORDER"
-    if cfg.get("respect_manual_override", True):
-        hit = hit & ~F.lower(F.trim("reorder_status")).isin(*S.HANDLED_NOTES)
-    return hit, F.concat(
-        F.lit("at reorder point — "), fmt("stock"), F.lit(" on hand vs "), fmt("for_3_months"), F.lit(" needed for 3 months"))
+    open_note = f" and lower(trim(reorder_status)) not in ({_text_list(S.HANDLED_NOTES)})"
+    return (
+        "upper(inv_level) = 'REORDER'" + (open_note if cfg.get("respect_manual_override", True) else ""),
+        f"""concat('at reorder point — ', {fmt_sql('stock')}, ' on hand vs ', {fmt_sql('for_3_months')},
+            ' needed for 3 months')""",
+    )
 
 
 def _best_sellers(cfg):
-    hit = (F.col("movement") == "Fast Movement") & (F.col("net_sale") >= _floor(cfg, "min_units_sold", 5))
-    return hit, F.concat(
-        fmt("net_sale"), F.lit(" sold this period, sell-through "), fmt(F.col("sell_through") * 100), F.lit("%"))
+    return (
+        f"movement = 'Fast Movement' and net_sale >= {_floor(cfg, 'min_units_sold', 5)}",
+        f"concat({fmt_sql('net_sale')}, ' sold this period, sell-through ', {fmt_sql('sell_through * 100')}, '%')",
+    )
 
 
 def _high_returns(cfg):
-    volume = F.col("overall_sale") + F.col("overall_ret")
-    hit = (F.col("return_rate") > _floor(cfg, "return_rate", 0.15)) & (volume >= _floor(cfg, "min_units_sold", 10))
-    return hit, F.concat(
-        fmt(F.col("return_rate") * 100), F.lit("% returned ("), fmt("overall_ret"), F.lit(" of "), fmt(volume), F.lit(")"))
+    volume = "overall_sale + overall_ret"
+    return (
+        f"return_rate > {_floor(cfg, 'return_rate', 0.15)} and {volume} >= {_floor(cfg, 'min_units_sold', 10)}",
+        f"""concat({fmt_sql('return_rate * 100')}, '% returned (', {fmt_sql('overall_ret')}, ' of ',
+            {fmt_sql(volume)}, ')')""",
+    )
 
 
 def _slow_moving(cfg):
-    hit = (F.col("movement") == "Slow Movement") & (F.col("value_at_risk") >= _floor(cfg, "min_value", 5000))
-    return hit, F.concat(
-        F.lit("sell-through "), fmt(F.col("sell_through") * 100), F.lit("% against its "), "ageing", F.lit(" age"))
+    return (
+        f"movement = 'Slow Movement' and value_at_risk >= {_floor(cfg, 'min_value', 5000)}",
+        f"concat('sell-through ', {fmt_sql('sell_through * 100')}, '% against its ', ageing, ' age')",
+    )
 
 
 def _dead_stock(cfg):
-    hit = (
-        (F.col("movement") == "No Movement") & F.col("ageing").isin(*cfg.get("ageing_buckets", [">1 year", ">2 years"]))
-        & (F.col("stock") >= _floor(cfg, "min_units", 5)))
-    return hit, F.concat(
-        F.lit("no sales, "), fmt("stock"), F.lit(" units sitting "), F.replace("ageing", F.lit(">"), F.lit("over ")))
+    buckets = _text_list(cfg.get("ageing_buckets", [">1 year", ">2 years"]))
+    return (
+        f"movement = 'No Movement' and ageing in ({buckets}) and stock >= {_floor(cfg, 'min_units', 5)}",
+        f"concat('no sales, ', {fmt_sql('stock')}, ' units sitting ', replace(ageing, '>', 'over '))",
+    )
 
 
 def _stock_ageing(cfg):
-    hit = F.col("ageing").isin(*cfg.get("ageing_buckets", [">2 years"])) & (F.col("stock") >= _floor(cfg, "min_units", 5))
-    return hit, F.concat(fmt("stock"), F.lit(" units in the "), "ageing", F.lit(" bucket"))
+    buckets = _text_list(cfg.get("ageing_buckets", [">2 years"]))
+    return (
+        f"ageing in ({buckets}) and stock >= {_floor(cfg, 'min_units', 5)}",
+        f"concat({fmt_sql('stock')}, ' units in the ', ageing, ' bucket')",
+    )
 
 
-# A rule turns its settings into (condition, reason); add one here to extend.
-RULES: dict[str, Callable[[dict], tuple[Column, Column]]] = {
+# A rule turns its settings into (condition, reason), both SQL over the alert
+# frame; add one here to extend.
+RULES: dict[str, Callable[[dict], tuple[str, str]]] = {
     "out_of_stock": _out_of_stock,
     "low_stock": _low_stock,
     "reorder_level": _reorder_level,
@@ -201,26 +216,32 @@ def active_rules(rules: dict) -> dict[str, dict]:
 def evaluate(frame: DataFrame, rules: dict = S.DEFAULT_RULES) -> DataFrame:
     """All open alerts; one SKU may raise several.
 
-    The rules become one array of structs per row, exploded once: the SKU frame
-    is computed a single time however many rules there are.
+    The names of the rules a row breaks become one array, exploded once: the
+    SKU frame is computed a single time however many rules there are, and texts
+    are made for raised alerts only.
     """
-    hits = []
+    conditions, labels, severities, ranks, reasons, money = [], {}, {}, {}, {}, {}
     for name, cfg in active_rules(rules).items():
-        hit, why = RULES[name](cfg)
+        condition, reasons[name] = RULES[name](cfg)
+        conditions.append(f"case when {condition} then '{name}' end")
+        labels[name] = cfg.get("label", name.replace("_", " ").title())
+        severities[name] = cfg.get("severity", "medium")
+        ranks[name] = S.SEVERITY_RANK.get(severities[name], 9)
         rank_by = cfg.get("rank_by", "value_at_risk")
-        rank_by = rank_by if rank_by in frame.columns else "value_at_risk"
-        severity = cfg.get("severity", "medium")
-        entry = F.struct(
-            F.lit(name).alias("alert"), F.lit(cfg.get("label", name.replace("_", " ").title())).alias("label"),
-            F.lit(severity).alias("severity"), F.lit(S.SEVERITY_RANK.get(severity, 9)).alias("sev_rank"),
-            why.alias("reason"), F.col(rank_by).cast("double").alias("priority"), F.lit(rank_by).alias("money_col"),
-        )
-        hits.append(F.when(hit, entry))
-    if not hits:
+        money[name] = rank_by if rank_by in frame.columns else "value_at_risk"
+    if not conditions:
         raise ValueError("no alert rule is enabled")
-    raised = frame.withColumn("hit", F.explode(F.array_compact(F.array(*hits))))
-    flat = raised.select(*frame.columns, "hit.*").withColumn("key", F.concat_ws("|", "alert", "sku"))
-    return flat.select(*ALERT_COLUMNS)
+
+    def per_alert(values: dict, render=lambda v: _text_list([v])) -> str:
+        return "case alert " + " ".join(f"when '{n}' then {render(v)}" for n, v in values.items()) + " end"
+
+    raised = frame.selectExpr("*", f"explode(array_compact(array({', '.join(conditions)}))) as alert")
+    return raised.selectExpr(
+        "*", f"{per_alert(labels)} as label", f"{per_alert(severities)} as severity",
+        f"{per_alert(ranks, str)} as sev_rank", f"{per_alert(reasons, str)} as reason",
+        f"cast({per_alert(money, lambda c: f'`{c}`')} as double) as priority", f"{per_alert(money)} as money_col",
+        "concat(alert, '|', sku) as key",
+    ).select(*ALERT_COLUMNS)
 
 
 def sort_alerts(alerts: DataFrame) -> DataFrame:

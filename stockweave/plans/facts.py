@@ -47,3 +47,10 @@ def fact_inventory(extract: DataFrame, lookup: DataFrame, unicode_ids: bool = Tr
 
 def fact_purchase(extract: DataFrame, lookup: DataFrame, unicode_ids: bool = True) -> DataFrame:
     return conform(resolve(extract, lookup, unicode_ids=unicode_ids), S.FACT_PURCHASE)
+
+
+def resolved_extract(rows: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Adapter output of mixed id types to resolved rows; rows without an id type stay unresolved."""
+    priced = "mrp" in lookup.schema["fallback"].dataType["hit"].dataType.names
+    out = resolve(rows.drop("matched_via", "master_sku", "style_code"), lookup, ["mrp"] if priced else [])
+    return out if priced else out.withColumn("mrp", F.lit(None).cast("double"))

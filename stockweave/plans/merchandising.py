@@ -73,13 +73,16 @@ def sku_measures(
     def part(df: DataFrame, own: dict) -> DataFrame:
         return df.filter("master_sku is not null").select(
             "master_sku",
-            *[(own[n].cast("double") if n in own else _NONE.cast("double")).alias(n) for n in sums],
-            *[(value if src is df else _NONE).cast(kind).alias(n) for n, (src, value, kind) in extra.items()],
+            *[own[n].cast("double").alias(n) if n in own else F.expr(f"cast(null as double) as `{n}`") for n in sums],
+            *[
+                value.cast(kind).alias(n) if src is df else F.expr(f"cast(null as {kind}) as `{n}`")
+                for n, (src, value, kind) in extra.items()
+            ],
         )
 
     stacked = part(sales, sale_cols).unionByName(part(inventory, stock_cols)).unionByName(part(purchases, po_cols))
     grouped = stacked.groupBy("master_sku").agg(
-        *[unit_sum(q(n)).alias(n) for n in sums],
+        *[unit_sum(f"`{n}`").alias(n) for n in sums],
         F.sum("_so_net").cast("double").alias("_so_net"),
         F.sum("_stock_value").cast("double").alias("_stock_value"),
         F.min("_first_sale").alias("_first_sale"), F.min("_first_po").alias("_first_po"),

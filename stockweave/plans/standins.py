@@ -36,132 +36,138 @@ HOLDERS = (
 )
 
 
+# Schemas of the test tables; stating them spares a footer read per table.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sku_code(key: str):
-    return F.concat(F.lit("S"), F.col(key).cast("string"))
+    return F.expr(f"concat('S', {key})")
 
 
-def style_of(key: str):
+def style_sql(key: str) -> str:
     """Eight sizes to a style; the season suffix is dated, undated or absent."""
-    style = F.floor(F.col(key) / 8)
-    season = F.element_at(F.array(*[F.lit(s) for s in ("-AW24", "-SS25", "-AW", "")]), (style % 4 + 1).cast("int"))
-    return F.concat(F.lit("ST"), style.cast("string"), season)
+    return (
+        f"concat('ST', {key} div 8, case ({key} div 8) % 4 when 0 then '-AW24' when 1 then '-SS25' when 2 then '-AW' else '' end)"
+    )
 
 
 def master(spark, sf_dir) -> DataFrame:
     """Wide master sheet; two id types are sparse on purpose."""
-    key = F.col("p_partkey")
-    return table(spark, sf_dir, "part").select(
-        sku_code("p_partkey").alias("Sku Code"), style_of("p_partkey").alias("Item Name"),
-        F.when(key % 2 == 0, F.concat(F.lit("B"), key.cast("string"))).alias("AZ ASIN"),
-        F.when(key % 3 == 0, F.concat(F.lit("F"), key.cast("string"))).alias("FK SKU"),
-        key.alias("row_seq"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('S', p_partkey) as `Sku Code`", f"{style_sql('p_partkey')} as `Item Name`",
+        "case when p_partkey % 2 = 0 then concat('B', p_partkey) end as `AZ ASIN`",
+        "case when p_partkey % 3 = 0 then concat('F', p_partkey) end as `FK SKU`",
+        "p_partkey as row_seq",
     )
 
 
 def prices(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        sku_code("p_partkey").alias("master_sku"), F.col("p_retailprice").alias("mrp"), F.col("p_partkey").alias("row_seq")
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('S', p_partkey) as master_sku", "p_retailprice as mrp", "p_partkey as row_seq"
     )
 
 
 def items(spark, sf_dir) -> DataFrame:
-    size = F.col("p_size")
-    return table(spark, sf_dir, "part").select(
-        sku_code("p_partkey").alias("master_sku"),
-        F.when(size <= 45, F.col("p_type")).alias("Category"),
-        F.element_at(F.array(F.lit("Men"), F.lit("Women"), F.lit("Unisex")), size % 3 + 1).alias("Gender"),
-        F.col("p_retailprice").alias("MRP"),
-        F.when(size <= 40, size % 10 + 1990).cast("double").alias("_year"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('S', p_partkey) as master_sku",
+        "case when p_size <= 45 then p_type end as Category",
+        "element_at(array('Men', 'Women', 'Unisex'), p_size % 3 + 1) as Gender",
+        "p_retailprice as MRP",
+        "cast(case when p_size <= 40 then p_size % 10 + 1990 end as double) as _year",
     )
 
 
 def override_rows(spark, sf_dir) -> DataFrame:
     """A note sheet with one row per part: most blank, some for the SKU, some for its style."""
-    size = F.col("p_size")
-    return table(spark, sf_dir, "part").select(
-        F.when(size == 40, F.lit("")).otherwise(sku_code("p_partkey")).alias("Sku Code"),
-        style_of("p_partkey").alias("Item Name"),
-        F.when(size == 10, "Watch").when(size == 12, "Repeat").when(size == 40, "Style hold").otherwise("").alias("Style Re-order Status"),
-        F.when(size == 10, "Ordered ").when(size == 20, "PO raised").otherwise("").alias("Reorder Status"),
-        F.col("p_partkey").alias("row_seq"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "case when p_size = 40 then '' else concat('S', p_partkey) end as `Sku Code`",
+        f"{style_sql('p_partkey')} as `Item Name`",
+        "case p_size when 10 then 'Watch' when 12 then 'Repeat' when 40 then 'Style hold' else '' end as `Style Re-order Status`",
+        "case p_size when 10 then 'Ordered ' when 20 then 'PO raised' else '' end as `Reorder Status`",
+        "p_partkey as row_seq",
     )
 
 
 def sales_extract(spark, sf_dir) -> DataFrame:
-    line, order = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    part = F.col("l_partkey")
-    digits = part.cast("string")
-    kind = F.col("l_linenumber") % 4
-    external = (
-        F.when(kind == 0, F.concat(F.lit(" s"), digits))
-        .when(kind == 1, F.concat(F.lit("B"), digits))
-        .when(kind == 2, F.concat(F.lit("f"), digits, F.lit(" ")))
-        .when(part % 2 == 0, style_of("l_partkey"))
-        .otherwise(F.concat(F.lit("X"), digits))
-    )
-    no_money = F.col("l_linenumber") == 7
-    back = F.col("l_returnflag") == "R"
-    return line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat(F.lit("sales_"), "o_orderpriority", F.lit(".csv")).alias("source_file"),
-        F.lit("uniware_tally_gst").alias("source_type"),
-        F.concat_ws("/", "o_orderpriority", "l_returnflag").alias("ledger"),
-        F.concat(F.lit("LOC"), (F.col("l_suppkey") % 5).cast("string")).alias("location"),
-        F.lit("day").alias("grain"),
-        F.col("l_shipdate").alias("period_start"), F.col("l_shipdate").alias("period_end"),
-        external.alias("external_id"), F.lit("az_asin").alias("external_id_type"),
-        F.col("l_quantity").alias("qty_sold"), F.col("l_quantity").alias("qty_ordered"),
-        F.when(back, F.col("l_quantity")).otherwise(0.0).alias("qty_returned"),
-        F.when(~no_money, F.col("l_extendedprice")).alias("gross_value"),
-        F.when(no_money, F.lit(None)).when((F.col("l_linestatus") == "O") & (F.col("l_tax") == 0), 0.0)
-        .otherwise(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net_value"),
-        (F.col("l_extendedprice") * F.col("l_discount")).alias("discount_value"),
-        F.when(back, F.col("l_extendedprice")).alias("returns_value"),
+    order = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    line = table(spark, sf_dir, "lineitem")
+    return line.join(order, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        "concat('sales_', o_orderpriority, '.csv') as source_file",
+        "'uniware_tally_gst' as source_type",
+        "concat_ws('/', o_orderpriority, l_returnflag) as ledger",
+        "concat('LOC', l_suppkey % 5) as location",
+        "'day' as grain",
+        "l_shipdate as period_start", "l_shipdate as period_end",
+        f"""case l_linenumber % 4 when 0 then concat(' s', l_partkey) when 1 then concat('B', l_partkey)
+            when 2 then concat('f', l_partkey, ' ')
+            else case when l_partkey % 2 = 0 then {style_sql('l_partkey')} else concat('X', l_partkey) end end as external_id""",
+        "'az_asin' as external_id_type",
+        "l_quantity as qty_sold", "l_quantity as qty_ordered",
+        "case when l_returnflag = 'R' then l_quantity else 0.0D end as qty_returned",
+        "case when l_linenumber <> 7 then l_extendedprice end as gross_value",
+        """case when l_linenumber = 7 then null when l_linestatus = 'O' and l_tax = 0 then 0.0D
+            else l_extendedprice * (1 - l_discount) end as net_value""",
+        "l_extendedprice * l_discount as discount_value",
+        "case when l_returnflag = 'R' then l_extendedprice end as returns_value",
     )
 
 
+def _case(column: str, values) -> str:
+    return f"case {column} " + " ".join(f"when {i} then '{v}'" for i, v in enumerate(values)) + " end"
+
+
 def stock_extract(spark, sf_dir) -> DataFrame:
-    holder = (F.col("l_suppkey") % 5).cast("int")
-    names = F.array(*[F.lit(n) for n, _ in HOLDERS])
-    types = F.array(*[F.lit(t) for _, t in HOLDERS])
-    valued = holder.isin(0, 3)
-    return table(spark, sf_dir, "lineitem").filter("l_returnflag = 'N'").select(
-        F.concat(F.lit("stock_"), holder.cast("string"), F.lit(".csv")).alias("source_file"),
-        F.lit("uniware_inventory").alias("source_type"),
-        F.element_at(names, holder + 1).alias("channel"), F.element_at(types, holder + 1).alias("channel_type"),
-        F.concat(F.lit("LOC"), (F.col("l_suppkey") % 5).cast("string")).alias("location"),
-        F.col("l_shipdate").alias("snapshot_date"),
-        F.concat(F.when(F.col("l_linenumber") == 7, "X").otherwise("S"), F.col("l_partkey").cast("string")).alias("external_id"),
-        F.lit("sku_code").alias("external_id_type"),
-        F.greatest(F.col("l_quantity") - 40.0, F.lit(0.0)).alias("qty_on_hand"),
-        F.when(valued & (F.col("l_quantity") > 40), F.col("l_extendedprice")).alias("value_on_hand"),
+    return table(spark, sf_dir, "lineitem").filter("l_returnflag = 'N'").selectExpr(
+        "concat('stock_', l_suppkey % 5, '.csv') as source_file",
+        "'uniware_inventory' as source_type",
+        _case("l_suppkey % 5", [n for n, _ in HOLDERS]) + " as channel",
+        _case("l_suppkey % 5", [t for _, t in HOLDERS]) + " as channel_type",
+        "concat('LOC', l_suppkey % 5) as location",
+        "l_shipdate as snapshot_date",
+        "concat(case when l_linenumber = 7 then 'X' else 'S' end, l_partkey) as external_id",
+        "'sku_code' as external_id_type",
+        "greatest(l_quantity - 40.0D, 0.0D) as qty_on_hand",
+        "case when l_suppkey % 5 in (0, 3) and l_quantity > 40 then l_extendedprice end as value_on_hand",
     )
 
 
 def purchase_extract(spark, sf_dir) -> DataFrame:
-    qty, tax = F.col("l_quantity"), F.col("l_tax")
-    done = F.col("l_linestatus") == "F"
-    received = F.when(done, qty).when(tax >= 0.04, F.floor(qty / 2).cast("double")).otherwise(0.0)
-    anonymous = F.col("l_suppkey") % 10 == 0
-    return table(spark, sf_dir, "lineitem").select(
-        F.lit("Purchase_Orders_history.csv").alias("source_file"), F.lit("uniware_purchase_orders").alias("source_type"),
-        F.concat(F.lit("PO"), F.col("l_orderkey").cast("string")).alias("po_code"),
-        F.when(done, "Complete").when(tax == 0.08, "CANCELLED").otherwise("Approved").alias("po_status"),
-        F.lit("MANUAL").alias("po_type"),
-        F.when(F.col("l_partkey") % 5 < 3, F.col("l_shipdate") - F.make_dt_interval(days=qty.cast("int"))).alias("created_date"),
-        F.lit(None).cast("timestamp_ntz").alias("approved_date"), F.col("l_shipdate").alias("delivery_date"),
-        F.when(~anonymous, F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string"))).alias("vendor"),
-        F.col("l_suppkey").cast("string").alias("vendor_code"),
-        F.when(~anonymous, F.concat(F.lit("loc"), (F.col("l_suppkey") % 5).cast("string"))).alias("facility"),
-        F.concat(F.when(F.col("l_linenumber") == 7, "X").otherwise("S"), F.col("l_partkey").cast("string")).alias("external_id"),
-        F.lit("sku_code").alias("external_id_type"),
-        qty.alias("qty_ordered"), received.alias("qty_received"), (qty - received).alias("qty_pending"),
-        F.when((F.col("l_returnflag") == "R") & (tax == 0.01), 1.0).otherwise(0.0).alias("qty_rejected"),
-        F.lit(None).cast("double").alias("unit_price"),
-        F.col("l_extendedprice").alias("sub_total"), (F.col("l_extendedprice") * (1 + tax)).alias("total"),
-        F.date_diff(F.lit(ASOF), "l_shipdate").cast("double").alias("ageing_days"),
-        F.col("l_shipdate").alias("updated"), F.col("l_linenumber").alias("line_no"),
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "*", "l_linestatus = 'F' as done",
+        "case when l_linestatus = 'F' then l_quantity when l_tax >= 0.04D then cast(floor(l_quantity / 2) as double) else 0.0D end as received",
+    )
+    return lines.selectExpr(
+        "'Purchase_Orders_history.csv' as source_file", "'uniware_purchase_orders' as source_type",
+        "concat('PO', l_orderkey) as po_code",
+        "case when done then 'Complete' when l_tax = 0.08D then 'CANCELLED' else 'Approved' end as po_status",
+        "'MANUAL' as po_type",
+        "case when l_partkey % 5 < 3 then l_shipdate - make_dt_interval(cast(l_quantity as int)) end as created_date",
+        "cast(null as timestamp_ntz) as approved_date", "l_shipdate as delivery_date",
+        "case when l_suppkey % 10 <> 0 then concat('Supplier ', l_suppkey) end as vendor",
+        "cast(l_suppkey as string) as vendor_code",
+        "case when l_suppkey % 10 <> 0 then concat('loc', l_suppkey % 5) end as facility",
+        "concat(case when l_linenumber = 7 then 'X' else 'S' end, l_partkey) as external_id",
+        "'sku_code' as external_id_type",
+        "l_quantity as qty_ordered", "received as qty_received", "l_quantity - received as qty_pending",
+        "case when l_returnflag = 'R' and l_tax = 0.01D then 1.0D else 0.0D end as qty_rejected",
+        "cast(null as double) as unit_price", "l_extendedprice as sub_total", "l_extendedprice * (1 + l_tax) as total",
+        f"cast(datediff(date'{ASOF}', l_shipdate) as double) as ageing_days",
+        "l_shipdate as updated", "l_linenumber as line_no",
     )

@@ -34,20 +34,29 @@ def query(fn):
 # ------------------------------------------------------------------ inputs
 
 
-def lookup(spark, sf, priced=True):
-    return FP.lookup_for(T.master(spark, sf), T.prices(spark, sf) if priced else None, unicode_ids=False)
+def lookup(spark, sf):
+    return FP.lookup_for(T.master(spark, sf), T.prices(spark, sf), unicode_ids=False)
 
 
-def sales(spark, sf):
-    return FP.fact_sales(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS, unicode_ids=False)
+def sales(spark, sf, hits=None):
+    hits = hits or lookup(spark, sf)
+    return FP.fact_sales(T.sales_extract(spark, sf), hits, T.CHANNELS, unicode_ids=False)
 
 
-def inventory(spark, sf):
-    return FP.fact_inventory(T.stock_extract(spark, sf), lookup(spark, sf), unicode_ids=False)
+def inventory(spark, sf, hits=None):
+    hits = hits or lookup(spark, sf)
+    return FP.fact_inventory(T.stock_extract(spark, sf), hits, unicode_ids=False)
 
 
-def purchases(spark, sf):
-    return FP.fact_purchase(T.purchase_extract(spark, sf), lookup(spark, sf), unicode_ids=False)
+def purchases(spark, sf, hits=None):
+    hits = hits or lookup(spark, sf)
+    return FP.fact_purchase(T.purchase_extract(spark, sf), hits, unicode_ids=False)
+
+
+def facts(spark, sf):
+    """The three facts over one shared lookup, so its exchange is planned once."""
+    hits = lookup(spark, sf)
+    return sales(spark, sf, hits), inventory(spark, sf, hits), purchases(spark, sf, hits)
 
 
 def notes(spark, sf):
@@ -56,7 +65,7 @@ def notes(spark, sf):
 
 def sku_table(spark, sf, asof=T.ASOF):
     by_sku, by_style = notes(spark, sf)
-    return M.svs_sku(sales(spark, sf), inventory(spark, sf), purchases(spark, sf), T.items(spark, sf), by_sku, by_style, asof)
+    return M.svs_sku(*facts(spark, sf), T.items(spark, sf), by_sku, by_style, asof)
 
 
 def article_table(spark, sf, asof=T.ASOF):
@@ -168,12 +177,14 @@ def channel_report(spark, sf):
 
 @query
 def store_report(spark, sf):
-    return P.store(sales(spark, sf), inventory(spark, sf))
+    s, i, _ = facts(spark, sf)
+    return P.store(s, i)
 
 
 @query
 def sku_report(spark, sf):
-    return P.sku(sales(spark, sf), inventory(spark, sf))
+    s, i, _ = facts(spark, sf)
+    return P.sku(s, i)
 
 
 @query
@@ -183,7 +194,8 @@ def po_vendor(spark, sf):
 
 @query
 def po_sku(spark, sf):
-    return P.po_sku(purchases(spark, sf), inventory(spark, sf), sales(spark, sf))
+    s, i, p = facts(spark, sf)
+    return P.po_sku(p, i, s)
 
 
 @query
@@ -245,7 +257,7 @@ def load_audit_scoped(spark, sf):
 
 @query
 def summary(spark, sf):
-    return P.summary(sales(spark, sf), inventory(spark, sf), purchases(spark, sf))
+    return P.summary(*facts(spark, sf))
 
 
 @query
@@ -258,34 +270,34 @@ def channel_pivot(spark, sf):
 
 @query
 def sku_universe(spark, sf):
-    return M.sku_measures(sales(spark, sf), inventory(spark, sf), purchases(spark, sf), T.ASOF).select(
+    return M.sku_measures(*facts(spark, sf), T.ASOF).select(
         F.col("Sku Code").alias("sku"), F.col("Item Name").alias("style")
     )
 
 
 @query
 def inventory_columns(spark, sf):
-    m = M.sku_measures(sales(spark, sf), inventory(spark, sf), purchases(spark, sf), T.ASOF)
+    m = M.sku_measures(*facts(spark, sf), T.ASOF)
     names = {"all sports inv": "all_sports", "J&J Inv": "jj", "OR inv": "amazon", "D8 inv": "warehouse", "INCS inv": "incs", "Total Inventory": "total"}
     return m.select(F.col("Sku Code").alias("sku"), *[M.q(k).alias(v) for k, v in names.items()])
 
 
 @query
 def period_sales(spark, sf):
-    m = M.sku_measures(sales(spark, sf), inventory(spark, sf), purchases(spark, sf), T.ASOF)
+    m = M.sku_measures(*facts(spark, sf), T.ASOF)
     names = {"Coco-OR SALES": "amazon_sold", "Coco-OR RET": "amazon_ret", "Retail": "retail", "Sale": "other_sold", "Ret": "other_ret", "Net sale": "net_sale", "Returns": "returns"}
     return m.select(F.col("Sku Code").alias("sku"), *[M.q(k).alias(v) for k, v in names.items()])
 
 
 @query
 def recent_sales(spark, sf):
-    m = M.sku_measures(sales(spark, sf), inventory(spark, sf), purchases(spark, sf), T.ASOF)
+    m = M.sku_measures(*facts(spark, sf), T.ASOF)
     return m.select(F.col("Sku Code").alias("sku"), M.q("Last 15 days Sales").alias("recent_sold"), M.q("Last 15 days Returns").alias("recent_ret"))
 
 
 @query
 def overall_sales(spark, sf):
-    m = M.sku_measures(sales(spark, sf), inventory(spark, sf), purchases(spark, sf), T.ASOF)
+    m = M.sku_measures(*facts(spark, sf), T.ASOF)
     return m.select(
         F.col("Sku Code").alias("sku"), M.q("overall net sale qty").alias("net_units"), M.q("Overall ret").alias("returned"),
         M.q("Purchase. qty").alias("purchased"), M.q("_first_po").alias("first_po"), M.q("_first_sale").alias("first_sale"),
@@ -456,7 +468,7 @@ def money_text(spark, sf):
 
 @query
 def number_text(spark, sf):
-    return T.table(spark, sf, "supplier").select("s_suppkey", fmt(F.col("s_acctbal") / 8).alias("text"))
+    return T.table(spark, sf, "supplier").select("s_suppkey", fmt("s_acctbal / 8").alias("text"))
 
 
 @query
