@@ -1,101 +1,87 @@
-"""Class columns: age bucket, movement, inventory status, stability, actions."""
+"""Class columns: age bucket, movement, inventory status, stability.
+
+The arguments are SQL texts (a column name or an expression), the result is a
+column; each class is one built-in CASE expression.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stockweave import schemas as S
-from stockweave.functions.numbers import as_col, ratio, round_half_even
 
 MOVEMENT_RANK = ("No Movement", "Slow Movement", "Good Movement", "Fast Movement")
 
 
-def ageing_bucket(days: str | Column) -> Column:
-    d = as_col(days)
-    label = None
-    for name, last, _ in S.AGEING_LADDER[:-1]:
-        label = F.when(d <= last, name) if label is None else label.when(d <= last, name)
-    return F.when(d.isNotNull(), label.otherwise(S.AGEING_LADDER[-1][0]))
+def ratio_sql(a: str, b: str) -> str:
+    """a / b, null when b is 0 or null."""
+    return f"try_divide(cast({a} as double), nullif(cast({b} as double), 0.0D))"
+
 
+def ageing_bucket(days: str) -> Column:
+    steps = " ".join(f"when ({days}) <= {last} then '{name}'" for name, last, _ in S.AGEING_LADDER[:-1])
+    return F.expr(f"case when ({days}) is null then null {steps} else '{S.AGEING_LADDER[-1][0]}' end")
 
-def expected_sell_through(bucket: str | Column) -> Column:
-    b = as_col(bucket)
-    return F.coalesce(*[F.when(b == name, F.lit(rate)) for name, _, rate in S.AGEING_LADDER])
 
+def expected_sql(bucket: str) -> str:
+    """Expected sell-through of an age bucket, null for anything else."""
+    rates: dict[float, list[str]] = {}
+    for name, _, rate in S.AGEING_LADDER:
+        rates.setdefault(rate, []).append(f"'{name}'")
+    return "case " + " ".join(f"when {bucket} in ({', '.join(n)}) then {r!r}D" for r, n in rates.items()) + " end"
 
-def movement(sell_through: str | Column, bucket: str | Column) -> Column:
+
+def movement(sell_through: str, bucket: str) -> Column:
     """Sell-through judged against what stock of that age should have sold."""
-    st, e = as_col(sell_through), expected_sell_through(bucket)
-    label = (
-        F.when(st <= 0, "No Movement")
-        .when(st < e * F.lit(S.SLOW_CUT), "Slow Movement")
-        .when(st <= e * F.lit(S.FAST_CUT), "Good Movement")
-        .otherwise("Fast Movement")
-    )
-    return F.when(st.isNotNull() & e.isNotNull(), label)
+    e, none, slow, good, fast = expected_sql(bucket), *MOVEMENT_RANK
+    return F.expr(f"""case when ({sell_through}) is null or ({e}) is null then null
+        when ({sell_through}) <= 0 then '{none}'
+        when ({sell_through}) < ({e}) * {S.SLOW_CUT}D then '{slow}'
+        when ({sell_through}) <= ({e}) * {S.FAST_CUT}D then '{good}' else '{fast}' end""")
 
 
-def inventory_status(stock: str | Column, monthly_rate: str | Column) -> Column:
+def inventory_status(stock: str, monthly_rate: str) -> Column:
     """Months of cover as a word; without recent sales, the units alone decide."""
-    inv, rate = as_col(stock), as_col(monthly_rate)
-    selling = F.coalesce(rate, F.lit(0.0)) > 0
-    cover = ratio(inv, rate)
-    return (
-        F.when(inv.isNull() | (inv <= 0), "no stock")
-        .when(~selling & (inv > 3), "over stock")
-        .when(~selling, "in stock")
-        .when(cover < S.LOW_COVER, "low stock")
-        .when(cover < S.NORMAL_COVER, "in stock")
-        .otherwise("over stock")
-    )
+    return F.expr(f"""case when ({stock}) is null or ({stock}) <= 0 then 'no stock'
+        when not coalesce(({monthly_rate}) > 0, false) then if(({stock}) > 3, 'over stock', 'in stock')
+        when ({stock}) / ({monthly_rate}) < {S.LOW_COVER}D then 'low stock'
+        when ({stock}) / ({monthly_rate}) < {S.NORMAL_COVER}D then 'in stock' else 'over stock' end""")
 
 
-def stability(recent: str | Column, overall: str | Column) -> Column:
-    names = F.array(*[F.lit(m) for m in MOVEMENT_RANK])
-    now = F.nullif(F.array_position(names, as_col(recent)), F.lit(0).cast("long"))
-    then = F.nullif(F.array_position(names, as_col(overall)), F.lit(0).cast("long"))
+def stability(recent: str, overall: str) -> Column:
+    names = "array(" + ", ".join(f"'{m}'" for m in MOVEMENT_RANK) + ")"
+    now, then = (f"nullif(array_position({names}, {c}), 0L)" for c in (recent, overall))
     good = MOVEMENT_RANK.index("Good Movement") + 1
-    return (
-        F.when(now > then, "Improving")
-        .when((now < then) & (then >= good), "Slowing Down")
-        .when(now < then, "Recovering")
-        .when(now == then, "Stable")
-    )
+    return F.expr(f"""case when {now} > {then} then 'Improving'
+        when {now} < {then} and {then} >= {good} then 'Slowing Down'
+        when {now} < {then} then 'Recovering' when {now} = {then} then 'Stable' end""")
 
 
-def inventory_level(stock: str | Column, need: str | Column, short: str, fine: str) -> Column:
-    return F.when(as_col(stock) <= as_col(need), short).otherwise(fine)
+def inventory_level(stock: str, need: str, short: str, fine: str) -> Column:
+    return F.expr(f"if(({stock}) <= ({need}), '{short}', '{fine}')")
 
 
-def period_sell_through(net: str | Column, stock: str | Column) -> Column:
-    return ratio(as_col(net), as_col(net) + as_col(stock))
+def period_sell_through(net: str, stock: str) -> Column:
+    return F.expr(ratio_sql(net, f"{net} + {stock}"))
 
 
-def overall_sell_through(net: str | Column, stock: str | Column, purchased: str | Column) -> tuple[Column, Column]:
+def overall_sell_through(net: str, stock: str, purchased: str) -> tuple[Column, Column]:
     """(rate, basis): against purchases where known, else against sold plus stock."""
-    on_receipts = ratio(net, purchased)
-    estimate = period_sell_through(net, stock)
-    basis = (
-        F.when(on_receipts.isNotNull(), "purchase qty")
-        .when(estimate.isNotNull(), "sold + stock (estimate)")
-        .otherwise("unknown")
-    )
-    return F.coalesce(on_receipts, estimate), basis
+    on_receipts, estimate = ratio_sql(net, purchased), ratio_sql(net, f"{net} + {stock}")
+    basis = F.expr(f"""case when {on_receipts} is not null then 'purchase qty'
+        when {estimate} is not null then 'sold + stock (estimate)' else 'unknown' end""")
+    return F.expr(f"coalesce({on_receipts}, {estimate})"), basis
 
 
-def return_rate(returned: str | Column, net: str | Column) -> Column:
-    return ratio(as_col(returned), as_col(net) + as_col(returned))
+def return_rate(returned: str, net: str) -> Column:
+    return F.expr(ratio_sql(returned, f"{net} + {returned}"))
 
 
-def movement_criteria(spark: SparkSession):
+def movement_criteria(spark: SparkSession) -> DataFrame:
     """The ladder as a table: one row per age bucket with its cut points."""
-    base = spark.createDataFrame(
-        [(i, name, rate) for i, (name, _, rate) in enumerate(S.AGEING_LADDER)],
-        "bucket_order int, ageing string, expected double",
-    )
-    return base.select(
-        "bucket_order", "ageing", "expected",
-        F.lit(0.0).alias("no_movement_to"),
-        round_half_even(F.col("expected") * F.lit(S.SLOW_CUT), 4).alias("slow_below"),
-        round_half_even(F.col("expected") * F.lit(S.FAST_CUT), 4).alias("good_to"),
+    rows = ", ".join(f"struct({i}, '{name}', {rate!r}D)" for i, (name, _, rate) in enumerate(S.AGEING_LADDER))
+    return spark.range(1).selectExpr(f"inline(array({rows})) as (bucket_order, ageing, expected)").selectExpr(
+        "bucket_order", "ageing", "expected", "0.0D as no_movement_to",
+        f"rint(expected * {S.SLOW_CUT}D * 10000) / 10000 as slow_below",
+        f"rint(expected * {S.FAST_CUT}D * 10000) / 10000 as good_to",
     )

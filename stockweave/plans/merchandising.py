@@ -10,7 +10,7 @@ from stockweave import schemas as S
 from stockweave.functions import classify as C
 from stockweave.functions.dates import overlaps, period_label, season_date, windows
 from stockweave.functions.numbers import EXACT, unit_sum
-from stockweave.operators.overrides import apply_overrides, lift_overrides
+from stockweave.operators.overrides import apply_overrides
 
 _NONE = F.lit(None)
 
@@ -88,16 +88,14 @@ def sku_measures(
         F.min("_first_sale").alias("_first_sale"), F.min("_first_po").alias("_first_po"),
         F.max("_sold_style").alias("_sold_style"), F.max("_held_style").alias("_held_style"),
     )
-    return (
-        grouped.withColumnRenamed("master_sku", "Sku Code")
-        .withColumn("Item Name", F.coalesce("_held_style", "_sold_style"))
-        .withColumn("overall net sale qty", q("_all_sold") - q("Overall ret"))
-        .withColumn("CB rtv", F.lit(0.0))
-        .withColumn("d8 inv + rtv", q("D8 inv") + q("CB rtv"))
-        .withColumn("Total Inventory", sum((q(n) for n in INVENTORY_NAMES if n != "D8 inv"), F.lit(0.0)) + q("d8 inv + rtv"))
-        .withColumn("Returns", q("Ret") + q("Coco-OR RET"))
-        .withColumn("Net sale", q("Sale") + q("Coco-OR SALES") + q("Retail") - q("Returns"))
-        .drop("_held_style", "_sold_style")
+    held = " + ".join(f"`{n}`" for n in INVENTORY_NAMES if n != "D8 inv")
+    return grouped.selectExpr(
+        "* except (master_sku, _held_style, _sold_style)", "master_sku as `Sku Code`",
+        "coalesce(_held_style, _sold_style) as `Item Name`",
+        "_all_sold - `Overall ret` as `overall net sale qty`",
+        # Return-to-vendor stock has a column of its own; no source reports it yet.
+        "0.0D as `CB rtv`", "`D8 inv` + 0.0D as `d8 inv + rtv`", f"{held} + (`D8 inv` + 0.0D) as `Total Inventory`",
+        "Ret + `Coco-OR RET` as Returns", "Sale + `Coco-OR SALES` + Retail - (Ret + `Coco-OR RET`) as `Net sale`",
     )
 
 
@@ -111,49 +109,43 @@ def ageing_ladder(skus: DataFrame, asof: dt.date) -> DataFrame:
     """First date known for a SKU, the rung that gave it, and the age bucket."""
     dated = skus.withColumns({
         "_season": season_date(F.coalesce("Item Name", "Sku Code")),
-        "_yeardate": F.make_date(F.nullif(q("_year").cast("int"), F.lit(0)), F.lit(7), F.lit(1)),
+        "_yeardate": F.expr("make_date(nullif(cast(_year as int), 0), 7, 1)"),
     })
-    rung = F.lit("unknown")
-    for label, column in reversed(AGEING_RUNGS):
-        rung = F.when(q(column).isNotNull(), label).otherwise(rung)
-    first = F.coalesce(*[q(c).cast("timestamp_ntz") for _, c in AGEING_RUNGS])
-    return (
-        dated.withColumn("_first_seen", first)
-        .withColumn("Ageing basis", rung)
-        .withColumn("Ageing", C.ageing_bucket(whole_days(asof, "_first_seen")))
-        .drop("_season", "_yeardate")
-    )
+    rungs = " ".join(f"when {c} is not null then '{label}'" for label, c in AGEING_RUNGS)
+    first = ", ".join(f"cast({c} as timestamp_ntz)" for _, c in AGEING_RUNGS)
+    return dated.selectExpr(
+        "* except (_season, _yeardate)", f"coalesce({first}) as _first_seen",
+        f"case {rungs} else 'unknown' end as `Ageing basis`",
+    ).withColumn("Ageing", C.ageing_bucket(whole_days(asof, "_first_seen")))
 
 
-def whole_days(asof: dt.date, column: str):
-    """Full days from a moment to the report date; a started day does not count."""
-    moment = q(column)
-    started = F.when(moment > moment.cast("date").cast("timestamp_ntz"), 1).otherwise(0)
-    return F.date_diff(F.lit(asof), moment) - started
+def whole_days(asof: dt.date, column: str) -> str:
+    """SQL: full days from a moment to the report date; a started day does not count."""
+    started = f"if({column} > cast(cast({column} as date) as timestamp_ntz), 1, 0)"
+    return f"datediff(date'{asof}', {column}) - {started}"
 
 
 def _rates(df: DataFrame, period_days: int, recent_days: int, sheet: str) -> DataFrame:
-    months = F.lit(period_days / 30.0)
-    overall, basis = C.overall_sell_through(q("overall net sale qty"), q("Total Inventory"), q("Purchase. qty"))
+    months = f"{period_days / 30.0!r}D"
+    overall, basis = C.overall_sell_through("`overall net sale qty`", "`Total Inventory`", "`Purchase. qty`")
     over = "Overall Movement" if sheet == "sku" else "overall Movement"
     out = df.withColumns({
-        "ros/month": q("Net sale") / months,
-        "monthly ros": q("Last 15 days Sales") * F.lit(30.0 / recent_days),
-        "Sell through": C.period_sell_through(q("Net sale"), q("Total Inventory")),
+        "ros/month": F.expr(f"`Net sale` / {months}"),
+        "monthly ros": F.expr(f"`Last 15 days Sales` * {30.0 / recent_days!r}D"),
+        "Sell through": C.period_sell_through("`Net sale`", "`Total Inventory`"),
         "Overall Sell-through": overall,
         "Sell-through basis": basis,
-    }).withColumn("For 3 months", q("ros/month") * 3)
-    need = "For 3 months"
+        "For 3 months": F.expr(f"`Net sale` / {months} * 3"),
+    })
+    need, words = "For 3 months", ("reorder", "in-stock")
     if sheet == "sku":
-        out = out.withColumn("avg", q("Net sale") / months)
-        need = "Sale Projection for next 3 month"
-        out = out.withColumn(need, q("avg") * 3)
-    words = ("REORDER", "IN-STOCK") if sheet == "sku" else ("reorder", "in-stock")
+        need, words = "Sale Projection for next 3 month", ("REORDER", "IN-STOCK")
+        out = out.withColumns({"avg": F.expr(f"`Net sale` / {months}"), need: F.expr(f"`Net sale` / {months} * 3")})
     return out.withColumns({
-        over: C.movement(q("Overall Sell-through"), q("Ageing")),
-        "Movement": C.movement(q("Sell through"), q("Ageing")),
-        "Inv. Level": C.inventory_level(q("Total Inventory"), q(need), *words),
-        "Inventory status": C.inventory_status(q("Total Inventory"), q("monthly ros")),
+        over: C.movement("`Overall Sell-through`", "Ageing"),
+        "Movement": C.movement("`Sell through`", "Ageing"),
+        "Inv. Level": C.inventory_level("`Total Inventory`", f"`{need}`", *words),
+        "Inventory status": C.inventory_status("`Total Inventory`", "`monthly ros`"),
     })
 
 
@@ -174,33 +166,43 @@ def svs_article(
     skus: DataFrame, by_style: DataFrame, asof: dt.date,
     period_days: int = S.PERIOD_DAYS, recent_days: int = S.RECENT_DAYS,
 ) -> DataFrame:
-    """Styles from SKU rows: one aggregation, then the same rates and classes."""
+    """Styles from SKU rows, then the same rates and classes.
+
+    Rows are first grouped by style and note, then by style: the most common
+    note falls out of the same pass that sums the sizes, so the SKU table is
+    read once and a huge style never sits in one task.
+    """
     named = skus.filter("`Item Name` is not null")
-    first = F.struct(q("Sku Code"))
-    dated = F.when(q("_first_seen").isNotNull(), F.struct("_first_seen", "Sku Code"))
-    grouped = named.groupBy("Item Name").agg(
-        *[F.sum(q(n)).alias(n) for n in SUMMED],
-        F.min_by(q("Category"), first).alias("Category"), F.min_by(q("Gender"), first).alias("Gender"),
+    dated = "case when _first_seen is not null then struct(_first_seen, `Sku Code`, `Ageing basis` as basis) end"
+    by_note = named.groupBy("Item Name", F.col("`Style Re-order Status`").alias("_note")).agg(
+        *[F.expr(f"sum(`{n}`) as `{n}`") for n in SUMMED],
+        F.expr("min(struct(`Sku Code`, Category, Gender)) as _first_size"),
         # SKU rows are unique already, so sizes are plain counts.
-        F.count(F.lit(1)).alias("sizes"), F.count_if(q("Total Inventory") > 0).alias("sizes in stock"),
-        F.min("_first_seen").alias("_first_seen"),
-        F.min_by(q("Ageing basis"), dated).alias("Ageing basis"),
+        F.expr("count(1) as _sizes"), F.expr("count_if(`Total Inventory` > 0) as _in_stock"),
+        F.expr(f"min({dated}) as _oldest"),
+    )
+    grouped = by_note.groupBy("Item Name").agg(
+        *[F.expr(f"sum(`{n}`) as `{n}`") for n in SUMMED],
+        F.expr("min(_first_size) as _first_size"), F.expr("sum(_sizes) as sizes"),
+        F.expr("sum(_in_stock) as `sizes in stock`"), F.expr("min(_oldest) as _oldest"),
+        F.expr("min_by(_note, struct(-_sizes, _note)) filter (where _note <> '') as lifted_note"),
+    ).selectExpr(
+        "* except (_first_size, _oldest)", "_first_size.Category as Category", "_first_size.Gender as Gender",
+        "_oldest._first_seen as _first_seen", "_oldest.basis as `Ageing basis`",
     ).withColumn("Ageing", C.ageing_bucket(whole_days(asof, "_first_seen")))
     rated = _rates(grouped, period_days, recent_days, "article").withColumns({
         "overall ret qty": q("Overall ret"),
-        "Ret %": C.return_rate(q("Overall ret"), q("overall net sale qty")),
-        "Movement Stability": C.stability(q("Movement"), q("overall Movement")),
+        "Ret %": C.return_rate("`Overall ret`", "`overall net sale qty`"),
+        "Movement Stability": C.stability("Movement", "`overall Movement`"),
     })
     style = by_style.select(
         F.col("key").alias("_key"), q("Style Re-order Status").alias("_style"), q("Reorder Status").alias("_reorder")
     )
-    lifted = lift_overrides(skus).withColumnRenamed("Item Name", "_lift_key")
     return (
         rated.join(style, q("Item Name") == q("_key"), "left")
-        .join(lifted, q("Item Name") == q("_lift_key"), "left")
         .withColumn("Style Status", F.coalesce("_style", "lifted_note", F.lit("")))
         .withColumn("Re-order Status", F.coalesce("_reorder", F.lit("")))
-        .drop("_key", "_style", "_reorder", "_lift_key", "lifted_note")
+        .drop("_key", "_style", "_reorder", "lifted_note")
     )
 
 

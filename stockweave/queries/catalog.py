@@ -22,6 +22,7 @@ from stockweave.plans import merchandising as M
 from stockweave.plans import reports as P
 from stockweave.plans import standins as T
 from stockweave.plans import verification as V
+from stockweave.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -73,7 +74,8 @@ def article_table(spark, sf, asof=T.ASOF):
 
 
 def alert_frame(spark, sf, asof=T.ASOF):
-    return A.prepare(sku_table(spark, sf, asof))
+    """The SKU table feeds both the rows and the overall price, so it is written once."""
+    return A.prepare(cut_lineage(sku_table(spark, sf, asof), "svs-sku"))
 
 
 def alerts(spark, sf, asof=T.ASOF):
@@ -366,7 +368,7 @@ def article_sheet(spark, sf):
 
 @query
 def action_list(spark, sf):
-    out = M.action_list(article_table(spark, sf))
+    out = M.action_list(cut_lineage(article_table(spark, sf), "svs-article"))
     return out.toDF(*[c.lower().replace(" ", "_").replace("/", "_").replace(".", "").replace("-", "_") for c in out.columns])
 
 
@@ -414,10 +416,12 @@ def override_lift(spark, sf):
 # ------------------------------------------------- class and date functions
 
 
+DAYS = f"datediff(date'{T.ASOF}', l_shipdate)"
+
+
 @query
 def ageing_bucket(spark, sf):
-    days = F.date_diff(F.lit(T.ASOF), "l_shipdate")
-    return T.table(spark, sf, "lineitem").groupBy(C.ageing_bucket(days).alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    return T.table(spark, sf, "lineitem").groupBy(C.ageing_bucket(DAYS).alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query
@@ -425,7 +429,7 @@ def movement(spark, sf):
     """Classes for a sell-through made of discount and tax steps, cut points included."""
     line = T.table(spark, sf, "lineitem")
     st = F.col("l_discount") * 5 - F.col("l_tax")
-    bucket = C.ageing_bucket(F.date_diff(F.lit(T.ASOF), "l_shipdate"))
+    bucket = C.ageing_bucket(DAYS)
     return line.select(st.alias("st"), bucket.alias("bucket")).groupBy("bucket", C.movement("st", "bucket").alias("movement")).agg(
         F.count(F.lit(1)).alias("rows")
     )
@@ -434,9 +438,8 @@ def movement(spark, sf):
 @query
 def inventory_status(spark, sf):
     line = T.table(spark, sf, "lineitem")
-    stock = F.col("l_quantity") - 5
-    rate = F.when(F.col("l_linenumber") <= 2, 0.0).otherwise(F.col("l_linenumber") * 2.0)
-    return line.groupBy(C.inventory_status(stock, rate).alias("status")).agg(F.count(F.lit(1)).alias("rows"))
+    rate = "if(l_linenumber <= 2, 0.0D, l_linenumber * 2.0D)"
+    return line.groupBy(C.inventory_status("l_quantity - 5", rate).alias("status")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query
@@ -684,6 +687,6 @@ def rule_agreement(spark, sf):
     ]
     rules = [(n, *V.equal_within(a, b), 99.0) for n, a, b in identities]
     for name, st in (("Overall Movement", "Overall Sell-through"), ("Movement", "Sell through")):
-        again = C.movement(q(st), q("Ageing"))
+        again = C.movement(f"`{st}`", "Ageing")
         rules.append((f"{name} class", q(name).isNotNull() & again.isNotNull(), q(name) == again, 98.0))
     return V.agreement(t, rules)
