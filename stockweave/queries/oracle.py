@@ -613,3 +613,154 @@ _q("rule_agreement", " UNION ALL ".join([
     _agree("Overall Movement class", "overall_movement IS NOT NULL", "true", 98),
     _agree("Movement class", "movement IS NOT NULL", "true", 98),
 ]), _SKU_BASE)
+
+
+# ------------------------------------------------------------------ files
+
+_q("file_inventory", r"""
+WITH f AS (
+  SELECT doc_id, n_chars, CASE doc_id % 6 WHEN 0 THEN '_archive' WHEN 1 THEN 'stores/Old' WHEN 2 THEN 'vendor/week 1' WHEN 3 THEN '' ELSE 'stores' END AS folder,
+         CASE doc_id % 7 WHEN 0 THEN '~$' WHEN 1 THEN '.' ELSE '' END || source || '_' || doc_id AS stem,
+         CASE doc_id % 5 WHEN 0 THEN 'csv' WHEN 1 THEN 'XLSX' WHEN 2 THEN 'txt' WHEN 3 THEN 'xls' ELSE 'csv' END AS ext FROM documents)
+SELECT '/data/input/' || CASE WHEN folder = '' THEN '' ELSE folder || '/' END || stem || '.' || ext AS path, stem || '.' || ext AS name, folder, lower(ext) AS suffix, n_chars AS bytes
+FROM f WHERE ext <> 'txt' AND doc_id % 7 > 1 AND doc_id % 6 > 1""", "")
+_q("dedupe_files", """
+WITH f AS (
+  SELECT '/in/' || lpad(doc_id::VARCHAR, 12, '0') AS path,
+         'Report_' || doc_id || CASE WHEN doc_id % 4 = 0 THEN '__' || upper(lang) || '.csv' WHEN doc_id % 4 = 1 THEN '__' || upper(lang) || '_20240101_0930.csv' WHEN doc_id % 50 = 2 THEN '__COMBINED.csv' ELSE '.csv' END AS name,
+         CASE WHEN doc_id % 4 < 2 THEN upper(lang) WHEN doc_id % 50 = 2 THEN 'COMBINED' ELSE '' END AS tag, doc_id % 4 >= 2 AND doc_id % 50 = 2 AS comb,
+         CASE WHEN source IN ('src0', 'src1') THEN 'uniware_inventory' WHEN source = 'src2' THEN 'UNRECOGNISED' WHEN doc_id % 50 = 2 THEN 'uniware_returns' ELSE 'kind_' || source END AS kind,
+         CASE WHEN doc_id % 9 = 0 THEN 'Sale' ELSE '' END AS sheet, (doc_id * 7919) % 100003 AS modified, strlen(text) AS bytes, text FROM documents),
+a AS (SELECT *, CASE WHEN tag <> '' AND tag <> 'EN' AND NOT comb THEN 'facility ' || tag || ' — this run is scoped to EN' END AS r1 FROM f),
+b AS (SELECT *, CASE WHEN r1 IS NULL AND tag <> '' AND NOT comb AND kind IN (SELECT kind FROM a WHERE r1 IS NULL AND comb) THEN 'per-facility split; a __COMBINED file for this report is present' END AS r2 FROM a),
+c0 AS (SELECT path, first_value(name) OVER w AS fname, first_value(path) OVER w AS fpath FROM b WHERE r1 IS NULL AND r2 IS NULL WINDOW w AS (PARTITION BY text, sheet ORDER BY path)),
+c AS (SELECT b.*, CASE WHEN c0.fpath <> c0.path THEN 'byte-identical duplicate of ' || fname END AS r3 FROM b LEFT JOIN c0 ON c0.path = b.path),
+d0 AS (SELECT path, first_value(name) OVER w AS wname, first_value(path) OVER w AS wpath, first_value(bytes) OVER w AS wbytes FROM c
+       WHERE r1 IS NULL AND r2 IS NULL AND r3 IS NULL AND kind <> 'UNRECOGNISED' WINDOW w AS (PARTITION BY kind, sheet, CASE WHEN comb THEN '' ELSE tag END ORDER BY modified DESC, path DESC)),
+d AS (SELECT c.*, CASE WHEN d0.wpath <> d0.path THEN CASE WHEN kind = 'uniware_inventory' THEN 'point-in-time snapshot — summing two would double-count stock' ELSE 'overlapping window — summing two would double-count sales' END
+        || '; superseded by ' || wname || CASE WHEN bytes > wbytes * 1.2 THEN '  ** WARNING: the superseded file is larger (' || format('{:,}', bytes) || ' vs ' || format('{:,}', wbytes) || ' bytes) — the newer pull may cover a shorter window **' ELSE '' END END AS r4
+      FROM c LEFT JOIN d0 ON d0.path = c.path)
+SELECT path, name AS file, kind, coalesce(r1, r2, r3, r4) AS reason FROM d""", "")
+_q("content_profile", """
+WITH f AS (SELECT doc_id, list_sort(string_split(text, chr(10))) AS l FROM documents),
+g AS (SELECT l, count(*) AS copies, sum(len(l)) AS rows FROM f GROUP BY l)
+SELECT copies, true AS utf8, count(*) AS contents, sum(rows)::BIGINT AS rows FROM g GROUP BY 1""", "")
+_q("find_header_row", """
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents)
+SELECT doc_id::VARCHAR AS source_file, min(i) FILTER (WHERE i < 25 AND contains(lower(line), 'tion')::INT + contains(lower(line), 'er')::INT + contains(lower(line), 'ou')::INT >= 2) AS header_row
+FROM l GROUP BY 1""", "")
+_q("classify_source", """
+WITH f AS (SELECT o_orderkey AS k, o_orderkey % 10 AS h, o_orderkey % 4 AS n, o_orderkey % 3 = 0 AS banner FROM orders),
+g AS (SELECT *, CASE WHEN h = 0 THEN 'amazon_vc_sales' WHEN h = 1 THEN 'amazon_vc_inventory' WHEN banner THEN NULL WHEN h = 2 THEN 'uniware_tally_gst' WHEN h = 3 THEN 'uniware_returns'
+        WHEN h IN (4, 5) THEN 'uniware_purchase_orders' WHEN h = 6 THEN 'uniware_inventory' WHEN h = 7 THEN 'uniware_item_master' END AS by_head FROM f)
+SELECT k::VARCHAR AS path, coalesce(by_head, CASE n WHEN 0 THEN 'store_blocks' WHEN 1 THEN 'store_matrix_soh' ELSE 'UNRECOGNISED' END) AS kind,
+       CASE WHEN by_head IS NULL THEN CASE n WHEN 0 THEN 'jack_jill_sale' WHEN 1 THEN 'jack_jill_soh' END END AS profile_id,
+       CASE WHEN by_head IS NOT NULL AND banner THEN 1 WHEN by_head IS NULL AND n = 1 THEN 1 ELSE 0 END AS header_row FROM g""", "")
+_q("match_store_profile", """
+WITH s AS (
+  SELECT l_orderkey % 3 AS b, CASE l_orderkey % 3 WHEN 0 THEN 'All Sports ' WHEN 1 THEN 'INCS ' ELSE 'Other ' END || l_orderkey || '.xlsx' AS source_file,
+         CASE WHEN l_orderkey % 2 = 0 THEN 'Sale Report' ELSE 'Soh' END AS sheet, bool_or(l_linenumber = 3) AS has3, bool_or(l_linenumber = 4) AS has4
+  FROM lineitem GROUP BY 1, 2, 3),
+h AS (SELECT *, CASE WHEN b = 0 AND sheet = 'Sale Report' AND has3 THEN 3 WHEN b = 0 AND sheet = 'Soh' AND has4 THEN 4 WHEN b = 1 AND has3 THEN 3 END AS header_row FROM s)
+SELECT source_file, sheet, CASE WHEN header_row IS NULL THEN 'UNRECOGNISED' WHEN b = 0 AND sheet = 'Soh' THEN 'store_flat_soh' ELSE 'store_flat' END AS kind,
+       CASE WHEN header_row IS NULL THEN NULL WHEN b = 1 THEN 'incs' WHEN sheet = 'Soh' THEN 'all_sports_soh' ELSE 'all_sports_sale' END AS profile_id, header_row::BIGINT AS header_row FROM h""", "")
+_q("detect_master", """
+SELECT max(f) AS source_file FROM (SELECT 'book ' || lpad(l_orderkey::VARCHAR, 10, '0') AS f FROM lineitem GROUP BY l_orderkey HAVING bool_or(l_linenumber = 2) AND bool_or(l_linenumber = 3 AND l_returnflag = 'R'))""", "")
+_q("discover_po_files", """
+WITH f AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Purchase Orders_18082026.csv' WHEN 1 THEN 'Purchase_Orders_history.csv' WHEN 2 THEN 'purchase-order.csv' WHEN 3 THEN 'PO master.xlsx' ELSE 'sales.csv' END AS name FROM orders)
+SELECT o_orderkey, name, CASE WHEN o_orderkey % 5 IN (0, 2) THEN 'name' ELSE 'columns' END AS found_by FROM f
+WHERE o_orderkey % 5 IN (0, 2) OR (o_orderkey % 5 IN (3, 4) AND o_orderkey % 2 = 0)""", "")
+_q("input_freshness", """
+WITH s AS (SELECT event_type AS folder, count(*) AS files, max(ts + CASE WHEN event_type = 'view' THEN INTERVAL 5 DAY ELSE INTERVAL 0 DAY END) AS newest FROM events GROUP BY 1),
+e(folder) AS (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('stores')),
+g AS (SELECT e.folder, coalesce(files, 0) AS files, newest, floor(date_sub('hour', newest, TIMESTAMP '2024-02-10') / 24)::BIGINT AS age_days FROM e LEFT JOIN s ON s.folder = e.folder)
+SELECT folder, files, newest, age_days, CASE WHEN newest IS NULL THEN 'EMPTY' WHEN age_days > 10 THEN 'STALE' ELSE 'OK' END AS state FROM g""", "")
+_q("input_fingerprint", """
+WITH l AS (SELECT sha256(event_type || '/' || props || '|' || event_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || user_id) AS h FROM events),
+s AS (SELECT count(*) AS files, sum(('0x' || substr(h, 1, 15))::BIGINT)::VARCHAR AS a, sum(('0x' || substr(h, 16, 15))::BIGINT)::VARCHAR AS b, sum(('0x' || substr(h, 31, 15))::BIGINT)::VARCHAR AS c FROM l)
+SELECT files, substr(sha256(files || '|' || a || '|' || b || '|' || c || '|rules-1'), 1, 16) AS fingerprint FROM s""", "")
+_q("retired_files", """
+SELECT o_orderkey AS file_id, 'f' || o_custkey AS name FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 100 <> 0""", "")
+_q("source_presence", """
+WITH n AS (SELECT event_type, event_type || '_Report ' || event_id || '.csv' AS name FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1)
+SELECT 'Click Report' AS source, (SELECT name FROM n WHERE event_type = 'click') AS file, 'present' AS state, 'PASS' AS result
+UNION ALL SELECT 'error-report', (SELECT name FROM n WHERE event_type = 'error'), 'not readable', 'FAIL'
+UNION ALL SELECT 'Refund Report', NULL, 'source file not found', 'FAIL'""", "")
+_q("profile_table", """
+SELECT event_type AS value, count(*) AS count, (SELECT count(*) FROM events) AS rows, 6 AS columns FROM events GROUP BY 1""", "")
+_q("combine_same_schema", "SELECT l_returnflag, count(*) AS rows, sum(l_quantity) AS qty FROM lineitem GROUP BY 1", "")
+_q("item_master", """
+SELECT upper(p_brand) || '-' || p_size AS master_sku, arg_min(p_type, p_partkey) AS category, arg_min(p_name, p_partkey) AS gender, arg_min(p_retailprice, p_partkey) AS mrp,
+       (any_value(p_size) + 1990)::DOUBLE AS product_year FROM part GROUP BY 1""", "")
+
+# --------------------------------------------------------------- adapters
+
+_q("adapt_tally_gst", f"""
+SELECT l_returnflag AS ledger, 'day' AS grain, 'sku_code' AS external_id_type, sum(l_quantity) AS units, {_money('l_extendedprice')} AS gross, {_money('l_extendedprice * 0.5::DOUBLE')} AS net,
+       min(l_shipdate) AS first_day, max(l_shipdate) AS last_day, count(DISTINCT l_partkey) AS ids FROM lineitem GROUP BY 1""", "")
+_q("adapt_tally_returns", f"SELECT l_returnflag AS ledger, sum(l_quantity) AS units, {_money('l_extendedprice')} AS value, max(l_shipdate) AS last_day FROM lineitem GROUP BY 1", "")
+_q("adapt_amazon_sales", f"""
+SELECT 'Amazon Vendor Central' AS channel, 'Amazon FC (IN)' AS location, 'sell_out' AS flow, 'period' AS grain, TIMESTAMP '2001-06-01' AS period_start, TIMESTAMP '2001-06-30' AS period_end,
+       sum(l_quantity) AS ordered, sum(l_quantity - 1) AS shipped, (count(*) FILTER (WHERE l_returnflag = 'R'))::DOUBLE AS returned, {_money('l_extendedprice')} AS gross, 0.0::DOUBLE AS net FROM lineitem""", "")
+_q("adapt_amazon_inventory", f"SELECT 'B' || l_partkey AS external_id, TIMESTAMP '2001-07-31' AS snapshot_date, sum(l_quantity) AS units, {_money('l_extendedprice')} AS value FROM lineitem GROUP BY 1", "")
+_q("adapt_warehouse", f"""
+SELECT 'Warehouse' AS channel, 'WH' || (l_suppkey % 5) AS location, TIMESTAMP '2001-07-31 09:30:00' AS snapshot_date, sum(l_quantity) AS units, {_money('l_quantity * 1050.5::DOUBLE')} AS value FROM lineitem GROUP BY 2""", "")
+_q("adapt_purchase_orders", f"""
+SELECT 'V' || l_suppkey AS vendor, CASE WHEN l_linestatus = 'F' THEN 'COMPLETE' ELSE 'APPROVED' END AS po_status, sum(l_quantity) AS ordered, sum(l_quantity - 1) AS received,
+       count(*)::DOUBLE AS pending, 0::BIGINT AS rejected_rows, {_money('l_extendedprice')} AS value, min(l_shipdate) AS first_po FROM lineitem GROUP BY 1, 2""", "")
+_q("adapt_store_flat", f"""
+SELECT 'All Sports' AS channel, 'All Sports' AS location, 'day' AS grain, l_shipdate AS period_start, sum(l_quantity) AS units, {_money('l_extendedprice')} AS gross, {_money('l_extendedprice * 0.5::DOUBLE')} AS net
+FROM lineitem WHERE l_orderkey % 11 <> 0 GROUP BY l_shipdate""", "")
+_q("adapt_store_month", f"""
+WITH t AS (SELECT *, make_timestamp(CASE WHEN month(l_shipdate) <= 5 THEN 2001 ELSE 2000 END, month(l_shipdate), 1, 0, 0, 0) AS a FROM lineitem)
+SELECT 'Shop ' || (l_suppkey % 3) AS location, a AS period_start, a + INTERVAL 1 MONTH - INTERVAL 1 DAY AS period_end, sum(l_quantity) AS units, {_money('l_extendedprice')} AS net,
+       count(DISTINCT l_partkey // 8) AS styles FROM t GROUP BY 1, 2, 3""", "")
+_q("store_matrix_unpivot", "SELECT l_partkey AS external_id, 'Store ' || (l_suppkey % 5) AS location, sum(l_quantity) AS qty_on_hand FROM lineitem WHERE l_quantity > 45 GROUP BY 1, 2", "")
+_q("adapt_store_matrix", "SELECT 'S' || l_partkey AS external_id, 'Store ' || (l_suppkey % 5) AS location, sum(l_quantity) AS qty_on_hand, TIMESTAMP '2001-07-31' AS snapshot_date FROM lineitem WHERE l_quantity > 45 GROUP BY 1, 2", "")
+_BLOCKS = """WITH b AS (SELECT 'S' || l_partkey AS external_id, CASE l_suppkey % 3 WHEN 0 THEN 'KOHIMA' WHEN 1 THEN '5TH MILE' ELSE 'DIMAPUR' END AS location, sum(l_quantity) AS qty_sold
+  FROM lineitem WHERE l_quantity > 40 AND l_partkey % 50 <> 0 GROUP BY 1, 2)"""
+_q("store_blocks_unpivot", "SELECT 'f' AS source_file, external_id, location, qty_sold FROM b", _BLOCKS)
+_q("adapt_store_blocks", """
+SELECT 'Jack & Jill' AS channel, location, TIMESTAMP '2001-07-25' AS period_start, TIMESTAMP '2001-07-31' AS period_end, sum(qty_sold) AS units, count(*) AS rows FROM b GROUP BY 2""", _BLOCKS)
+_q("tolerant_columns", f"SELECT count(*) AS rows, {_money('s_acctbal')} AS value FROM supplier", "")
+
+# --------------------------------------------------------- sinks and runs
+
+_q("latest_runs", """
+SELECT run_id, rows, qty FROM (SELECT strftime(l_shipdate, '%Y-%m') AS run_id, count(*) AS rows, sum(l_quantity) AS qty, dense_rank() OVER (ORDER BY strftime(l_shipdate, '%Y-%m') DESC) AS r FROM lineitem GROUP BY 1) WHERE r <= 12""", "")
+_q("prunable_runs", """
+SELECT run_id FROM (SELECT strftime(l_shipdate, '%Y-%m') AS run_id, dense_rank() OVER (ORDER BY strftime(l_shipdate, '%Y-%m') DESC) AS r FROM lineitem GROUP BY 1) WHERE r > 12""", "")
+
+
+def _top(table: str, key: str, n: int | None, sql: str) -> str:
+    num = "row_number() OVER (ORDER BY units DESC, k)" if n else "NULL::INT"
+    cut = f"WHERE position <= {n}" if n else ""
+    return (f"SELECT '{table}' AS \"table\", position, '{{\"{key}\":\"' || k || '\",\"units\":' || units || '}}' AS json "
+            f"FROM (SELECT k, units, {num} AS position FROM ({sql})) {cut}")
+
+
+_q("dashboard_payload", " UNION ALL ".join([
+    _top("channel", "channel", None, "SELECT channel AS k, coalesce(sum(qty) FILTER (WHERE flow = 'sell_in'), 0)::BIGINT AS units FROM mapped GROUP BY 1"),
+    _top("sku", "master_sku", 40, "SELECT sku AS k, coalesce(sum(qty) FILTER (WHERE flow = 'sell_out'), 0)::BIGINT AS units FROM mapped GROUP BY 1"),
+    _top("po_vendor", "vendor", 20, "SELECT vendor AS k, sum(pending)::BIGINT AS units FROM fp WHERE vendor IS NOT NULL AND po_status = 'Approved' GROUP BY 1"),
+    _top("po_sku", "master_sku", 25, "SELECT sku AS k, sum(pending)::BIGINT AS units FROM fp WHERE sku IS NOT NULL GROUP BY 1"),
+]))
+_q("rule_mismatches", "SELECT sku AS item, overall_movement AS given, movement AS computed FROM sv WHERE overall_movement IS NOT NULL AND movement IS NOT NULL AND overall_movement <> movement", _SKU_BASE)
+_SCOPE = "WHERE facility IS NULL OR upper(facility) = 'LOC1'"
+_q("tie_out_scoped", " UNION ALL ".join(
+    _check(f"Purchase orders | {name}", f"SELECT {x} FROM px {_SCOPE}", f"SELECT {y} FROM fp {_SCOPE}", tol)
+    for name, x, y, tol in (
+        ("ordered qty", _units("ordered"), _units("ordered"), 1), ("received qty", _units("received"), _units("received"), 1),
+        ("pending qty", _units("ordered - received"), _units("pending"), 1), ("total value", _money("total"), _money("total"), 1),
+        ("row count", "count(*)", "count(*)", 0), ("distinct PO codes", "count(DISTINCT po_code)", "count(DISTINCT po_code)", 0))))
+
+# ------------------------------------------------------ history, streaming
+
+_q("po_history_aliases", f"""
+SELECT 'PO' || l_orderkey AS po_code, 'S' || l_linenumber AS sku, l_quantity AS ordered, l_shipdate AS updated
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber {_NEWEST}) AS rn FROM lineitem) WHERE rn = 1""", "")
+ORACLE["po_history_stream"] = ORACLE["po_history_upsert"]
+_q("alert_lifecycle_stream", """
+SELECT n.key, CASE WHEN o.key IS NULL THEN 'NEW' ELSE 'ONGOING' END AS status, CASE WHEN o.key IS NULL THEN 'run-1' ELSE 'run-0' END AS first_seen,
+       CASE WHEN o.key IS NULL THEN 1 ELSE 2 END::BIGINT AS cycles, n.priority FROM al n LEFT JOIN al1 o ON o.key = n.key
+UNION ALL SELECT key, 'RESOLVED', 'run-0', 1, priority FROM al1 WHERE key NOT IN (SELECT key FROM al)""", _TWO_RUNS)

@@ -93,11 +93,13 @@ FACT_SCHEMAS = {"sales": S.FACT_SALES, "inventory": S.FACT_INVENTORY, "purchase"
 
 def position(source: Source, header: str = "header") -> Column:
     """0-based place of a column in a header (lower-case cells), null when absent."""
-    def place(predicate) -> Column:
-        return F.nullif(F.array_position(F.transform(header, predicate), F.lit(True)), F.lit(0).cast("long"))
+    def place(name: str, exact: bool) -> Column:
+        want = name.strip().lower()
+        hits = F.transform(header, lambda h: (F.trim(h) == want) if exact else h.contains(want))
+        return F.nullif(F.array_position(hits, F.lit(True)), F.lit(0).cast("long"))
 
-    exact = [place(lambda h, n=n: F.trim(h) == n.strip().lower()) for n in source.headers]
-    part = [place(lambda h, n=n: h.contains(n.strip().lower())) for n in source.headers] if source.part_of_name else []
+    exact = [place(n, True) for n in source.headers]
+    part = [place(n, False) for n in source.headers] if source.part_of_name else []
     return (F.coalesce(*exact, *part) - 1).cast("int")
 
 

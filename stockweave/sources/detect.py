@@ -56,7 +56,11 @@ def probe_hits(cells: str | Column, probes) -> Column:
     """How many probe words occur inside some cell."""
     cells = F.col(cells) if isinstance(cells, str) else cells
     low = F.transform(cells, lambda c: F.lower(F.trim(F.replace(F.coalesce(c, F.lit("")), F.lit("\u00a0"), F.lit(" ")))))
-    return sum((F.exists(low, lambda c, p=p: c.contains(p)).cast("int") for p in probes), F.lit(0))
+
+    def hit(probe: str) -> Column:
+        return F.exists(low, lambda c: c.contains(probe)).cast("int")
+
+    return sum((hit(p) for p in probes), F.lit(0))
 
 
 def find_header_row(head: DataFrame, probes, keys=("source_file", "sheet"), within: int = HEAD_ROWS) -> DataFrame:
