@@ -97,7 +97,8 @@ def build_lookup(
     rows = master
     if attributes is not None:
         keyed = attributes.select(F.col("master_sku").alias("_sku"), *attribute_names)
-        rows = rows.join(keyed, clean("Sku Code") == F.col("_sku"), "left").drop("_sku")
+        # The key is a column of its own: a join condition must not normalise text itself.
+        rows = rows.withColumn("_own", clean("Sku Code")).join(keyed, F.col("_own") == F.col("_sku"), "left").drop("_own", "_sku")
     long = _exploded_ids(rows, id_columns, row_order, clean, attribute_names)
     kinds = [t for c, t in id_columns.items() if c in master.columns and t != "style_code"]
     hit = F.struct("master_sku", "style_code", *attribute_names)

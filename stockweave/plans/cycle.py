@@ -16,7 +16,7 @@ from stockweave.sinks import publish as W
 from stockweave.sources.tables import load_facts
 
 
-def report_set(sales: DataFrame, inventory: DataFrame, purchases: DataFrame, exceptions: DataFrame, facility=None) -> dict[str, DataFrame]:
+def report_set(sales: DataFrame, inventory: DataFrame, purchases: DataFrame, facility=None) -> dict[str, DataFrame]:
     return {
         "summary": P.summary(sales, inventory, purchases, facility=facility),
         "channel": P.channel(sales),
@@ -27,8 +27,8 @@ def report_set(sales: DataFrame, inventory: DataFrame, purchases: DataFrame, exc
         "inbound_by_sku": P.po_sku(purchases, inventory, sales),
         "open_po_lines": P.open_po_lines(purchases),
         "returns": P.returns(sales),
-        "exceptions": exceptions,
-        "load_audit": P.load_audit(sales, "qty_sold", "net_value"),
+        "exceptions": P.fact_exceptions(sales, inventory, purchases),
+        "load_audit": P.load_audit(P.reported_value(sales), "qty_sold", "net_value"),
         "period_coverage": P.period_coverage(sales),
         "snapshot_coverage": P.snapshot_coverage(inventory),
         "value_basis": P.value_basis(sales),
@@ -36,7 +36,7 @@ def report_set(sales: DataFrame, inventory: DataFrame, purchases: DataFrame, exc
 
 
 def run_cycle(
-    spark: SparkSession, facts: tuple[DataFrame, DataFrame, DataFrame], exceptions: DataFrame, items: DataFrame,
+    spark: SparkSession, facts: tuple[DataFrame, DataFrame, DataFrame], items: DataFrame,
     notes: tuple[DataFrame, DataFrame], out: str, run_id: str, asof: dt.date,
     previous_state: DataFrame | None = None, rules: dict = S.DEFAULT_RULES,
     period_days: int = S.PERIOD_DAYS, recent_days: int = S.RECENT_DAYS,
@@ -48,7 +48,7 @@ def run_cycle(
     """
     W.write_facts(f"{out}/facts", *facts)
     sales, inventory, purchases = load_facts(spark, f"{out}/facts")
-    W.write_reports(f"{out}/reports", report_set(sales, inventory, purchases, exceptions))
+    W.write_reports(f"{out}/reports", report_set(sales, inventory, purchases))
 
     by_sku, by_style = notes
     sku_path = f"{out}/work/{run_id}/svs_sku"

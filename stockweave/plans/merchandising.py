@@ -12,8 +12,6 @@ from stockweave.functions.dates import overlaps, period_label, season_date, wind
 from stockweave.functions.numbers import EXACT, unit_sum
 from stockweave.operators.overrides import apply_overrides
 
-_NONE = F.lit(None)
-
 INVENTORY_NAMES = tuple(S.INVENTORY_COLUMNS)
 SUMMED = (
     "Total Inventory", "all sports inv", "J&J Inv", "OR inv", "INCS inv", "d8 inv + rtv", "D8 inv", "CB rtv",
@@ -307,5 +305,5 @@ def lay_out(df: DataFrame, layout, start: dt.date, asof: dt.date) -> DataFrame:
     have = set(df.columns)
     pairs = [(entry, entry) if isinstance(entry, str) else entry for entry in layout]
     return df.select([
-        (q(key) if key in have else _NONE.cast("string")).alias(header.replace("{P}", label)) for header, key in pairs
+        (q(key) if key in have else F.lit(None).cast("string")).alias(header.replace("{P}", label)) for header, key in pairs
     ])

@@ -7,15 +7,17 @@ money are exact, so results do not depend on task order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stockweave import schemas as S
 from stockweave.functions.numbers import (
     money_if, money_sum, percent, ratio, round_half_even, sum_if, unit_sum,
 )
 from stockweave.operators.facts import mapped
+from stockweave.operators.resolve import unresolved
 
-ROWS = F.count(F.lit(1))
+def rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def channel(sales: DataFrame) -> DataFrame:
@@ -29,16 +31,16 @@ def channel(sales: DataFrame) -> DataFrame:
 
 def store(sales: DataFrame, inventory: DataFrame) -> DataFrame:
     """Stores by flow. A flow a store never had stays null; a flow nobody had is 0."""
-    rows = mapped(sales).filter(F.col("channel_type") == S.STORE_TYPE)
+    stores = mapped(sales).filter(F.col("channel_type") == S.STORE_TYPE)
     flows = ("sell_in", "sell_out")
-    sums = rows.groupBy("channel", "location").agg(
+    sums = stores.groupBy("channel", "location").agg(
         *[F.sum(F.when(F.col("flow") == f, F.coalesce("qty_sold", F.lit(0.0)))).alias(f"qty_sold_{f}") for f in flows],
         *[
             F.sum(F.when(F.col("flow") == f, F.coalesce("net_value", F.lit(0.0))).cast("decimal(18,4)"))
             .cast("double").alias(f"net_value_{f}") for f in flows
         ],
     )
-    seen = rows.agg(*[F.coalesce(F.bool_or(F.col("flow") == f), F.lit(False)).alias(f"_{f}") for f in flows])
+    seen = stores.agg(*[F.coalesce(F.bool_or(F.col("flow") == f), F.lit(False)).alias(f"_{f}") for f in flows])
     stock = (
         inventory.filter((F.col("channel_type") == S.STORE_TYPE) & F.col("channel").isNotNull() & F.col("location").isNotNull())
         .groupBy("channel", "location").agg(unit_sum("qty_on_hand").alias("closing_stock"))
@@ -101,7 +103,7 @@ def open_po_lines(purchases: DataFrame) -> DataFrame:
 
 def po_vendor(purchases: DataFrame) -> DataFrame:
     out = purchases.groupBy("vendor", "po_status").agg(
-        F.countDistinct("po_code").alias("pos"), ROWS.alias("lines"),
+        F.countDistinct("po_code").alias("pos"), rows().alias("lines"),
         unit_sum("qty_ordered").alias("ordered"), unit_sum("qty_received").alias("received"),
         unit_sum("qty_pending").alias("pending"), unit_sum("qty_rejected").alias("rejected"),
         money_sum("total").alias("value"),
@@ -121,13 +123,13 @@ def po_sku(purchases: DataFrame, inventory: DataFrame, sales: DataFrame) -> Data
             *[F.col(n) if n in have else double.alias(n) for n in names],
         )
 
-    rows = (
+    stacked = (
         part(purchases, "qty_pending", "qty_ordered", "qty_received", "total")
         .unionByName(part(inventory, "qty_on_hand"))
         .unionByName(part(sales.filter("flow = 'sell_out'"), "qty_sold"))
     )
     return (
-        rows.groupBy("master_sku").agg(
+        stacked.groupBy("master_sku").agg(
             F.max("style_code").alias("style_code"), F.max("_po").alias("_po"),
             unit_sum("qty_pending").alias("on_order"), unit_sum("qty_on_hand").alias("stock_on_hand"),
             unit_sum("qty_sold").alias("sell_out_units"), unit_sum("qty_ordered").alias("ordered_total"),
@@ -148,13 +150,13 @@ def inventory_position(inventory: DataFrame) -> DataFrame:
 def period_coverage(sales: DataFrame) -> DataFrame:
     return sales.groupBy("source_file", "channel").agg(
         F.min("grain").alias("grain"), F.min("flow").alias("flow"),
-        F.min("period_start").alias("period_start"), F.max("period_end").alias("period_end"), ROWS.alias("rows"),
+        F.min("period_start").alias("period_start"), F.max("period_end").alias("period_end"), rows().alias("rows"),
     )
 
 
 def snapshot_coverage(inventory: DataFrame) -> DataFrame:
     return inventory.groupBy("source_file", "channel").agg(
-        F.max("snapshot_date").alias("snapshot_date"), ROWS.alias("rows")
+        F.max("snapshot_date").alias("snapshot_date"), rows().alias("rows")
     )
 
 
@@ -166,7 +168,7 @@ def returns(sales: DataFrame) -> DataFrame:
 
 
 def value_basis(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("value_basis").agg(ROWS.alias("rows"), money_sum("net_value").alias("value"))
+    return sales.groupBy("value_basis").agg(rows().alias("rows"), money_sum("net_value").alias("value"))
 
 
 def unknown_ledgers(sales: DataFrame) -> DataFrame:
@@ -180,9 +182,25 @@ def exceptions(unresolved_rows: DataFrame) -> DataFrame:
     ).orderBy(F.desc_nulls_last("value"))
 
 
-def load_audit(rows: DataFrame, qty: str, value: str, drops: DataFrame | None = None) -> DataFrame:
-    out = rows.groupBy("source_file").agg(
-        ROWS.alias("rows"), F.count("matched_via").alias("matched"),
+def reported_value(sales: DataFrame) -> DataFrame:
+    """Facts with net_value as the source sent it: filled-in values were null or 0."""
+    as_sent = F.when(F.col("value_basis") == "as_reported", F.col("net_value"))
+    return sales.withColumn("net_value", as_sent)
+
+
+def fact_exceptions(sales: DataFrame, inventory: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Exceptions of all three facts, straight from the written tables."""
+    tied = reported_value(sales).filter("external_id_type is not null")
+    parts = (
+        unresolved(tied, "qty_sold", "net_value"), unresolved(inventory, "qty_on_hand", "value_on_hand"),
+        unresolved(purchases, "qty_ordered", "total"),
+    )
+    return exceptions(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def load_audit(resolved: DataFrame, qty: str, value: str, drops: DataFrame | None = None) -> DataFrame:
+    out = resolved.groupBy("source_file").agg(
+        rows().alias("rows"), F.count("matched_via").alias("matched"),
         unit_sum(qty).alias("qty"), money_sum(value).alias("value"),
     ).withColumn("unmatched", F.col("rows") - F.col("matched")).withColumn("match_pct", percent("matched", "rows"))
     if drops is None:
@@ -194,7 +212,7 @@ def load_audit(rows: DataFrame, qty: str, value: str, drops: DataFrame | None =
 def po_coverage(purchases: DataFrame) -> DataFrame:
     """How much of the purchase ledger reaches a SKU."""
     return purchases.agg(
-        ROWS.alias("lines"), F.count("master_sku").alias("matched"),
+        rows().alias("lines"), F.count("master_sku").alias("matched"),
         F.countDistinct("master_sku").alias("skus"),
         F.countDistinct(F.when(F.col("master_sku").isNull(), F.col("external_id"))).alias("unknown_ids"),
     ).withColumn("dropped", F.col("lines") - F.col("matched"))

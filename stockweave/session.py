@@ -51,13 +51,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, purpose: str = "stage"):
+def cut_lineage(df, purpose: str = "stage", by: tuple = ()):
     """Write a frame to the shared folder and read it back.
 
     Used where one result feeds many reports: the readers scan columnar files
     instead of replaying the joins, and a lost executor costs a re-read only.
+    ``by`` splits the files, for readers that want one part.
     """
     spark = df.sparkSession
     path = work_dir(spark, purpose)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -185,7 +185,7 @@ def dedupe_files(files: DataFrame, facility: str | None = None) -> tuple[DataFra
     f = files if "profile_id" in files.columns else files.withColumn("profile_id", F.lit(""))
     tag, combined = facility_tag("name"), F.upper("name").contains("__COMBINED")
     f = f.withColumns({
-        "sheet": F.coalesce("sheet", F.lit("")), "profile_id": F.coalesce("profile_id", F.lit("")),
+        "sheet": F.coalesce("sheet", F.lit("")), "_profile": F.coalesce("profile_id", F.lit("")),
         "_tag": tag, "_combined": combined, "_seq": F.struct("path", "sheet"),
     })
     want = (facility or "").upper()
@@ -210,7 +210,7 @@ def dedupe_files(files: DataFrame, facility: str | None = None) -> tuple[DataFra
 
     # One file per kind, sheet, facility and profile.
     f = f.withColumn("_group", F.when(F.col("_combined"), "").otherwise(F.col("_tag")))
-    keys = ["kind", "sheet", "_group", "profile_id"]
+    keys = ["kind", "sheet", "_group", "_profile"]
     newest = (
         f.filter(live + " and r_copy is null").filter(~F.col("kind").isin("UNRECOGNISED", "UNREADABLE")).groupBy(*keys)
         .agg(F.max(F.struct("modified", "_seq", "name", "bytes")).alias("_win"))

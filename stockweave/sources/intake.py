@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockweave import schemas as S
 from stockweave.operators import facts as O
-from stockweave.operators.resolve import unresolved
 from stockweave.plans import facts as FP
-from stockweave.plans.reports import exceptions
+from stockweave.plans.reports import fact_exceptions
 from stockweave.session import cut_lineage
 from stockweave.sources import adapters as A
 from stockweave.sources import detect as D
@@ -35,11 +34,12 @@ class Intake:
 def detect_csv(spark: SparkSession, root: str, profiles=D.STORE_PROFILES) -> tuple[DataFrame, DataFrame]:
     """(file table, decoded lines). The file table is written once: it steers every later read."""
     files = C.scan_inputs(spark, root).filter("suffix = 'csv'")
-    lines = C.read_lines(spark, root)
+    # The place of a line depends on how one scan was split; storing it makes it hold for every later read.
+    lines = cut_lineage(C.read_lines(spark, root), "lines")
     profile = C.content_profile(lines)
     text = C.decode_lines(lines, profile)
     head = C.head_rows(text)
-    kinds = D.classify_source(files.join(C.csv_headers(head), "path", "left"), profiles)
+    kinds = D.classify_source(files.join(D.csv_headers(head), "path", "left"), profiles)
     blocks = F.col("kind") == "store_blocks"
     wanted = kinds.withColumn("_line", F.when(blocks, 1).otherwise(F.col("header_row"))).select("path", "_line")
     place = (
@@ -92,26 +92,32 @@ def load_folder(
     found = [csv_files]
     # Distinct kinds and the widest header: a handful of values, whatever the data size.
     width = csv_files.agg(F.coalesce(F.max(F.size("header")), F.lit(1))).first()[0]
-    sources: list[tuple[DataFrame, DataFrame]] = [(kept, C.body_cells(lines, kept.select("path", "header_block", "header_seq"), max(width, 1)))]
+    staged = C.body_cells(lines, kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_block", "header_seq"), max(width, 1))
+    sources: list[tuple[DataFrame, DataFrame]] = [(kept, staged)]
     if raw_cells is not None:
         sheet_files, sheet_rows = detect_sheets(raw_cells, profiles)
         stamped = sheet_files.withColumns({"modified": F.current_timestamp(), "bytes": F.col("rows")})
         sheet_kept, sheet_lost = D.dedupe_files(stamped, facility)
-        below = sheet_rows.join(sheet_kept.select("path", "header_row"), "path").filter("seq > header_row").drop("header_row")
+        below = sheet_rows.join(
+            sheet_kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_row"), "path"
+        ).filter("seq > header_row").drop("header_row")
         sources.append((sheet_kept, below))
         lost = lost.unionByName(sheet_lost)
         found.append(sheet_files)
 
     parts: dict[str, list[DataFrame]] = {"sales": [], "inventory": [], "purchase": []}
-    for files, rows in sources:
+    for files, below in sources:
         files = cut_lineage(files, "kept")
+        # Rows are written once, split by kind, so an adapter reads its own files only.
+        rows = cut_lineage(below, "rows", by=("kind", "profile"))
         for kind, profile_id in [tuple(r) for r in files.select("kind", "profile_id").distinct().collect()]:
             mine = files.filter((F.col("kind") == kind) & F.col("profile_id").eqNullSafe(F.lit(profile_id)))
+            own = rows.filter((F.col("kind") == kind) & (F.col("profile") == (profile_id or "-"))).drop("kind", "profile")
             profile = next((p for p in profiles if p.profile_id == profile_id), None)
             if profile is not None:
-                fact, out = A.adapt_profile(profile, rows, mine)
+                fact, out = A.adapt_profile(profile, own, mine)
             elif kind in A.ADAPTERS:
-                fact, out = A.ADAPTERS[kind].fact, A.adapt(kind, rows, mine)
+                fact, out = A.ADAPTERS[kind].fact, A.adapt(kind, own, mine)
             else:
                 continue
             parts[fact].append(O.map_ledger(out, channel_map) if "ledger" in out.columns else out)
@@ -134,17 +140,11 @@ def load_folder(
         raw = O.union_all(parts[fact], schema)
         return FP.resolved_extract(raw, lookup)
 
-    raw_sales = stacked("sales")
-    missing = [
-        unresolved(raw_sales.filter("external_id_type is not null"), "qty_sold", "net_value"),
-        unresolved(stacked("inventory"), "qty_on_hand", "value_on_hand"),
-        unresolved(stacked("purchase"), "qty_ordered", "total"),
-    ]
+    sales = O.conform(O.value_basis(stacked("sales")), S.FACT_SALES)
+    inventory = O.conform(stacked("inventory"), S.FACT_INVENTORY)
+    purchases = O.conform(stacked("purchase"), S.FACT_PURCHASE)
     all_files = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.select("name", "sheet", "kind", "note") for f in found])
     return Intake(
-        sales=O.conform(O.value_basis(raw_sales), S.FACT_SALES),
-        inventory=O.conform(stacked("inventory"), S.FACT_INVENTORY),
-        purchases=O.conform(stacked("purchase"), S.FACT_PURCHASE),
-        exceptions=exceptions(reduce(DataFrame.unionByName, missing)),
+        sales=sales, inventory=inventory, purchases=purchases, exceptions=fact_exceptions(sales, inventory, purchases),
         superseded=lost, skipped=A.skipped_files(all_files), facility_drops=drops, files=all_files,
     )

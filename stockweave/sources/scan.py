@@ -120,7 +120,8 @@ def head_rows(lines: DataFrame, n: int = HEAD_ROWS) -> DataFrame:
 def body_cells(lines: DataFrame, files: DataFrame, columns: int) -> DataFrame:
     """Lines below the header as cell arrays.
 
-    ``files``: path, header_block, header_seq (place of the header line).
+    ``files``: path, header_block, header_seq (place of the header line); its
+    other columns are kept.
     ``columns``: width of the widest header; the CSV parser needs a bound.
     """
     below = lines.join(files, "path").filter(
@@ -129,8 +130,9 @@ def body_cells(lines: DataFrame, files: DataFrame, columns: int) -> DataFrame:
     )
     schema = ", ".join(f"c{i} string" for i in range(columns))
     parsed = F.from_csv("value", F.lit(schema), {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    steer = [c for c in files.columns if c not in ("path", "header_block", "header_seq")]
     return below.withColumn("_row", parsed).select(
-        "path", "block", "seq", F.array(*[F.col(f"_row.c{i}") for i in range(columns)]).alias("cells")
+        "path", "block", "seq", *steer, F.array(*[F.col(f"_row.c{i}") for i in range(columns)]).alias("cells")
     )
 
 

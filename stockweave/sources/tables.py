@@ -38,7 +38,7 @@ def newest_matching(files: DataFrame, pattern: str) -> DataFrame:
 def load_facts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Published facts with their fixed schemas; nothing is inferred."""
     names = (("fact_sales", S.FACT_SALES), ("fact_inventory", S.FACT_INVENTORY), ("fact_purchase", S.FACT_PURCHASE))
-    return tuple(spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in names)
+    return tuple(spark.read.schema(schema).parquet(f"{root}/{name}").select(schema.names) for name, schema in names)
 
 
 PO_KEYS = ("PO Code", "Item SkuCode")
