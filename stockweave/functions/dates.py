@@ -3,41 +3,45 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stockweave import schemas as S
 from stockweave.functions.numbers import as_col
-
-_ISO = "^\\d{4}-\\d{2}-\\d{2}([T ]\\d{2}:\\d{2}(:\\d{2}(\\.\\d+)?)?([Zz]|[+-]\\d{2}:?\\d{2})?)?$"
-_DAY_FIRST = "^(\\d{1,2})[-/.](\\d{1,2})[-/.](\\d{4})(?:[ T](\\d{1,2}:\\d{2}(?::\\d{2})?))?$"
-
+from stockweave.session import cut_lineage
 
 def _clean(c: str | Column) -> Column:
     return F.trim(as_col(c).cast("string"))
 
 
 def iso_when(c: str | Column) -> Column:
+    """yyyy-mm-dd with an optional time; shorter or looser spellings do not count."""
     text = _clean(c)
-    return F.when(text.rlike(_ISO), text).try_cast("timestamp_ntz")
+    shaped = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-") & (F.length(text) >= 10)
+    return F.when(shaped, text).try_cast("timestamp_ntz")
 
 
 def day_first_when(c: str | Column) -> Column:
     """dd-mm-yyyy with -, / or . and an optional time.
 
-    A middle part above 12 can only be the day, so such a value is read as
-    month first, the way lenient day-first parsers do.
+    Where the middle part cannot be a month the value is read month first, the
+    way lenient day-first parsers do. The number of colons picks the one format
+    that can fit, so a clean value is parsed exactly once.
     """
-    text = _clean(c)
-    first, second, year = (F.regexp_extract(text, _DAY_FIRST, i) for i in (1, 2, 3))
-    clock = F.regexp_extract(text, _DAY_FIRST, 4)
-    swapped = second.try_cast("int") > 12
-    month, day = F.when(swapped, first).otherwise(second), F.when(swapped, second).otherwise(first)
-    stamp = F.concat(
-        year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"),
-        F.when(clock != "", F.concat(F.lit(" "), F.regexp_replace(clock, "^(\\d:)", "0$1"))).otherwise(""),
-    )
-    return F.when(text.rlike(_DAY_FIRST), stamp).try_cast("timestamp_ntz")
+    text = F.translate(_clean(c), "/.T", "-- ")
+    colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
+
+    def read(order: str) -> Column:
+        return (
+            F.when(colons == 0, F.try_to_timestamp(text, F.lit(f"{order}-yyyy")))
+            .when(colons == 1, F.try_to_timestamp(text, F.lit(f"{order}-yyyy H:mm")))
+            .otherwise(F.try_to_timestamp(text, F.lit(f"{order}-yyyy H:mm:ss")))
+        )
+
+    # A dash in third or second place; anything else is not this kind of date.
+    shaped = F.instr(F.substring(text, 2, 2), "-") > 0
+    return F.when(shaped, F.coalesce(read("d-M"), read("M-d"))).cast("timestamp_ntz")
 
 
 def parse_when(c: str | Column) -> Column:
@@ -51,21 +55,26 @@ def iso_share(c: str | Column) -> Column:
     return F.count(iso_when(c)) >= F.count(F.when(text != "", 1)) * F.lit(0.9)
 
 
-def parse_dates(df: DataFrame, column: str, by: str | None = None, into: str | None = None) -> DataFrame:
+def parse_dates(
+    df: DataFrame, columns: str | Sequence[str], by: str | None = None, into: str | None = None
+) -> DataFrame:
     """Column-level choice between ISO and day first, one choice per ``by`` group.
 
-    The choice is one aggregate row per group, found in a single pass.
+    The choices for all columns are one aggregate row per group, found in one pass.
     """
-    into = into or column
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    shares = [iso_share(c).alias(f"_iso{i}") for i, c in enumerate(columns)]
     if by is None:
-        choice = df.agg(iso_share(column).alias("_iso"))
-        out = df.crossJoin(F.broadcast(choice))  # one row
+        out = df.crossJoin(F.broadcast(df.agg(*shares)))  # one row
     else:
-        choice = df.groupBy(by).agg(iso_share(column).alias("_iso")).withColumnRenamed(by, "_by")
-        out = df.join(choice, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
-    # With the day-first policy a lenient parser still reads leftover ISO text.
-    both = F.coalesce(day_first_when(column), iso_when(column))
-    return out.withColumn(into, F.when(F.col("_iso"), iso_when(column)).otherwise(both)).drop("_iso")
+        # One row per group, written down: its size is known when the join is planned.
+        choice = cut_lineage(df.groupBy(F.col(by).alias("_by")).agg(*shares), "date-choice")
+        out = df.join(choice, F.col(by) == F.col("_by"), "left").drop("_by")
+    for i, c in enumerate(columns):
+        # With the day-first policy a lenient parser still reads leftover ISO text.
+        both = F.coalesce(day_first_when(c), iso_when(c))
+        out = out.withColumn(into or c, F.when(F.col(f"_iso{i}"), iso_when(c)).otherwise(both))
+    return out.drop(*[f"_iso{i}" for i in range(len(columns))])
 
 
 # A date or a pair of dates inside a file name, tried in this order.

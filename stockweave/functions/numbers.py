@@ -15,13 +15,17 @@ def num(c: str | Column) -> Column:
     """Text to double; anything that is not a number becomes null."""
     text = F.trim(as_col(c).cast("string"))
     # The JVM also accepts "12d" and "12f" as numbers; the extracts never mean that.
-    plain = F.when(~text.rlike("(?i)[dfn]$"), text)
+    plain = F.when(~F.lower(F.right(text, F.lit(1))).isin("d", "f", "n"), text)
     return plain.try_cast("double")
 
 
+# Currency signs, separators and blanks that surround amounts.
+_AROUND_MONEY = "₹$€,% \t\n\r\f\v\u00a0"
+
+
 def money(c: str | Column) -> Column:
     """Currency text such as '₹10,422.42' or '0.00%' to double."""
-    return num(F.regexp_replace(as_col(c).cast("string"), "[₹$€,%\\s\\u00A0]", ""))
+    return num(F.translate(as_col(c).cast("string"), _AROUND_MONEY, ""))
 
 
 def exact_sum(c: str | Column) -> Column:

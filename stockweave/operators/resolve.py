@@ -22,10 +22,13 @@ NO_MATCH = "identifier not present in master mapping table"
 def spread_nulls(key: str | Column, *spread: str, ways: int = 4096) -> Column:
     """A join key that scatters null keys: they can match nothing, wherever they go.
 
-    Without it all rows with a null key hash to the same task.
+    Without it all rows with a null key hash to the same task. The masked hash
+    makes the key provably non-null, so no null test is pushed below the join,
+    where it would evaluate the key expression a second time. ``ways`` is a
+    power of two.
     """
     k = F.col(key) if isinstance(key, str) else key
-    bucket = F.pmod(F.xxhash64(*spread), F.lit(ways))
+    bucket = F.xxhash64(*spread).bitwiseAND(F.lit(ways - 1))
     return F.coalesce(k, F.concat(F.lit("\u0001null-"), bucket.cast("string")))
 
 

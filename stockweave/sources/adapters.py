@@ -125,8 +125,8 @@ def adapt(kind: str, rows: DataFrame, files: DataFrame) -> DataFrame:
     """
     spec = ADAPTERS[kind]
     out = pick_cells(rows, files, spec.columns)
-    for column in spec.dates:
-        out = parse_dates(out, column, by="source_file")
+    if spec.dates:
+        out = parse_dates(out, spec.dates, by="source_file")
     out = out.withColumns({c: F.lit(v) for c, v in spec.constants.items()}).withColumn("source_type", F.lit(kind))
     if spec.period == "name":
         p = period_from_name("name")
