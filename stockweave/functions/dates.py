@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stockweave import schemas as S
-from stockweave.functions.numbers import as_col
+from stockweave.functions.numbers import as_col, bind
 from stockweave.session import cut_lineage
 
 def _clean(c: str | Column) -> Column:
@@ -17,9 +17,11 @@ def _clean(c: str | Column) -> Column:
 
 def iso_when(c: str | Column) -> Column:
     """yyyy-mm-dd with an optional time; shorter or looser spellings do not count."""
-    text = _clean(c)
-    shaped = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-") & (F.length(text) >= 10)
-    return F.when(shaped, text).try_cast("timestamp_ntz")
+    def read(text: Column) -> Column:
+        shaped = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-") & (F.length(text) >= 10)
+        return F.when(shaped, text.try_cast("timestamp_ntz"))
+
+    return bind(_clean(c), read)
 
 
 def day_first_when(c: str | Column) -> Column:
@@ -29,19 +31,21 @@ def day_first_when(c: str | Column) -> Column:
     way lenient day-first parsers do. The number of colons picks the one format
     that can fit, so a clean value is parsed exactly once.
     """
-    text = F.translate(_clean(c), "/.T", "-- ")
-    colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
-
-    def read(order: str) -> Column:
-        return (
-            F.when(colons == 0, F.try_to_timestamp(text, F.lit(f"{order}-yyyy")))
-            .when(colons == 1, F.try_to_timestamp(text, F.lit(f"{order}-yyyy H:mm")))
-            .otherwise(F.try_to_timestamp(text, F.lit(f"{order}-yyyy H:mm:ss")))
-        )
-
-    # A dash in third or second place; anything else is not this kind of date.
-    shaped = F.instr(F.substring(text, 2, 2), "-") > 0
-    return F.when(shaped, F.coalesce(read("d-M"), read("M-d"))).cast("timestamp_ntz")
+    def read(text: Column) -> Column:
+        colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
+
+        def ordered(order: str) -> Column:
+            return (
+                F.when(colons == 0, F.try_to_timestamp(text, F.lit(f"{order}-yyyy")))
+                .when(colons == 1, F.try_to_timestamp(text, F.lit(f"{order}-yyyy H:mm")))
+                .otherwise(F.try_to_timestamp(text, F.lit(f"{order}-yyyy H:mm:ss")))
+            )
+
+        # A dash in second or third place; anything else is not this kind of date.
+        shaped = F.instr(F.substring(text, 2, 2), "-") > 0
+        return F.when(shaped, F.coalesce(ordered("d-M"), ordered("M-d")))
+
+    return bind(F.translate(_clean(c), "/.T", "-- "), read).cast("timestamp_ntz")
 
 
 def parse_when(c: str | Column) -> Column:

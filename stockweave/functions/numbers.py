@@ -11,12 +11,18 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def num(c: str | Column) -> Column:
     """Text to double; anything that is not a number becomes null."""
-    text = F.trim(as_col(c).cast("string"))
     # The JVM also accepts "12d" and "12f" as numbers; the extracts never mean that.
-    plain = F.when(~F.lower(F.right(text, F.lit(1))).isin("d", "f", "n"), text)
-    return plain.try_cast("double")
+    def parse(text: Column) -> Column:
+        return F.when(~F.lower(F.right(text, F.lit(1))).isin("d", "f", "n"), text.try_cast("double"))
+
+    return bind(F.trim(as_col(c).cast("string")), parse)
 
 
 # Currency signs, separators and blanks that surround amounts.
