@@ -20,7 +20,7 @@ from stockweave.plans import standins as T
 from stockweave.plans import verification as V
 from stockweave.queries import catalog as K
 from stockweave.queries.catalog import PO_VERSION_ORDER, query
-from stockweave.session import work_dir
+from stockweave.session import cut_lineage, work_dir
 from stockweave.sinks import publish as W
 from stockweave.sources import adapters as A
 from stockweave.sources import detect as D
@@ -380,7 +380,7 @@ def dashboard_payload(spark, sf):
 @query
 def rule_mismatches(spark, sf):
     """SKUs whose recent class differs from the overall one."""
-    return V.mismatches(K.sku_table(spark, sf), "Sku Code", M.q("Overall Movement"), M.q("Movement"))
+    return V.mismatches(cut_lineage(K.sku_table(spark, sf), "svs-sku"), "Sku Code", M.q("Overall Movement"), M.q("Movement"))
 
 
 @query
