@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import mixing, sharding
+from stockweave.llm import mixing, quality, sharding
 from stockweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,8 @@ def op1_sharding(spark, sf):
 @query
 def op2_mixing(spark, sf):
     return mixing.report(table(spark, sf, "documents"))
+
+
+@query
+def op8_quality(spark, sf):
+    return quality.judge(table(spark, sf, "documents"))
