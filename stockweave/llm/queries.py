@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import mixing, quality, sharding
+from stockweave.llm import langid, mixing, quality, sharding
 from stockweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,8 @@ def op2_mixing(spark, sf):
 @query
 def op8_quality(spark, sf):
     return quality.judge(table(spark, sf, "documents"))
+
+
+@query
+def op9_langid(spark, sf):
+    return langid.identify(table(spark, sf, "documents"))
