@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import langid, mixing, quality, sharding
+from stockweave.llm import langid, mixing, pieces, quality, sharding
 from stockweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,8 @@ def op8_quality(spark, sf):
 @query
 def op9_langid(spark, sf):
     return langid.identify(table(spark, sf, "documents"))
+
+
+@query
+def op10_sentencepiece(spark, sf):
+    return pieces.round_trip(table(spark, sf, "documents"))
