@@ -30,7 +30,7 @@ from struct import pack
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -215,7 +215,7 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text") -> DataFrame
                 )
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), lists], [*kept, "ids"])
 
-    schema = rows.select(*kept).schema.add("ids", "array<int>")
+    schema = rows.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
     return rows.mapInArrow(run, schema)
 
 
@@ -230,7 +230,7 @@ def decode(encoded: DataFrame, model: str = MODEL, ids: str = "ids", into: str =
             texts = [None if x is None else pieces.decode(x) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, into])
 
-    return encoded.mapInArrow(run, encoded.select(*kept).schema.add(into, "string"))
+    return encoded.mapInArrow(run, encoded.select(*kept).schema.add(into, T.StringType()))
 
 
 def round_trip(docs: DataFrame, model: str = MODEL, key: str = "doc_id", text: str = "text") -> DataFrame:
