@@ -33,4 +33,14 @@ select doc_id, size, source_size, target,
 from q, v
 """
 
-ORACLE = {"op2_mixing": MIX}
+#: Payload groups over all pages; 1000 repeats warc.MIN_BYTES.
+WARC = """
+with p as (select page_id, coalesce(html, '') as html, strlen(coalesce(html, ''))::bigint as n from pages),
+g as (select *, case when n >= 1000 then max(page_id) over (partition by html) end as keeper from p)
+select page_id, n as payload_bytes, sha1(html) as payload_digest,
+       case when keeper is null or page_id = keeper then 'response' else 'revisit' end as record_type,
+       case when page_id <> keeper then keeper end as refers_to
+from g
+"""
+
+ORACLE = {"op2_mixing": MIX, "op4_warc": WARC}

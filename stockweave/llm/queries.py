@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import langid, mixing, pieces, quality, sharding
+from stockweave.llm import langid, mixing, pieces, quality, sharding, warc
 from stockweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def op9_langid(spark, sf):
 @query
 def op10_sentencepiece(spark, sf):
     return pieces.round_trip(table(spark, sf, "documents"))
+
+
+@query
+def op4_warc(spark, sf):
+    return warc.archived(table(spark, sf, "pages"))
