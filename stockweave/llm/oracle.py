@@ -1,5 +1,7 @@
 """DuckDB SQL for the operators SQL can express."""
 
+from stockweave.llm import licenses as L
+
 #: Weighted fair queueing over all documents; the constants repeat mixing.WEIGHTS, MAX_REPEATS and SEED.
 MIX = r"""
 with d as (
@@ -43,4 +45,34 @@ select page_id, n as payload_bytes, sha1(html) as payload_digest,
 from g
 """
 
-ORACLE = {"op2_mixing": MIX, "op4_warc": WARC}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _licenses() -> str:
+    """The licence scan; the known texts go through the same canonical form in SQL."""
+    known = L.TEXTS + [(k, n.format(name)) for k, names in L.NAMES.items() for name in names for n in L.NOTICES]
+    values = ", ".join(f"({_quoted(k)}, {_quoted(t)})" for k, t in known)
+    # RE2 has no look-ahead, so copyright lines are told line by line.
+    low = r"""list_transform(string_split(lower({}), chr(10)), lambda x:
+      case when (regexp_matches(x, '^[^\p{{L}}\p{{N}}]*copyright') and not regexp_matches(x, '^[^\p{{L}}\p{{N}}]*copyright[\p{{L}} ]*(holder|owner|notice)'))
+             or regexp_matches(x, '^[^\p{{L}}\p{{N}}]*(\(c\)|©|all rights reserved)') then '' else x end)"""
+    spelled = r"' ' || replace(regexp_replace(x, '[^\p{L}\p{N}]+', ' ', 'g'), ' ', '  ') || ' '"
+    for variant, usual in L.SPELLINGS:
+        spelled = f"replace({spelled}, ' {variant.replace(' ', '  ')} ', ' {usual.replace(' ', '  ')} ')"
+    lines = lambda text: f"list_transform({low.format(text)}, lambda x: trim(regexp_replace({spelled}, ' +', ' ', 'g')))"
+    one = "trim(regexp_replace(array_to_string(l, ' '), ' +', ' ', 'g'))"
+    return rf"""
+with known as (select sha256({one}) as digest, min(license) as license from (select license, {lines("text")} as l from (values {values}) as v(license, text)) group by 1),
+d as (select doc_id, {lines("coalesce(text, '')")} as l from documents),
+w as (select doc_id, case when {one} <> '' then sha256({one}) end as canonical_sha256, l from d),
+u as (select doc_id, unnest(l) as line from d),
+m as (select doc_id, string_agg(distinct license, ' ' order by license) as line_licenses, count(*) as n from u join known on sha256(line) = digest where line <> '' group by doc_id)
+select w.doc_id, canonical_sha256, known.license, line_licenses, coalesce(n, 0) as n_license_lines
+from w left join known on canonical_sha256 = known.digest left join m on w.doc_id = m.doc_id
+"""
+
+
+ORACLE = {"op6_licenses": _licenses(), "op2_mixing": MIX, "op4_warc": WARC}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import langid, mixing, pieces, quality, sharding, warc
+from stockweave.llm import langid, licenses, mixing, pieces, quality, sharding, warc
 from stockweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op10_sentencepiece(spark, sf):
 @query
 def op4_warc(spark, sf):
     return warc.archived(table(spark, sf, "pages"))
+
+
+@query
+def op6_licenses(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
