@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import langid, licenses, mixing, pieces, quality, sharding, warc
+from stockweave.llm import langid, licenses, mixing, pieces, quality, sharding, substrings, warc
 from stockweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op4_warc(spark, sf):
 @query
 def op6_licenses(spark, sf):
     return licenses.scan(table(spark, sf, "documents"))
+
+
+@query
+def op3_substrings(spark, sf):
+    return substrings.report(table(spark, sf, "documents"))
