@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from stockweave.llm import common as C
+from stockweave.llm import common as C, packed as P
 
 WIDTH = 35
 ANCHOR = 8
@@ -49,18 +49,10 @@ SHIPPED_KINDS = 8
 BUCKETS_PER_PARTITION = 2
 
 FULL, COUNTED = 1, 2  # a run's windows are all repeated; its windows are to be counted
-RECORD = np.dtype([("key", "<u8"), ("rest", "<u8"), ("d1", "<i8"), ("d2", "<i8"), ("at", "<u4"), ("n", "<u4"), ("many", "u1")])
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Spread the bits of a 64-bit hash."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
 class _Hasher:
     """Rabin-Karp hashes over a block of documents."""
 
@@ -84,7 +76,7 @@ class _Hasher:
         sums = np.concatenate([[np.uint64(0)], np.cumsum(words * self.up[:n], dtype=np.uint64)])
 
         def grams(at: np.ndarray, length) -> np.ndarray:
-            return _mix((sums[at + length] - sums[at]) * self.down[at])
+            return P.mix((sums[at + length] - sums[at]) * self.down[at])
 
         ends = np.repeat(np.cumsum(sizes), sizes)
         owner = np.repeat(np.arange(len(docs)), sizes)
@@ -121,60 +113,19 @@ def _stretches(flags: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.nda
     return at[first], np.diff(np.concatenate([first, [len(at)]]))
 
 
-def _records(key, rest, d1, d2, at, n, many=0) -> np.ndarray:
-    out = np.empty(len(at), dtype=RECORD)
-    for name, column in (("key", key), ("rest", rest), ("d1", d1), ("d2", d2), ("at", at), ("n", n), ("many", many)):
-        out[name] = column
-    return out
-
-
-def _groups(records: np.ndarray):
-    """Records in order of (key, rest); first of each kind, size of its kind, kinds under its key, rank of kind in key."""
-    r = records[np.lexsort((records["rest"], records["key"]))]
-    new_key = np.concatenate([[True], r["key"][1:] != r["key"][:-1]])
-    first = new_key | np.concatenate([[True], r["rest"][1:] != r["rest"][:-1]])
-    kind, key = np.cumsum(first) - 1, np.cumsum(new_key) - 1
-    kinds = np.bincount(key, weights=first).astype(np.int64)[key]
-    rank = kind - kind[np.flatnonzero(new_key)][key]
-    return r, first, np.bincount(kind)[kind], kinds, rank
-
-
-def _settled(r: np.ndarray, status: np.ndarray) -> np.ndarray:
-    out = r[status > 0].copy()
-    out["many"] = status[status > 0]
-    return out
-
-
 def _pack(records: np.ndarray, decided: np.ndarray, buckets: int, by_key: bool) -> Iterator[pa.RecordBatch]:
     """Settle records within the task; rows (bucket, decided, payload) of the rest and of what is settled."""
     if len(records):
-        r, first, same, kinds, rank = _groups(records)
+        r, first, same, kinds, rank = P.groups(records)
         extra = (rank >= SHIPPED_KINDS) if by_key else np.zeros(len(r), dtype=bool)
         repeated = (same > 1) | (r["many"] > 0)
         # A copy of a shipped run is repeated; runs beyond the shipped ones need a count by window, one of each kind.
         status = np.where(~first, FULL, np.where(extra, COUNTED + repeated * FULL, 0))
-        decided = np.concatenate([decided, _settled(r, status)])
+        decided = np.concatenate([decided, P.marked(r, status)])
         records = r[first & ~extra]
         records["many"] = repeated[first & ~extra]
-    for rows, settled in ((records, 0), (decided, 1)):
-        if not len(rows):
-            continue
-        spread = rows["d1"].view(np.uint64) if settled else rows["key"] if by_key else rows["key"] ^ rows["rest"]
-        bucket = (_mix(spread) % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        rows, bucket = rows[order], bucket[order]
-        cuts = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0, [True]]))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(bucket[cuts[:-1]], pa.int32()),
-                pa.array(np.full(len(cuts) - 1, settled), pa.int32()),
-                pa.array([rows[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-            ],
-            ["bucket", "decided", "payload"],
-        )
-
-
-PACKED = "bucket int, decided int, payload binary"
+    yield from P.dealt(records, records["key"] if by_key else records["key"] ^ records["rest"], 0, buckets)
+    yield from P.dealt(decided, decided["d1"].view(np.uint64), 1, buckets)
 
 
 def _runs(width: int, buckets: int):
@@ -194,7 +145,7 @@ def _runs(width: int, buckets: int):
                     # A second copy in this task: every window of the text is repeated.
                     n = len((text.as_py() or "").encode("utf-8", "surrogatepass").split()) - width + 1
                     if n > 0:
-                        decided.append(_records(0, 0, d1, d2, np.zeros(1, dtype=np.uint32), n, FULL))
+                        decided.append(P.records(0, 0, d1, d2, np.zeros(1, dtype=np.uint32), n, FULL))
             for block in _blocks(fresh, lambda row: len(row[2])):
                 d1, d2 = (np.array([row[k] for row in block], dtype=np.int64) for k in (0, 1))
                 place, owner, key, window, grams, sizes = hasher.windows([row[2] for row in block])
@@ -205,7 +156,7 @@ def _runs(width: int, buckets: int):
                 first = np.flatnonzero(cut)
                 n = np.diff(np.concatenate([first, [len(place)]]))
                 at, who = place[first], owner[first]
-                held.append(_records(key[first], grams(at, n + width - 1), d1[who], d2[who], at - begin[who], n))
+                held.append(P.records(key[first], grams(at, n + width - 1), d1[who], d2[who], at - begin[who], n))
                 # Windows repeated within one document may stand in one run; settle them here.
                 order = np.lexsort((window, owner))
                 equal = (window[order][1:] == window[order][:-1]) & (owner[order][1:] == owner[order][:-1])
@@ -214,35 +165,28 @@ def _runs(width: int, buckets: int):
                 at, n = _stretches(twice, place)
                 if len(at):
                     who = np.searchsorted(np.cumsum(sizes), at, side="right")
-                    decided.append(_records(0, 0, d1[who], d2[who], at - begin[who], n, FULL))
+                    decided.append(P.records(0, 0, d1[who], d2[who], at - begin[who], n, FULL))
                 size += len(first)
             if size >= FLUSH_RECORDS:
-                yield from _pack(_join(held), _join(decided), buckets, True)
+                yield from _pack(P.join(held), P.join(decided), buckets, True)
                 held, decided, size, seen = [], [], 0, {}
-        yield from _pack(_join(held), _join(decided), buckets, True)
+        yield from _pack(P.join(held), P.join(decided), buckets, True)
 
     return run
 
 
-def _join(parts: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.zeros(0, dtype=RECORD)
-
-
 VERDICT = T.StructType([T.StructField(n, T.LongType()) for n in ("d1", "d2", "at", "n", "status")])
 
 
 def _judge(table: pa.Table) -> pa.Table:
     """applyInArrow step over a bucket: what is repeated (FULL) and what is to be counted by window (COUNTED)."""
-    packed = [[], []]
-    for settled, payload in zip(table.column("decided").to_pylist(), table.column("payload"), strict=True):
-        packed[settled].append(np.frombuffer(payload.as_buffer(), dtype=RECORD))
-    records, decided = map(_join, packed)
+    records, decided = P.opened(table)
     if len(records):
-        r, first, same, kinds, _ = _groups(records)
+        r, first, same, kinds, _ = P.groups(records)
         full = (same > 1) | (r["many"] > 0)
         # One run of each kind stands for its windows when the anchor has several kinds.
         counted = (kinds > 1) & (~full | first)
-        decided = np.concatenate([decided, _settled(r, full * FULL + counted * COUNTED)])
+        decided = np.concatenate([decided, P.marked(r, full * FULL + counted * COUNTED)])
     columns = [decided[c].astype(np.int64) for c in ("d1", "d2", "at", "n", "many")]
     return pa.Table.from_arrays([pa.array(c) for c in columns], ["d1", "d2", "at", "n", "status"])
 
@@ -310,13 +254,13 @@ def _first_pass(width: int, buckets: int, carried: list[str], keep_text: bool, s
                 pick = np.cumsum(wanted)[place] > 0
                 who = owner[pick]
                 d1, d2 = (np.array([row[k] for row in block], dtype=np.int64)[who] for k in (0, 1))
-                held.append(_records(key[pick], window[pick], d1, d2, place[pick] - begin[who], 1))
+                held.append(P.records(key[pick], window[pick], d1, d2, place[pick] - begin[who], 1))
                 size += len(who)
             if size >= FLUSH_RECORDS:
-                for packed in _pack(_join(held), _join([]), buckets, False):
+                for packed in _pack(P.join(held), P.join([]), buckets, False):
                     yield _shaped(dict(zip(packed.schema.names, packed.columns, strict=True)), len(packed), schema)
                 held, size = [], 0
-        for packed in _pack(_join(held), _join([]), buckets, False):
+        for packed in _pack(P.join(held), P.join([]), buckets, False):
             yield _shaped(dict(zip(packed.schema.names, packed.columns, strict=True)), len(packed), schema)
 
     return run
@@ -363,11 +307,11 @@ def remove(docs: DataFrame, width: int = WIDTH, text: str = "text", keep: list[s
     texts = docs.select(F.col(text).cast("string").alias("__text"), *named)
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("__text"), *named)
 
-    verdicts = _verdicts(texts.mapInArrow(_runs(width, buckets), PACKED))
+    verdicts = _verdicts(texts.mapInArrow(_runs(width, buckets), P.PACKED))
     known = verdicts.select(F.col("d1").alias("__d1"), F.col("d2").alias("__d2"), F.col("found").alias("__found"))
     met = rows.join(known, ["__d1", "__d2"], "left").select(*carried, "__text", "__d1", "__d2", "__found")
     body = rows.select(*carried).schema
-    for field in T.StructType.fromDDL(f"__text string, __d1 long, __d2 long, {RESULT}, __sure binary, __open boolean, {PACKED}"):
+    for field in T.StructType.fromDDL(f"__text string, __d1 long, __d2 long, {RESULT}, __sure binary, __open boolean, {P.PACKED}"):
         body = body.add(field)
     passed = C.staged(met.mapInArrow(_first_pass(width, buckets, carried, keep_text, _arrow(body)), body), "substrings")
 
