@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import jaccard, langid, licenses, mixing, pieces, quality, sharding, substrings, warc
+from stockweave.llm import fingerprints, jaccard, langid, licenses, mixing, pieces, quality, sharding, substrings, warc
 from stockweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op3_substrings(spark, sf):
 @query
 def op5_jaccard(spark, sf):
     return jaccard.report(table(spark, sf, "documents"))
+
+
+@query
+def op7_fingerprints(spark, sf):
+    return fingerprints.compare(table(spark, sf, "documents"))
