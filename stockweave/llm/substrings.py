@@ -310,7 +310,9 @@ def remove(docs: DataFrame, width: int = WIDTH, text: str = "text", keep: list[s
     verdicts = _verdicts(texts.mapInArrow(_runs(width, buckets), P.PACKED))
     known = verdicts.select(F.col("d1").alias("__d1"), F.col("d2").alias("__d2"), F.col("found").alias("__found"))
     met = rows.join(known, ["__d1", "__d2"], "left").select(*carried, "__text", "__d1", "__d2", "__found")
-    body = rows.select(*carried).schema
+    # Rows of packed records leave all else null, also columns that are never null in the input.
+    own = [T.StructField(f.name, f.dataType) for f in rows.select(*carried).schema]
+    body = T.StructType(list(own))
     for field in T.StructType.fromDDL(f"__text string, __d1 long, __d2 long, {RESULT}, __sure binary, __open boolean, {P.PACKED}"):
         body = body.add(field)
     passed = C.staged(met.mapInArrow(_first_pass(width, buckets, carried, keep_text, _arrow(body)), body), "substrings")
@@ -319,7 +321,7 @@ def remove(docs: DataFrame, width: int = WIDTH, text: str = "text", keep: list[s
     windows = _verdicts(passed.filter("bucket is not null").select("bucket", "decided", "payload"))
     counted = windows.select(F.col("d1").alias("__d1"), F.col("d2").alias("__d2"), F.col("found").alias("__found"))
     waiting = passed.filter("__open").select(*carried, "__text", "__d1", "__d2", "__sure").join(counted, ["__d1", "__d2"], "left")
-    after = rows.select(*carried).schema
+    after = T.StructType(list(own))
     for field in T.StructType.fromDDL(RESULT):
         after = after.add(field)
     last = waiting.mapInArrow(_second_pass(width, carried, keep_text, _arrow(after)), after)
