@@ -72,8 +72,8 @@ def sample(docs: DataFrame, docs_per_language: int = SAMPLE_DOCS, chars: int = S
 
 
 def _automaton(codes: list[int], letters: int) -> np.ndarray:
-    """Transition table of the suffix automaton: state x letter -> state, -1 where no substring goes on."""
-    size = 2 * len(codes) + 1
+    """Transition table of the suffix automaton: state x letter -> state, -1 where no substring goes on; a last row of -1."""
+    size = 2 * len(codes) + 2
     step = np.full((size, letters), -1, dtype=np.int32)
     link, length = [-1] * size, [0] * size
     states, last = 1, 0
@@ -99,7 +99,7 @@ def _automaton(codes: list[int], letters: int) -> np.ndarray:
                     at = link[at]
                 link[to] = link[new] = copy
         last = new
-    return step[:states]
+    return step[: states + 1]
 
 
 class Parser:
@@ -126,7 +126,9 @@ class Parser:
         out = np.zeros((len(blocks), len(self.languages)))
         columns = np.ascontiguousarray(blocks.T)
         for k, table in enumerate(self.tables):
-            state, count = np.zeros(len(blocks), dtype=np.int32), np.zeros(len(blocks), dtype=np.int32)
+            # The last state goes nowhere: a block begins there, and so does what follows a letter this language lacks.
+            none = len(table) // self.letters - 1
+            state, count = np.full(len(blocks), none, dtype=np.int32), np.zeros(len(blocks), dtype=np.int32)
             for column in columns:
                 alive = len(column) if column[-1] >= 0 else int(np.count_nonzero(column >= 0))
                 c, s = column[:alive], state[:alive]
@@ -134,8 +136,9 @@ class Parser:
                 stuck = to < 0
                 count[:alive] += stuck
                 # A phrase ends before the letter that does not fit; that letter starts the next one.
-                state[:alive] = np.where(stuck, np.maximum(table[c], 0), to)
-            out[:, k] = count + (columns[0] >= 0)
+                start = table[c]
+                state[:alive] = np.where(stuck, np.where(start < 0, none, start), to)
+            out[:, k] = count
         return out
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
