@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from os.path import commonprefix
 from struct import pack
 
 import numpy as np
@@ -34,11 +35,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Words kept between batches by a worker; beyond it the table starts anew.
-KEPT_WORDS = 800_000
-KEPT_PAIRS = 2_000_000
+#: Words in the newer half of a worker's table; when it is full it becomes the older half, whose used words come back.
+KEPT_WORDS = 400_000
+KEPT_PAIRS = 400_000
 #: Rows encoded before their ids are handed on.
-ROWS_AT_ONCE = 512
+ROWS_AT_ONCE = 1024
 
 #: Fixed by the model format: kinds of pieces.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -74,19 +75,23 @@ class Pieces:
             else:
                 spelled = b" \xe2\x81\x87 " if p.type == UNKNOWN else b""
             self.spelled.append(spelled)
-        # Only pieces that merging reaches can be the last piece of a prefix.
+        self.cut = self.endings = None
+        self.pairs: dict[tuple[str, str], bool] = {}
+        self.words: dict[str, bytes] = {}  # ids as 32-bit numbers
+        self.older: dict[str, bytes] = {}
+
+    def _ready(self) -> None:
+        """What only encoding needs."""
         letters = {c for p in self.ids for c in p}
-        self.whole = {p for p in self.ids if p.strip(MARK) and self.merge(p) == [p]} | ({MARK} & self.ids.keys())
-        self.endings: dict = {}  # the pieces spelled backwards, as a trie; key "" marks a whole piece
-        for p in self.whole:
-            node = self.endings
-            for c in reversed(p):
-                node = node.setdefault(c, {})
-            node[""] = True
         alone = "".join(c for c in "\n\t\r\x0b\x0c" if c not in letters)
         self.cut = re.compile(f"{MARK}*[^{MARK}{re.escape(alone)}]+|{MARK}+" + (f"|[{re.escape(alone)}]" if alone else ""))
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, bytes] = {}  # ids as 32-bit numbers
+        self.endings = {}  # the pieces spelled backwards, as a trie; key "" marks a whole piece
+        for p in self.ids:
+            if len(p) > 1 and p.strip(MARK):
+                node = self.endings
+                for c in reversed(p):
+                    node = node.setdefault(c, {})
+                node[""] = True
 
     def merge(self, word: str) -> list[str]:
         """Pieces and unknown characters of a word by merging the best pair, leftmost first."""
@@ -103,12 +108,12 @@ class Pieces:
         return parts
 
     def stable(self, left: str, right: str) -> bool:
-        """Whether merging leaves the two pieces as they are when they meet."""
+        """Whether merging leaves the two pieces as they are when they meet; ``left`` is empty at a word's start."""
         known = self.pairs.get((left, right))
         if known is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(left + right) == [left, right]
+            known = self.pairs[left, right] = self.merge(left + right) == ([left, right] if left else [right])
         return known
 
     def _ids(self, parts: list[str]) -> bytes:
@@ -130,34 +135,32 @@ class Pieces:
 
     def learn(self, words: set[str]) -> None:
         """Put the encodings of the words into ``self.words``, walking them in sorted order."""
-        if len(self.words) + len(words) > KEPT_WORDS:
-            self.words.clear()
-        endings, pairs, stable = self.endings, self.pairs, self.stable
+        if len(self.words) > KEPT_WORDS:
+            self.older, self.words = self.words, {}
+        endings, pairs, stable, older = self.endings, self.pairs, self.stable, self.older
         path, last = "", [""]  # last[i]: the last piece of the encoding of path[:i]
         for word in sorted(words - self.words.keys()):
+            if word in older:
+                self.words[word] = older[word]
+                continue
             if word.startswith(MARK * 2):
                 self.words[word] = self._ids(self.merge(word))
                 continue
-            same, most = 0, min(len(path), len(word))
-            while same < most and path[same] == word[same]:
-                same += 1
+            same = len(commonprefix((path, word)))
             del last[same + 1 :]
             for end in range(same + 1, len(word) + 1):
+                piece = at = word[end - 1]
                 node, start, starts = endings, end, []
-                while start:
-                    node = node.get(word[start - 1])
-                    if node is None:
-                        break
+                while at in node:
+                    node = node[at]
                     start -= 1
                     if "" in node:
                         starts.append(start)
-                piece = word[end - 1]
-                while starts:
-                    start = starts.pop()
-                    longer = word[start:end]
-                    if start == 0 or len(longer) == 1:
-                        piece = longer
+                    if not start:
                         break
+                    at = word[start - 1]
+                for start in reversed(starts):
+                    longer = word[start:end]
                     fits = pairs.get((last[start], longer))
                     if fits or fits is None and stable(last[start], longer):
                         piece = longer
@@ -172,6 +175,8 @@ class Pieces:
             self.words[word] = self._ids(parts)
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray | None]:
+        if self.cut is None:
+            self._ready()
         cut = [self.cut.findall(self.prefix + t.replace(" ", MARK)) if t else [] for t in texts]
         self.learn(set().union(*cut))
         known = self.words
@@ -227,8 +232,10 @@ def decode(encoded: DataFrame, model: str = MODEL, ids: str = "ids", into: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(shared.value)
         for batch in batches:
-            texts = [None if x is None else pieces.decode(x) for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, into])
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                texts = [pieces.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in part.column(ids)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, into])
 
     return encoded.mapInArrow(run, encoded.select(*kept).schema.add(into, T.StringType()))
 
