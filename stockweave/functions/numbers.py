@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-EXACT = "decimal(18,4)"
+# Wide enough for any sum of money; what does not fit (1e30 and more, or not finite) counts as absent, see ``unfit``.
+EXACT = "decimal(38,8)"
 
 
 def as_col(c: str | Column) -> Column:
@@ -40,13 +41,18 @@ def exact_sum(c: str | Column) -> Column:
     Adding decimals gives the same answer whatever order the tasks finish in,
     so a retried task never moves a total by a rounding error.
     """
-    return F.sum(as_col(c).cast(EXACT)).cast("double")
+    return F.try_sum(as_col(c).try_cast(EXACT)).cast("double")
+
+
+def unfit(c: str | Column) -> Column:
+    """How many values are there but too large for an exact sum."""
+    return F.count(F.when(as_col(c).isNotNull() & as_col(c).try_cast(EXACT).isNull(), F.lit(1)))
 
 
 def money_sum(c: str | Column) -> Column:
     """Sum of money, 0 when there is nothing to add."""
     if isinstance(c, str):
-        return F.expr(f"coalesce(cast(sum(cast({c} as {EXACT})) as double), 0.0D)")
+        return F.expr(f"coalesce(cast(try_sum(try_cast({c} as {EXACT})) as double), 0.0D)")
     return F.coalesce(exact_sum(c), F.lit(0.0))
 
 

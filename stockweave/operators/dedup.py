@@ -26,10 +26,6 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return _one_per_key(df, keys, [F.desc_nulls_last(c) for c in order])
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-
-
 def top_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int) -> DataFrame:
     spec = Window.partitionBy(group).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(spec)).filter(F.col("rank") <= n)

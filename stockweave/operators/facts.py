@@ -6,17 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from stockweave import schemas as S
-from stockweave.functions.text import norm_id, plain_id
+from stockweave.functions.text import norm_id
 from stockweave.operators.dedup import top_per_group
 
-# A Python dict is the only source of the ledger table, so its size is known
-# before it is broadcast.
-MAX_LEDGERS = 10_000
-
 
 def channel_table(spark: SparkSession, channel_map: dict = S.CHANNEL_MAP) -> DataFrame:
-    if len(channel_map) > MAX_LEDGERS:
-        raise ValueError(f"ledger table has {len(channel_map)} entries, more than {MAX_LEDGERS}")
     rows = ", ".join(
         "struct(" + ", ".join("'" + part.replace("\\", "\\\\").replace("'", "\\'") + "'" for part in (k.strip().upper(), *v)) + ")"
         for k, v in channel_map.items()
@@ -26,7 +20,7 @@ def channel_table(spark: SparkSession, channel_map: dict = S.CHANNEL_MAP) -> Dat
 
 def map_ledger(df: DataFrame, channel_map: dict = S.CHANNEL_MAP, ledger: str = "ledger") -> DataFrame:
     """Ledger to channel, type and flow; an unlisted ledger keeps its name, flow unknown."""
-    table = F.broadcast(channel_table(df.sparkSession, channel_map))
+    table = channel_table(df.sparkSession, channel_map)
     joined = df.join(table, F.upper(F.trim(F.col(ledger))) == F.col("_ledger_key"), "left")
     return (
         joined.withColumn("channel", F.coalesce("_channel", F.trim(ledger)))
@@ -36,24 +30,22 @@ def map_ledger(df: DataFrame, channel_map: dict = S.CHANNEL_MAP, ledger: str = "
     )
 
 
-def in_scope(facility_column: str, facility: str, unicode_ids: bool = True) -> Column:
-    clean = norm_id if unicode_ids else plain_id
-    return clean(facility_column).eqNullSafe(F.lit(facility.upper())) | F.col(facility_column).isNull()
+def in_scope(facility_column: str, facility: str) -> Column:
+    return norm_id(facility_column).eqNullSafe(F.lit(facility.upper())) | F.col(facility_column).isNull()
 
 
-def facility_rows(df: DataFrame, facility_column: str, facility: str, unicode_ids: bool = True) -> DataFrame:
+def facility_rows(df: DataFrame, facility_column: str, facility: str) -> DataFrame:
     """Rows of one facility; rows without a facility stay."""
-    return df.filter(in_scope(facility_column, facility, unicode_ids))
+    return df.filter(in_scope(facility_column, facility))
 
 
 def facility_drops(
-    df: DataFrame, facility_column: str, facility: str, list_at_most: int = 6, unicode_ids: bool = True
+    df: DataFrame, facility_column: str, facility: str, list_at_most: int = 6
 ) -> DataFrame:
     """Per file: how many rows the scope drops, and the first few foreign facilities."""
-    clean = norm_id if unicode_ids else plain_id
     foreign = (
-        df.filter(~in_scope(facility_column, facility, unicode_ids))
-        .groupBy("source_file", clean(facility_column).alias("other"))
+        df.filter(~in_scope(facility_column, facility))
+        .groupBy("source_file", norm_id(facility_column).alias("other"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     named = top_per_group(

@@ -10,16 +10,20 @@ from stockweave.operators.dedup import keep_last
 
 
 def merge_history(
-    history: DataFrame | None, slices: DataFrame, keys: Sequence[str], newest_by: Sequence[str]
+    history: DataFrame | None, slices: DataFrame, keys: Sequence[str], newest_by: Sequence[str], arrival: Sequence[str] = ()
 ) -> DataFrame:
-    """History plus new slices, newest version of each key; arrival order is irrelevant.
+    """History plus new slices, newest version of each key.
 
-    ``newest_by`` ranks versions; its last columns should make the order total.
-    Rows with a null key are dropped.
+    ``newest_by`` ranks versions. Of equally new ones a slice beats the
+    history, and the slice row that came later (``arrival``: file, then row)
+    beats an earlier one. Rows with a null key are dropped.
     """
-    rows = slices if history is None else history.unionByName(slices, allowMissingColumns=True)
+    late = "_late"
+    rows = slices.withColumn(late, F.lit(1))
+    if history is not None:
+        rows = history.withColumn(late, F.lit(0)).unionByName(rows, allowMissingColumns=True)
     present = " and ".join(f"`{k}` is not null" for k in keys)
-    return keep_last(rows.filter(present), keys, newest_by)
+    return keep_last(rows.filter(present), keys, [*newest_by, late, *arrival]).drop(late)
 
 
 def merge_counts(history: DataFrame, merged: DataFrame) -> DataFrame:

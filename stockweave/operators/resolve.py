@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stockweave import schemas as S
-from stockweave.functions.text import norm_id, plain_id
+from stockweave.functions.text import norm_id
 from stockweave.operators.dedup import keep_first
 
 NO_MATCH = "identifier not present in master mapping table"
@@ -41,17 +41,17 @@ def id_text(df: DataFrame, column: str) -> Column:
     return F.col(f"`{column}`").cast("string")
 
 
-def _exploded_ids(master: DataFrame, id_columns: dict[str, str], row_order: str, clean, attribute_names=()) -> DataFrame:
+def _exploded_ids(master: DataFrame, id_columns: dict[str, str], row_order: str, attribute_names=()) -> DataFrame:
     """One row per identifier a master row carries; null ones are dropped."""
     present = {c: t for c, t in id_columns.items() if c in master.columns}
     ids = F.array(*[
-        F.struct(F.lit(kind).alias("identifier_type"), clean(id_text(master, column)).alias("identifier_value"))
+        F.struct(F.lit(kind).alias("identifier_type"), norm_id(id_text(master, column)).alias("identifier_value"))
         for column, kind in present.items()
     ])
     return master.select(
         F.explode(ids).alias("id"),
-        clean("Sku Code").alias("master_sku"),
-        clean("Item Name").alias("style_code"),
+        norm_id("Sku Code").alias("master_sku"),
+        norm_id("Item Name").alias("style_code"),
         F.col(row_order).alias("row_seq"),
         *attribute_names,
     ).select("id.*", "master_sku", "style_code", "row_seq", *attribute_names).filter(
@@ -62,15 +62,14 @@ def _exploded_ids(master: DataFrame, id_columns: dict[str, str], row_order: str,
 def build_bridge(
     master: DataFrame,
     id_columns: dict[str, str] = S.MASTER_ID_COLUMNS,
-    row_order: str = "row_seq",
-    unicode_ids: bool = True,
+    row_order: str = "row_seq"
 ) -> DataFrame:
     """Wide master to (identifier_type, identifier_value, master_sku, style_code, row_seq).
 
     One explode instead of one scan per id column; the first master row wins
     per (type, value, sku).
     """
-    long = _exploded_ids(master, id_columns, row_order, norm_id if unicode_ids else plain_id)
+    long = _exploded_ids(master, id_columns, row_order)
     return long.groupBy("identifier_type", "identifier_value", "master_sku").agg(
         F.min_by("style_code", "row_seq").alias("style_code"), F.min("row_seq").alias("row_seq")
     )
@@ -82,8 +81,7 @@ def build_lookup(
     fallback: Sequence[str] = S.FALLBACK_ID_TYPES,
     row_order: str = "row_seq",
     attributes: DataFrame | None = None,
-    attribute_names: Sequence[str] = (),
-    unicode_ids: bool = True,
+    attribute_names: Sequence[str] = ()
 ) -> DataFrame:
     """One row per identifier value with everything a fact row may need.
 
@@ -96,13 +94,12 @@ def build_lookup(
     SKU attributes such as the list price ride along in the hit, which saves
     the fact table a second join.
     """
-    clean = norm_id if unicode_ids else plain_id
     rows = master
     if attributes is not None:
         keyed = attributes.select(F.col("master_sku").alias("_sku"), *attribute_names)
         # The key is a column of its own: a join condition must not normalise text itself.
-        rows = rows.withColumn("_own", clean("Sku Code")).join(keyed, F.col("_own") == F.col("_sku"), "left").drop("_own", "_sku")
-    long = _exploded_ids(rows, id_columns, row_order, clean, attribute_names)
+        rows = rows.withColumn("_own", norm_id("Sku Code")).join(keyed, F.col("_own") == F.col("_sku"), "left").drop("_own", "_sku")
+    long = _exploded_ids(rows, id_columns, row_order, attribute_names)
     kinds = [t for c, t in id_columns.items() if c in master.columns and t != "style_code"]
     hit = F.struct("master_sku", "style_code", *attribute_names)
     found = long.groupBy("identifier_value").agg(
@@ -126,12 +123,10 @@ def resolve(
     lookup: DataFrame,
     attribute_names: Sequence[str] = (),
     id_column: str = "external_id",
-    type_column: str = "external_id_type",
-    unicode_ids: bool = True,
+    type_column: str = "external_id_type"
 ) -> DataFrame:
     """Add matched_via, master_sku, style_code; always one row out per row in."""
-    clean = norm_id if unicode_ids else plain_id
-    left = facts.withColumn(id_column, clean(id_column))
+    left = facts.withColumn(id_column, norm_id(id_column))
     spread = [c for c in left.columns if c.startswith(("qty", "period", "source", "location"))] or left.columns[:3]
     left = left.withColumn("_key", spread_nulls(id_column, *spread))
     joined = left.join(lookup, F.col("_key") == F.col("identifier_value"), "left")

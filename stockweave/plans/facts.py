@@ -9,11 +9,11 @@ from stockweave.operators.facts import conform, map_ledger, value_basis
 from stockweave.operators.resolve import build_lookup, resolve
 
 
-def lookup_for(master: DataFrame, prices: DataFrame | None = None, unicode_ids: bool = True) -> DataFrame:
+def lookup_for(master: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """The resolve lookup, carrying the SKU list price when a price table is given."""
     if prices is None:
-        return build_lookup(master, unicode_ids=unicode_ids)
-    return build_lookup(master, attributes=prices, attribute_names=["mrp"], unicode_ids=unicode_ids)
+        return build_lookup(master)
+    return build_lookup(master, attributes=prices, attribute_names=["mrp"])
 
 
 def price_list(stock_rows: DataFrame, sku: str, price: str, row_order: str = "row_seq") -> DataFrame:
@@ -26,27 +26,27 @@ def price_list(stock_rows: DataFrame, sku: str, price: str, row_order: str = "ro
 
 
 def sales_rows(
-    extract: DataFrame, lookup: DataFrame, channel_map: dict = S.CHANNEL_MAP, unicode_ids: bool = True
+    extract: DataFrame, lookup: DataFrame, channel_map: dict = S.CHANNEL_MAP
 ) -> DataFrame:
     """Extract rows with channel, flow, SKU and list price, before the value cascade."""
     placed = map_ledger(extract, channel_map) if "ledger" in extract.columns else extract
     priced = "mrp" in lookup.schema["fallback"].dataType["hit"].dataType.names
-    out = resolve(placed, lookup, ["mrp"] if priced else [], unicode_ids=unicode_ids)
+    out = resolve(placed, lookup, ["mrp"] if priced else [])
     return out if priced else out.withColumn("mrp", F.lit(None).cast("double"))
 
 
 def fact_sales(
-    extract: DataFrame, lookup: DataFrame, channel_map: dict = S.CHANNEL_MAP, unicode_ids: bool = True
+    extract: DataFrame, lookup: DataFrame, channel_map: dict = S.CHANNEL_MAP
 ) -> DataFrame:
-    return conform(value_basis(sales_rows(extract, lookup, channel_map, unicode_ids)), S.FACT_SALES)
+    return conform(value_basis(sales_rows(extract, lookup, channel_map)), S.FACT_SALES)
 
 
-def fact_inventory(extract: DataFrame, lookup: DataFrame, unicode_ids: bool = True) -> DataFrame:
-    return conform(resolve(extract, lookup, unicode_ids=unicode_ids), S.FACT_INVENTORY)
+def fact_inventory(extract: DataFrame, lookup: DataFrame) -> DataFrame:
+    return conform(resolve(extract, lookup), S.FACT_INVENTORY)
 
 
-def fact_purchase(extract: DataFrame, lookup: DataFrame, unicode_ids: bool = True) -> DataFrame:
-    return conform(resolve(extract, lookup, unicode_ids=unicode_ids), S.FACT_PURCHASE)
+def fact_purchase(extract: DataFrame, lookup: DataFrame) -> DataFrame:
+    return conform(resolve(extract, lookup), S.FACT_PURCHASE)
 
 
 def resolved_extract(rows: DataFrame, lookup: DataFrame) -> DataFrame:

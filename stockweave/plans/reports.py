@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stockweave import schemas as S
 from stockweave.functions.numbers import (
+    EXACT, exact_sum,
     money_if, money_sum, percent, ratio, round_half_even, sum_if, unit_sum,
 )
 from stockweave.operators.facts import mapped
@@ -36,8 +37,8 @@ def store(sales: DataFrame, inventory: DataFrame) -> DataFrame:
     sums = stores.groupBy("channel", "location").agg(
         *[F.sum(F.when(F.col("flow") == f, F.coalesce("qty_sold", F.lit(0.0)))).alias(f"qty_sold_{f}") for f in flows],
         *[
-            F.sum(F.when(F.col("flow") == f, F.coalesce("net_value", F.lit(0.0))).cast("decimal(18,4)"))
-            .cast("double").alias(f"net_value_{f}") for f in flows
+            exact_sum(F.when(F.col("flow") == f, F.coalesce("net_value", F.lit(0.0))))
+            .alias(f"net_value_{f}") for f in flows
         ],
     )
     seen = stores.agg(*[F.coalesce(F.bool_or(F.col("flow") == f), F.lit(False)).alias(f"_{f}") for f in flows])
@@ -74,7 +75,7 @@ def sku(sales: DataFrame, inventory: DataFrame) -> DataFrame:
     # Channels are counted by pre-grouping on them, so no second distinct pass is needed.
     by_channel = sold.unionByName(held).groupBy("master_sku", "flow", "channel").agg(
         F.max("style_code").alias("style_code"), F.sum("qty_sold").alias("qty"),
-        F.sum(F.col("net_value").cast("decimal(18,4)")).alias("net"), F.sum("qty_on_hand").alias("stock"),
+        F.try_sum(F.col("net_value").try_cast(EXACT)).alias("net"), F.sum("qty_on_hand").alias("stock"),
     )
     out = by_channel.groupBy("master_sku").agg(
         F.max("style_code").alias("style_code"),

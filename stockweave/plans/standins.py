@@ -134,7 +134,7 @@ def _case(column: str, values) -> str:
 
 
 def stock_extract(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").filter("l_returnflag = 'N'").selectExpr(
+    return table(spark, sf_dir, "lineitem").selectExpr(
         "concat('stock_', l_suppkey % 5, '.csv') as source_file",
         "'uniware_inventory' as source_type",
         _case("l_suppkey % 5", [n for n, _ in HOLDERS]) + " as channel",
@@ -143,8 +143,8 @@ def stock_extract(spark, sf_dir) -> DataFrame:
         "l_shipdate as snapshot_date",
         "concat(case when l_linenumber = 7 then 'X' else 'S' end, l_partkey) as external_id",
         "'sku_code' as external_id_type",
-        "greatest(l_quantity - 40.0D, 0.0D) as qty_on_hand",
-        "case when l_suppkey % 5 in (0, 3) and l_quantity > 40 then l_extendedprice end as value_on_hand",
+        "cast(floor(l_quantity * (l_partkey % 4) / 40) as double) as qty_on_hand",
+        "case when l_suppkey % 5 in (0, 3) then l_extendedprice end as value_on_hand",
     )
 
 

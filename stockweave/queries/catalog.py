@@ -36,22 +36,22 @@ def query(fn):
 
 
 def lookup(spark, sf):
-    return FP.lookup_for(T.master(spark, sf), T.prices(spark, sf), unicode_ids=False)
+    return FP.lookup_for(T.master(spark, sf), T.prices(spark, sf))
 
 
 def sales(spark, sf, hits=None):
     hits = hits or lookup(spark, sf)
-    return FP.fact_sales(T.sales_extract(spark, sf), hits, T.CHANNELS, unicode_ids=False)
+    return FP.fact_sales(T.sales_extract(spark, sf), hits, T.CHANNELS)
 
 
 def inventory(spark, sf, hits=None):
     hits = hits or lookup(spark, sf)
-    return FP.fact_inventory(T.stock_extract(spark, sf), hits, unicode_ids=False)
+    return FP.fact_inventory(T.stock_extract(spark, sf), hits)
 
 
 def purchases(spark, sf, hits=None):
     hits = hits or lookup(spark, sf)
-    return FP.fact_purchase(T.purchase_extract(spark, sf), hits, unicode_ids=False)
+    return FP.fact_purchase(T.purchase_extract(spark, sf), hits)
 
 
 def facts(spark, sf):
@@ -87,7 +87,7 @@ def alerts(spark, sf, asof=T.ASOF):
 
 @query
 def resolve_identifiers(spark, sf):
-    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS, unicode_ids=False)
+    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS)
     return rows.groupBy("external_id", "external_id_type", "matched_via", "master_sku", "style_code").agg(
         F.count(F.lit(1)).alias("rows")
     )
@@ -95,7 +95,7 @@ def resolve_identifiers(spark, sf):
 
 @query
 def identifier_bridge(spark, sf):
-    return R.build_bridge(T.master(spark, sf), unicode_ids=False).drop("row_seq")
+    return R.build_bridge(T.master(spark, sf)).drop("row_seq")
 
 
 @query
@@ -113,13 +113,13 @@ def unknown_ledgers(spark, sf):
 @query
 def facility_filter(spark, sf):
     rows = T.purchase_extract(spark, sf)
-    kept = O.facility_rows(rows, "facility", "LOC1", unicode_ids=False)
+    kept = O.facility_rows(rows, "facility", "LOC1")
     return kept.groupBy("facility").agg(F.count(F.lit(1)).alias("rows"), F.sum("qty_ordered").alias("ordered"))
 
 
 @query
 def facility_drops(spark, sf):
-    return O.facility_drops(T.purchase_extract(spark, sf), "facility", "LOC1", unicode_ids=False)
+    return O.facility_drops(T.purchase_extract(spark, sf), "facility", "LOC1")
 
 
 @query
@@ -234,7 +234,7 @@ def returns_report(spark, sf):
 
 @query
 def exceptions(spark, sf):
-    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS, unicode_ids=False)
+    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS)
     return P.exceptions(R.unresolved(rows, "qty_sold", "net_value"))
 
 
@@ -245,16 +245,16 @@ def po_exceptions(spark, sf):
 
 @query
 def load_audit(spark, sf):
-    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS, unicode_ids=False)
+    rows = FP.sales_rows(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS)
     return P.load_audit(rows, "qty_sold", "net_value")
 
 
 @query
 def load_audit_scoped(spark, sf):
     extract = T.purchase_extract(spark, sf)
-    kept = O.facility_rows(extract, "facility", "LOC1", unicode_ids=False)
-    rows = FP.fact_purchase(kept, lookup(spark, sf), unicode_ids=False)
-    return P.load_audit(rows, "qty_ordered", "total", O.facility_drops(extract, "facility", "LOC1", unicode_ids=False))
+    kept = O.facility_rows(extract, "facility", "LOC1")
+    rows = FP.fact_purchase(kept, lookup(spark, sf))
+    return P.load_audit(rows, "qty_ordered", "total", O.facility_drops(extract, "facility", "LOC1"))
 
 
 @query

@@ -54,9 +54,9 @@ ix AS (
          CASE l_suppkey % 5 WHEN 0 THEN 'warehouse' WHEN 3 THEN 'marketplace' ELSE 'retail_store' END AS channel_type,
          'LOC' || (l_suppkey % 5) AS location, l_shipdate AS snapshot_date, l_linenumber = 7 AS lost,
          CASE WHEN l_linenumber = 7 THEN 'X' ELSE 'S' END || l_partkey AS external_id, l_partkey AS pk,
-         greatest(l_quantity - 40.0::DOUBLE, 0.0::DOUBLE) AS qty,
-         CASE WHEN l_suppkey % 5 IN (0, 3) AND l_quantity > 40 THEN l_extendedprice END AS value
-  FROM lineitem WHERE l_returnflag = 'N'),
+         floor(l_quantity * (l_partkey % 4) / 40)::DOUBLE AS qty,
+         CASE WHEN l_suppkey % 5 IN (0, 3) THEN l_extendedprice END AS value
+  FROM lineitem),
 px AS (
   SELECT 'Purchase_Orders_history.csv' AS source_file, 'PO' || l_orderkey AS po_code,
          CASE WHEN l_linestatus = 'F' THEN 'Complete' WHEN l_tax = 0.08::DOUBLE THEN 'CANCELLED' ELSE 'Approved' END AS po_status,
@@ -104,7 +104,7 @@ _BASE = "WITH " + _EXTRACTS.strip() + ",\n" + _FACTS.strip()
 
 def _money(x: str) -> str:
     """Exact sum of money, 0 when there is nothing."""
-    return f"coalesce(sum(({x})::DECIMAL(18,4)), 0)::DOUBLE"
+    return f"coalesce(sum(({x})::DECIMAL(38,8)), 0)::DOUBLE"
 
 
 def _units(x: str) -> str:
@@ -176,7 +176,7 @@ so{tag} AS (
 iv{tag} AS (
   SELECT sku, {s('qty', "channel = 'All Sports'")} AS all_sports_inv, {s('qty', "channel = 'Jack & Jill'")} AS jj_inv,
          {s('qty', az)} AS or_inv, {s('qty', "channel = 'Warehouse'")} AS d8_inv, {s('qty', "channel = 'INCS'")} AS incs_inv,
-         sum(value::DECIMAL(18,4))::DOUBLE AS stock_value
+         sum(value::DECIMAL(38,8))::DOUBLE AS stock_value
   FROM fi WHERE sku IS NOT NULL GROUP BY 1),
 pu{tag} AS (SELECT sku, {_units('ordered')} AS purchase_qty, min(created) AS first_po FROM fp WHERE sku IS NOT NULL GROUP BY 1),
 uni{tag} AS (SELECT DISTINCT sku FROM (SELECT sku FROM fs UNION ALL SELECT sku FROM fi UNION ALL SELECT sku FROM fp) WHERE sku IS NOT NULL),
@@ -285,7 +285,7 @@ def _alerts(tag: str = "") -> str:
              f"({_fmt('stock')}) || ' units in the ' || ageing || ' bucket'"),
     ]
     return f"""
-asp{tag} AS (SELECT coalesce(sum(so_net::DECIMAL(18,4))::DOUBLE / nullif(sum(all_sold), 0), 0) AS asp FROM sv{tag} WHERE all_sold > 0),
+asp{tag} AS (SELECT coalesce(sum(so_net::DECIMAL(38,8))::DOUBLE / nullif(sum(all_sold), 0), 0) AS asp FROM sv{tag} WHERE all_sold > 0),
 w0{tag} AS (
   SELECT sku, coalesce(style, '') AS item, coalesce(category, '') AS category, coalesce(gender, '') AS gender, coalesce(ageing, '') AS ageing,
          coalesce(movement, '') AS movement, coalesce(overall_movement, '') AS overall_movement, inv_level, inventory_status AS inv_status,
@@ -355,8 +355,8 @@ _q("store_report", """
 , pv AS (
   SELECT channel, location,
          sum(qty) FILTER (WHERE flow = 'sell_in') AS qi, sum(qty) FILTER (WHERE flow = 'sell_out') AS qo,
-         (sum(coalesce(net, 0)::DECIMAL(18,4)) FILTER (WHERE flow = 'sell_in'))::DOUBLE AS ni,
-         (sum(coalesce(net, 0)::DECIMAL(18,4)) FILTER (WHERE flow = 'sell_out'))::DOUBLE AS no
+         (sum(coalesce(net, 0)::DECIMAL(38,8)) FILTER (WHERE flow = 'sell_in'))::DOUBLE AS ni,
+         (sum(coalesce(net, 0)::DECIMAL(38,8)) FILTER (WHERE flow = 'sell_out'))::DOUBLE AS no
   FROM mapped WHERE channel_type = 'retail_store' GROUP BY 1, 2),
 st AS (SELECT channel, location, sum(qty) AS stock FROM fi WHERE channel_type = 'retail_store' GROUP BY 1, 2)
 SELECT pv.channel, pv.location, st.stock AS closing_stock, qi AS qty_sold_sell_in, qo AS qty_sold_sell_out, ni AS net_value_sell_in, no AS net_value_sell_out
@@ -364,7 +364,7 @@ FROM pv LEFT JOIN st ON st.channel = pv.channel AND st.location = pv.location"""
 _q("sku_report", f"""
 , k AS (
   SELECT sku, count(DISTINCT channel) AS channels, coalesce(sum(qty) FILTER (WHERE flow = 'sell_in'), 0) AS qi, coalesce(sum(qty) FILTER (WHERE flow = 'sell_out'), 0) AS qo,
-         coalesce(sum(net::DECIMAL(18,4)) FILTER (WHERE flow = 'sell_in'), 0)::DOUBLE AS ni, coalesce(sum(net::DECIMAL(18,4)) FILTER (WHERE flow = 'sell_out'), 0)::DOUBLE AS no
+         coalesce(sum(net::DECIMAL(38,8)) FILTER (WHERE flow = 'sell_in'), 0)::DOUBLE AS ni, coalesce(sum(net::DECIMAL(38,8)) FILTER (WHERE flow = 'sell_out'), 0)::DOUBLE AS no
   FROM mapped GROUP BY 1),
 st AS (SELECT sku, sum(qty) AS stock FROM fi WHERE sku IS NOT NULL GROUP BY 1)
 SELECT k.sku AS master_sku, y.style_code, channels, qi AS qty_sold_sell_in, qo AS qty_sold_sell_out, ni AS net_value_sell_in, no AS net_value_sell_out,
@@ -425,8 +425,8 @@ UNION ALL SELECT 'Rows dropped (other facility)', 0, NULL
 UNION ALL SELECT 'Facility scope', NULL, 'all facilities'""")
 _q("channel_pivot", f"""
 SELECT channel, coalesce(sum(qty) FILTER (WHERE flow = 'sell_in'), 0) AS units_sell_in, coalesce(sum(qty) FILTER (WHERE flow = 'sell_out'), 0) AS units_sell_out,
-       coalesce(sum(net::DECIMAL(18,4)) FILTER (WHERE flow = 'sell_in'), 0)::DOUBLE AS net_value_sell_in,
-       coalesce(sum(net::DECIMAL(18,4)) FILTER (WHERE flow = 'sell_out'), 0)::DOUBLE AS net_value_sell_out
+       coalesce(sum(net::DECIMAL(38,8)) FILTER (WHERE flow = 'sell_in'), 0)::DOUBLE AS net_value_sell_in,
+       coalesce(sum(net::DECIMAL(38,8)) FILTER (WHERE flow = 'sell_out'), 0)::DOUBLE AS net_value_sell_out
 FROM mapped GROUP BY 1""")
 
 # --------------------------------------------------------- merchandising
@@ -529,7 +529,7 @@ SELECT event_id, strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S') AS loca
 
 _q("sku_valuation", "SELECT sku AS master_sku, stock_value FROM iv WHERE stock_value > 0", _SKU_BASE)
 _q("average_price", """
-SELECT sku AS master_sku, so_net / all_sold AS avg_price, (SELECT sum(so_net::DECIMAL(18,4))::DOUBLE / sum(all_sold) FROM so WHERE all_sold > 0) AS overall_price
+SELECT sku AS master_sku, so_net / all_sold AS avg_price, (SELECT sum(so_net::DECIMAL(38,8))::DOUBLE / sum(all_sold) FROM so WHERE all_sold > 0) AS overall_price
 FROM so WHERE all_sold > 0 AND so_net / all_sold > 0""", _SKU_BASE)
 _q("alert_frame_rows", "SELECT * FROM pf", _ALERT_BASE)
 for _name in ("out_of_stock", "low_stock", "reorder_level", "best_sellers", "high_returns", "slow_moving", "dead_stock", "stock_ageing"):
@@ -715,10 +715,10 @@ _q("adapt_store_month", f"""
 WITH t AS (SELECT *, make_timestamp(CASE WHEN month(l_shipdate) <= 5 THEN 2001 ELSE 2000 END, month(l_shipdate), 1, 0, 0, 0) AS a FROM lineitem)
 SELECT 'Shop ' || (l_suppkey % 3) AS location, a AS period_start, a + INTERVAL 1 MONTH - INTERVAL 1 DAY AS period_end, sum(l_quantity) AS units, {_money('l_extendedprice')} AS net,
        count(DISTINCT l_partkey // 8) AS styles FROM t GROUP BY 1, 2, 3""", "")
-_q("store_matrix_unpivot", "SELECT l_partkey AS external_id, 'Store ' || (l_suppkey % 5) AS location, sum(l_quantity) AS qty_on_hand FROM lineitem WHERE l_quantity > 45 GROUP BY 1, 2", "")
-_q("adapt_store_matrix", "SELECT 'S' || l_partkey AS external_id, 'Store ' || (l_suppkey % 5) AS location, sum(l_quantity) AS qty_on_hand, TIMESTAMP '2001-07-31' AS snapshot_date FROM lineitem WHERE l_quantity > 45 GROUP BY 1, 2", "")
+_q("store_matrix_unpivot", "SELECT l_partkey AS external_id, 'Store ' || (l_suppkey % 5) AS location, sum(l_quantity) AS qty_on_hand FROM lineitem GROUP BY 1, 2", "")
+_q("adapt_store_matrix", "SELECT 'S' || l_partkey AS external_id, 'Store ' || (l_suppkey % 5) AS location, sum(l_quantity) AS qty_on_hand, TIMESTAMP '2001-07-31' AS snapshot_date FROM lineitem GROUP BY 1, 2", "")
 _BLOCKS = """WITH b AS (SELECT 'S' || l_partkey AS external_id, CASE l_suppkey % 3 WHEN 0 THEN 'KOHIMA' WHEN 1 THEN '5TH MILE' ELSE 'DIMAPUR' END AS location, sum(l_quantity) AS qty_sold
-  FROM lineitem WHERE l_quantity > 40 AND l_partkey % 50 <> 0 GROUP BY 1, 2)"""
+  FROM lineitem WHERE l_partkey % 50 <> 0 GROUP BY 1, 2)"""
 _q("store_blocks_unpivot", "SELECT 'f' AS source_file, external_id, location, qty_sold FROM b", _BLOCKS)
 _q("adapt_store_blocks", """
 SELECT 'Jack & Jill' AS channel, location, TIMESTAMP '2001-07-25' AS period_start, TIMESTAMP '2001-07-31' AS period_end, sum(qty_sold) AS units, count(*) AS rows FROM b GROUP BY 2""", _BLOCKS)
@@ -764,3 +764,20 @@ _q("alert_lifecycle_stream", """
 SELECT n.key, CASE WHEN o.key IS NULL THEN 'NEW' ELSE 'ONGOING' END AS status, CASE WHEN o.key IS NULL THEN 'run-1' ELSE 'run-0' END AS first_seen,
        CASE WHEN o.key IS NULL THEN 1 ELSE 2 END::BIGINT AS cycles, n.priority FROM al n LEFT JOIN al1 o ON o.key = n.key
 UNION ALL SELECT key, 'RESOLVED', 'run-0', 1, priority FROM al1 WHERE key NOT IN (SELECT key FROM al)""", _TWO_RUNS)
+_q("po_history_ties", """
+SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_returnflag
+FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY year(l_shipdate) DESC, (l_returnflag = 'N') DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+      FROM lineitem) WHERE rn = 1""", "")
+_q("alert_runs_waiting", """
+WITH o AS (SELECT DISTINCT 'late|' || l_partkey AS key, l_partkey::DOUBLE AS priority, run FROM lineitem, (VALUES (0), (1), (2)) AS r(run)
+           WHERE (l_orderkey // 4 + run) % 3 <> 0),
+k AS (SELECT key, max(priority) AS priority, bool_or(run = 0) AS a, bool_or(run = 1) AS b, bool_or(run = 2) AS c FROM o GROUP BY key)
+SELECT 'run-0' AS run_id, key, 'NEW' AS status, 'run-0' AS first_seen, 1::BIGINT AS cycles, priority FROM k WHERE a
+UNION ALL SELECT 'run-1', key, CASE WHEN a AND b THEN 'ONGOING' WHEN b THEN 'NEW' ELSE 'RESOLVED' END, CASE WHEN a THEN 'run-0' ELSE 'run-1' END,
+  CASE WHEN a AND b THEN 2 ELSE 1 END, priority FROM k WHERE a OR b
+UNION ALL SELECT 'run-2', key, CASE WHEN b AND c THEN 'ONGOING' WHEN c THEN 'NEW' ELSE 'RESOLVED' END,
+  CASE WHEN NOT b THEN 'run-2' WHEN a THEN 'run-0' ELSE 'run-1' END,
+  CASE WHEN NOT b THEN 1 ELSE (CASE WHEN a THEN 2 ELSE 1 END) + (CASE WHEN c THEN 1 ELSE 0 END) END, priority FROM k WHERE b OR c""", "")
+_q("norm_id", """
+WITH t AS (SELECT page_id, upper(trim(regexp_extract(url, '[^/]*$'))) AS key FROM pages)
+SELECT page_id, CASE WHEN key NOT IN ('', 'NAN', 'NONE', 'NAT') THEN key END AS key FROM t""", "")
