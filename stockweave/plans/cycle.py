@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockweave import schemas as S
 from stockweave.functions.dates import windows
@@ -13,12 +13,43 @@ from stockweave.plans import alerts as A
 from stockweave.plans import merchandising as M
 from stockweave.plans import reports as P
 from stockweave.sinks import publish as W
+from stockweave.sources.intake import Intake, load_folder
+from stockweave.sources.scan import input_fingerprint, scan_inputs, should_skip
 from stockweave.sources.tables import load_facts
 
 
-def report_set(sales: DataFrame, inventory: DataFrame, purchases: DataFrame, facility=None) -> dict[str, DataFrame]:
-    return {
-        "summary": P.summary(sales, inventory, purchases, facility=facility),
+def audit(sales: DataFrame, inventory: DataFrame, purchases: DataFrame, drops: DataFrame | None = None) -> DataFrame:
+    """Per kind and file: rows, matches and figures of all three facts; a file whose rows were all dropped is listed with 0 rows."""
+    parts = [
+        P.load_audit(fact, qty, value, drops).withColumn("kind", F.lit(kind))
+        for kind, fact, qty, value in (
+            ("sales", P.reported_value(sales), "qty_sold", "net_value"), ("inventory", inventory, "qty_on_hand", "value_on_hand"),
+            ("purchase", purchases, "qty_ordered", "total"),
+        )
+    ]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    if drops is None:
+        return out
+    gone = drops.join(out.select("source_file"), "source_file", "left_anti").select("source_file", F.col("rows_dropped").alias("rows_other_facility"))
+    zeros = {c: F.lit(0).cast("long") for c in ("rows", "matched", "unmatched")} | {c: F.lit(0.0) for c in ("qty", "value")}
+    gone = gone.withColumns(zeros | {"kind": F.lit("dropped"), "match_pct": F.lit(None).cast("double")})
+    return out.unionByName(gone.select(*out.columns))
+
+
+def report_set(
+    sales: DataFrame, inventory: DataFrame, purchases: DataFrame, facility=None, intake: Intake | None = None
+) -> dict[str, DataFrame]:
+    """Every report of the run; with an intake also the tables that account for its files."""
+    drops, extra, figures = None, {}, {}
+    if intake is not None:
+        drops = intake.facility_drops
+        extra = {"skipped_files": intake.skipped, "superseded_files": intake.superseded}
+        figures = {"files_skipped": intake.skipped.count(), "files_superseded": intake.superseded.count()}
+        if drops is not None:
+            extra["facility_filter"] = drops
+            figures["rows_dropped"] = drops.agg(F.coalesce(F.sum("rows_dropped"), F.lit(0))).first()[0]
+    return extra | {
+        "summary": P.summary(sales, inventory, purchases, facility=facility, **figures),
         "channel": P.channel(sales),
         "stores": P.store(sales, inventory),
         "sku_performance": P.sku(sales, inventory),
@@ -28,7 +59,7 @@ def report_set(sales: DataFrame, inventory: DataFrame, purchases: DataFrame, fac
         "open_po_lines": P.open_po_lines(purchases),
         "returns": P.returns(sales),
         "exceptions": P.fact_exceptions(sales, inventory, purchases),
-        "load_audit": P.load_audit(P.reported_value(sales), "qty_sold", "net_value"),
+        "load_audit": audit(sales, inventory, purchases, drops),
         "period_coverage": P.period_coverage(sales),
         "snapshot_coverage": P.snapshot_coverage(inventory),
         "value_basis": P.value_basis(sales),
@@ -39,7 +70,7 @@ def run_cycle(
     spark: SparkSession, facts: tuple[DataFrame, DataFrame, DataFrame], items: DataFrame,
     notes: tuple[DataFrame, DataFrame], out: str, run_id: str, asof: dt.date,
     previous_state: DataFrame | None = None, rules: dict = S.DEFAULT_RULES,
-    period_days: int = S.PERIOD_DAYS, recent_days: int = S.RECENT_DAYS,
+    period_days: int = S.PERIOD_DAYS, recent_days: int = S.RECENT_DAYS, facility: str | None = None, intake: Intake | None = None,
 ) -> dict[str, DataFrame]:
     """Write facts once, then build everything else from the written tables.
 
@@ -48,7 +79,7 @@ def run_cycle(
     """
     W.write_facts(f"{out}/facts", *facts)
     sales, inventory, purchases = load_facts(spark, f"{out}/facts")
-    W.write_reports(f"{out}/reports", report_set(sales, inventory, purchases))
+    W.write_reports(f"{out}/reports", report_set(sales, inventory, purchases, facility, intake))
 
     by_sku, by_style = notes
     sku_path = f"{out}/work/{run_id}/svs_sku"
@@ -75,3 +106,38 @@ def run_cycle(
     W.publish(A.alert_summary(labelled), out, "alert_summary", run_id)
     W.publish(A.top_alerts(labelled), out, "alert_digest", run_id)
     return {"skus": skus, "articles": articles, "alerts": labelled, "lifecycle": diff}
+
+
+def run_folder(
+    spark: SparkSession, root: str, out: str, lookup: DataFrame, items: DataFrame, notes: tuple[DataFrame, DataFrame],
+    run_id: str, asof: dt.date, facility: str | None = None, raw_cells: DataFrame | None = None, channel_map: dict = S.CHANNEL_MAP,
+    previous_state: DataFrame | None = None, rules: dict = S.DEFAULT_RULES, force: bool = False,
+) -> dict[str, DataFrame] | None:
+    """From a folder of extracts to all published tables; None when nothing changed since the last good run.
+
+    A status row is written in every case, also for a run that fails, and runs
+    beyond the newest ``S.RUNS_KEPT`` leave the archive.
+    """
+    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    files = scan_inputs(spark, root).select("folder", "name", F.col("path").alias("file_id"), F.col("modified").cast("string").alias("version"), "bytes")
+    print_ = input_fingerprint(files, facility or "")
+    seen = print_.first()
+
+    def status(ok: bool, notes_: str = "", skipped: bool = False) -> None:
+        took = (dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - started).total_seconds()
+        W.write_status(spark, out, run_id, started, took, ok, seen["fingerprint"], seen["files"], notes_, skipped)
+
+    last = W.read_status(spark, out)
+    if not force and should_skip(print_, last, W.exists(spark, f"{out}/latest/sku_wise")).first()["skip"]:
+        status(True, "inputs unchanged", skipped=True)
+        return None
+    try:
+        intake = load_folder(spark, root, lookup, channel_map, facility, raw_cells)
+        facts = (intake.sales, intake.inventory, intake.purchases)
+        tables = run_cycle(spark, facts, items, notes, out, run_id, asof, previous_state, rules, facility=facility, intake=intake)
+    except Exception as why:
+        status(False, str(why)[:500])
+        raise
+    status(True)
+    W.prune(spark, out, ("sku_wise", "article_wise", "action_list", "alert_lifecycle", "alert_summary", "alert_digest"))
+    return tables

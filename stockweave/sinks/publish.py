@@ -7,8 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from stockweave import schemas as S
 from stockweave.functions.text import flatten_headers
 
-PREVIEW_ROWS = 100_000
-
 # Report name -> written only when it has rows.
 REPORTS = {
     "summary": False, "channel": False, "stores": False, "sku_performance": False, "inventory": False,
@@ -25,22 +23,17 @@ def write_facts(root: str, sales: DataFrame, inventory: DataFrame, purchases: Da
     purchases.write.mode("overwrite").parquet(f"{root}/fact_purchase")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    flatten_headers(df).write.mode("overwrite").option("header", True).csv(path)
-
-
-def previews(sales: DataFrame, inventory: DataFrame, purchases: DataFrame, rows: int = PREVIEW_ROWS) -> dict[str, DataFrame]:
-    """Capped copies for viewing; the full facts are written beside them."""
-    return {f"preview_{n}": df.limit(rows) for n, df in (("sales", sales), ("inventory", inventory), ("purchase", purchases))}
-
-
 def write_reports(root: str, reports: dict[str, DataFrame]) -> list[str]:
     """One folder per report; reports that only matter with rows are left out when empty."""
     written = []
     for name, df in reports.items():
-        if REPORTS.get(name, False) and df.isEmpty():
+        path, optional = f"{root}/{name}", REPORTS.get(name, False)
+        flatten_headers(df).write.mode("overwrite").parquet(path)
+        # Computed once: an optional report without rows is dropped after it was written.
+        if optional and df.sparkSession.read.schema(flatten_headers(df).schema).parquet(path).isEmpty():
+            files, place = _folder(df.sparkSession, path)
+            files.delete(place, True)
             continue
-        flatten_headers(df).write.mode("overwrite").parquet(f"{root}/{name}")
         written.append(name)
     return written
 
@@ -52,10 +45,6 @@ def publish(df: DataFrame, root: str, name: str, run_id: str) -> None:
     flat.write.mode("overwrite").parquet(f"{root}/archive/{name}/run_id={run_id}")
 
 
-def archived_runs(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/archive/{name}")
-
-
 def latest_runs(df: DataFrame, run_column: str = "run_id", keep: int = S.RUNS_KEPT) -> DataFrame:
     """Rows of the newest runs. The runs are ranked on their distinct ids only."""
     runs = df.select(run_column).distinct().orderBy(F.desc(run_column)).limit(keep)
@@ -96,3 +85,34 @@ def write_status(
     verdict = "SKIPPED" if skipped else "OK" if ok else "FAILED"
     row = spark.createDataFrame([(run_id, started, float(seconds), verdict, ok, fingerprint, files, notes)], STATUS)
     row.write.mode("overwrite").parquet(f"{root}/run_status/run={run_id}")
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _folder(spark, path)
+    return files.exists(place)
+
+
+def read_status(spark: SparkSession, root: str) -> DataFrame:
+    """All status rows; none before the first run."""
+    if not exists(spark, f"{root}/run_status"):
+        return spark.createDataFrame([], STATUS)
+    return spark.read.schema(STATUS).option("recursiveFileLookup", True).parquet(f"{root}/run_status")
+
+
+def prune(spark: SparkSession, root: str, names, keep: int = S.RUNS_KEPT) -> list[str]:
+    """Remove archived copies of runs beyond the newest ``keep``; their folders are read, not their rows."""
+    removed = []
+    for name in names:
+        files, place = _folder(spark, f"{root}/archive/{name}")
+        if not files.exists(place):
+            continue
+        runs = sorted(s.getPath().getName() for s in files.listStatus(place) if s.getPath().getName().startswith("run_id="))
+        for run in runs[:-keep]:
+            files.delete(_folder(spark, f"{root}/archive/{name}/{run}")[1], True)
+            removed.append(f"{name}/{run}")
+    return removed

@@ -37,7 +37,7 @@ def detect_csv(spark: SparkSession, root: str, profiles=D.STORE_PROFILES) -> tup
     # The place of a line depends on how one scan was split; storing it makes it hold for every later read.
     lines = cut_lineage(C.read_lines(spark, root), "lines")
     profile = C.content_profile(lines)
-    text = C.decode_lines(lines, profile)
+    text = C.join_records(C.decode_lines(lines, profile), profile)
     head = C.head_rows(text)
     kinds = D.classify_source(files.join(D.csv_headers(head), "path", "left"), profiles)
     blocks = F.col("kind") == "store_blocks"
@@ -61,21 +61,34 @@ def detect_csv(spark: SparkSession, root: str, profiles=D.STORE_PROFILES) -> tup
 
 
 def detect_sheets(raw_cells: DataFrame, profiles=D.STORE_PROFILES) -> tuple[DataFrame, DataFrame]:
-    """(file table, rows) of decoded workbook sheets, in the shape CSV files have."""
+    """(file table, rows) of decoded workbook sheets, in the shape CSV files have.
+
+    ``raw_cells``: source_file, sheet, row_idx, cells, and the time ``modified``
+    and size ``bytes`` of the workbook; without them no sheet is newer than another.
+    """
     kinds = D.match_store_profile(raw_cells, profiles)
     key = F.concat_ws("::", "source_file", "sheet")
     head = raw_cells.filter(F.col("row_idx") < C.HEAD_ROWS).join(kinds.select("source_file", "sheet", "header_row"), ["source_file", "sheet"])
     place = head.groupBy("source_file", "sheet").agg(
         F.min_by("cells", F.when(F.col("row_idx") == F.col("header_row"), 0)).alias("cells"),
         # Lines above a header: HEAD_ROWS of them at most.
-        F.concat_ws(" ", F.collect_list(F.when(F.col("row_idx") < F.col("header_row"), F.concat_ws(" ", "cells")))).alias("heading"),
+        F.array_join(
+            F.transform(
+                F.array_sort(F.collect_list(F.when(F.col("row_idx") < F.col("header_row"), F.struct("row_idx", F.concat_ws(" ", "cells").alias("text"))))),
+                lambda line: line["text"],
+            ),
+            " ",
+        ).alias("heading"),
     )
     h = F.xxhash64("row_idx", "cells")
+    have = raw_cells.columns
     digest = raw_cells.groupBy("source_file", "sheet").agg(
-        F.sum(h.cast("decimal(38,0)")).cast("string").alias("digest"), F.count(F.lit(1)).alias("rows")
+        F.sum(h.cast("decimal(38,0)")).cast("string").alias("digest"), F.count(F.lit(1)).alias("rows"),
+        (F.max("modified") if "modified" in have else F.lit(None)).cast("timestamp").alias("modified"),
+        (F.max("bytes") if "bytes" in have else F.count(F.lit(1))).cast("long").alias("bytes"),
     )
     table = kinds.join(place, ["source_file", "sheet"], "left").join(digest, ["source_file", "sheet"], "left").select(
-        key.alias("path"), F.col("source_file").alias("name"), "sheet", "kind", "profile_id", "header_row", "note", "digest", "rows", "heading",
+        key.alias("path"), F.col("source_file").alias("name"), "sheet", "kind", "profile_id", "header_row", "note", "digest", "rows", "heading", "modified", "bytes",
         F.transform("cells", lambda c: F.lower(F.trim(c))).alias("header"), F.col("cells").alias("header_text"),
     )
     rows = raw_cells.select(key.alias("path"), F.lit(0).cast("long").alias("block"), F.col("row_idx").cast("long").alias("seq"), "cells")
@@ -96,8 +109,7 @@ def load_folder(
     sources: list[tuple[DataFrame, DataFrame]] = [(kept, staged)]
     if raw_cells is not None:
         sheet_files, sheet_rows = detect_sheets(raw_cells, profiles)
-        stamped = sheet_files.withColumns({"modified": F.current_timestamp(), "bytes": F.col("rows")})
-        sheet_kept, sheet_lost = D.dedupe_files(stamped, facility)
+        sheet_kept, sheet_lost = D.dedupe_files(sheet_files, facility)
         below = sheet_rows.join(
             sheet_kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_row"), "path"
         ).filter("seq > header_row").drop("header_row")
@@ -136,14 +148,22 @@ def load_folder(
     def stacked(fact: str) -> DataFrame:
         schema = A.FACT_SCHEMAS[fact]
         if not parts[fact]:
-            return spark.createDataFrame([], schema)
+            # The value cascade asks for a list price, also of no rows.
+            return spark.createDataFrame([], schema).withColumn("mrp", F.lit(None).cast("double"))
         raw = O.union_all(parts[fact], schema)
         return FP.resolved_extract(raw, lookup)
 
     sales = O.conform(O.value_basis(stacked("sales")), S.FACT_SALES)
     inventory = O.conform(stacked("inventory"), S.FACT_INVENTORY)
     purchases = O.conform(stacked("purchase"), S.FACT_PURCHASE)
-    all_files = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.select("name", "sheet", "kind", "note") for f in found])
+    listed = [f.select("name", "sheet", "kind", "note") for f in found]
+    # A workbook comes in through its sheets; one without any is accounted for by name.
+    books = C.scan_inputs(spark, root).filter("suffix <> 'csv'").select(
+        "name", F.lit("").alias("sheet"), F.lit("workbook").alias("kind"), F.lit("workbook without decoded sheets in raw_cells").alias("note")
+    )
+    if raw_cells is not None:
+        books = books.join(raw_cells.select(F.col("source_file").alias("name")).distinct(), "name", "left_anti")
+    all_files = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*listed, books])
     return Intake(
         sales=sales, inventory=inventory, purchases=purchases, exceptions=fact_exceptions(sales, inventory, purchases),
         superseded=lost, skipped=A.skipped_files(all_files), facility_drops=drops, files=all_files,

@@ -31,28 +31,33 @@ def _plain(path: Column) -> Column:
     return F.regexp_replace(path, "^[a-z0-9]+:/+", "/")
 
 
-def file_table(listing: DataFrame, root: str) -> DataFrame:
-    """Files to load from (path, modificationTime, length): rules on name and folders.
+def _places(path: Column, root: str) -> tuple[Column, Column, Column]:
+    """(folders below the root, file name, lower-case suffix) of a plain path."""
+    base = F.lit(_root(root))
+    inside = F.substring(path, F.instr(path, base) + F.length(base) + 1, F.length(path))
+    parts = F.split(F.regexp_replace(inside, "^/+", ""), "/")
+    name = F.element_at(parts, -1)
+    return F.slice(parts, F.lit(1), F.size(parts) - 1), name, F.lower(F.regexp_extract(name, "\\.([^.]+)$", 1))
+
+
+def wanted(path: Column, root: str) -> Column:
+    """Whether the rules on name and folders admit a file.
 
     Temporary and control files, archives, scratch and earlier outputs are left
     out, whatever their depth.
     """
-    base = _root(root)
-    inside = F.expr(f"substring(path, instr(path, '{base}') + {len(base) + 1})")
-    parts = F.split(F.regexp_replace(inside, "^/+", ""), "/")
-    name = F.element_at(parts, -1)
-    folders = F.slice(parts, F.lit(1), F.size(parts) - 1)
-    suffix = F.lower(F.regexp_extract(name, "\\.([^.]+)$", 1))
+    folders, name, suffix = _places(path, root)
     closed = F.exists(folders, lambda f: f.startswith("_") | F.lower(f).isin(*S.EXCLUDED_FOLDERS))
-    rows = listing.select(
-        _plain(F.col("path")).alias("path"), name.alias("name"),
-        F.array_join(folders, "/").alias("folder"), suffix.alias("suffix"),
-        F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"), closed.alias("_closed"),
+    return ~closed & ~name.startswith("~$") & ~name.startswith(".") & ~F.lower(name).isin(*S.CONTROL_FILES) & suffix.isin(*S.INPUT_SUFFIXES)
+
+
+def file_table(listing: DataFrame, root: str) -> DataFrame:
+    """Files to load from (path, modificationTime, length)."""
+    plain = listing.select(_plain(F.col("path")).alias("path"), F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
+    folders, name, suffix = _places(F.col("path"), root)
+    return plain.filter(wanted(F.col("path"), root)).select(
+        "path", name.alias("name"), F.array_join(folders, "/").alias("folder"), suffix.alias("suffix"), "modified", "bytes"
     )
-    return rows.filter(
-        ~F.col("_closed") & ~F.col("name").startswith("~$") & ~F.col("name").startswith(".")
-        & ~F.lower("name").isin(*S.CONTROL_FILES) & F.col("suffix").isin(*S.INPUT_SUFFIXES)
-    ).drop("_closed")
 
 
 def scan_inputs(spark: SparkSession, root: str) -> DataFrame:
@@ -66,28 +71,55 @@ def read_lines(spark: SparkSession, root: str) -> DataFrame:
     """Every CSV line with its file and its place: (path, block, seq, value).
 
     ``block`` and ``seq`` order the lines of a file without numbering them,
-    which would need the whole file in one task.
+    which would need the whole file in one task. Only files of the file table
+    are read: the rules on a path are a filter on file metadata, which Spark
+    applies to the listing. Blank lines stay, as a quoted cell may hold them.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").text(root)
+    path = _plain(_decoded(F.col("_metadata.file_path")))
+    return lines.filter(wanted(path, root)).select(
+        path.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.col("value")
+    )
+
+
+def join_records(lines: DataFrame, profile: DataFrame) -> DataFrame:
+    """Lines as records: a line break inside quotes belongs to its cell.
+
+    Only files in which some line has an odd number of quotes can hold such a
+    break; theirs are joined in file order, which takes a file in one task, as
+    reading it whole would. All other files stay as they are.
     """
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
-    return lines.select(
-        _plain(_decoded(F.col("_metadata.file_path"))).alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"),
-        F.col("value"),
-    ).filter("trim(value) <> ''")
+    odd = profile.filter("odd").select("path")
+    plain = lines.join(odd, "path", "left_anti")
+    order = Window.partitionBy("path").orderBy("block", "seq")
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    before = F.coalesce(F.sum(quotes).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = lines.join(odd, "path").withColumn("_first", (before % 2 == 0).cast("int")).withColumn("_record", F.sum("_first").over(order))
+    parts = F.array_sort(F.collect_list(F.struct("block", "seq", "value")))
+    joined = marked.groupBy("path", "_record").agg(parts.alias("_parts")).select(
+        "path", F.col("_parts")[0]["block"].alias("block"), F.col("_parts")[0]["seq"].alias("seq"),
+        F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"),
+    )
+    return plain.unionByName(joined).filter("trim(value) <> ''")
 
 
 def content_profile(lines: DataFrame) -> DataFrame:
     """One pass over all lines: per file its rows, content digest and whether it is UTF-8.
 
-    The digest adds line hashes, so it needs no order and merges map-side;
-    files with equal digest, row count and size hold the same lines.
+    The digest adds hashes of the lines with their places, so it merges
+    map-side; files of equal digest and size hold the same lines in the same
+    order. A place is the line's number within its block: files of one size
+    are cut into the same blocks.
     """
-    h = F.xxhash64("value")
+    starts = lines.groupBy("path", "block").agg(F.min("seq").alias("_start"))
+    lines = lines.join(starts, ["path", "block"]).withColumn("_nth", F.col("seq") - F.col("_start")).filter("trim(value) <> ''")
+    h = F.xxhash64("block", "_nth", "value")
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     return lines.groupBy("path").agg(
+        F.bool_or(quotes % 2 == 1).alias("odd"),
         F.count(F.lit(1)).alias("rows"),
         F.concat_ws(
-            "-", F.sum(h.cast("decimal(38,0)")).cast("string"), F.bit_xor(F.xxhash64(F.lit("x"), "value")).cast("string"),
+            "-", F.sum(h.cast("decimal(38,0)")).cast("string"), F.bit_xor(F.xxhash64(F.lit("x"), "block", "_nth", "value")).cast("string"),
             F.count(F.lit(1)).cast("string"),
         ).alias("digest"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
