@@ -39,25 +39,37 @@ def lookup(spark, sf):
     return FP.lookup_for(T.master(spark, sf), T.prices(spark, sf))
 
 
-def sales(spark, sf, hits=None):
-    hits = hits or lookup(spark, sf)
-    return FP.fact_sales(T.sales_extract(spark, sf), hits, T.CHANNELS)
+_STORED: dict[tuple, DataFrame] = {}
 
 
-def inventory(spark, sf, hits=None):
-    hits = hits or lookup(spark, sf)
-    return FP.fact_inventory(T.stock_extract(spark, sf), hits)
+def stored(spark, sf, name, build):
+    """A table that many queries read, written once per session and state of the input files.
 
+    The key holds size and time of every input file, so a changed folder is
+    built anew. The copies live in the session's work folder.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(sf)
+    seen = files.select("path", "length", F.col("modificationTime").cast("string")).orderBy("path").collect()
+    key = (spark.sparkContext.applicationId, sf, name, tuple(map(tuple, seen)))
+    if key not in _STORED:
+        _STORED[key] = cut_lineage(build(), name)
+    return _STORED[key]
 
-def purchases(spark, sf, hits=None):
-    hits = hits or lookup(spark, sf)
-    return FP.fact_purchase(T.purchase_extract(spark, sf), hits)
+
+def sales(spark, sf):
+    return stored(spark, sf, "fact-sales", lambda: FP.fact_sales(T.sales_extract(spark, sf), lookup(spark, sf), T.CHANNELS))
+
+
+def inventory(spark, sf):
+    return stored(spark, sf, "fact-inventory", lambda: FP.fact_inventory(T.stock_extract(spark, sf), lookup(spark, sf)))
+
+
+def purchases(spark, sf):
+    return stored(spark, sf, "fact-purchase", lambda: FP.fact_purchase(T.purchase_extract(spark, sf), lookup(spark, sf)))
 
 
 def facts(spark, sf):
-    """The three facts over one shared lookup, so its exchange is planned once."""
-    hits = lookup(spark, sf)
-    return sales(spark, sf, hits), inventory(spark, sf, hits), purchases(spark, sf, hits)
+    return sales(spark, sf), inventory(spark, sf), purchases(spark, sf)
 
 
 def notes(spark, sf):
@@ -66,7 +78,7 @@ def notes(spark, sf):
 
 def sku_table(spark, sf, asof=T.ASOF):
     by_sku, by_style = notes(spark, sf)
-    return M.svs_sku(*facts(spark, sf), T.items(spark, sf), by_sku, by_style, asof)
+    return stored(spark, sf, f"svs-sku-{asof}", lambda: M.svs_sku(*facts(spark, sf), T.items(spark, sf), by_sku, by_style, asof))
 
 
 def article_table(spark, sf, asof=T.ASOF):
@@ -74,8 +86,7 @@ def article_table(spark, sf, asof=T.ASOF):
 
 
 def alert_frame(spark, sf, asof=T.ASOF):
-    """The SKU table feeds both the rows and the overall price, so it is written once."""
-    return A.prepare(cut_lineage(sku_table(spark, sf, asof), "svs-sku"))
+    return A.prepare(sku_table(spark, sf, asof))
 
 
 def alerts(spark, sf, asof=T.ASOF):

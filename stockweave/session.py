@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +40,14 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "stockweave"
     return spark
 
 
+@lru_cache(maxsize=1)
+def _scratch() -> str:
+    """One temporary folder per process for local sessions, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="stockweave-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder all executors share.
 
@@ -48,7 +59,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         master = spark.sparkContext.master
         if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="stockweave-")
+        base = _scratch()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
