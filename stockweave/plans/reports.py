@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stockweave import schemas as S
 from stockweave.functions.numbers import (
-    EXACT, exact_sum,
-    money_if, money_sum, percent, ratio, round_half_even, sum_if, unit_sum,
+    EXACT, exact_sum, money_if, money_sum, percent, ratio, round_half_even, sum_if, unit_sum,
 )
 from stockweave.operators.facts import mapped
 from stockweave.operators.resolve import unresolved
 
+
 def rows() -> Column:
     return F.count(F.lit(1))
 
@@ -27,7 +27,7 @@ def channel(sales: DataFrame) -> DataFrame:
         unit_sum("qty_sold").alias("units"),
         money_sum("net_value").alias("net_value"),
         money_sum("gross_value").alias("gross_value"),
-    ).orderBy(F.asc("flow"), F.desc_nulls_last("net_value"))
+    ).orderBy(F.asc("flow"), F.desc_nulls_last("net_value"), "channel")
 
 
 def store(sales: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -41,7 +41,8 @@ def store(sales: DataFrame, inventory: DataFrame) -> DataFrame:
             .alias(f"net_value_{f}") for f in flows
         ],
     )
-    seen = stores.agg(*[F.coalesce(F.bool_or(F.col("flow") == f), F.lit(False)).alias(f"_{f}") for f in flows])
+    # A store without a flow has no sum for it, so the few summed rows tell which flows occur.
+    seen = sums.agg(*[F.coalesce(F.bool_or(F.col(f"qty_sold_{f}").isNotNull()), F.lit(False)).alias(f"_{f}") for f in flows])
     stock = (
         inventory.filter((F.col("channel_type") == S.STORE_TYPE) & F.col("channel").isNotNull() & F.col("location").isNotNull())
         .groupBy("channel", "location").agg(unit_sum("qty_on_hand").alias("closing_stock"))
@@ -53,13 +54,7 @@ def store(sales: DataFrame, inventory: DataFrame) -> DataFrame:
             F.when(~F.col(f"_{f}"), F.lit(0.0)).otherwise(F.col(f"{m}_{f}")).alias(f"{m}_{f}")
             for m in ("qty_sold", "net_value") for f in flows
         ],
-    ).orderBy(F.desc_nulls_last("qty_sold_sell_out"))
-
-
-def stock_by_sku(inventory: DataFrame) -> DataFrame:
-    return inventory.filter("master_sku is not null").groupBy("master_sku").agg(
-        unit_sum("qty_on_hand").alias("stock_on_hand")
-    )
+    ).orderBy(F.desc_nulls_last("qty_sold_sell_out"), "channel", "location")
 
 
 def sku(sales: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -92,13 +87,13 @@ def sku(sales: DataFrame, inventory: DataFrame) -> DataFrame:
         "master_sku", "style_code", "channels", "qty_sold_sell_in", "qty_sold_sell_out",
         "net_value_sell_in", "net_value_sell_out", "stock_on_hand",
         percent("qty_sold_sell_out", F.col("qty_sold_sell_out") + F.col("stock_on_hand")).alias("sell_through_pct"),
-    ).orderBy(F.desc_nulls_last("net_value_sell_out"))
+    ).orderBy(F.desc_nulls_last("net_value_sell_out"), "master_sku")
 
 
 def open_po_lines(purchases: DataFrame) -> DataFrame:
     closed = F.upper("po_status").isin(*S.CLOSED_PO)
     return purchases.filter(~F.coalesce(closed, F.lit(False)) & (F.col("qty_pending") > 0)).orderBy(
-        F.desc_nulls_last("qty_pending")
+        F.desc_nulls_last("qty_pending"), "po_code", "external_id"
     )
 
 
@@ -110,7 +105,7 @@ def po_vendor(purchases: DataFrame) -> DataFrame:
         money_sum("total").alias("value"),
         round_half_even(ratio(F.sum("ageing_days"), F.count("ageing_days")), 1).alias("avg_ageing_days"),
     )
-    return out.withColumn("fill_rate_pct", percent("received", "ordered")).orderBy(F.desc_nulls_last("pending"))
+    return out.withColumn("fill_rate_pct", percent("received", "ordered")).orderBy(F.desc_nulls_last("pending"), "vendor", "po_status")
 
 
 def po_sku(purchases: DataFrame, inventory: DataFrame, sales: DataFrame) -> DataFrame:
@@ -137,7 +132,7 @@ def po_sku(purchases: DataFrame, inventory: DataFrame, sales: DataFrame) -> Data
             unit_sum("qty_received").alias("received_total"), money_sum("total").alias("po_value"),
         ).filter("_po").drop("_po")
         .withColumn("total_supply", F.col("stock_on_hand") + F.col("on_order"))
-        .orderBy(F.desc_nulls_last("on_order"))
+        .orderBy(F.desc_nulls_last("on_order"), "master_sku")
     )
 
 
@@ -145,7 +140,7 @@ def inventory_position(inventory: DataFrame) -> DataFrame:
     return inventory.filter("master_sku is not null").groupBy("channel", "channel_type", "location").agg(
         F.countDistinct("master_sku").alias("skus"), unit_sum("qty_on_hand").alias("units"),
         money_sum("value_on_hand").alias("value"),
-    ).orderBy(F.desc_nulls_last("units"))
+    ).orderBy(F.desc_nulls_last("units"), "channel", "location")
 
 
 def period_coverage(sales: DataFrame) -> DataFrame:
@@ -165,7 +160,7 @@ def returns(sales: DataFrame) -> DataFrame:
     return sales.filter(F.coalesce("qty_returned", F.lit(0.0)) != 0).groupBy("channel", "channel_type").agg(
         unit_sum("qty_returned").alias("units_returned"), money_sum("returns_value").alias("returns_value"),
         F.bool_or(F.col("master_sku").isNotNull()).alias("sku_level"),
-    ).orderBy(F.desc_nulls_last("units_returned"))
+    ).orderBy(F.desc_nulls_last("units_returned"), "channel")
 
 
 def value_basis(sales: DataFrame) -> DataFrame:
@@ -180,7 +175,7 @@ def exceptions(unresolved_rows: DataFrame) -> DataFrame:
     """Unresolved ids by money. A null id is kept, so this agrees with the audit."""
     return unresolved_rows.groupBy("source_file", "external_id", "declared_id_type", "reason").agg(
         unit_sum("qty").alias("qty"), money_sum("value").alias("value")
-    ).orderBy(F.desc_nulls_last("value"))
+    ).orderBy(F.desc_nulls_last("value"), "source_file", "external_id")
 
 
 def reported_value(sales: DataFrame) -> DataFrame:
@@ -292,4 +287,4 @@ def channel_pivot(channel_report: DataFrame) -> DataFrame:
     return channel_report.groupBy("channel").agg(
         *[sum_if(F.col("flow") == f, "units").alias(f"units_{f}") for f in flows],
         *[money_if(F.col("flow") == f, "net_value").alias(f"net_value_{f}") for f in flows],
-    ).orderBy(F.desc_nulls_last("net_value_sell_in"))
+    ).orderBy(F.desc_nulls_last("net_value_sell_in"), "channel")
