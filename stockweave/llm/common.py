@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stockweave.session import work_dir
@@ -17,10 +20,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_COLLECTING: list[list[str]] = []
+
+
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """The paths staged meanwhile, in order, for ``discard``."""
+    _COLLECTING.append(made := [])
+    try:
+        yield made
+    finally:
+        _COLLECTING.pop()
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables that no later step reads."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the folder all executors share and read back: computed once, and a lost executor costs a re-read."""
     path = work_dir(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
+    for made in _COLLECTING:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -22,22 +22,28 @@ def components(edges: DataFrame) -> DataFrame:
 
     Repeated edges, both directions and loops may occur; an empty table gives none.
     """
-    kind = edges.schema["a"].dataType
-    edges = C.staged(edges.select("a", "b").distinct(), "cc-edges")
+    kind, spark = edges.schema["a"].dataType, edges.sparkSession
+    with C.collected() as old:
+        edges = C.staged(edges.select("a", "b").distinct(), "cc-edges")
     labels, turn = None, 0
     while True:
-        both = edges.union(edges.select("b", "a"))
-        # The best neighbour; a node of its own rank stays.
-        lowest = both.groupBy("a").agg(F.min(_ranked(F.col("b"), turn)).alias("m"))
-        points = C.staged(lowest.select(F.col("a").alias("v"), F.least(F.col("m"), _ranked(F.col("a"), turn))["v"].alias("to")), "cc-points")
-        if labels is None:
-            labels = points.select(F.col("v").alias("node"), F.col("to").alias("root"))
-        else:
-            moved = labels.join(points, F.col("root") == F.col("v"), "left")
-            labels = C.staged(moved.select("node", F.coalesce("to", "root").alias("root")), "cc-labels")
-        one = edges.join(points, F.col("a") == F.col("v")).select(F.col("to").alias("a"), "b")
-        two = one.join(points, F.col("b") == F.col("v")).select("a", F.col("to").alias("b"))
-        edges = C.staged(two.filter(F.col("a") != F.col("b")).distinct(), "cc-edges")
+        with C.collected() as new:
+            both = edges.union(edges.select("b", "a"))
+            # The best neighbour; a node of its own rank stays.
+            lowest = both.groupBy("a").agg(F.min(_ranked(F.col("b"), turn)).alias("m"))
+            points = C.staged(lowest.select(F.col("a").alias("v"), F.least(F.col("m"), _ranked(F.col("a"), turn))["v"].alias("to")), "cc-points")
+            one = edges.join(points, F.col("a") == F.col("v")).select(F.col("to").alias("a"), "b")
+            two = one.join(points, F.col("b") == F.col("v")).select("a", F.col("to").alias("b"))
+            edges = C.staged(two.filter(F.col("a") != F.col("b")).distinct(), "cc-edges")
+            if labels is None:
+                moved = points.select(F.col("v").alias("node"), F.col("to").alias("root"))
+            else:
+                moved = labels.join(points, F.col("root") == F.col("v"), "left").select("node", F.coalesce("to", "root").alias("root"))
+            labels = C.staged(moved, "cc-labels")
         turn += 1
+        # The next round reads the new edges and labels only.
+        C.discard(spark, [*old, new[0]])
+        old = new[1:]
         if edges.isEmpty():
+            C.discard(spark, new[1:2])
             return labels.select(F.col("node").cast(kind), F.col("root").cast(kind))

@@ -15,8 +15,9 @@ documents in a table of fixed size, so passages that many texts share come
 last. The join then goes from cheap to dear, and only ever needs connections:
 
 1. Texts with equal sets are one class; only classes go on.
-2. Each class is compared with the smallest class of each n-gram it shares: a
-   group of copies costs its size, not its square.
+2. Each class is compared with one class of each n-gram it shares, first the
+   smallest, then in a few more turns another one, as far as the two are not
+   connected yet: a group of near copies costs its size, not its square.
 3. N-grams whose classes are not yet connected are searched in full by tree,
    between components only. Groups above ``TREE_ROWS`` are cut into parts: the
    largest component is spread over the parts, the others visit each.
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stockweave.llm import common as C, packed as P
 from stockweave.llm.components import components
@@ -49,6 +50,10 @@ GROUPS = 256
 SLOTS = 1 << 18
 TREE_ROWS = 4096
 LEAF, FAN = 16, 8
+#: Turns of comparing each class with one class per shared n-gram before the full search.
+STAR_TURNS = 4
+#: Groups of up to so many classes are compared without a tree.
+SIDE = 12
 BUCKETS_PER_PARTITION = 2
 FLUSH_RECORDS = 1 << 20
 #: Bits of the broadcast filter that says which texts a verification may need; false hits only cost time.
@@ -63,7 +68,7 @@ def _words(text: str | None) -> list[bytes]:
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -141,10 +146,10 @@ def _prefixes(k: int, percent: int, slots: int, buckets: int, shared):
     """
 
     def settle(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        rows = P.join(held)
+        rows = P.join(held, GRAM)
         if not len(rows):
             return
-        r, first, _, kinds, rank = P.groups(rows)
+        r, first, _, kinds, rank = P.groups(rows, "d1")
         r, kinds, rank = r[first], kinds[first], rank[first]
         met = kinds > 1
         ship = r[rank == 0].copy()
@@ -167,8 +172,10 @@ def _prefixes(k: int, percent: int, slots: int, buckets: int, shared):
                     rarest = np.minimum(rarest, often[at + j])
                 n = len(grams)
                 first = np.lexsort((grams, rarest))[: n - (percent * n + 99) // 100 + 1]
-                d1, d2 = _name(grams)
-                held.append(P.records(grams[first], np.uint64(d1 & 0xFFFFFFFFFFFFFFFF), d1, d2, np.zeros(len(first), np.uint32), n))
+                own = np.zeros(len(first), dtype=GRAM)
+                own["key"], own["n"] = grams[first], n
+                own["d1"], own["d2"] = _name(grams)
+                held.append(own)
                 size += len(first)
             if size >= FLUSH_RECORDS:
                 yield from settle(held)
@@ -178,17 +185,19 @@ def _prefixes(k: int, percent: int, slots: int, buckets: int, shared):
     return run
 
 
+#: An n-gram of a class, its size, and whether the task that ships it met other classes with it.
+GRAM = np.dtype([("key", "<u8"), ("d1", "<i8"), ("d2", "<i8"), ("n", "<u4"), ("many", "u1")])
 SHARED = "gram long, d1 long, d2 long, n long"
 
 
 def _met(table: pa.Table) -> pa.Table:
     """applyInArrow step over a bucket: the records of n-grams that at least two classes have."""
-    rows, decided = P.opened(table)
+    rows, decided = P.opened(table, GRAM)
     if len(rows):
-        r = rows[np.lexsort((rows["rest"], rows["key"]))]
+        r = rows[np.lexsort((rows["d1"], rows["key"]))]
         new = np.concatenate([[True], r["key"][1:] != r["key"][:-1]])
         group = np.cumsum(new) - 1
-        kind = new | np.concatenate([[True], r["rest"][1:] != r["rest"][:-1]])
+        kind = new | np.concatenate([[True], r["d1"][1:] != r["d1"][:-1]])
         several = (np.bincount(group, weights=kind) > 1) | (np.bincount(group, weights=r["many"]) > 0)
         decided = np.concatenate([decided, r[several[group]]])
     return pa.Table.from_arrays(
@@ -231,32 +240,72 @@ class Tree:
         return self.order[rows]
 
 
-def _decode(points: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return np.stack([np.frombuffer(p.as_buffer(), dtype="<u2") for p in points]).astype(np.int64)
+def _decode(points: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(points.to_pylist()), dtype="<u2").reshape(len(points), -1)
+
+
+def _passes(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the summed minima of the points allow the overlap that sets of these sizes need."""
+    least = np.minimum(a, b)
+    # A count at the top of its range may stand for more.
+    return (least.sum(axis=1, dtype=np.int64) >= needed(na, nb, percent)) | (least >= FULL_COUNT).any(axis=1)
 
 
 PAIRS = "a1 long, a2 long, b1 long, b2 long"
+PAIR_NAMES = ["a1", "a2", "b1", "b2"]
 
 
 def _searched(percent: int):
-    """applyInArrow step over a part of an n-gram's classes: pairs of different components that pass the bound."""
-
-    def run(table: pa.Table) -> pa.Table:
-        names, found = ("a1", "a2", "b1", "b2"), [np.zeros((0, 4), dtype=np.int64)]
-        own = np.array(table.column("own"), dtype=bool)
-        if len(table) > 1 and own.any():
-            points = _decode(table.column("point"))
-            sizes, root = np.array(table.column("n")), np.array(table.column("r1"))
-            key = np.stack([np.array(table.column("d1")), np.array(table.column("d2"))], axis=1)
-            tree = Tree(points, sizes, percent)
-            for i in np.flatnonzero(own):
-                rows = tree.near(points[i], int(sizes[i]))
-                rows = rows[root[rows] != root[i]]
+    """mapInArrow step over rows in order of (gram, part): pairs of different components that pass the bound.
+
+    Small groups are compared side by side, ``SIDE`` rows apart at most;
+    larger ones by tree. A group that a batch cuts waits for its rest.
+    """
+
+    def search(rows: pa.Table) -> np.ndarray:
+        gram, part = np.array(rows.column("gram")), np.array(rows.column("part"))
+        cut = np.concatenate([[True], (gram[1:] != gram[:-1]) | (part[1:] != part[:-1])])
+        group = np.cumsum(cut) - 1
+        sizes, root, own = np.array(rows.column("n")), np.array(rows.column("r1")), np.array(rows.column("own"), dtype=bool)
+        name = np.stack([np.array(rows.column("d1")), np.array(rows.column("d2"))], axis=1)
+        points = _decode(rows.column("point"))
+        count = np.bincount(group)
+        found = [np.zeros((0, 2), dtype=np.int64)]
+        for apart in range(1, min(SIDE, int(count.max()))):
+            i = np.flatnonzero((group[apart:] == group[:-apart]) & (count[group[apart:]] <= SIDE))
+            j = i + apart
+            fits = (root[i] != root[j]) & (own[i] | own[j])
+            fits &= (100 * sizes[i] >= percent * sizes[j]) & (100 * sizes[j] >= percent * sizes[i])
+            i, j = i[fits], j[fits]
+            good = _passes(points[i], points[j], sizes[i], sizes[j], percent)
+            found.append(np.stack([i[good], j[good]], axis=1))
+        for g in np.flatnonzero(count > SIDE):
+            at = np.flatnonzero(group == g) if len(count) < 64 else np.arange(*np.searchsorted(group, [g, g + 1]))
+            tree = Tree(points[at].astype(np.int64), sizes[at], percent)
+            for k in np.flatnonzero(own[at]):
+                near = at[tree.near(points[at[k]].astype(np.int64), int(sizes[at[k]]))]
                 # Two own rows meet twice; the smaller one reports them.
-                rows = rows[~own[rows] | (rows > i)]
-                found.append(np.concatenate([np.repeat(key[i : i + 1], len(rows), axis=0), key[rows]], axis=1))
+                near = near[(root[near] != root[at[k]]) & (~own[near] | (near > at[k]))]
+                found.append(np.stack([np.full(len(near), at[k]), near], axis=1))
         pairs = np.concatenate(found)
-        return pa.Table.from_arrays([pa.array(pairs[:, c]) for c in range(4)], list(names))
+        return np.unique(np.concatenate([name[pairs[:, 0]], name[pairs[:, 1]]], axis=1), axis=0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            waiting.append(batch)
+            same = np.array(batch.column("gram")) == batch.column("gram")[len(batch) - 1].as_py()
+            same &= np.array(batch.column("part")) == batch.column("part")[len(batch) - 1].as_py()
+            rest = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            if rest:
+                rows = pa.Table.from_batches([*waiting[:-1], batch.slice(0, rest)]).combine_chunks()
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in search(rows).T], PAIR_NAMES)
+                waiting = [batch.slice(rest)]
+        if waiting:
+            rows = pa.Table.from_batches(waiting).combine_chunks()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in search(rows).T], PAIR_NAMES)
 
     return run
 
@@ -268,9 +317,7 @@ def _bounded(percent: int):
         for batch in batches:
             if len(batch):
                 a, b = _decode(batch.column("pa")), _decode(batch.column("pb"))
-                least = np.minimum(a, b)
-                bound = np.where((least >= FULL_COUNT).any(axis=1), np.iinfo(np.int64).max, least.sum(axis=1))
-                keep = bound >= needed(np.array(batch.column("na")), np.array(batch.column("nb")), percent)
+                keep = _passes(a, b, np.array(batch.column("na")), np.array(batch.column("nb")), percent)
                 yield batch.select(["a1", "a2", "b1", "b2"]).filter(pa.array(keep))
 
     return run
@@ -297,14 +344,18 @@ def _verify(k: int, percent: int):
     return run
 
 
+def _hit(flags: np.ndarray, hashes: pa.Array, bits: int) -> np.ndarray:
+    h = np.array(hashes, dtype=np.int64).view(np.uint64) % np.uint64(bits)
+    return (flags[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def _filtered(shared, bits: int):
     """mapInArrow step: the texts whose hash the filter may contain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.frombuffer(shared.value, dtype=np.uint8)
         for batch in batches:
-            h = np.array(batch.column("h1"), dtype=np.int64).view(np.uint64) % np.uint64(bits)
-            yield batch.filter(pa.array((flags[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8)) & 1 == 1))
+            yield batch.filter(pa.array(_hit(flags, batch.column("h1"), bits)))
 
     return run
 
@@ -356,12 +407,23 @@ class Join:
         packed = self.texts.select("text").mapInArrow(_prefixes(self.k, self.percent, SLOTS, self.buckets, known), P.PACKED)
         return C.staged(packed.groupBy("bucket").applyInArrow(_met, SHARED).distinct(), "jaccard-grams")
 
-    def star(self, shared: DataFrame) -> DataFrame:
-        """Each class with the smallest class of each n-gram it shares."""
-        least = shared.groupBy("gram").agg(F.min(F.struct("n", "d1", "d2")).alias("m"))
-        pairs = shared.join(least, "gram").select("d1", "d2", "n", F.col("m.d1").alias("b1"), F.col("m.d2").alias("b2"), F.col("m.n").alias("m"))
-        pairs = pairs.filter((F.col("d1") != F.col("b1")) | (F.col("d2") != F.col("b2"))).filter(F.col("m") * 100 >= F.col("n") * self.percent)
-        return pairs.select(F.col("d1").alias("a1"), F.col("d2").alias("a2"), "b1", "b2").distinct()
+    def star(self, rows: DataFrame, turn: int) -> DataFrame:
+        """Each class with one class of each n-gram it shares, if that is of another component.
+
+        In the first turn that is the smallest class, later one that a salted hash picks.
+        """
+        rank = F.struct("n", "d1", "d2") if turn == 0 else F.struct(F.xxhash64("d1", "d2", F.lit(turn)).alias("h"), "n", "d1", "d2")
+        chosen = rows.groupBy("gram").agg(F.min_by(F.struct("n", "d1", "d2", "root"), rank).alias("m"))
+        pairs = rows.join(chosen, "gram").filter(F.col("root") != F.col("m.root"))
+        pairs = pairs.filter((F.col("m.n") * 100 >= F.col("n") * self.percent) & (F.col("n") * 100 >= F.col("m.n") * self.percent))
+        return pairs.select(F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("m.d1").alias("b1"), F.col("m.d2").alias("b2")).distinct()
+
+    def open_rows(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
+        """The rows with the components they are in now, of n-grams with at least two components."""
+        known = labels.select(F.col("node.d1").alias("d1"), F.col("node.d2").alias("d2"), F.col("root").alias("now"))
+        rows = rows.join(known, ["d1", "d2"], "left").withColumn("root", F.coalesce("now", "root")).drop("now")
+        several = rows.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("gram")
+        return C.staged(rows.join(several, "gram", "left_semi"), "jaccard-open")
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """The pairs that the summed minima of their points let pass."""
@@ -372,7 +434,12 @@ class Join:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose n-grams are similar enough; only texts of candidate classes are shuffled."""
-        pairs = C.staged(pairs, "jaccard-pairs")
+        with C.collected() as made:
+            links = self._verified(C.staged(pairs, "jaccard-pairs"))
+        C.discard(self.spark, made[:-1])
+        return links
+
+    def _verified(self, pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a1").alias("d1"), F.col("a2").alias("d2")).union(pairs.select("b1", "b2")).distinct()
         wanted = C.staged(self.classes.join(ends, ["d1", "d2"]).select("d1", "d2", "h1", "h2"), "jaccard-wanted")
         flags = self.spark.sparkContext.broadcast(_filter_for(wanted, FILTER_BITS))
@@ -385,11 +452,8 @@ class Join:
         both = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a1", "a2", "b1", "b2", "ta", "tb")
         return C.staged(both.mapInArrow(_verify(self.k, self.percent), PAIRS), "jaccard-links")
 
-    def rest(self, shared: DataFrame, labels: DataFrame) -> DataFrame:
+    def rest(self, known: DataFrame) -> DataFrame:
         """Pairs of different components that share an n-gram and pass the bound, by tree."""
-        root = labels.select(F.col("node.d1").alias("d1"), F.col("node.d2").alias("d2"), F.col("root"))
-        known = shared.join(root, ["d1", "d2"], "left").withColumn("root", F.coalesce("root", F.struct("d1", "d2")))
-        known = C.staged(known, "jaccard-known")
         sides = known.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("rows"))
         open_ = sides.groupBy("gram").agg(
             F.max(F.struct("rows", "root")).alias("most"), F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("sides")
@@ -402,16 +466,27 @@ class Join:
         rows = rows.withColumn("own", F.when(F.col("root") == F.col("main"), F.lit(True)).otherwise(F.col("part") == F.col("home")))
         points = self.classes.select("d1", "d2", "point")
         rows = rows.join(points, ["d1", "d2"]).select("gram", "part", "own", "d1", "d2", "n", F.xxhash64("root").alias("r1"), "point")
-        return rows.groupBy("gram", "part").applyInArrow(_searched(self.percent), PAIRS).distinct()
+        ordered = rows.repartition(C.partitions(self.spark), "gram", "part").sortWithinPartitions("gram", "part")
+        return ordered.mapInArrow(_searched(self.percent), PAIRS).distinct()
 
     def linked(self) -> DataFrame:
         """node, root of every class with a link; both are structs (d1, d2)."""
-        shared = self.shared()
-        first = self.verified(self.bounded(self.star(shared)))
-        edges = first.select(_pair("a1", "a2").alias("a"), _pair("b1", "b2").alias("b"))
-        labels = components(edges)
-        second = self.verified(self.rest(shared, labels))
-        return components(edges.union(second.select(_pair("a1", "a2").alias("a"), _pair("b1", "b2").alias("b"))))
+        rows = self.shared().withColumn("root", F.struct("d1", "d2"))
+        edges, before = None, []
+        for turn in range(STAR_TURNS):
+            found = self.edges(self.verified(self.bounded(self.star(rows, turn))))
+            edges = found if edges is None else edges.union(found)
+            labels = components(edges)
+            with C.collected() as made:
+                rows = self.open_rows(rows, labels)
+            C.discard(self.spark, before)
+            before = made
+            if rows.isEmpty():
+                return labels
+        return components(edges.union(self.edges(self.verified(self.rest(rows)))))
+
+    def edges(self, pairs: DataFrame) -> DataFrame:
+        return pairs.select(_pair("a1", "a2").alias("a"), _pair("b1", "b2").alias("b"))
 
     def documents(self) -> DataFrame:
         """doc_id, h1, h2, n, root: the component's name, null for an empty set."""
@@ -421,28 +496,53 @@ class Join:
         return C.staged(named.select("doc_id", "h1", "h2", "n", own.alias("root")), "jaccard-docs")
 
 
+def _documents(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+    """``Join.documents`` without the tables that led there."""
+    with C.collected() as made:
+        rows = Join(docs, key, text, k, percent).documents()
+    C.discard(docs.sparkSession, made[:-1])
+    return rows
+
+
 def report(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links, itself included)."""
-    rows = Join(docs, key, text, k, percent).documents()
+    rows = _documents(docs, key, text, k, percent)
     least = rows.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return rows.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
 
 
+def _marked(shared, bits: int, text_hash: str, mark: str):
+    """mapInArrow step: rows with ``mark``, whether the filter may contain their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.frombuffer(shared.value, dtype=np.uint8)
+        for batch in batches:
+            yield batch.append_column(mark, pa.array(_hit(flags, batch.column(text_hash), bits)))
+
+    return run
+
+
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component: that of the smallest key, and among equal keys the smallest text hash.
 
-    Documents without words are alone and stay; of rows equal in key and text one stays.
+    Documents without words are alone and stay; of rows equal in key and text
+    one stays. Only rows that may have to go are shuffled: a bitmap of fixed
+    size tells them, and an exact join decides.
     """
-    rows = Join(docs, key, text, k, percent).documents()
-    kept = rows.filter("root is not null").groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")).alias("one")
-    )
-    kept = kept.select("one.doc_id", "one.h1", "one.h2").withColumn("__kept", F.lit(True))
+    spark = docs.sparkSession
+    rows = _documents(docs, key, text, k, percent)
+    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
+    least = rows.filter("root is not null").groupBy("root").agg(F.min(name).alias("one"))
+    same = rows.filter("root is not null").groupBy("doc_id", "h1", "h2", "root").agg(F.count(F.lit(1)).alias("copies"))
+    judged = same.join(least, "root").withColumn("stays", name == F.col("one"))
+    special = C.staged(judged.filter("not stays or copies > 1").select("doc_id", "h1", "h2", "stays"), "jaccard-special")
+    flags = spark.sparkContext.broadcast(_filter_for(special, FILTER_BITS))
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     wide = docs.withColumn("__h1", F.xxhash64(whole)).withColumn("__h2", F.xxhash64(F.lit("second"), whole))
-    wide = wide.withColumn("__words", whole.rlike(C.WORD))
-    same = wide[key].eqNullSafe(kept["doc_id"]) & (wide["__h1"] == kept["h1"]) & (wide["__h2"] == kept["h2"])
-    chosen = wide.filter("__words").join(kept, same, "left_semi").dropDuplicates([key, "__h1", "__h2"])
-    return chosen.select(*docs.columns).unionByName(wide.filter("not __words").select(*docs.columns))
+    marked = wide.mapInArrow(_marked(flags, FILTER_BITS, "__h1", "__maybe"), T.StructType([*wide.schema.fields, T.StructField("__maybe", T.BooleanType())]))
+    on = marked[key].eqNullSafe(special["doc_id"]) & (marked["__h1"] == special["h1"]) & (marked["__h2"] == special["h2"])
+    decided = marked.filter("__maybe").join(special.select("doc_id", "h1", "h2", F.col("stays").alias("__stays")), on, "left")
+    kept = decided.filter("__stays is null or __stays").select(*[marked[c] for c in marked.columns]).dropDuplicates([key, "__h1", "__h2"])
+    return marked.filter("not __maybe").select(*docs.columns).unionByName(kept.select(*docs.columns))

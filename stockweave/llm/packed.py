@@ -26,15 +26,15 @@ def records(key, rest, d1, d2, at, n, many=0) -> np.ndarray:
     return out
 
 
-def join(parts: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.zeros(0, dtype=RECORD)
+def join(parts: list[np.ndarray], kind: np.dtype = RECORD) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
 
 
-def groups(rows: np.ndarray):
-    """Records in order of (key, rest); first of each kind, size of its kind, kinds under its key, rank of kind in key."""
-    r = rows[np.lexsort((rows["rest"], rows["key"]))]
+def groups(rows: np.ndarray, rest: str = "rest"):
+    """Records in order of (key, ``rest``); first of each kind, size of its kind, kinds under its key, rank of kind in key."""
+    r = rows[np.lexsort((rows[rest], rows["key"]))]
     new_key = np.concatenate([[True], r["key"][1:] != r["key"][:-1]])
-    first = new_key | np.concatenate([[True], r["rest"][1:] != r["rest"][:-1]])
+    first = new_key | np.concatenate([[True], r[rest][1:] != r[rest][:-1]])
     kind, key = np.cumsum(first) - 1, np.cumsum(new_key) - 1
     kinds = np.bincount(key, weights=first).astype(np.int64)[key]
     rank = kind - kind[np.flatnonzero(new_key)][key]
@@ -66,9 +66,9 @@ def dealt(rows: np.ndarray, spread: np.ndarray, decided: int, buckets: int) -> I
     )
 
 
-def opened(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def opened(table: pa.Table, kind: np.dtype = RECORD) -> tuple[np.ndarray, np.ndarray]:
     """The records of a bucket: open and decided ones."""
     parts: list[list[np.ndarray]] = [[], []]
     for decided, payload in zip(table.column("decided").to_pylist(), table.column("payload"), strict=True):
-        parts[decided].append(np.frombuffer(payload.as_buffer(), dtype=RECORD))
-    return join(parts[0]), join(parts[1])
+        parts[decided].append(np.frombuffer(payload.as_buffer(), dtype=kind))
+    return join(parts[0], kind), join(parts[1], kind)
