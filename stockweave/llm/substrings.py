@@ -30,11 +30,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from stockweave.llm import common as C, packed as P
@@ -72,7 +73,7 @@ class _Hasher:
         sizes = np.array([len(d) for d in docs], dtype=np.int64)
         n = int(sizes.sum())
         self._powers(n + 1)
-        words = np.fromiter((xxhash.xxh3_64_intdigest(w) for d in docs for w in d), dtype=np.uint64, count=n)
+        words = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(docs)), dtype=np.uint64, count=n)
         sums = np.concatenate([[np.uint64(0)], np.cumsum(words * self.up[:n], dtype=np.uint64)])
 
         def grams(at: np.ndarray, length) -> np.ndarray:
@@ -211,11 +212,13 @@ def _covered(n_words: int, spans: list[tuple[int, int]], width: int) -> np.ndarr
     return np.cumsum(edges[:-1]) > 0
 
 
-def _final(words: list[bytes], gone: np.ndarray, keep_text: bool) -> dict:
-    kept = b" ".join(compress(words, (~gone).tolist()) if gone.any() else words)
+def _final(text: str | None, words: list[bytes], gone: np.ndarray, keep_text: bool) -> dict:
+    """A result row; a text that loses nothing is kept as it is."""
+    changed = bool(gone.any())
+    kept = b" ".join(compress(words, (~gone).tolist()) if changed else words)
     return {
         "n_words": len(words), "n_removed": int(gone.sum()), "kept_sha256": hashlib.sha256(kept).hexdigest(),
-        "kept": kept.decode("utf-8", "surrogatepass") if keep_text else None,
+        "kept": (kept.decode("utf-8", "surrogatepass") if changed else text) if keep_text else None,
     }
 
 
@@ -237,9 +240,9 @@ def _first_pass(width: int, buckets: int, carried: list[str], keep_text: bool, s
                 sure, open_ = _spans(found, FULL), _spans(found, COUNTED)
                 if open_:
                     waiting.append((d1s[i].as_py(), d2s[i].as_py(), words, open_))
-                    rows.append({"__text": text, "__sure": np.array(sure, dtype=np.int64).tobytes(), "__open": True})
+                    rows.append({"__packed": zstandard.compress((text or "").encode("utf-8", "surrogatepass"), 3), "__sure": np.array(sure, dtype=np.int64).tobytes(), "__open": True})
                 else:
-                    rows.append(_final(words, _covered(len(words), sure, width), keep_text))
+                    rows.append(_final(text, words, _covered(len(words), sure, width), keep_text))
             results = pa.RecordBatch.from_pylist(rows, pa.schema([schema.field(n) for n in LATER]))
             own = dict(zip(batch.schema.names, batch.columns, strict=True)) | dict(zip(LATER, results.columns, strict=True))
             yield _shaped(own, len(batch), schema)
@@ -266,7 +269,7 @@ def _first_pass(width: int, buckets: int, carried: list[str], keep_text: bool, s
     return run
 
 
-LATER = ("n_words", "n_removed", "kept_sha256", "kept", "__sure", "__open")
+LATER = ("n_words", "n_removed", "kept_sha256", "kept", "__packed", "__sure", "__open")
 
 
 def _shaped(columns: dict, n: int, schema: pa.Schema) -> pa.RecordBatch:
@@ -279,10 +282,11 @@ def _second_pass(width: int, carried: list[str], keep_text: bool, schema: pa.Sch
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, sure, found in zip(batch.column("__text"), batch.column("__sure"), batch.column("__found"), strict=True):
-                words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
+            for text, sure, found in zip(batch.column("__packed"), batch.column("__sure"), batch.column("__found"), strict=True):
+                whole = zstandard.decompress(text.as_py())
+                words = whole.split()
                 spans = [tuple(s) for s in np.frombuffer(sure.as_py(), dtype=np.int64).reshape(-1, 2).tolist()] + _spans(found.as_py(), FULL)
-                rows.append(_final(words, _covered(len(words), spans, width), keep_text))
+                rows.append(_final(whole.decode("utf-8", "surrogatepass"), words, _covered(len(words), spans, width), keep_text))
             results = pa.RecordBatch.from_pylist(rows, pa.schema([schema.field(n) for n in LATER[:4]]))
             own = dict(zip(batch.schema.names, batch.columns, strict=True)) | dict(zip(LATER[:4], results.columns, strict=True))
             yield _shaped(own, len(batch), schema)
@@ -297,7 +301,7 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 
 
 def remove(docs: DataFrame, width: int = WIDTH, text: str = "text", keep: list[str] | None = None, keep_text: bool = True) -> DataFrame:
-    """The columns ``keep`` of ``docs`` as ``c0``, ``c1``, ... with n_words, n_removed, kept_sha256 and (``keep_text``) kept."""
+    """The columns ``keep`` of ``docs`` as ``c0``, ``c1``, ... with n_words, n_removed, kept_sha256 and (``keep_text``) the text kept."""
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
     buckets = C.partitions(spark) * BUCKETS_PER_PARTITION
@@ -313,14 +317,14 @@ def remove(docs: DataFrame, width: int = WIDTH, text: str = "text", keep: list[s
     # Rows of packed records leave all else null, also columns that are never null in the input.
     own = [T.StructField(f.name, f.dataType) for f in rows.select(*carried).schema]
     body = T.StructType(list(own))
-    for field in T.StructType.fromDDL(f"__text string, __d1 long, __d2 long, {RESULT}, __sure binary, __open boolean, {P.PACKED}"):
+    for field in T.StructType.fromDDL(f"__d1 long, __d2 long, {RESULT}, __packed binary, __sure binary, __open boolean, {P.PACKED}"):
         body = body.add(field)
     passed = C.staged(met.mapInArrow(_first_pass(width, buckets, carried, keep_text, _arrow(body)), body), "substrings")
 
     results = ["n_words", "n_removed", "kept_sha256", "kept"]
     windows = _verdicts(passed.filter("bucket is not null").select("bucket", "decided", "payload"))
     counted = windows.select(F.col("d1").alias("__d1"), F.col("d2").alias("__d2"), F.col("found").alias("__found"))
-    waiting = passed.filter("__open").select(*carried, "__text", "__d1", "__d2", "__sure").join(counted, ["__d1", "__d2"], "left")
+    waiting = passed.filter("__open").select(*carried, "__packed", "__d1", "__d2", "__sure").join(counted, ["__d1", "__d2"], "left")
     after = T.StructType(list(own))
     for field in T.StructType.fromDDL(RESULT):
         after = after.add(field)
@@ -335,9 +339,7 @@ def report(docs: DataFrame, width: int = WIDTH, key: str = "doc_id", text: str =
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, text: str = "text") -> DataFrame:
     """``docs`` with repeated passages removed; untouched texts stay as they are, and texts left empty go."""
-    done = remove(docs, width, text)
-    columns = []
-    for i, c in enumerate(docs.columns):
-        same = F.col(f"c{i}")
-        columns.append((F.when(F.col("n_removed") == 0, same).otherwise(F.col("kept")) if c == text else same).alias(c))
-    return done.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words"))).select(*columns)
+    kept = [c for c in docs.columns if c != text]
+    done = remove(docs, width, text, kept).filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    names = {c: f"c{i}" for i, c in enumerate(kept)} | {text: "kept"}
+    return done.select(*[F.col(names[c]).alias(c) for c in docs.columns])
