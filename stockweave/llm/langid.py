@@ -33,6 +33,7 @@ SAMPLE_CHARS = 768
 MAX_LANGUAGES = 200
 BLOCK = 256
 BLOCKS_AT_ONCE = 8192
+ROWS_AT_ONCE = 1024
 UNDETERMINED = "und"
 
 
@@ -191,7 +192,13 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-@lru_cache(maxsize=2)
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
+@lru_cache(maxsize=1)
 def _parser(texts: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(dict(texts))
 
@@ -203,7 +210,7 @@ def predict(docs: DataFrame, training: dict[str, str], key: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _parser(shared.value)
-        for batch in batches:
+        for batch in _slices(batches):
             langs, scores = parser.judge(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"]
@@ -229,7 +236,7 @@ def accepted(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _parser(shared.value)
-        for batch in batches:
+        for batch in _slices(batches):
             langs, scores = parser.judge(batch.column(names.index("text")).to_pylist())
             yield batch.filter(pa.array([k != UNDETERMINED and s >= min_score for k, s in zip(langs, scores, strict=True)], pa.bool_()))
 

@@ -36,10 +36,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Words in the newer half of a worker's table; when it is full it becomes the older half, whose used words come back.
-KEPT_WORDS = 400_000
-KEPT_PAIRS = 400_000
+KEPT_WORDS = 120_000
+KEPT_PAIRS = 200_000
 #: Rows encoded before their ids are handed on.
-ROWS_AT_ONCE = 1024
+ROWS_AT_ONCE = 512
 
 #: Fixed by the model format: kinds of pieces.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -219,6 +219,8 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text") -> DataFrame
                     pa.array(ends, pa.int32(), mask=np.array([doc is None for doc in ids] + [False])), pa.array(flat, pa.int32())
                 )
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), lists], [*kept, "ids"])
+        # The worker lives on for other tasks, maybe of other stages: it keeps the pairs only.
+        pieces.words, pieces.older = {}, {}
 
     schema = rows.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
     return rows.mapInArrow(run, schema)
