@@ -49,6 +49,27 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(step):
+    """A mapInArrow step that gives freed memory back when its task ends, as the Python worker lives on for other stages."""
+
+    def run(batches):
+        import ctypes
+        import gc
+
+        import pyarrow
+
+        try:
+            yield from step(batches)
+        finally:
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -389,7 +389,7 @@ class Join:
         self.texts = self.rows.select("h1", "h2", "text")
         kind = docs.schema[key].dataType.simpleString()
         out = self.rows.mapInArrow(
-            _points(k, GROUPS, SLOTS), f"doc_id {kind}, h1 long, h2 long, n long, d1 long, d2 long, point binary, slot long, count long"
+            C.released(_points(k, GROUPS, SLOTS)), f"doc_id {kind}, h1 long, h2 long, n long, d1 long, d2 long, point binary, slot long, count long"
         )
         seen = C.staged(out, "jaccard-points")
         self.docs = seen.filter("n is not null").select("doc_id", "h1", "h2", "n", "d1", "d2")
@@ -404,7 +404,7 @@ class Join:
     def shared(self) -> DataFrame:
         """gram, d1, d2, n of the rare n-grams that several classes have."""
         known = self.spark.sparkContext.broadcast(self.counts)
-        packed = self.texts.select("text").mapInArrow(_prefixes(self.k, self.percent, SLOTS, self.buckets, known), P.PACKED)
+        packed = self.texts.select("text").mapInArrow(C.released(_prefixes(self.k, self.percent, SLOTS, self.buckets, known)), P.PACKED)
         return C.staged(packed.groupBy("bucket").applyInArrow(_met, SHARED).distinct(), "jaccard-grams")
 
     def star(self, rows: DataFrame, turn: int) -> DataFrame:
@@ -450,7 +450,7 @@ class Join:
         a = texts.select(F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("text").alias("ta"))
         b = texts.select(F.col("d1").alias("b1"), F.col("d2").alias("b2"), F.col("text").alias("tb"))
         both = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a1", "a2", "b1", "b2", "ta", "tb")
-        return C.staged(both.mapInArrow(_verify(self.k, self.percent), PAIRS), "jaccard-links")
+        return C.staged(both.mapInArrow(C.released(_verify(self.k, self.percent)), PAIRS), "jaccard-links")
 
     def rest(self, known: DataFrame) -> DataFrame:
         """Pairs of different components that share an n-gram and pass the bound, by tree."""

@@ -28,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stockweave.llm import common as C
+
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 768
 MAX_LANGUAGES = 200
@@ -217,7 +219,7 @@ def predict(docs: DataFrame, training: dict[str, str], key: str = "doc_id", text
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return rows.mapInArrow(C.released(run), f"doc_id {kind}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -240,4 +242,4 @@ def accepted(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
             langs, scores = parser.judge(batch.column(names.index("text")).to_pylist())
             yield batch.filter(pa.array([k != UNDETERMINED and s >= min_score for k, s in zip(langs, scores, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(C.released(run), docs.schema)

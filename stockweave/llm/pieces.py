@@ -33,6 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from stockweave.llm import common as C
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Words in the newer half of a worker's table; when it is full it becomes the older half, whose used words come back.
@@ -223,7 +225,7 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text") -> DataFrame
         pieces.words, pieces.older = {}, {}
 
     schema = rows.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(C.released(run), schema)
 
 
 def decode(encoded: DataFrame, model: str = MODEL, ids: str = "ids", into: str = "text") -> DataFrame:
@@ -239,7 +241,7 @@ def decode(encoded: DataFrame, model: str = MODEL, ids: str = "ids", into: str =
                 texts = [pieces.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in part.column(ids)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, into])
 
-    return encoded.mapInArrow(run, encoded.select(*kept).schema.add(into, T.StringType()))
+    return encoded.mapInArrow(C.released(run), encoded.select(*kept).schema.add(into, T.StringType()))
 
 
 def round_trip(docs: DataFrame, model: str = MODEL, key: str = "doc_id", text: str = "text") -> DataFrame:

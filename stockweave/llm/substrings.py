@@ -311,7 +311,7 @@ def remove(docs: DataFrame, width: int = WIDTH, text: str = "text", keep: list[s
     texts = docs.select(F.col(text).cast("string").alias("__text"), *named)
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("__text"), *named)
 
-    verdicts = _verdicts(texts.mapInArrow(_runs(width, buckets), P.PACKED))
+    verdicts = _verdicts(texts.mapInArrow(C.released(_runs(width, buckets)), P.PACKED))
     known = verdicts.select(F.col("d1").alias("__d1"), F.col("d2").alias("__d2"), F.col("found").alias("__found"))
     met = rows.join(known, ["__d1", "__d2"], "left").select(*carried, "__text", "__d1", "__d2", "__found")
     # Rows of packed records leave all else null, also columns that are never null in the input.
@@ -319,7 +319,7 @@ def remove(docs: DataFrame, width: int = WIDTH, text: str = "text", keep: list[s
     body = T.StructType(list(own))
     for field in T.StructType.fromDDL(f"__d1 long, __d2 long, {RESULT}, __packed binary, __sure binary, __open boolean, {P.PACKED}"):
         body = body.add(field)
-    passed = C.staged(met.mapInArrow(_first_pass(width, buckets, carried, keep_text, _arrow(body)), body), "substrings")
+    passed = C.staged(met.mapInArrow(C.released(_first_pass(width, buckets, carried, keep_text, _arrow(body))), body), "substrings")
 
     results = ["n_words", "n_removed", "kept_sha256", "kept"]
     windows = _verdicts(passed.filter("bucket is not null").select("bucket", "decided", "payload"))
@@ -328,7 +328,7 @@ def remove(docs: DataFrame, width: int = WIDTH, text: str = "text", keep: list[s
     after = T.StructType(list(own))
     for field in T.StructType.fromDDL(RESULT):
         after = after.add(field)
-    last = waiting.mapInArrow(_second_pass(width, carried, keep_text, _arrow(after)), after)
+    last = waiting.mapInArrow(C.released(_second_pass(width, carried, keep_text, _arrow(after))), after)
     return passed.filter("bucket is null and __open is null").select(*carried, *results).unionAll(last.select(*carried, *results))
 
 
