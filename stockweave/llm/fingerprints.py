@@ -1,6 +1,6 @@
 """Document fingerprints from improbable features.
 
-Every window of ``WINDOW`` bytes has an entropy; how rare its entropy is over
+Every window of ``FEATURE`` bytes has an entropy; how rare its entropy is over
 all windows of all documents ranks it. In each stretch of ``STRETCH`` windows
 the rarest wins, and windows that win often are the document's features. They
 go, in text order, into a chain of Bloom filters of ``FILTER_BITS`` bits with
@@ -11,7 +11,7 @@ Two passes: the first counts entropies over all windows (a table of ``LEVELS``
 numbers whatever the input), the second makes the fingerprints.
 
 Defined cases: a null text is empty and has no feature; a text shorter than
-its window has one feature, the text itself; two texts without features have
+a window has one feature, the text itself; two texts without features have
 likeness 1, one with and one without 0; equal texts have equal fingerprints;
 in order of key, equal keys are told apart by the text, nulls come last; a
 single document is its own next one; an empty table gives an empty result.
@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from stockweave.llm import common as C
 from stockweave.llm.packed import mix
 
+#: Longest window whose entropy can be measured.
 WINDOW = 64
-#: Texts of fewer characters have windows of so many bytes.
-SHORT_CHARS, SHORT_WINDOW = 384, 16
+#: Bytes of a window of any text, short or long: features of two lengths would never meet.
+FEATURE = 16
 STRETCH = 64
 #: A window is a feature if it wins at least one in so many of the stretches it could win.
 WINS = 4
@@ -79,7 +80,7 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - size)], values[width - size :]) if size < width else values
 
 
-def levels_of(texts: list[np.ndarray], window: int = WINDOW) -> list[np.ndarray]:
+def levels_of(texts: list[np.ndarray], window: int = FEATURE) -> list[np.ndarray]:
     """Levels of all windows of each text. Short texts are measured together, long ones chunk by chunk."""
     out: list[list[np.ndarray]] = [[] for _ in texts]
     block: list[tuple[int, np.ndarray]] = []
@@ -104,7 +105,7 @@ def levels_of(texts: list[np.ndarray], window: int = WINDOW) -> list[np.ndarray]
     return [np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.zeros(0, dtype=np.int16) for parts in out]
 
 
-def features(data: np.ndarray, level: np.ndarray, ranks: np.ndarray, window: int = WINDOW) -> np.ndarray:
+def features(data: np.ndarray, level: np.ndarray, ranks: np.ndarray, window: int = FEATURE) -> np.ndarray:
     """Hashes of the selected windows of one text, in order."""
     if len(data) < window:
         return np.array([xxhash.xxh3_64_intdigest(data.tobytes())] if len(data) else [], dtype=np.uint64)
@@ -126,14 +127,9 @@ def features(data: np.ndarray, level: np.ndarray, ranks: np.ndarray, window: int
 
 
 def chains(texts: list[str], ranks: np.ndarray) -> list[np.ndarray]:
-    """The filters of each text; texts of fewer than ``SHORT_CHARS`` characters have shorter windows."""
-    out: list = [None] * len(texts)
-    for window, short in ((WINDOW, False), (SHORT_WINDOW, True)):
-        own = [i for i, t in enumerate(texts) if (len(t) < SHORT_CHARS) == short]
-        data = [_bytes(texts[i]) for i in own]
-        for i, d, level in zip(own, data, levels_of(data, window), strict=True):
-            out[i] = chain(features(d, level, ranks, window))
-    return out
+    """The filters of each text."""
+    data = [_bytes(t) for t in texts]
+    return [chain(features(d, level, ranks)) for d, level in zip(data, levels_of(data), strict=True)]
 
 
 def chain(hashes: np.ndarray) -> np.ndarray:
@@ -182,7 +178,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def ranks(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Rank of each level: the rarer among all windows of all documents, the smaller."""
-    rows = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_count, "level long, windows long")
+    rows = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(C.released(_count), "level long, windows long")
     counts = np.zeros(LEVELS, dtype=np.int64)
     for r in rows.groupBy("level").agg(F.sum("windows").alias("windows")).collect():
         counts[r["level"]] = r["windows"]
@@ -262,4 +258,4 @@ def compare(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     sorted_ = everything.repartition(buckets, "bucket").sortWithinPartitions("bucket", "guest", F.col("doc_id").asc_nulls_last(), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return sorted_.select("bucket", "doc_id", "text").mapInArrow(_compared(rank), schema)
+    return sorted_.select("bucket", "doc_id", "text").mapInArrow(C.released(_compared(rank)), schema)

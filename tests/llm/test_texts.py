@@ -161,6 +161,24 @@ def test_fingerprints_of_odd_rows(spark):
     assert fingerprints.compare(odd.empty(spark)).count() == 0
 
 
+def test_fingerprints_of_texts_on_both_sides_of_a_size(spark):
+    # Near copies and edits of all lengths, so some pairs straddle whatever size might be treated differently.
+    text = odd.prose(77, 400)
+    rows = [(2 * n + side, text[: n + 6 * side], "", "", 0) for n in (60, 90, 125, 253, 381, 510, 1021) for side in (0, 1)]
+    rows += [(5000, odd.prose(78, 200)[:600], "", "", 0), (5001, odd.prose(79, 9)[:50], "", "", 0)]
+    by = {r.doc_id: r for r in fingerprints.compare(spark.createDataFrame(rows, odd.SCHEMA)).collect()}
+    assert all(by[2 * n].near_next > 0.7 for n in (60, 90, 125, 253, 381, 510, 1021))
+    assert by[5000].near_edited > 0.3
+
+
+def test_ranks_count_the_windows_features_come_from(spark):
+    rows = [(i, odd.prose(i, 4)[:30], "", "", 0) for i in range(40)]  # all texts shorter than 64 bytes
+    counts = np.bincount(np.concatenate(fingerprints.levels_of([fingerprints._bytes(t) for _, t, *_ in rows])), minlength=fingerprints.LEVELS)
+    got = fingerprints.ranks(spark.createDataFrame(rows, odd.SCHEMA))
+    usual = np.arange(fingerprints.LEVELS) >= fingerprints.LEVELS // 10
+    assert counts.max() > 0 and got[usual].max() == got[np.argmax(np.where(usual, counts, -1))] > got[usual & (counts == 0)].max()
+
+
 def test_cross_parsing_matches_longest_substrings():
     texts = {"x": "abracadabra arcade bard", "y": "the cat sat on the mat"}
     parser = langid.Parser(texts)
