@@ -17,6 +17,10 @@ from stockweave.sources import detect as D
 from stockweave.sources import scan as C
 
 
+#: Note of a file that has no certain rows: it counts among its like, is not loaded and is listed as skipped.
+UNCLOSED = "a quoted cell is never closed"
+
+
 @dataclass
 class Intake:
     """What a run read: the facts and the tables that account for every file."""
@@ -37,9 +41,10 @@ def detect_csv(spark: SparkSession, root: str, profiles=D.STORE_PROFILES) -> tup
     # The place of a line depends on how one scan was split; storing it makes it hold for every later read.
     lines = cut_lineage(C.read_lines(spark, root), "lines")
     profile = C.content_profile(lines)
-    text = C.join_records(C.decode_lines(lines, profile), profile)
+    text, unclosed = C.join_records(C.decode_lines(lines, profile), profile)
     head = C.head_rows(text)
     kinds = D.classify_source(files.join(D.csv_headers(head), "path", "left"), profiles)
+    kinds = kinds.join(unclosed.withColumn("_note", F.lit(UNCLOSED)), "path", "left").withColumn("note", F.coalesce("_note", "note")).drop("_note")
     blocks = F.col("kind") == "store_blocks"
     wanted = kinds.withColumn("_line", F.when(blocks, 1).otherwise(F.col("header_row"))).select("path", "_line")
     place = (
@@ -102,7 +107,8 @@ def load_folder(
     """Detect, drop duplicates, adapt every kind at once, scope, resolve and conform."""
     csv_files, lines = detect_csv(spark, root, profiles)
     kept, lost = D.dedupe_files(csv_files, facility)
-    found = [csv_files]
+    kept = kept.filter(F.col("note") != UNCLOSED)
+    found = [csv_files.withColumn("kind", F.when(F.col("note") == UNCLOSED, "UNREADABLE").otherwise(F.col("kind")))]
     # Distinct kinds and the widest header: a handful of values, whatever the data size.
     width = csv_files.agg(F.coalesce(F.max(F.size("header")), F.lit(1))).first()[0]
     staged = C.body_cells(lines, kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_block", "header_seq"), max(width, 1))

@@ -82,25 +82,68 @@ def read_lines(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def join_records(lines: DataFrame, profile: DataFrame) -> DataFrame:
-    """Lines as records: a line break inside quotes belongs to its cell.
+def _stays_open(is_open: Column, piece: Column) -> Column:
+    """Whether a quoted cell is open after the text between two commas."""
+    rest = F.when(is_open, piece).otherwise(F.substr(piece, F.lit(2)))
+    return (is_open | F.startswith(piece, F.lit('"'))) & ~F.contains(F.replace(rest, F.lit('""'), F.lit("")), F.lit('"'))
 
-    Only files in which some line has an odd number of quotes can hold such a
-    break; theirs are joined in file order, which takes a file in one task, as
-    reading it whole would. All other files stay as they are.
+
+def _open_after(value: Column, inside: bool) -> Column:
+    """Whether a line leaves a quoted cell open, if it begins outside (or inside) of one.
+
+    A quote opens a cell only as its first character and, unless doubled,
+    closes it; any other quote is text (an inch mark).
+    """
+    return F.when(F.contains(value, F.lit('"')), F.aggregate(F.split(value, ","), F.lit(inside), _stays_open)).otherwise(F.lit(inside))
+
+
+def join_records(lines: DataFrame, profile: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lines as records, paths whose last quoted cell is never closed).
+
+    A line break inside a quoted cell belongs to its cell. Only files in which
+    some line leaves a cell open can hold such a break. A line sets, swaps or
+    keeps the state (outside or inside a cell), so states are found within each
+    block and carried from block to block: no task needs a whole file. A file
+    that ends inside a cell keeps its lines as they are.
     """
     odd = profile.filter("odd").select("path")
     plain = lines.join(odd, "path", "left_anti")
-    order = Window.partitionBy("path").orderBy("block", "seq")
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    before = F.coalesce(F.sum(quotes).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marked = lines.join(odd, "path").withColumn("_first", (before % 2 == 0).cast("int")).withColumn("_record", F.sum("_first").over(order))
+    order = Window.partitionBy("path", "block").orderBy("seq")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    # After a line the state is (what the last setting line left, else the state before the block) + swaps, modulo 2.
+    marked = (
+        lines.join(odd, "path")
+        .withColumns({"_out": _open_after(F.col("value"), False), "_in": _open_after(F.col("value"), True)})
+        .withColumn("_swap", (F.col("_out") & ~F.col("_in")).cast("int"))
+        .withColumn("_swaps", F.sum("_swap").over(upto))
+        .withColumn("_set", F.last(F.when(F.col("_out") == F.col("_in"), F.col("_out").cast("int") + F.col("_swaps")), True).over(upto))
+        .withColumn("_set_before", F.lag("_set").over(order))
+    )
+    # One row per block of a file.
+    along = Window.partitionBy("path").orderBy("block")
+    blocks = (
+        marked.groupBy("path", "block").agg(F.max_by(F.struct("_set", "_swaps"), "seq").alias("_end"))
+        .withColumn("_flips", F.sum(F.when(F.col("_end._set").isNull(), F.col("_end._swaps")).otherwise(0)).over(along))
+        .withColumn("_fixed", F.last(F.when(F.col("_end._set").isNotNull(), F.col("_end._set") + F.col("_end._swaps") + F.col("_flips")), True).over(along))
+        .withColumn("_after", (F.coalesce("_fixed", F.lit(0)) + F.col("_flips")) % 2)
+        .select("path", "block", "_after", F.lag("_after", 1, 0).over(along).alias("_begin"))
+    )
+    unclosed = blocks.groupBy("path").agg(F.max_by("_after", "block").alias("_last")).filter("_last = 1").select("path")
+    outside = (F.coalesce("_set_before", "_begin") + F.col("_swaps") - F.col("_swap")) % 2 == 0
+    begun = marked.join(blocks.select("path", "block", "_begin"), ["path", "block"]).withColumn(
+        "_start", F.last(F.when(outside, F.struct("block", "seq")), True).over(upto)
+    )
+    # The record that an earlier block began.
+    latest = begun.groupBy("path", "block").agg(F.max("_start").alias("_latest"))
+    carried = latest.select("path", "block", F.last("_latest", True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
     parts = F.array_sort(F.collect_list(F.struct("block", "seq", "value")))
-    joined = marked.groupBy("path", "_record").agg(parts.alias("_parts")).select(
-        "path", F.col("_parts")[0]["block"].alias("block"), F.col("_parts")[0]["seq"].alias("seq"),
+    whole = begun.join(carried, ["path", "block"]).join(unclosed, "path", "left_anti").withColumn("_record", F.coalesce("_start", "_carried"))
+    joined = whole.groupBy("path", "_record").agg(parts.alias("_parts")).select(
+        "path", F.col("_record.block").alias("block"), F.col("_record.seq").alias("seq"),
         F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"),
     )
-    return plain.unionByName(joined).filter("trim(value) <> ''")
+    left = lines.join(unclosed, "path", "left_semi")
+    return plain.unionByName(joined).unionByName(left).filter("trim(value) <> ''"), unclosed
 
 
 def content_profile(lines: DataFrame) -> DataFrame:
@@ -114,9 +157,8 @@ def content_profile(lines: DataFrame) -> DataFrame:
     starts = lines.groupBy("path", "block").agg(F.min("seq").alias("_start"))
     lines = lines.join(starts, ["path", "block"]).withColumn("_nth", F.col("seq") - F.col("_start")).filter("trim(value) <> ''")
     h = F.xxhash64("block", "_nth", "value")
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     return lines.groupBy("path").agg(
-        F.bool_or(quotes % 2 == 1).alias("odd"),
+        F.bool_or(_open_after(F.regexp_replace("value", "^\\uFEFF", ""), False)).alias("odd"),
         F.count(F.lit(1)).alias("rows"),
         F.concat_ws(
             "-", F.sum(h.cast("decimal(38,0)")).cast("string"), F.bit_xor(F.xxhash64(F.lit("x"), "block", "_nth", "value")).cast("string"),
@@ -137,9 +179,16 @@ def decode_lines(lines: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def split_cells(value: Column) -> Column:
-    """Cells of a heading line; quoted commas stay inside their cell."""
-    cells = F.split(value, ',(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    return F.transform(cells, lambda c: F.trim(F.regexp_replace(F.replace(c, F.lit("\u00a0"), F.lit(" ")), '^\\s*"|"\\s*$', "")))
+    """Cells of a heading line; commas of quoted cells stay inside them."""
+    def step(done, piece):
+        before = F.when(done["open"], F.slice(done["cells"], F.lit(1), F.size(done["cells"]) - 1)).otherwise(done["cells"])
+        cell = F.when(done["open"], F.concat(F.element_at(done["cells"], -1), F.lit(","), piece)).otherwise(piece)
+        return F.struct(F.concat(before, F.array(cell)).alias("cells"), _stays_open(done["open"], piece).alias("open"))
+
+    none = F.struct(F.array().cast("array<string>").alias("cells"), F.lit(False).alias("open"))
+    cells = F.aggregate(F.split(value, ","), none, step)["cells"]
+    bare = F.transform(cells, lambda c: F.replace(c, F.lit("\u00a0"), F.lit(" ")))
+    return F.transform(bare, lambda c: F.trim(F.when(c.rlike('^\\s*"'), F.regexp_replace(c, '^\\s*"|"\\s*$', "")).otherwise(c)))
 
 
 def head_rows(lines: DataFrame, n: int = HEAD_ROWS) -> DataFrame:

@@ -1,7 +1,10 @@
 """Files on disk to facts: detection, duplicates, encodings, adapters, tie-out."""
 
+import csv
 import datetime as dt
+import io
 import os
+import random
 
 import pytest
 
@@ -208,3 +211,48 @@ def test_alias_headers(spark):
     real = spark.createDataFrame([("a", "b")], "`Item SkuCode` string, SKU string")
     assert B.alias_headers(real).columns == ["Item SkuCode", "SKU"]
     assert B.looks_like_po(df) and not B.looks_like_po(real)
+
+
+def test_records_follow_the_csv_rules_across_blocks(spark):
+    # The csv module tells which lines make a record; lines are dealt over blocks of three.
+    r, rows, want, open_ends = random.Random(4), [], {}, set()
+    for n in range(60):
+        lines = ["".join(r.choice('aa,""') for _ in range(r.randint(1, 7))) for _ in range(r.randint(1, 14))]
+        rows += [(f"f{n}", i // 3, 1000 * (i // 3) + i, text) for i, text in enumerate(lines)]
+        reader, at, found = csv.reader(x + "\n" for x in lines), 0, []
+        for _ in reader:
+            found.append("\n".join(lines[at : reader.line_num]))
+            at = reader.line_num
+        try:
+            list(csv.reader((x + "\n" for x in lines), strict=False))
+            text = "\n".join(lines) + "\n"
+            closed = len(list(csv.reader(io.StringIO(text + "end,of\n")))) == len(found) + 1
+        except csv.Error:
+            closed = False
+        want[f"f{n}"] = found if closed else lines
+        if not closed:
+            open_ends.add(f"f{n}")
+    table = spark.createDataFrame(rows, "path string, block long, seq long, value string").repartition(5)
+    got, unclosed = C.join_records(table, C.content_profile(table))
+    by = {}
+    for x in sorted(got.collect(), key=lambda x: (x.path, x.block, x.seq)):
+        by.setdefault(x.path, []).append(x.value)
+    assert {x.path for x in unclosed.collect()} == open_ends and 5 < len(open_ends) < 55
+    assert by == want
+
+
+def test_an_inch_mark_swallows_no_row(spark, tmp_path, lookup):
+    head = "Product SKU Code,Channel Ledger,Qty,Total,Sales,Date\n"
+    put(tmp_path / "Tally GST.csv", head + 'TS-1,MYNTRAPPMP,2,200,180,2026-07-01\nTV 32" flat,MYNTRAPPMP,1,9,9,2026-07-02\nTS-2,SNAPMINT,1,100,90,2026-07-03\n'
+        + '"SH\n1",SNAPMINT,3,30,30,2026-07-04\nTS-1,SNAPMINT,1,5,5,2026-07-05\n')
+    put(tmp_path / "Inventory Snapshot.csv", 'Item SkuCode,Facility,Inventory,MRP\n"TS-1,WH1,10,500\nTS-2,WH2,3,400\n')
+    got = load_folder(spark, str(tmp_path), lookup)
+    assert sorted((r.external_id, r.qty_sold) for r in got.sales.collect()) == [
+        ("SH\n1", 3.0), ("TS-1", 1.0), ("TS-1", 2.0), ("TS-2", 1.0), ('TV 32" FLAT', 1.0)]
+    assert {r.file: r.reason for r in got.skipped.collect()} == {"Inventory Snapshot.csv": "a quoted cell is never closed"} and got.inventory.count() == 0
+
+
+def test_heading_cells(spark):
+    df = spark.createDataFrame([('Item,Size 32",Name',), ('"a, b", "c ",d',), ('"x ""y"", z",,"w"',)], "value string")
+    got = [r[0] for r in df.select(C.split_cells(df.value)).collect()]
+    assert got == [["Item", 'Size 32"', "Name"], ["a, b", "c", "d"], ['x ""y"", z', "", "w"]]
