@@ -5,7 +5,13 @@ lines left out; one spelling for equivalent words; single spaces) and its
 SHA-256 is hash-joined with the digests of known licences and notices. Whole
 texts are looked up, and every line as a text of its own, as notices mostly
 stand on a line. DataFrame functions only. The known table is fixed in this
-module (a few hundred rows), so broadcasting it has a proven bound.
+module and its folder ``license_texts`` (a few hundred rows), so broadcasting
+it has a proven bound; a caller's own table of texts is joined without a hint.
+
+A copyright line is told by how the text is broken into lines. The texts of
+the folder are known as published and with each paragraph on one line, both
+with and without what follows the terms; other line breaks within a clause
+that speaks of copyright give another digest.
 
 Defined cases: a null text is empty; an empty canonical form has no licence;
 a line is counted as often as it stands in the text; equal rows get equal
@@ -15,6 +21,10 @@ result; other input columns are ignored.
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stockweave.llm import common as C
@@ -105,20 +115,37 @@ def digest(lines: Column) -> Column:
     return F.when(one != "", F.sha2(one, 256))
 
 
-def known(spark: SparkSession) -> DataFrame:
-    """license, digest of every known text and notice."""
-    rows = TEXTS + [(k, n.format(name)) for k, names in NAMES.items() for name in names for n in NOTICES]
+@lru_cache(maxsize=1)
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """(license, text) of the published texts in ``license_texts``, in the forms they are met in."""
+    out = []
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        whole = file.read_text(encoding="utf-8")
+        terms = re.split(r"(?m)^.*END OF TERMS AND CONDITIONS.*$", whole)[0]
+        marked = re.match(r"(?s).*?END OF TERMS AND CONDITIONS", whole)
+        for text in dict.fromkeys([whole, terms, marked.group() if marked else whole]):
+            out += [(file.stem, text), (file.stem, re.sub(r"(?<!\n)\n[ \t]*(?![ \t\n])", " ", text))]
+    return tuple(out)
+
+
+def known(spark: SparkSession, texts: DataFrame | None = None) -> DataFrame:
+    """license, digest of every known text and notice; ``texts`` (license, text) come on top."""
+    rows = TEXTS + list(full_texts()) + [(k, n.format(name)) for k, names in NAMES.items() for name in names for n in NOTICES]
     table = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(t).alias("text")) for k, t in rows])
-    texts = spark.range(1).select(F.explode(table).alias("r")).select("r.license", "r.text")
-    return texts.select(digest(canonical(F.col("text"))).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+    own = spark.range(1).select(F.explode(table).alias("r")).select("r.license", "r.text")
+    if texts is not None:
+        own = own.unionByName(texts.select("license", "text"))
+    digests = own.select(digest(canonical(F.col("text"))).alias("digest"), "license").filter("digest is not null")
+    return digests.groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: DataFrame | None = None) -> DataFrame:
     """Per document: doc_id, canonical_sha256, license (of the whole text, or null), line_licenses (distinct, sorted,
     joined by a space, null if none) and n_license_lines.
 
     One pass over the texts leaves a row for each whole text and each line
     that matched; only those are grouped, by a row number given in that pass.
+    ``texts``: license, text of further known licences, however many.
     """
     lined = docs.select(
         F.col(key).alias("doc_id"),
@@ -127,7 +154,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     )
     lines = F.filter(F.transform(F.split("__lines", "\n"), digest), lambda d: d.isNotNull())
     units = lined.select("doc_id", "__row", F.posexplode(F.concat(F.array(digest(F.col("__lines"))), lines)).alias("__unit", "digest"))
-    matched = units.join(F.broadcast(known(docs.sparkSession)), "digest", "left").filter("__unit = 0 or license is not null")
+    table = known(docs.sparkSession, texts)
+    matched = units.join(F.broadcast(table) if texts is None else table, "digest", "left").filter("__unit = 0 or license is not null")
     found = C.staged(matched, "licenses")
     whole = F.col("__unit") == 0
     return (

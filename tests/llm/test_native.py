@@ -74,6 +74,20 @@ def test_licences_of_odd_rows_match_sql(spark):
     assert everything.count() == len(odd.rows()) and licenses.scan(odd.empty(spark)).count() == 0
 
 
+def test_whole_texts_of_licences(spark):
+    names = [k for k, _ in dict.fromkeys((k, 0) for k, _ in licenses.full_texts())]
+    assert {"Apache-2.0", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "CC0-1.0"} <= set(names)
+    published = {k: next(t for n, t in licenses.full_texts() if n == k) for k in names}
+    rows = [(i, published[k].replace("\n", "\r\n  "), "", "", 0) for i, k in enumerate(names)]
+    rows += [(50, published["Apache-2.0"].split("END OF TERMS")[0], "", "", 0), (51, published["GPL-3.0"][:9000], "", "", 0), (52, "Be excellent.\nTo all!", "", "", 0)]
+    docs = spark.createDataFrame(rows, odd.SCHEMA)
+    got = {r.doc_id: r.license for r in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(names))] == names and got[50] == "Apache-2.0" and got[51] is None and got[52] is None
+    own = spark.createDataFrame([("Excellent-1.0", "BE EXCELLENT to all"), ("none", "!")], "license string, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(docs, texts=own).collect()}
+    assert got[52] == "Excellent-1.0" and got[50] == "Apache-2.0"
+
+
 def _measured(text):
     words = WORD.findall(text or "")
     seen = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
