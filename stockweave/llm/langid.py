@@ -2,15 +2,17 @@
 
 A suffix automaton holds every substring of a language's training text. A text
 is cut greedily into the longest phrases the automaton knows; the language
-that needs the fewest, each phrase priced at the log of its training length,
-describes the text best. Texts are folded to letters in lower case and parsed in blocks
+that needs the fewest describes the text best. A phrase has one price in all
+languages, that of a pointer into all training texts together, and a letter a
+language does not know costs a phrase: little training text is no advantage.
+Texts are folded to letters in lower case and parsed in blocks
 of ``BLOCK`` characters, so many blocks step through the automata side by side
 and a very long text is only more blocks.
 
 The training text is a bounded sample: at most ``SAMPLE_DOCS`` documents per
-language, chosen by hash, ``SAMPLE_CHARS`` characters of each. It is broadcast
+language, chosen by hash, ``SAMPLE_CHARS`` folded characters of each. It is broadcast
 (languages * SAMPLE_DOCS * SAMPLE_CHARS characters, for at most
-``MAX_LANGUAGES`` languages, the most frequent) and each Python worker builds
+``MAX_LANGUAGES`` languages, the most frequent; rarer ones are never told) and each Python worker builds
 the automata once.
 
 Defined cases: a null text and a text without a letter are ``und`` with score
@@ -64,13 +66,18 @@ def sample(docs: DataFrame, docs_per_language: int = SAMPLE_DOCS, chars: int = S
     """
     labelled = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
-    short = labelled.select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, chars).alias("t"))
+    marked = labelled.select("lang", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"), "text")
     first = Window.partitionBy("lang").orderBy("h", "t")
-    picked = short.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= docs_per_language)
-    rows = picked.join(common, "lang", "left_semi").orderBy("lang", "n").collect()
+    nth = F.row_number().over(first)
+    # The documents are chosen before any text is folded or moved.
+    picked = marked.select("lang", "h", "t").withColumn("n", nth).filter(F.col("n") <= docs_per_language).select("lang", "h", "t").distinct()
+    chosen = marked.join(F.broadcast(picked), ["lang", "h", "t"], "left_semi").join(common, "lang", "left_semi")  # languages * docs_per_language rows
+    letters = F.substring(F.trim(F.regexp_replace("text", r"[^\p{L}]+", " ")), 1, chars)
+    short = chosen.select("lang", "h", "t", letters.alias("letters"))
+    rows = short.withColumn("n", nth).filter(F.col("n") <= docs_per_language).orderBy("lang", "n").collect()
     texts: dict[str, list[str]] = {}
     for r in rows:
-        texts.setdefault(r["lang"], []).append(fold(r["t"]))
+        texts.setdefault(r["lang"], []).append(fold(r["letters"])[:chars])
     return {lang: " ".join(parts) for lang, parts in sorted(texts.items())}
 
 
@@ -116,7 +123,6 @@ class Parser:
         known[alphabet] = np.arange(1, self.letters)
         self.codes, self.space = known[_lower()], int(known[ord(" ")])
         self.tables = [_automaton(known[_points(texts[k])].tolist(), self.letters).ravel() for k in self.languages]
-        self.price = np.array([np.log2(len(texts[k]) + 1) for k in self.languages])
 
     def read(self, text: str) -> np.ndarray:
         """The folded text as letters of the alphabet."""
@@ -163,15 +169,14 @@ class Parser:
         if waiting:
             self._count(waiting, totals)
         langs, scores = [], []
-        costs = totals * self.price if self.languages else totals
         for i in range(len(texts)):
             if not known[i]:
                 langs.append(UNDETERMINED)
                 scores.append(0.0)
                 continue
-            order = np.argsort(costs[i], kind="stable")
+            order = np.argsort(totals[i], kind="stable")
             langs.append(self.languages[order[0]])
-            scores.append(float(1 - costs[i][order[0]] / costs[i][order[1]]) if len(order) > 1 else 1.0)
+            scores.append(float(1 - totals[i][order[0]] / totals[i][order[1]]) if len(order) > 1 else 1.0)
         return langs, scores
 
     def _count(self, waiting: list[tuple[int, np.ndarray]], totals: np.ndarray) -> None:

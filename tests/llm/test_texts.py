@@ -221,6 +221,26 @@ def test_languages_held_out(spark):
     assert {7, 8, 9, 14}.isdisjoint(r.doc_id for r in kept.collect()) and kept.columns == odd.documents(spark).columns
 
 
+def test_a_language_with_little_training_text_wins_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    training = langid.sample(docs)
+    texts = [(r.lang, r.text[:400]) for r in docs.filter("lang is not null and length(text) > 400").filter(langid.held_out(docs.doc_id)).limit(60).collect()]
+    for tiny in ("a", "ok", "hallo"):
+        langs, _ = langid.Parser(training | {"zz": tiny, "aa": tiny}).judge([t for _, t in texts])
+        assert sum(a == b for a, (b, _) in zip(langs, texts, strict=True)) >= 0.95 * len(texts), tiny
+    # A large alphabet has short phrases; a language that knows none of its letters does not win by them.
+    r = random.Random(7)
+    many = "".join(chr(0x4E00 + r.randrange(900)) for _ in range(20_000))
+    langs, _ = langid.Parser({"en": odd.prose(1, 60), "zh": many}).judge(["".join(many[i : i + 2] for i in range(0, 900, 37))])
+    assert langs == ["zh"]
+
+
+def test_sample_is_cut_after_folding(spark):
+    rows = [(i, "# 1 " * 400 + odd.prose(i, 400), "en", "a", 1) for i in range(1, 40)]
+    got = langid.sample(spark.createDataFrame(rows + rows[:3], odd.SCHEMA), docs_per_language=10)["en"]
+    assert 10 * (langid.SAMPLE_CHARS - 1) <= len(got) <= 10 * (langid.SAMPLE_CHARS + 1)
+
+
 def test_pieces_equal_the_library(spark):
     sentencepiece = pytest.importorskip("sentencepiece")
     library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
