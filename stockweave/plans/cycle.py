@@ -66,6 +66,24 @@ def report_set(
     }
 
 
+def dashboard(reports: dict[str, DataFrame]) -> DataFrame:
+    """Payload of the eleven report tables, all columns of all rows but for the four lists that show their top only."""
+    by = lambda c, *then: [F.desc_nulls_last(c), *then]
+    return W.payload_rows({
+        "summary": (reports["summary"], [], None),
+        "channel": (P.channel_pivot(reports["channel"]), [], None),
+        "store": (reports["stores"], [], None),
+        "sku": (reports["sku_performance"], by("net_value_sell_out", "master_sku"), 40),
+        "audit": (reports["load_audit"], [], None),
+        "coverage": (reports["period_coverage"], [], None),
+        "exceptions": (reports["exceptions"], by("value", "source_file", "external_id", "declared_id_type", "reason"), 25),
+        "basis": (reports["value_basis"], [], None),
+        "returns": (reports["returns"], [], None),
+        "po_vendor": (reports["po_by_vendor"], by("pending", "vendor", "po_status"), 20),
+        "po_sku": (reports["inbound_by_sku"], by("on_order", "master_sku"), 25),
+    }, nulls=True)
+
+
 def run_cycle(
     spark: SparkSession, facts: tuple[DataFrame, DataFrame, DataFrame], items: DataFrame,
     notes: tuple[DataFrame, DataFrame], out: str, run_id: str, asof: dt.date,
@@ -79,7 +97,13 @@ def run_cycle(
     """
     W.write_facts(f"{out}/facts", *facts)
     sales, inventory, purchases = load_facts(spark, f"{out}/facts")
-    W.write_reports(f"{out}/reports", report_set(sales, inventory, purchases, facility, intake))
+    reports = report_set(sales, inventory, purchases, facility, intake)
+    written = W.write_reports(f"{out}/reports", reports)
+    # The payload reads the written reports; one that was left out has no rows.
+    stored = {
+        n: spark.read.schema(W.flatten_headers(df).schema).parquet(f"{out}/reports/{n}") if n in written else df.limit(0) for n, df in reports.items()
+    }
+    W.write_reports(f"{out}/reports", {"dashboard": dashboard(stored)})
 
     by_sku, by_style = notes
     sku_path = f"{out}/work/{run_id}/svs_sku"

@@ -58,16 +58,17 @@ def prunable_runs(df: DataFrame, run_column: str = "run_id", keep: int = S.RUNS_
     return runs.join(F.broadcast(newest), run_column, "left_anti")  # ``keep`` rows
 
 
-def payload_rows(tables: dict[str, tuple[DataFrame, list, int | None]]) -> DataFrame:
+def payload_rows(tables: dict[str, tuple[DataFrame, list, int | None]], nulls: bool = False) -> DataFrame:
     """Dashboard payload as (table, position, json): name -> (rows, order, how many).
 
     One JSON text per report row keeps the payload a table, however long it is.
+    ``nulls``: whether columns without a value stand in it too.
     """
     parts = []
     for name, (df, order, n) in tables.items():
         top = df.orderBy(*order).limit(n) if n else df
         numbered = top.withColumn("position", F.row_number().over(Window.orderBy(*order))) if n else top.withColumn("position", F.lit(None).cast("int"))
-        parts.append(numbered.select(F.lit(name).alias("table"), "position", F.to_json(F.struct(*df.columns)).alias("json")))
+        parts.append(numbered.select(F.lit(name).alias("table"), "position", F.to_json(F.struct(*df.columns), {"ignoreNullFields": str(not nulls).lower()}).alias("json")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -1,6 +1,7 @@
 """A folder of extracts to published tables: nothing is lost, and every outcome leaves a status row."""
 
 import datetime as dt
+import json
 
 import pytest
 
@@ -8,7 +9,7 @@ from stockweave import schemas as S
 from stockweave.functions import numbers as N
 from stockweave.operators.lifecycle import merge_history
 from stockweave.plans import facts as FP
-from stockweave.plans.cycle import run_folder
+from stockweave.plans.cycle import dashboard, report_set, run_folder
 from stockweave.sinks import publish as W
 from stockweave.sources import scan as C
 from stockweave.sources.intake import load_folder
@@ -121,3 +122,22 @@ def test_runs_waiting_before_one_trigger(spark, tmp_path):
             ("run-0", "x"): ("NEW", 1), ("run-0", "y"): ("NEW", 1), ("run-1", "x"): ("RESOLVED", 1), ("run-1", "y"): ("ONGOING", 2), ("run-1", "z"): ("NEW", 1),
         }
     assert {r.sku for r in SA.state_after(spark, root, 0).collect()} == {"y", "z"}
+
+
+def test_dashboard_holds_all_tables_columns_and_vendors(spark, lookup, tmp_path):
+    put(tmp_path / "uniware/Tally GST.csv", GST)
+    po = [f"PO{i},TS-1,{'CANCELLED' if i % 2 else 'APPROVED'},2026-05-01,{'' if i == 7 else f'V{i}'},WH1,{20 + i},5,0,{100 + i},9\n" for i in range(30)]
+    put(tmp_path / "uniware/Purchase Orders.csv", PO_HEADER + "".join(po))
+    got = load_folder(spark, str(tmp_path), lookup)
+    reports = report_set(got.sales, got.inventory, got.purchases)
+    rows = dashboard(reports).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.table, []).append(json.loads(r.json))
+    assert set(by) <= {"summary", "channel", "store", "sku", "audit", "coverage", "exceptions", "basis", "returns", "po_vendor", "po_sku"}
+    assert {"summary", "channel", "audit", "coverage", "basis", "po_vendor", "po_sku"} <= set(by)
+    for table, report in (("summary", "summary"), ("audit", "load_audit"), ("po_vendor", "po_by_vendor"), ("po_sku", "inbound_by_sku"), ("basis", "value_basis")):
+        assert all(set(x) == set(reports[report].columns) for x in by[table]), table
+    # The twenty of most pending units, whatever their status, one of them without a name.
+    assert sorted(x["pending"] for x in by["po_vendor"]) == [float(100 + i) for i in range(10, 30)] and len({x["po_status"] for x in by["po_vendor"]}) == 2
+    assert len(by["summary"]) == reports["summary"].count()
