@@ -33,7 +33,7 @@ def stage(function):
 
 @stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; a null text or one without letters goes."""
+    """Documents but those of undetermined language: only a null text or one without letters goes."""
     return langid.accepted(docs)
 
 

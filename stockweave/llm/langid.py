@@ -233,11 +233,17 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """The documents whose language could be told, with the columns of ``docs``; the others go.
+    """The documents that are not undetermined, with the columns of ``docs``; texts without a letter go.
 
-    ``min_score`` rejects texts that the second-best language describes almost as well.
+    At ``min_score`` 0 nothing else goes: the parse names the best language of
+    any text with a letter, however badly that describes it. A higher one
+    rejects texts that the second-best language describes almost as well.
+    Without any training text nothing is learned, and only texts without a
+    letter go.
     """
     training = sample(docs)
+    if not training:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     shared = docs.sparkSession.sparkContext.broadcast(tuple(sorted(training.items())))
     names = docs.columns
 

@@ -235,6 +235,13 @@ def test_a_language_with_little_training_text_wins_nothing(spark):
     assert langs == ["zh"]
 
 
+def test_nothing_learned_keeps_documents(spark):
+    unlabelled = odd.documents(spark).withColumn("lang", odd.F.lit(None).cast("string"))
+    kept = langid.accepted(unlabelled)
+    assert kept.columns == unlabelled.columns
+    assert Counter(r.text for r in kept.collect()) == Counter(t for _, t, *_ in odd.rows() if any(c.isalpha() for c in t or ""))
+
+
 def test_sample_is_cut_after_folding(spark):
     rows = [(i, "# 1 " * 400 + odd.prose(i, 400), "en", "a", 1) for i in range(1, 40)]
     got = langid.sample(spark.createDataFrame(rows + rows[:3], odd.SCHEMA), docs_per_language=10)["en"]
