@@ -75,4 +75,29 @@ from w left join known on canonical_sha256 = known.digest left join m on w.doc_i
 """
 
 
-ORACLE = {"op6_licenses": _licenses(), "op2_mixing": MIX, "op4_warc": WARC}
+#: Phrases of up to five words per language; the constants repeat phrases.MIN_COUNT, MAX_WORDS and TOP.
+PHRASES = r"""
+with d as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+p as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from d),
+g as (select lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+      from p, (values (1), (2), (3), (4), (5)) as s(k) where len(w) >= k),
+c as (select lang, k, phrase, count(*)::bigint as f from g group by all),
+n as (select lang, sum(f)::bigint as n from c where k = 1 group by lang),
+f as (select lang, k, string_split(phrase, ' ') as w, phrase, f from c where f >= 100),
+q as (select lang, max(f) as f, phrase from (
+        select lang, f, array_to_string(w[1:k - 1], ' ') as phrase from f where k > 2 union all
+        select lang, f, array_to_string(w[2:k], ' ') from f where k > 2) group by lang, phrase),
+x as (select f.* from f left join q on q.lang = f.lang and q.phrase = f.phrase where k > 1 and (q.f is null or 100 * q.f < 100 * f.f)),
+s as (select x.lang, x.phrase, x.f as a, j, l.f as l, r.f as r, n.n, ((1000::hugeint * x.f * n.n) // (l.f::hugeint * r.f))::bigint as score
+      from x, generate_series(1, 4) as t(j), f l, f r, n
+      where j < x.k and l.lang = x.lang and r.lang = x.lang and n.lang = x.lang
+        and l.phrase = array_to_string(x.w[1:j], ' ') and r.phrase = array_to_string(x.w[j + 1:x.k], ' ')),
+b as (select * from s qualify row_number() over (partition by lang, phrase order by score, j) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from b qualify rank <= 2000
+"""
+
+ORACLE = {"op6_licenses": _licenses(), "op2_mixing": MIX, "op4_warc": WARC, "op12_phrases": PHRASES}

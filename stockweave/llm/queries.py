@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import fingerprints, jaccard, langid, licenses, mixing, pieces, quality, sharding, substrings, warc
+from stockweave.llm import (
+    fingerprints, jaccard, langid, licenses, mixing, negatives, phrases, pieces, quality, sharding, substrings, tokens, warc,
+)
 from stockweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +67,18 @@ def op5_jaccard(spark, sf):
 @query
 def op7_fingerprints(spark, sf):
     return fingerprints.compare(table(spark, sf, "documents"))
+
+
+@query
+def op11_negatives(spark, sf):
+    return negatives.report(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_phrases(spark, sf):
+    return phrases.report(table(spark, sf, "documents"))
+
+
+@query
+def op13_tokens(spark, sf):
+    return tokens.count(table(spark, sf, "documents")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
