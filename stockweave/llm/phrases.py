@@ -71,6 +71,8 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush():
         for lang, counts in held.items():
             words = [w.decode("utf-8") for w in counts]
+            if not words:
+                continue
             yield pa.RecordBatch.from_pydict({"lang": [lang] * len(words), "word": words, "count": pa.array(counts.values(), pa.int64())})
         held.clear()
 
@@ -253,6 +255,8 @@ def _pass(encoded: DataFrame, trie: Trie, sole: bool, go_on: bool) -> DataFrame:
                     good = then > 0
                     if sole:
                         good &= found[at + 1] >= 0
+                    if not good.any():
+                        continue
                     codes, n = np.unique((own[at[good]] << 32) | then[good], return_counts=True)
                     held.append((codes, n))
                     size += len(codes)
