@@ -66,12 +66,12 @@ def sample(docs: DataFrame, docs_per_language: int = SAMPLE_DOCS, chars: int = S
     """
     labelled = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
-    marked = labelled.select("lang", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"), "text")
+    marked = labelled.join(common, "lang", "left_semi").select("lang", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"), "text")
     first = Window.partitionBy("lang").orderBy("h", "t")
     nth = F.row_number().over(first)
     # The documents are chosen before any text is folded or moved.
     picked = marked.select("lang", "h", "t").withColumn("n", nth).filter(F.col("n") <= docs_per_language).select("lang", "h", "t").distinct()
-    chosen = marked.join(F.broadcast(picked), ["lang", "h", "t"], "left_semi").join(common, "lang", "left_semi")  # languages * docs_per_language rows
+    chosen = marked.join(F.broadcast(picked), ["lang", "h", "t"], "left_semi")  # languages * docs_per_language rows
     letters = F.substring(F.trim(F.regexp_replace("text", r"[^\p{L}]+", " ")), 1, chars)
     short = chosen.select("lang", "h", "t", letters.alias("letters"))
     rows = short.withColumn("n", nth).filter(F.col("n") <= docs_per_language).orderBy("lang", "n").collect()
@@ -117,7 +117,7 @@ class Parser:
 
     def __init__(self, texts: dict[str, str]):
         self.languages = sorted(texts)
-        alphabet = sorted({ord(c) for t in texts.values() for c in t})
+        alphabet = sorted({ord(c) for t in texts.values() for c in t} | {ord(" ")})
         self.letters = len(alphabet) + 1
         known = np.zeros(sys.maxunicode + 1, dtype=np.uint16)
         known[alphabet] = np.arange(1, self.letters)
@@ -252,5 +252,6 @@ def accepted(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
         for batch in _slices(batches):
             langs, scores = parser.judge(batch.column(names.index("text")).to_pylist())
             yield batch.filter(pa.array([k != UNDETERMINED and s >= min_score for k, s in zip(langs, scores, strict=True)], pa.bool_()))
+        _parser.cache_clear()  # other stages follow in the same worker
 
     return docs.mapInArrow(C.released(run), docs.schema)

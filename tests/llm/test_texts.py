@@ -242,6 +242,11 @@ def test_nothing_learned_keeps_documents(spark):
     assert Counter(r.text for r in kept.collect()) == Counter(t for _, t, *_ in odd.rows() if any(c.isalpha() for c in t or ""))
 
 
+def test_training_text_without_a_space():
+    langs, scores = langid.Parser({"en": "hello"}).judge(["мир", "hello", " ", "..."])
+    assert langs == ["en", "en", "und", "und"]
+
+
 def test_sample_is_cut_after_folding(spark):
     rows = [(i, "# 1 " * 400 + odd.prose(i, 400), "en", "a", 1) for i in range(1, 40)]
     got = langid.sample(spark.createDataFrame(rows + rows[:3], odd.SCHEMA), docs_per_language=10)["en"]
