@@ -51,11 +51,11 @@ SLOTS = 1 << 18
 TREE_ROWS = 4096
 LEAF, FAN = 16, 8
 #: Turns of comparing each class with one class per shared n-gram before the full search.
-STAR_TURNS = 4
+STAR_TURNS = 2
 #: Groups of up to so many classes are compared without a tree.
 SIDE = 12
 BUCKETS_PER_PARTITION = 2
-FLUSH_RECORDS = 1 << 20
+FLUSH_RECORDS = 1 << 19
 #: Bits of the broadcast filter that says which texts a verification may need; false hits only cost time.
 FILTER_BITS = 1 << 24
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
@@ -177,9 +177,9 @@ def _prefixes(k: int, percent: int, slots: int, buckets: int, shared):
                 own["d1"], own["d2"] = _name(grams)
                 held.append(own)
                 size += len(first)
-            if size >= FLUSH_RECORDS:
-                yield from settle(held)
-                held, size = [], 0
+                if size >= FLUSH_RECORDS:
+                    yield from settle(held)
+                    held, size = [], 0
         yield from settle(held)
 
     return run
