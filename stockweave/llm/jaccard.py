@@ -51,7 +51,7 @@ SLOTS = 1 << 18
 TREE_ROWS = 4096
 LEAF, FAN = 16, 8
 #: Turns of comparing each class with one class per shared n-gram before the full search.
-STAR_TURNS = 2
+STAR_TURNS = 3
 #: Groups of up to so many classes are compared without a tree.
 SIDE = 12
 BUCKETS_PER_PARTITION = 2
