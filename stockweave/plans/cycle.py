@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +15,8 @@ from stockweave.plans import merchandising as M
 from stockweave.plans import reports as P
 from stockweave.sinks import publish as W
 from stockweave.sources.intake import Intake, load_folder
-from stockweave.sources.scan import input_fingerprint, scan_inputs, should_skip
+from stockweave.plans import verification as V
+from stockweave.sources.scan import input_fingerprint, scan_inputs, should_skip, table_digest
 from stockweave.sources.tables import load_facts
 
 
@@ -44,6 +46,10 @@ def report_set(
     if intake is not None:
         drops = intake.facility_drops
         extra = {"skipped_files": intake.skipped, "superseded_files": intake.superseded}
+        if intake.rejects is not None:
+            extra["rejects"] = intake.rejects
+        if intake.raw_totals is not None:
+            extra["tie_out_sources"] = verified(intake, sales, inventory, purchases)
         figures = {"files_skipped": intake.skipped.count(), "files_superseded": intake.superseded.count()}
         if drops is not None:
             extra["facility_filter"] = drops
@@ -66,6 +72,22 @@ def report_set(
     }
 
 
+def verified(intake: Intake, sales: DataFrame, inventory: DataFrame, purchases: DataFrame, expected=()) -> DataFrame:
+    """Every source file of the run against the written facts; ``expected`` kinds that no file has fail too."""
+    loaded = V.source_totals(sales, "sales").unionByName(V.source_totals(inventory, "inventory")).unionByName(V.source_totals(purchases, "purchase"))
+    wanted = intake.files.sparkSession.createDataFrame([(k,) for k in expected], "source_type string")
+    return V.tie_out_sources(intake.raw_totals, loaded, V.missing_sources(intake.files, wanted))
+
+
+def settings(asof: dt.date, rules: dict, channel_map: dict, facility: str | None, tables: tuple[DataFrame, ...]) -> str:
+    """What besides the input files decides a run's results, as one text; of tables their digest."""
+    def hashable(t: DataFrame) -> DataFrame:
+        return t.select(*[F.array_sort(F.map_entries(t[c])).alias(c) if kind.startswith("map<") else t[c] for c, kind in t.dtypes])
+
+    digests = [[str(x) for x in table_digest(hashable(t)).first()] for t in tables]
+    return json.dumps([facility, asof.isoformat(), rules, sorted(channel_map.items()), digests], sort_keys=True, default=str)
+
+
 def dashboard(reports: dict[str, DataFrame]) -> DataFrame:
     """Payload of the eleven report tables, all columns of all rows but for the four lists that show their top only."""
     by = lambda c, *then: [F.desc_nulls_last(c), *then]
@@ -139,12 +161,16 @@ def run_folder(
 ) -> dict[str, DataFrame] | None:
     """From a folder of extracts to all published tables; None when nothing changed since the last good run.
 
+    Nothing means: no input file, no rule, date, ledger or dimension table, and
+    no table that a run writes is missing. Alerts continue from the state the
+    last good run left in ``out``, unless ``previous_state`` is given.
+
     A status row is written in every case, also for a run that fails, and runs
     beyond the newest ``S.RUNS_KEPT`` leave the archive.
     """
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     files = scan_inputs(spark, root).select("folder", "name", F.col("path").alias("file_id"), F.col("modified").cast("string").alias("version"), "bytes")
-    print_ = input_fingerprint(files, facility or "")
+    print_ = input_fingerprint(files, settings(asof, rules, channel_map, facility, (lookup, items, *notes)))
     seen = print_.first()
 
     def status(ok: bool, notes_: str = "", skipped: bool = False) -> None:
@@ -152,16 +178,18 @@ def run_folder(
         W.write_status(spark, out, run_id, started, took, ok, seen["fingerprint"], seen["files"], notes_, skipped)
 
     last = W.read_status(spark, out)
-    if not force and should_skip(print_, last, W.exists(spark, f"{out}/latest/sku_wise")).first()["skip"]:
+    if not force and should_skip(print_, last, W.complete(spark, out)).first()["skip"]:
         status(True, "inputs unchanged", skipped=True)
         return None
     try:
         intake = load_folder(spark, root, lookup, channel_map, facility, raw_cells)
         facts = (intake.sales, intake.inventory, intake.purchases)
+        if previous_state is None:
+            previous_state = W.last_state(spark, out, run_id, empty_state(spark))
         tables = run_cycle(spark, facts, items, notes, out, run_id, asof, previous_state, rules, facility=facility, intake=intake)
     except Exception as why:
         status(False, str(why)[:500])
         raise
     status(True)
-    W.prune(spark, out, ("sku_wise", "article_wise", "action_list", "alert_lifecycle", "alert_summary", "alert_digest"))
+    W.prune(spark, out, W.PUBLISHED)
     return tables

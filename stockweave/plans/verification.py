@@ -67,6 +67,69 @@ def purchase_pairs(label: str):
     ]
 
 
+#: Per fact: metric -> column. Of net values only those the files gave are compared.
+SOURCE_METRICS = {
+    "sales": {
+        "units": "qty_sold", "invoice total": "gross_value", "taxable value": "net_value", "returned units": "qty_returned", "returns value": "returns_value",
+    },
+    "inventory": {"units": "qty_on_hand", "value": "value_on_hand"},
+    "purchase": {
+        "ordered qty": "qty_ordered", "received qty": "qty_received", "rejected qty": "qty_rejected", "pending qty": "qty_pending", "total value": "total",
+    },
+}
+ROWS = "row count"
+
+
+def source_totals(rows: DataFrame, fact: str) -> DataFrame:
+    """(source_type, source_file, metric, value) of raw or of fact rows: one aggregation, whatever the number of sources."""
+    have = rows.columns
+
+    def value(column: str) -> Column:
+        if column not in have:
+            return F.lit(None).cast("double")
+        return F.when(F.col("value_basis") == "as_reported", F.col(column)) if column == "net_value" and "value_basis" in have else F.col(column)
+
+    wide = rows.groupBy("source_type", "source_file").agg(
+        F.count(F.lit(1)).cast("double").alias("m0"), *[money_sum(value(c)).alias(f"m{i}") for i, c in enumerate(SOURCE_METRICS[fact].values(), 1)]
+    )
+    long = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(f"m{i}").alias("value")) for i, n in enumerate((ROWS, *SOURCE_METRICS[fact]))])
+    return wide.select("source_type", "source_file", F.explode(long).alias("m")).select("source_type", "source_file", "m.*")
+
+
+def tie_out_sources(raw: DataFrame, loaded: DataFrame, missing: DataFrame | None = None, tolerance: float = 1.0) -> DataFrame:
+    """Every source against the facts, metric by metric: source_type, source_file, metric, raw_file, in_report, diff, result.
+
+    Sources that only one side has are compared with nothing there, so a lost
+    file cannot hide behind another one's surplus. ``missing``: source_type,
+    source_file and state of expected sources that could not be read; each
+    gives a FAIL row of its own.
+    """
+    key = ["source_type", "source_file", "metric"]
+    both = raw.withColumnRenamed("value", "a").join(loaded.withColumnRenamed("value", "b"), key, "full_outer")
+    a, b = F.coalesce("a", F.lit(0.0)), F.coalesce("b", F.lit(0.0))
+    allowed = F.when(F.col("metric") == ROWS, 0.0).otherwise(tolerance)
+    out = both.select(
+        *key, round_half_even(a, 2).alias("raw_file"), round_half_even(b, 2).alias("in_report"), round_half_even(b - a, 2).alias("diff"),
+        F.when(F.abs(a - b) <= allowed, "PASS").otherwise("FAIL").alias("result"),
+    )
+    if missing is None:
+        return out
+    none = F.lit(None).cast("double")
+    return out.unionByName(missing.select(
+        "source_type", "source_file", F.col("state").alias("metric"), none.alias("raw_file"), none.alias("in_report"), none.alias("diff"), F.lit("FAIL").alias("result")
+    ))
+
+
+def missing_sources(files: DataFrame, expected: DataFrame) -> DataFrame:
+    """source_type, source_file, state: expected kinds (column ``source_type``) that no file has, and files that cannot be read.
+
+    ``files``: name, kind, note of every file that was found.
+    """
+    absent = expected.join(files.select(F.col("kind").alias("source_type")).distinct(), "source_type", "left_anti")
+    unreadable = files.filter("kind = 'UNREADABLE'").select(F.col("kind").alias("source_type"), F.col("name").alias("source_file"), F.lit("not readable").alias("state"))
+    return absent.select("source_type", F.lit(None).cast("string").alias("source_file"), F.lit("source file not found").alias("state")).unionByName(unreadable)
+
+
 def po_line_balance(purchases: DataFrame, tolerance: float = 0.5) -> DataFrame:
     """Ordered must equal received + pending + rejected, and lines should match a SKU."""
     def z(c):

@@ -73,7 +73,7 @@ def dedupe_files(spark, sf):
 @query
 def content_profile(spark, sf):
     """Digest every document line by line; how many files share their contents with others."""
-    lines = T.table(spark, sf, "documents").selectExpr("cast(doc_id as string) as path", "explode(split(text, '\n')) as value")
+    lines = T.table(spark, sf, "documents").selectExpr("cast(doc_id as string) as path", "0L as block", "posexplode(split(text, '\n')) as (seq, value)")
     profile = C.content_profile(lines)
     copies = profile.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.sum("rows").alias("rows"), F.bool_and("utf8").alias("utf8"))
     return copies.groupBy("copies", "utf8").agg(F.count(F.lit(1)).alias("contents"), F.sum("rows").alias("rows"))

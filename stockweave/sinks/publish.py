@@ -12,8 +12,10 @@ REPORTS = {
     "summary": False, "channel": False, "stores": False, "sku_performance": False, "inventory": False,
     "po_by_vendor": True, "inbound_by_sku": True, "open_po_lines": True, "returns": False, "exceptions": False,
     "load_audit": False, "period_coverage": False, "snapshot_coverage": False, "value_basis": False,
-    "skipped_files": True, "superseded_files": True, "facility_filter": True,
+    "skipped_files": True, "superseded_files": True, "facility_filter": True, "rejects": True, "tie_out_sources": True,
 }
+#: Tables of a run that are kept as latest copy and by run.
+PUBLISHED = ("sku_wise", "article_wise", "action_list", "alert_lifecycle", "alert_summary", "alert_digest")
 
 
 def write_facts(root: str, sales: DataFrame, inventory: DataFrame, purchases: DataFrame) -> None:
@@ -98,6 +100,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def complete(spark: SparkSession, root: str) -> bool:
+    """Whether every table that a run always writes is there."""
+    wanted = [f"latest/{n}" for n in PUBLISHED] + [f"reports/{n}" for n, optional in REPORTS.items() if not optional] + ["reports/dashboard"]
+    return all(exists(spark, f"{root}/{place}/_SUCCESS") for place in wanted)
+
+
+def last_state(spark: SparkSession, root: str, run_id: str, empty: DataFrame) -> DataFrame:
+    """The alert state that the last good run before this one left; ``empty`` before the first."""
+    good = read_status(spark, root).filter((F.col("verdict") == "OK") & (F.col("run_id") != run_id))
+    last = good.agg(F.max_by("run_id", F.struct("started", "run_id"))).first()[0]
+    path = f"{root}/alert_state/run_id={last}"
+    return spark.read.schema(empty.schema).parquet(path) if last is not None and exists(spark, path) else empty
+
+
 def read_status(spark: SparkSession, root: str) -> DataFrame:
     """All status rows; none before the first run."""
     if not exists(spark, f"{root}/run_status"):
@@ -108,12 +124,12 @@ def read_status(spark: SparkSession, root: str) -> DataFrame:
 def prune(spark: SparkSession, root: str, names, keep: int = S.RUNS_KEPT) -> list[str]:
     """Remove archived copies of runs beyond the newest ``keep``; their folders are read, not their rows."""
     removed = []
-    for name in names:
-        files, place = _folder(spark, f"{root}/archive/{name}")
+    for name, under in [*((n, f"archive/{n}") for n in names), ("alert_state", "alert_state")]:
+        files, place = _folder(spark, f"{root}/{under}")
         if not files.exists(place):
             continue
         runs = sorted(s.getPath().getName() for s in files.listStatus(place) if s.getPath().getName().startswith("run_id="))
         for run in runs[:-keep]:
-            files.delete(_folder(spark, f"{root}/archive/{name}/{run}")[1], True)
+            files.delete(_folder(spark, f"{root}/{under}/{run}")[1], True)
             removed.append(f"{name}/{run}")
     return removed

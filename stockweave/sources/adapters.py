@@ -103,8 +103,16 @@ def position(source: Source, header: str = "header") -> Column:
     return (F.coalesce(*exact, *part) - 1).cast("int")
 
 
-def pick_cells(rows: DataFrame, files: DataFrame, columns: dict[str, Source]) -> DataFrame:
-    """Rows with one named column per source; positions are resolved per file first."""
+def pick_cells(rows: DataFrame, files: DataFrame, columns: dict[str, Source], check: bool = False) -> DataFrame:
+    """Rows with one named column per source; positions are resolved per file first.
+
+    ``check`` adds ``bad``: the headers of the cells that should hold a number and hold some other text.
+    """
+    cell = lambda c: F.nullif(F.get("cells", F.col(f"_at_{c}")), F.lit(""))
+    bad = [
+        F.when(F.trim(cell(c)).rlike(r"[^-\s]") & src.parse(cell(c)).isNull(), F.lit(src.headers[0]))
+        for c, src in columns.items() if check and src.parse in (num, money)
+    ]
     places = files.select(
         "path", "name", "sheet", *[position(src).alias(f"_at_{c}") for c, src in columns.items()],
         *[c for c in ("modified", "heading") if c in files.columns],
@@ -113,7 +121,8 @@ def pick_cells(rows: DataFrame, files: DataFrame, columns: dict[str, Source]) ->
     return joined.select(
         F.concat("name", F.when(F.coalesce("sheet", F.lit("")) != "", F.concat(F.lit("::"), "sheet")).otherwise("")).alias("source_file"),
         "name", *[c for c in ("modified", "heading") if c in files.columns], "block", "seq",
-        *[src.parse(F.nullif(F.get("cells", F.col(f"_at_{c}")), F.lit(""))).alias(c) for c, src in columns.items()],
+        *[src.parse(cell(c)).alias(c) for c, src in columns.items()],
+        *([F.array_compact(F.array(*bad) if bad else F.array().cast("array<string>")).alias("bad")] if check else []),
     )
 
 
@@ -209,6 +218,42 @@ def adapt_profile(profile: StoreProfile, rows: DataFrame, files: DataFrame) -> t
     return ("inventory" if profile.kind.endswith("soh") else "sales"), adapt_flat(profile, rows, files)
 
 
+def raw_rows(kind: str, profile: StoreProfile | None, rows: DataFrame, files: DataFrame) -> DataFrame:
+    """The numbers of a kind's rows as its files give them, and ``bad``, the headers whose cells hold no number.
+
+    Nothing of what the facts go through has happened yet: no scope, ledger
+    map, resolution, value basis. Matrices and blocks have no column per
+    measure; their raw rows are the unpivoted ones.
+    """
+    if profile is not None and profile.kind in ("store_blocks", "store_matrix_soh"):
+        return adapt_profile(profile, rows, files)[1].withColumn("bad", F.array().cast("array<string>"))
+    if profile is not None:
+        wanted = {
+            c: Source((h,), num if c.startswith(("qty", "gross", "net", "discount")) else text, True) for c, h in profile.columns.items()
+        }
+        return drop_total_rows(pick_cells(rows, files, wanted, True), "external_id").withColumn("source_type", F.lit(profile.kind))
+    out = pick_cells(rows, files, ADAPTERS[kind].columns, True).withColumn("source_type", F.lit(kind))
+    return out.withColumn("value_on_hand", F.col("qty_on_hand") * F.col("mrp")) if kind == "uniware_inventory" else out
+
+
+def fits(cells: str = "cells", width: str = "width") -> Column:
+    """Whether a row has nothing beyond its header's last column; blank cells there do not count."""
+    beyond = F.filter(cells, lambda c, i: (i >= F.col(width)) & (F.trim(c) != ""))
+    return F.coalesce(F.size(beyond) == 0, F.lit(True))
+
+
+MORE_CELLS = "more cells than the header has columns"
+
+
+def rejects(raw: DataFrame, overflow: DataFrame) -> DataFrame:
+    """(source_file, reason, rows): cells that hold no number, whose rows stay, and rows that were left out as too long.
+
+    ``raw``: rows of ``raw_rows``. ``overflow``: source_file of each row left out.
+    """
+    bad = raw.select("source_file", F.explode("bad").alias("header")).select("source_file", F.concat(F.lit("not a number: "), "header").alias("reason"))
+    return bad.unionByName(overflow.select("source_file", F.lit(MORE_CELLS).alias("reason"))).groupBy("source_file", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def skipped_files(files: DataFrame) -> DataFrame:
     """Files no adapter takes, and why."""
     known = [*ADAPTERS, *[p.kind for p in STORE_PROFILES]]

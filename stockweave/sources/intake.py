@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stockweave import schemas as S
 from stockweave.operators import facts as O
 from stockweave.plans import facts as FP
+from stockweave.plans import verification as V
 from stockweave.plans.reports import fact_exceptions
 from stockweave.session import cut_lineage
 from stockweave.sources import adapters as A
@@ -33,6 +34,8 @@ class Intake:
     skipped: DataFrame
     facility_drops: DataFrame | None
     files: DataFrame
+    raw_totals: DataFrame | None = None  # per source file and metric, before anything was done to the rows
+    rejects: DataFrame | None = None  # per source file: rows left out, and cells that hold no number
 
 
 def detect_csv(spark: SparkSession, root: str, profiles=D.STORE_PROFILES) -> tuple[DataFrame, DataFrame]:
@@ -110,35 +113,51 @@ def load_folder(
     kept = kept.filter(F.col("note") != UNCLOSED)
     found = [csv_files.withColumn("kind", F.when(F.col("note") == UNCLOSED, "UNREADABLE").otherwise(F.col("kind")))]
     # Distinct kinds and the widest header: a handful of values, whatever the data size.
-    width = csv_files.agg(F.coalesce(F.max(F.size("header")), F.lit(1))).first()[0]
-    staged = C.body_cells(lines, kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_block", "header_seq"), max(width, 1))
+    width = kept.agg(F.coalesce(F.max(F.size("header")), F.lit(1))).first()[0]
+    # One cell more than the widest header: what stands there or beyond a file's own header is seen and reported.
+    own_width = F.when(~F.col("kind").isin("store_blocks", "store_matrix_soh"), F.size("header")).alias("width")
+    staged = C.body_cells(
+        lines, kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_block", "header_seq", own_width), max(width, 1) + 1
+    )
     sources: list[tuple[DataFrame, DataFrame]] = [(kept, staged)]
     if raw_cells is not None:
         sheet_files, sheet_rows = detect_sheets(raw_cells, profiles)
         sheet_kept, sheet_lost = D.dedupe_files(sheet_files, facility)
         below = sheet_rows.join(
             sheet_kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_row"), "path"
-        ).filter("seq > header_row").drop("header_row")
+        ).filter("seq > header_row").drop("header_row").withColumn("width", F.lit(None).cast("int"))
         sources.append((sheet_kept, below))
         lost = lost.unionByName(sheet_lost)
         found.append(sheet_files)
 
     parts: dict[str, list[DataFrame]] = {"sales": [], "inventory": [], "purchase": []}
+    totals, turned_down, broken = [], [], []
     for files, below in sources:
         files = cut_lineage(files, "kept")
         # Rows are written once, split by kind, so an adapter reads its own files only.
         rows = cut_lineage(below, "rows", by=("kind", "profile"))
         for kind, profile_id in [tuple(r) for r in files.select("kind", "profile_id").distinct().collect()]:
             mine = files.filter((F.col("kind") == kind) & F.col("profile_id").eqNullSafe(F.lit(profile_id)))
-            own = rows.filter((F.col("kind") == kind) & (F.col("profile") == (profile_id or "-"))).drop("kind", "profile")
+            every = rows.filter((F.col("kind") == kind) & (F.col("profile") == (profile_id or "-"))).drop("kind", "profile")
+            own = every.filter(A.fits()).drop("width")
             profile = next((p for p in profiles if p.profile_id == profile_id), None)
-            if profile is not None:
-                fact, out = A.adapt_profile(profile, own, mine)
-            elif kind in A.ADAPTERS:
-                fact, out = A.ADAPTERS[kind].fact, A.adapt(kind, own, mine)
-            else:
+            if profile is None and kind not in A.ADAPTERS:
+                continue
+            try:
+                fact, out = A.adapt_profile(profile, own, mine) if profile is not None else (A.ADAPTERS[kind].fact, A.adapt(kind, own, mine))
+                # Written here, so that a kind whose rows cannot be read fails alone.
+                out = cut_lineage(O.map_ledger(out, channel_map) if "ledger" in out.columns else out, "adapted")
+            except Exception as why:
+                broken.append((mine, why))
                 continue
-            parts[fact].append(O.map_ledger(out, channel_map) if "ledger" in out.columns else out)
+            parts[fact].append(out)
+            raw = A.raw_rows(kind, profile, own, mine)
+            overflow = every.filter(~A.fits()).join(mine.select("path", F.col("name").alias("source_file")), "path")
+            turned_down.append(A.rejects(raw, overflow))
+            scope = "facility" if fact == "purchase" else "location" if "mrp" in out.columns else None
+            totals.append(V.source_totals(O.facility_rows(raw, scope, facility) if facility and scope else raw, fact))
+    if broken and not any(parts.values()):
+        raise broken[0][1]
 
     drops = None
     if facility:
@@ -170,7 +189,12 @@ def load_folder(
     if raw_cells is not None:
         books = books.join(raw_cells.select(F.col("source_file").alias("name")).distinct(), "name", "left_anti")
     all_files = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*listed, books])
+    skipped = A.skipped_files(all_files)
+    for files, why in broken:
+        reason = F.lit(f"{type(why).__name__}: {str(why).splitlines()[0] if str(why) else ''}"[:300])
+        skipped = skipped.unionByName(files.select(F.col("name").alias("file"), "sheet", "kind", reason.alias("reason")))
     return Intake(
         sales=sales, inventory=inventory, purchases=purchases, exceptions=fact_exceptions(sales, inventory, purchases),
-        superseded=lost, skipped=A.skipped_files(all_files), facility_drops=drops, files=all_files,
+        superseded=lost, skipped=skipped, facility_drops=drops, files=all_files,
+        raw_totals=reduce(DataFrame.unionByName, totals) if totals else None, rejects=reduce(DataFrame.unionByName, turned_down) if turned_down else None,
     )
