@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -674,6 +675,18 @@ def tie_out(spark, sf):
     return s.unionByName(i).unionByName(p)
 
 
+@query
+def tie_out_sources(spark, sf):
+    """Eleven source files against the facts, each on its own; one expected kind has no file."""
+    extracts = {"sales": T.sales_extract(spark, sf), "inventory": T.stock_extract(spark, sf), "purchase": T.purchase_extract(spark, sf)}
+    total = lambda frames: reduce(DataFrame.unionByName, [V.source_totals(df, fact) for fact, df in frames.items()])
+    files = reduce(DataFrame.unionByName, [
+        df.select(F.col("source_type").alias("kind"), F.col("source_file").alias("name")).distinct() for df in extracts.values()
+    ])
+    expected = spark.range(1).selectExpr("explode(array('uniware_tally_gst', 'uniware_inventory', 'amazon_vc_sales')) as source_type")
+    return V.tie_out_sources(total(extracts), total(dict(zip(extracts, facts(spark, sf), strict=True))), V.missing_sources(files, expected))
+
+
 @query
 def po_line_balance(spark, sf):
     return V.po_line_balance(purchases(spark, sf))

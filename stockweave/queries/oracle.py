@@ -584,6 +584,30 @@ _q("tie_out", " UNION ALL ".join([
     _check("Purchase orders | row count", "SELECT count(*) FROM px", "SELECT count(*) FROM fp", 0),
     _check("Purchase orders | distinct PO codes", "SELECT count(DISTINCT po_code) FROM px", "SELECT count(DISTINCT po_code) FROM fp", 0),
 ]))
+def _by_source(kind: str, metric: str, raw: str, fact: str, tolerance: int = 1) -> str:
+    """One metric of every file of a kind; ``raw`` and ``fact`` are an aggregate and its table."""
+    return (f"SELECT '{kind}' AS source_type, source_file, '{metric}' AS metric, {_rint('a', 2)} AS raw_file, {_rint('b', 2)} AS in_report, {_rint('b - a', 2)} AS diff, "
+            f"CASE WHEN abs(a - b) <= {tolerance} THEN 'PASS' ELSE 'FAIL' END AS result FROM (SELECT source_file, coalesce(x.v, 0)::DOUBLE AS a, coalesce(y.v, 0)::DOUBLE AS b "
+            f"FROM (SELECT source_file, {raw} GROUP BY 1) x FULL JOIN (SELECT source_file, {fact} GROUP BY 1) y USING (source_file))")
+
+
+def _sources(kind: str, raw: str, fact: str, metrics: dict[str, tuple[str, str]]) -> list[str]:
+    each = [_by_source(kind, m, f"{_money(a)} AS v FROM {raw}", f"{_money(b)} AS v FROM {fact}") for m, (a, b) in metrics.items()]
+    return [_by_source(kind, "row count", f"count(*) AS v FROM {raw}", f"count(*) AS v FROM {fact}", 0), *each]
+
+
+_q("tie_out_sources", " UNION ALL ".join([
+    *_sources("uniware_tally_gst", "sx", "fs", {
+        "units": ("qty", "qty"), "invoice total": ("gross", "gross"), "taxable value": ("net", "CASE WHEN basis = 'as_reported' THEN net END"),
+        "returned units": ("ret", "ret"), "returns value": ("ret_value", "ret_value"),
+    }),
+    *_sources("uniware_inventory", "ix", "fi", {"units": ("qty", "qty"), "value": ("value", "value")}),
+    *_sources("uniware_purchase_orders", "px", "fp", {
+        "ordered qty": ("ordered", "ordered"), "received qty": ("received", "received"), "rejected qty": ("rejected", "rejected"),
+        "pending qty": ("ordered - received", "pending"), "total value": ("total", "total"),
+    }),
+    "SELECT 'amazon_vc_sales', NULL, 'source file not found', NULL, NULL, NULL, 'FAIL'",
+]))
 _q("po_line_balance", " UNION ALL ".join([
     _check("PO lines balance (ordered = received + pending + rejected)", "0", "SELECT count(*) FROM fp WHERE abs(ordered - received - pending - rejected) > 0.5", 0, "REVIEW"),
     _check("PO lines matched to a SKU in the master mapping table", "SELECT count(*) FROM fp", "SELECT count(sku) FROM fp", 0, "REVIEW"),
@@ -679,6 +703,16 @@ _q("input_fingerprint", """
 WITH l AS (SELECT sha256(event_type || '/' || props || '|' || event_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || user_id) AS h FROM events),
 s AS (SELECT count(*) AS files, sum(('0x' || substr(h, 1, 15))::BIGINT)::VARCHAR AS a, sum(('0x' || substr(h, 16, 15))::BIGINT)::VARCHAR AS b, sum(('0x' || substr(h, 31, 15))::BIGINT)::VARCHAR AS c FROM l)
 SELECT files, substr(sha256(files || '|' || a || '|' || b || '|' || c || '|rules-1'), 1, 16) AS fingerprint FROM s""", "")
+_q("run_settings", """
+WITH l AS (SELECT sha256(event_type || '/' || props || '|' || event_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || user_id) AS h FROM events),
+s AS (SELECT count(*) AS files, sum(('0x' || substr(h, 1, 15))::BIGINT)::VARCHAR AS a, sum(('0x' || substr(h, 16, 15))::BIGINT)::VARCHAR AS b, sum(('0x' || substr(h, 31, 15))::BIGINT)::VARCHAR AS c FROM l),
+x(state, low, day) AS (VALUES ('as it was', 1, 1), ('other rule', 2, 1), ('other day', 1, 2))
+SELECT state, files, substr(sha256(files || '|' || a || '|' || b || '|' || c || '|["WH1", "2026-01-0' || day || '", {"low": ' || low || '}, [], []]'), 1, 16) AS fingerprint FROM s, x""", "")
+_q("reject_counts", """
+SELECT 'in_' || file || '.csv' AS source_file, reason, count(*) AS rows FROM (
+  SELECT l_suppkey % 7 AS file, CASE WHEN l_tax = 0.08::DOUBLE THEN ['more cells than the header has columns'] ELSE
+    list_filter([CASE WHEN l_linenumber = 6 THEN 'not a number: Qty' END, CASE WHEN l_linenumber = 2 AND l_tax = 0.05::DOUBLE THEN 'not a number: Total' END], lambda r: r IS NOT NULL) END AS reasons
+  FROM lineitem), unnest(reasons) AS u(reason) GROUP BY 1, 2""", "")
 _q("retired_files", """
 SELECT o_orderkey AS file_id, 'f' || o_custkey AS name FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 100 <> 0""", "")
 _q("source_presence", """

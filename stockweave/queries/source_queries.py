@@ -15,6 +15,7 @@ from stockweave.functions.text import pick_column
 from stockweave.operators import lifecycle as L
 from stockweave.operators.unpivot import block_columns, unpivot_blocks, unpivot_matrix
 from stockweave.plans import merchandising as M
+from stockweave.plans.cycle import settings
 from stockweave.plans import reports as P
 from stockweave.plans import standins as T
 from stockweave.plans import verification as V
@@ -158,6 +159,38 @@ def input_fingerprint(spark, sf):
     return C.input_fingerprint(files, "rules-1")
 
 
+@query
+def run_settings(spark, sf):
+    """The same files under changed rules and dates: the fingerprint of each state."""
+    files = T.table(spark, sf, "events").selectExpr(
+        "event_type as folder", "props as name", "cast(event_id as string) as file_id", "date_format(ts, 'yyyy-MM-dd HH:mm:ss') as version", "user_id as bytes"
+    )
+    states = {"as it was": ({"low": 1}, 1), "other rule": ({"low": 2}, 1), "other day": ({"low": 1}, 2)}
+    parts = [
+        C.input_fingerprint(files, settings(dt.date(2026, 1, day), rules, {}, "WH1", ())).withColumn("state", F.lit(name))
+        for name, (rules, day) in states.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def reject_counts(spark, sf):
+    """Lines of seven files, some with a cell too many or a quantity that is no number: what is reported, and what stays."""
+    rows = T.table(spark, sf, "lineitem").selectExpr(
+        "concat('in_', l_suppkey % 7) as path", "0L as block", "monotonically_increasing_id() as seq", "4 as width",
+        """array_compact(array(concat('S', l_partkey), 'LEDGER', case l_linenumber when 6 then 'n/a' when 4 then '-' when 3 then '' else cast(l_quantity as string) end,
+           case when l_linenumber = 5 then concat('₹', l_partkey, ',000') when l_linenumber = 2 and l_tax = 0.05D then 'free' else cast(l_extendedprice as string) end,
+           case when l_tax = 0.08D then 'beyond' when l_tax = 0.07D then ' ' end)) as cells""",
+    )
+    files = rows.select("path").distinct().select(
+        "path", F.concat("path", F.lit(".csv")).alias("name"), F.lit("").alias("sheet"),
+        F.array(*[F.lit(h) for h in ("product sku code", "channel ledger", "qty", "total")]).alias("header"),
+    )
+    raw = A.raw_rows("uniware_tally_gst", None, rows.filter(A.fits()).drop("width"), files)
+    overflow = rows.filter(~A.fits()).join(files.select("path", F.col("name").alias("source_file")), "path")
+    return A.rejects(raw, overflow)
+
+
 @query
 def retired_files(spark, sf):
     orders = T.table(spark, sf, "orders")

@@ -4,13 +4,15 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockweave import schemas as S
 from stockweave.functions import numbers as N
-from stockweave.operators.lifecycle import merge_history
+from stockweave.operators.lifecycle import alert_diff, empty_state, merge_history, next_state
 from stockweave.plans import facts as FP
-from stockweave.plans.cycle import dashboard, report_set, run_folder
+from stockweave.plans.cycle import dashboard, report_set, run_folder, settings, verified
 from stockweave.sinks import publish as W
+from stockweave.sources import adapters as A
 from stockweave.sources import scan as C
 from stockweave.sources.intake import load_folder
 from stockweave.streaming import alert_state as SA
@@ -76,6 +78,7 @@ def test_run_skip_rebuild_and_retention(spark, lookup, tmp_path, monkeypatch):
     audit = {(r.kind, r.source_file): (r.rows, r.rows_other_facility) for r in spark.read.parquet(f"{out}/reports/load_audit").collect()}
     assert audit == {("sales", "Tally GST.csv"): (1, 0), ("purchase", "Purchase Orders.csv"): (1, 1), ("dropped", "Inventory__WH1.csv"): (0, 1)}
     assert {r.file for r in spark.read.parquet(f"{out}/reports/skipped_files").collect()} == {"junk.csv"}
+    assert {r.result for r in spark.read.parquet(f"{out}/reports/tie_out_sources").collect()} == {"PASS"} and not W.exists(spark, f"{out}/reports/rejects")
     assert W.exists(spark, f"{out}/reports/facility_filter") and not W.exists(spark, f"{out}/reports/superseded_files")
     (root / "junk.csv").unlink()
     monkeypatch.setattr(W.prune, "__defaults__", (1,))
@@ -141,3 +144,57 @@ def test_dashboard_holds_all_tables_columns_and_vendors(spark, lookup, tmp_path)
     # The twenty of most pending units, whatever their status, one of them without a name.
     assert sorted(x["pending"] for x in by["po_vendor"]) == [float(100 + i) for i in range(10, 30)] and len({x["po_status"] for x in by["po_vendor"]}) == 2
     assert len(by["summary"]) == reports["summary"].count()
+
+
+def test_rejects_lost_rows_and_a_kind_that_fails(spark, lookup, tmp_path, monkeypatch):
+    put(tmp_path / "u/Tally GST.csv", GST + "TS-1,MYNTRAPPMP,n/a,\u20b91,080,2026-07-02 10:00:00\nTS-1,MYNTRAPPMP,1,2,3,2026-07-03,beyond\nTS-1,MYNTRAPPMP,1,100,90,2026-07-04 00:00:00, \n")
+    put(tmp_path / "u/returns.csv", "Channel Ledger,Qty,Total,Date\nSNAPMINT,3,300,05-07-2026\n")
+    put(tmp_path / "u/Purchase Orders.csv", PO_HEADER + "PO1,TS-1,APPROVED,2026-05-01,V,WH1,20,5,0,15,9\n")
+    adapt = A.adapt
+    monkeypatch.setattr(A, "adapt", lambda kind, *a: adapt(kind, *a).withColumn("day", F.raise_error("no such date")) if kind == "uniware_returns" else adapt(kind, *a))
+    got = load_folder(spark, str(tmp_path), lookup)
+    assert sorted((r.qty_sold, r.net_value) for r in got.sales.collect() if r.qty_sold) == [(1.0, 90.0), (2.0, 180.0)] and got.purchases.count() == 1
+    assert [(r.file, r.kind, "no such date" in r.reason) for r in got.skipped.collect()] == [("returns.csv", "uniware_returns", True)]
+    assert {tuple(r) for r in got.rejects.collect()} == {("Tally GST.csv", "not a number: Qty", 1), ("Tally GST.csv", A.MORE_CELLS, 1)}
+    whole = {r.metric: r.result for r in verified(got, got.sales, got.inventory, got.purchases, ("uniware_tally_gst", "amazon_vc_sales")).collect()}
+    assert whole.pop("source file not found") == "FAIL" and set(whole.values()) == {"PASS"}
+    lost = got.sales.filter("coalesce(qty_sold, 0) <> 2")
+    failed = {(r.source_file, r.metric): r.diff for r in verified(got, lost, got.inventory, got.purchases).collect() if r.result == "FAIL"}
+    assert failed == {("Tally GST.csv", "row count"): -1.0, ("Tally GST.csv", "units"): -2.0, ("Tally GST.csv", "invoice total"): -200.0, ("Tally GST.csv", "taxable value"): -180.0}
+    monkeypatch.setattr(A, "adapt", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load_folder(spark, str(tmp_path), lookup)
+
+
+def test_state_goes_from_run_to_run(spark, tmp_path):
+    out, begun, empty = str(tmp_path), dt.datetime(2026, 1, 1), empty_state(spark)
+    seen = {}
+    for n, (keys, ok) in enumerate((("xy", True), ("q", False), ("yz", True), ("yz", True))):
+        rows = [(f"a|{k}", "a", k, "A", "", 1.0) for k in keys]
+        raised = spark.createDataFrame(rows, "key string, alert string, sku string, label string, item string, priority double")
+        diff = alert_diff(raised, W.last_state(spark, out, f"run-{n}", empty), f"run-{n}")
+        seen[n] = {r.sku: (r.status, r.first_seen, r.cycles) for r in diff.collect()}
+        next_state(diff).write.parquet(f"{out}/alert_state/run_id=run-{n}")
+        W.write_status(spark, out, f"run-{n}", begun + dt.timedelta(hours=n), 1.0, ok, "f", 1)
+        W.write_status(spark, out, f"skip-{n}", begun + dt.timedelta(hours=n, minutes=1), 1.0, True, "f", 1, skipped=True)
+    assert seen[0] == {"x": ("NEW", "run-0", 1), "y": ("NEW", "run-0", 1)}
+    assert seen[2] == {"x": ("RESOLVED", "run-0", 1), "y": ("ONGOING", "run-0", 2), "z": ("NEW", "run-2", 1)}
+    assert seen[3] == {"y": ("ONGOING", "run-0", 3), "z": ("ONGOING", "run-2", 2)}
+    assert W.prune(spark, out, (), 2) == ["alert_state/run_id=run-0", "alert_state/run_id=run-1"]
+
+
+def test_settings_tell_rules_days_ledgers_and_notes(spark):
+    notes = [spark.createDataFrame([("S1", note)], "key string, note string") for note in ("", "hold")]
+    base = (dt.date(2026, 1, 1), {"a": {"low": 1}}, {"L": ("c", "t", "f")}, None, (notes[0],))
+    texts = {settings(*base)} | {settings(*base[:k], changed, *base[k + 1 :]) for k, changed in enumerate(
+        (dt.date(2026, 1, 2), {"a": {"low": 2}}, {"L": ("c", "t", "x")}, "WH1", (notes[1],)))}
+    assert len(texts) == 6 and settings(*base) in texts
+
+
+def test_complete_sees_a_missing_table(spark, tmp_path):
+    wanted = [f"latest/{n}" for n in W.PUBLISHED] + [f"reports/{n}" for n, optional in W.REPORTS.items() if not optional] + ["reports/dashboard"]
+    for place in wanted:
+        put(tmp_path / place / "_SUCCESS", "")
+    assert W.complete(spark, str(tmp_path))
+    (tmp_path / "reports/returns/_SUCCESS").unlink()
+    assert not W.complete(spark, str(tmp_path))
