@@ -55,6 +55,8 @@ STAR_TURNS = 3
 #: Groups of up to so many classes are compared without a tree.
 SIDE = 12
 BUCKETS_PER_PARTITION = 2
+#: Pairs a task of the tree search holds to tell repeated ones.
+HELD_PAIRS = 1 << 18
 FLUSH_RECORDS = 1 << 19
 #: Bits of the broadcast filter that says which texts a verification may need; false hits only cost time.
 FILTER_BITS = 1 << 24
@@ -288,10 +290,21 @@ def _searched(percent: int):
                 near = near[(root[near] != root[at[k]]) & (~own[near] | (near > at[k]))]
                 found.append(np.stack([np.full(len(near), at[k]), near], axis=1))
         pairs = np.concatenate(found)
-        return np.unique(np.concatenate([name[pairs[:, 0]], name[pairs[:, 1]]], axis=1), axis=0)
+        a, b = name[pairs[:, 0]], name[pairs[:, 1]]
+        # One way round, whatever order the rows came in: the same pair meets under many n-grams.
+        turned = (a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] > b[:, 1]))
+        a[turned], b[turned] = b[turned], a[turned]
+        return np.unique(np.concatenate([a, b], axis=1), axis=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
+        held, size = [], 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            pairs = np.unique(np.concatenate(held), axis=0)
+            for at in range(0, len(pairs), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs[at : at + (1 << 16)].T], PAIR_NAMES)
+
         for batch in batches:
             if not len(batch):
                 continue
@@ -301,11 +314,16 @@ def _searched(percent: int):
             rest = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             if rest:
                 rows = pa.Table.from_batches([*waiting[:-1], batch.slice(0, rest)]).combine_chunks()
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in search(rows).T], PAIR_NAMES)
+                held.append(search(rows))
+                size += len(held[-1])
                 waiting = [batch.slice(rest)]
+                if size >= HELD_PAIRS:
+                    yield from sent()
+                    held, size = [], 0
         if waiting:
-            rows = pa.Table.from_batches(waiting).combine_chunks()
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in search(rows).T], PAIR_NAMES)
+            held.append(search(pa.Table.from_batches(waiting).combine_chunks()))
+        if held:
+            yield from sent()
 
     return run
 
