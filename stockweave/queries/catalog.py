@@ -53,6 +53,9 @@ def stored(spark, sf, name, build):
     seen = files.select("path", "length", F.col("modificationTime").cast("string")).orderBy("path").collect()
     key = (spark.sparkContext.applicationId, sf, name, tuple(map(tuple, seen)))
     if key not in _STORED:
+        # Copies of an earlier state of the same inputs are of no more use.
+        for old in [k for k in _STORED if k[:3] == key[:3]]:
+            del _STORED[old]
         _STORED[key] = cut_lineage(build(), name)
     return _STORED[key]
 

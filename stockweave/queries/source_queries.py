@@ -63,9 +63,14 @@ def document_files(spark, sf) -> DataFrame:
     )
 
 
+def document_lines(spark, sf) -> DataFrame:
+    return T.table(spark, sf, "documents").selectExpr("cast(doc_id as string) as path", "0L as block", "posexplode(split(text, '\n')) as (seq, value)")
+
+
 @query
 def dedupe_files(spark, sf):
-    files = document_files(spark, sf)
+    profile = C.content_profile(document_lines(spark, sf)).select("path", "digest")
+    files = document_files(spark, sf).drop("digest").join(profile.withColumn("path", F.concat(F.lit("/in/"), F.lpad("path", 12, "0"))), "path", "left")
     kept, lost = D.dedupe_files(files, "EN")
     mine = kept.select("path", F.col("name").alias("file"), "kind", F.lit(None).cast("string").alias("reason"))
     return mine.unionByName(lost)
@@ -74,8 +79,7 @@ def dedupe_files(spark, sf):
 @query
 def content_profile(spark, sf):
     """Digest every document line by line; how many files share their contents with others."""
-    lines = T.table(spark, sf, "documents").selectExpr("cast(doc_id as string) as path", "0L as block", "posexplode(split(text, '\n')) as (seq, value)")
-    profile = C.content_profile(lines)
+    profile = C.content_profile(document_lines(spark, sf))
     copies = profile.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.sum("rows").alias("rows"), F.bool_and("utf8").alias("utf8"))
     return copies.groupBy("copies", "utf8").agg(F.count(F.lit(1)).alias("contents"), F.sum("rows").alias("rows"))
 

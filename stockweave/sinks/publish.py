@@ -41,10 +41,10 @@ def write_reports(root: str, reports: dict[str, DataFrame]) -> list[str]:
 
 
 def publish(df: DataFrame, root: str, name: str, run_id: str) -> None:
-    """Latest copy overwritten, and one stamped copy per run; re-publishing a run replaces it."""
-    flat = flatten_headers(df)
-    flat.write.mode("overwrite").parquet(f"{root}/latest/{name}")
-    flat.write.mode("overwrite").parquet(f"{root}/archive/{name}/run_id={run_id}")
+    """One stamped copy per run, computed once, and the latest copy made from it; re-publishing a run replaces it."""
+    flat, kept = flatten_headers(df), f"{root}/archive/{name}/run_id={run_id}"
+    flat.write.mode("overwrite").parquet(kept)
+    df.sparkSession.read.schema(flat.schema).parquet(kept).write.mode("overwrite").parquet(f"{root}/latest/{name}")
 
 
 def latest_runs(df: DataFrame, run_column: str = "run_id", keep: int = S.RUNS_KEPT) -> DataFrame:
