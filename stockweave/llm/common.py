@@ -114,3 +114,22 @@ def running(sliced: DataFrame, starts: DataFrame, group: str, order: list, measu
         .withColumn(name, (F.col("__start") + F.col("__within")).cast("long"))
         .drop("__within", "__start")
     )
+
+
+def repeated(rows: DataFrame, copies: str, nth: str) -> DataFrame:
+    """Each row ``copies`` times, numbered from 0 as ``nth``.
+
+    A row makes blocks of ``SLICE_ROWS`` copies; the further blocks of long runs
+    are dealt over all tasks, so none writes out a run alone.
+    """
+    spark, last = rows.sparkSession, F.floor((F.col(copies) - 1) / F.lit(SLICE_ROWS))
+    rows = staged(rows, "repeated")
+
+    def block(of: DataFrame) -> DataFrame:
+        first = F.col("__block") * F.lit(SLICE_ROWS)
+        places = F.sequence(first, F.least(first + F.lit(SLICE_ROWS), F.col(copies)) - F.lit(1))
+        return of.withColumn(nth, F.explode(places)).drop("__block")
+
+    first = block(rows.withColumn("__block", F.lit(0).cast("long")))
+    long = rows.filter(last > 0).withColumn("__block", F.explode(F.sequence(F.lit(1).cast("long"), last)))
+    return first.unionByName(block(long.repartition(partitions(spark))))

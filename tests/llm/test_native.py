@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from stockweave.llm import licenses, mixing, oracle, quality, sharding
+from stockweave.llm import common, licenses, mixing, oracle, quality, sharding
 from tests.llm import odd
 
 DOCS = [("doc_id", "bigint"), ("text", "varchar"), ("lang", "varchar"), ("source", "varchar"), ("n_chars", "bigint")]
@@ -27,6 +27,21 @@ def test_shards_of_odd_rows(spark):
     assert sharding.shard(odd.empty(spark)).count() == 0
 
 
+def test_equal_rows_fill_no_slice(spark, monkeypatch):
+    equal = spark.range(50_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("x").alias("text"))
+    some = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    widest, running = [], common.running
+    def watched(sliced, starts, group, *rest):
+        widest.append(sliced.groupBy(group, "__slice").count().agg(F.max("count")).first()[0])
+        return running(sliced, starts, group, *rest)
+
+    monkeypatch.setattr(common, "running", watched)
+    rows = sharding.shard(equal.union(some)).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last"))
+    got = rows.collect()
+    assert sum(r.n for r in got) == 53_000 and all(r.n == r.slots == r.last + 1 for r in got)
+    assert max(widest) <= 2 * common.SLICE_ROWS
+
+
 def test_shards_follow_weights_and_move_little(spark):
     ids = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     share = {r.shard: r.n for r in sharding.shard(ids, (3.0, 1.0), 1.0).groupBy("shard").agg(F.count("*").alias("n")).collect()}
