@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -265,6 +266,19 @@ def test_pieces_equal_the_library(spark):
     assert [x.tolist() for x in own.encode(texts[::-1])] == library.encode(texts[::-1])
 
 
+def test_long_words_after_spaces_equal_the_library():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    own = pieces.Pieces(open(pieces.MODEL, "rb").read())
+    for n in (31, 40, 700, 3000):
+        word = "".join(random.Random(n).choice("abcdeéß0aaan") for _ in range(n))
+        for text in ("  " + word, "   " + "ab" * n, word):
+            assert [list(x) for x in own.encode([text])] == [library.encode(text)]
+    before = time.perf_counter()
+    assert sum(len(x) for x in own.encode(["  " + "VGhpcyBpcyBhIGxvbmcg" * 50_000]))
+    assert time.perf_counter() - before < 20
+
+
 def test_pieces_of_odd_rows(spark):
     rows = pieces.round_trip(odd.documents(spark)).collect()
     assert len(rows) == len(odd.rows()) and all(r.round_trip for r in rows) and all(r.n_tokens == 0 for r in rows if r.doc_id in (7, 8))
