@@ -168,7 +168,8 @@ def _runs(width: int, buckets: int):
                     who = np.searchsorted(np.cumsum(sizes), at, side="right")
                     decided.append(P.records(0, 0, d1[who], d2[who], at - begin[who], n, FULL))
                 size += len(first)
-            if size >= FLUSH_RECORDS:
+            # Names of short texts make no records but are held too.
+            if size + len(seen) + len(decided) >= FLUSH_RECORDS:
                 yield from _pack(P.join(held), P.join(decided), buckets, True)
                 held, decided, size, seen = [], [], 0, {}
         yield from _pack(P.join(held), P.join(decided), buckets, True)
