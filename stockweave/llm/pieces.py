@@ -237,10 +237,15 @@ def _shared(df: DataFrame, model: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, model: str = MODEL, text: str = "text") -> DataFrame:
-    """The columns of ``docs`` but ``text``, and ``ids``, the piece ids of the whole text."""
+def encode(docs: DataFrame, model: str = MODEL, text: str = "text", decoded: str | None = None) -> DataFrame:
+    """The columns of ``docs`` but ``text``, and ``ids``, the piece ids of the whole text.
+
+    With ``decoded`` also a column of that name, the text the ids stand for: the
+    worker that made the ids decodes them, so no second one holds the model.
+    """
     shared = _shared(docs, model)
-    kept = [c for c in docs.columns if c not in (text, "ids")]
+    more = [decoded] if decoded else []
+    kept = [c for c in docs.columns if c not in (text, "ids", *more)]
     rows = docs.select(*kept, F.col(text).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,11 +259,14 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text") -> DataFrame
                 lists = pa.ListArray.from_arrays(
                     pa.array(ends, pa.int32(), mask=np.array([doc is None for doc in ids] + [False])), pa.array(flat, pa.int32())
                 )
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), lists], [*kept, "ids"])
+                back = [pa.array([None if doc is None else pieces.decode(doc.tolist()) for doc in ids], pa.string()) for _ in more]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), lists, *back], [*kept, "ids", *more])
         # The worker lives on for other tasks, maybe of other stages: it keeps the pairs only.
         pieces.words, pieces.older = {}, {}
 
     schema = rows.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
+    for name in more:
+        schema = schema.add(name, T.StringType())
     return rows.mapInArrow(C.released(run), schema)
 
 
@@ -281,7 +289,7 @@ def decode(encoded: DataFrame, model: str = MODEL, ids: str = "ids", into: str =
 def round_trip(docs: DataFrame, model: str = MODEL, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode and decode every text: doc_id, n_tokens, ids_sha256 (ids in decimal, commas between), round_trip."""
     rows = docs.select(F.col(key).alias("doc_id"), F.sha2(F.col(text), 256).alias("__before"), F.col(text).alias("__in"))
-    back = decode(encode(rows, model, "__in"), model, into="__out")
+    back = encode(rows, model, "__in", decoded="__out")
     return back.select(
         "doc_id",
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
