@@ -63,7 +63,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, and whether decoding the ids gives the text back."""
     rows = docs.select("doc_id", "lang", "source", F.xxhash64("text").alias("__before"), F.col("text").alias("__in"))
-    back = pieces.decode(pieces.encode(rows, text="__in"), into="__out")
+    back = pieces.encode(rows, text="__in", decoded="__out")
     return back.select(
         "doc_id", "lang", "source", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids",
         (F.col("__before") == F.xxhash64("__out")).alias("round_trip"),
