@@ -151,6 +151,7 @@ def run_cycle(
     labelled = raised.join(diff.select("key", "status", "first_seen", "cycles"), "key")
     W.publish(A.alert_summary(labelled), out, "alert_summary", run_id)
     W.publish(A.top_alerts(labelled), out, "alert_digest", run_id)
+    W.switch(spark, out, run_id)
     return {"skus": skus, "articles": articles, "alerts": labelled, "lifecycle": diff}
 
 

@@ -41,10 +41,54 @@ def write_reports(root: str, reports: dict[str, DataFrame]) -> list[str]:
 
 
 def publish(df: DataFrame, root: str, name: str, run_id: str) -> None:
-    """One stamped copy per run, computed once, and the latest copy made from it; re-publishing a run replaces it."""
-    flat, kept = flatten_headers(df), f"{root}/archive/{name}/run_id={run_id}"
-    flat.write.mode("overwrite").parquet(kept)
-    df.sparkSession.read.schema(flat.schema).parquet(kept).write.mode("overwrite").parquet(f"{root}/latest/{name}")
+    """One stamped copy per run, computed once; readers see it after ``switch``. Re-publishing a run replaces it."""
+    flatten_headers(df).write.mode("overwrite").parquet(f"{root}/archive/{name}/run_id={run_id}")
+
+
+VERSION = "name string, run_id string"
+
+
+def switch(spark: SparkSession, root: str, run_id: str, names=PUBLISHED) -> int:
+    """Let readers see a run's tables, all at once; the number of the version.
+
+    A version is a new folder of one row per table, and it counts once its
+    ``_SUCCESS`` is there, so a job that dies before leaves readers the version
+    they had. The plain copies under ``latest`` are made afterwards.
+    """
+    places = {n: f"{root}/archive/{n}/run_id={run_id}" for n in names}
+    absent = [n for n, place in places.items() if not exists(spark, f"{place}/_SUCCESS")]
+    if absent:
+        raise ValueError(f"run {run_id} has not written {', '.join(absent)}")
+    number = max(versions(spark, root), default=0) + 1
+    manifest = spark.createDataFrame([(n, run_id) for n in names], VERSION)
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/version={number}")
+    for n, place in places.items():
+        spark.read.parquet(place).write.mode("overwrite").parquet(f"{root}/latest/{n}")
+    return number
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete versions, one small folder each."""
+    files, place = _folder(spark, f"{root}/versions")
+    found = [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+    return sorted(int(n.split("=")[1]) for n in found if n.startswith("version=") and exists(spark, f"{root}/versions/{n}/_SUCCESS"))
+
+
+def published_runs(spark: SparkSession, root: str, version: int | None = None) -> dict[str, str]:
+    """Table -> run of a version, the newest unless told; empty before the first."""
+    known = versions(spark, root)
+    if not known:
+        return {}
+    at = known[-1] if version is None else version
+    return {r.name: r.run_id for r in spark.read.schema(VERSION).parquet(f"{root}/versions/version={at}").collect()}  # one row per table
+
+
+def read_published(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """A table as the newest (or a given) version shows it."""
+    runs = published_runs(spark, root, version)
+    if name not in runs:
+        raise ValueError(f"{name} has not been published below {root}")
+    return spark.read.parquet(f"{root}/archive/{name}/run_id={runs[name]}")
 
 
 def latest_runs(df: DataFrame, run_column: str = "run_id", keep: int = S.RUNS_KEPT) -> DataFrame:
@@ -122,14 +166,24 @@ def read_status(spark: SparkSession, root: str) -> DataFrame:
 
 
 def prune(spark: SparkSession, root: str, names, keep: int = S.RUNS_KEPT) -> list[str]:
-    """Remove archived copies of runs beyond the newest ``keep``; their folders are read, not their rows."""
-    removed = []
+    """Remove archived copies of runs beyond the newest ``keep``, but not what the newest version shows; folders are read, no rows.
+
+    Versions that show a removed run go too.
+    """
+    removed, shown = [], set(published_runs(spark, root).values())
     for name, under in [*((n, f"archive/{n}") for n in names), ("alert_state", "alert_state")]:
         files, place = _folder(spark, f"{root}/{under}")
         if not files.exists(place):
             continue
         runs = sorted(s.getPath().getName() for s in files.listStatus(place) if s.getPath().getName().startswith("run_id="))
         for run in runs[:-keep]:
+            if run.removeprefix("run_id=") in shown:
+                continue
             files.delete(_folder(spark, f"{root}/{under}/{run}")[1], True)
             removed.append(f"{name}/{run}")
+    gone = {r.split("/run_id=")[1] for r in removed}
+    for number in versions(spark, root)[:-1]:
+        if gone & set(published_runs(spark, root, number).values()):
+            files, place = _folder(spark, f"{root}/versions/version={number}")
+            files.delete(place, True)
     return removed

@@ -198,3 +198,36 @@ def test_complete_sees_a_missing_table(spark, tmp_path):
     assert W.complete(spark, str(tmp_path))
     (tmp_path / "reports/returns/_SUCCESS").unlink()
     assert not W.complete(spark, str(tmp_path))
+
+
+def test_readers_keep_the_old_version_until_the_switch(spark, tmp_path):
+    out, names = str(tmp_path), ("a", "b")
+
+    def write(run, *which):
+        for n in which:
+            W.publish(spark.createDataFrame([(run,)], "x string"), out, n, run)
+
+    def seen():
+        latest = {spark.read.parquet(f"{out}/latest/{n}").first().x for n in names}
+        return {W.read_published(spark, out, n).first().x for n in names} | latest
+
+    with pytest.raises(ValueError):
+        W.read_published(spark, out, "a")
+    write("r1", *names)
+    assert W.switch(spark, out, "r1", names) == 1 and seen() == {"r1"}
+    # The run fails after its first table: nothing of it shows, and it cannot be switched to.
+    write("r2", "a")
+    with pytest.raises(ValueError, match="b"):
+        W.switch(spark, out, "r2", names)
+    assert seen() == {"r1"} and W.versions(spark, out) == [1]
+    # A manifest whose job died before its end is no version.
+    put(tmp_path / "versions/version=2/part-0.parquet", "half")
+    assert seen() == {"r1"}
+    write("r3", *names)
+    assert W.switch(spark, out, "r3", names) == 2 and seen() == {"r3"}
+    assert W.read_published(spark, out, "a", version=1).first().x == "r1"
+    # Retention leaves what the newest version shows, and drops versions whose runs are gone.
+    write("r4", "a", "b")
+    write("r5", "a", "b")
+    assert W.prune(spark, out, names, 1) == ["a/run_id=r1", "a/run_id=r2", "a/run_id=r4", "b/run_id=r1", "b/run_id=r4"]
+    assert seen() == {"r3"} and W.versions(spark, out) == [2]
