@@ -9,16 +9,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockweave import schemas as S
 from stockweave.functions.dates import windows
+from stockweave.operators import resolve as R
 from stockweave.operators.lifecycle import alert_diff, empty_state, next_state
 from stockweave.plans import alerts as A
 from stockweave.plans import merchandising as M
 from stockweave.plans import reports as P
+from stockweave.session import cut_lineage
 from stockweave.sinks import publish as W
+from stockweave.sources.dimensions import load_items, load_notes, master_sheet
 from stockweave.sources.intake import Intake, load_folder
 from stockweave.plans import verification as V
 from stockweave.sources.scan import input_fingerprint, scan_inputs, should_skip, table_digest
 from stockweave.sources.tables import load_facts
 
+#: Folder below the inputs that holds the decoded cells of their workbooks: source_file, sheet, row_idx, cells.
+RAW_CELLS = "raw_cells"
+
 
 def audit(sales: DataFrame, inventory: DataFrame, purchases: DataFrame, drops: DataFrame | None = None) -> DataFrame:
     """Per kind and file: rows, matches and figures of all three facts; a file whose rows were all dropped is listed with 0 rows."""
@@ -156,8 +162,8 @@ def run_cycle(
 
 
 def run_folder(
-    spark: SparkSession, root: str, out: str, lookup: DataFrame, items: DataFrame, notes: tuple[DataFrame, DataFrame],
-    run_id: str, asof: dt.date, facility: str | None = None, raw_cells: DataFrame | None = None, channel_map: dict = S.CHANNEL_MAP,
+    spark: SparkSession, root: str, out: str, lookup: DataFrame | None = None, items: DataFrame | None = None,
+    notes: tuple[DataFrame, DataFrame] | None = None, run_id: str | None = None, asof: dt.date | None = None, facility: str | None = None, raw_cells: DataFrame | None = None, channel_map: dict = S.CHANNEL_MAP,
     previous_state: DataFrame | None = None, rules: dict = S.DEFAULT_RULES, force: bool = False,
 ) -> dict[str, DataFrame] | None:
     """From a folder of extracts to all published tables; None when nothing changed since the last good run.
@@ -166,12 +172,23 @@ def run_folder(
     no table that a run writes is missing. Alerts continue from the state the
     last good run left in ``out``, unless ``previous_state`` is given.
 
+    What is not given comes from the folder: decoded workbook cells from its
+    Parquet folder ``raw_cells``, the master from one of those workbooks, the
+    item master and the notes from their CSV files, list prices from warehouse
+    stock. ``run_id`` is the time of the start, ``asof`` its day.
+
     A status row is written in every case, also for a run that fails, and runs
     beyond the newest ``S.RUNS_KEPT`` leave the archive.
     """
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run_id, asof = run_id or started.strftime("%Y%m%d-%H%M%S-%f"), asof or started.date()
+    if raw_cells is None and W.exists(spark, f"{root}/{RAW_CELLS}"):
+        raw_cells = spark.read.parquet(f"{root}/{RAW_CELLS}")
     files = scan_inputs(spark, root).select("folder", "name", F.col("path").alias("file_id"), F.col("modified").cast("string").alias("version"), "bytes")
-    print_ = input_fingerprint(files, settings(asof, rules, channel_map, facility, (lookup, items, *notes)))
+    # Master and item master of the folder are in raw_cells and the listing; the notes' file is in neither.
+    own_notes = notes if notes is not None else load_notes(spark, root)
+    given = tuple(t for t in (lookup, items, *own_notes, raw_cells) if t is not None)
+    print_ = input_fingerprint(files, settings(asof, rules, channel_map, facility, given))
     seen = print_.first()
 
     def status(ok: bool, notes_: str = "", skipped: bool = False) -> None:
@@ -183,11 +200,13 @@ def run_folder(
         status(True, "inputs unchanged", skipped=True)
         return None
     try:
-        intake = load_folder(spark, root, lookup, channel_map, facility, raw_cells)
+        master = R.load_master(master_sheet(raw_cells))[0] if lookup is None and raw_cells is not None else None
+        intake = load_folder(spark, root, lookup, channel_map, facility, raw_cells, master=master)
+        items = items if items is not None else cut_lineage(load_items(spark, root), "items")
         facts = (intake.sales, intake.inventory, intake.purchases)
         if previous_state is None:
             previous_state = W.last_state(spark, out, run_id, empty_state(spark))
-        tables = run_cycle(spark, facts, items, notes, out, run_id, asof, previous_state, rules, facility=facility, intake=intake)
+        tables = run_cycle(spark, facts, items, own_notes, out, run_id, asof, previous_state, rules, facility=facility, intake=intake)
     except Exception as why:
         status(False, str(why)[:500])
         raise

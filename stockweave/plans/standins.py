@@ -171,3 +171,103 @@ def purchase_extract(spark, sf_dir) -> DataFrame:
         f"cast(datediff(date'{ASOF}', l_shipdate) as double) as ageing_days",
         "l_shipdate as updated", "l_linenumber as line_no",
     )
+
+
+# ------------------------------------------------------- a folder of extracts
+
+#: File of the folder -> day it was last changed. The order of the names decides between copies.
+FOLDER_FILES = {
+    **{f"uniware/Tally GST__F{k}.csv": 20 for k in range(3)}, "uniware/Tally GST old__F0.csv": 10, "uniware/copy of Tally GST__F1.csv": 21,
+    **{f"uniware/Inventory__F{k}.csv": 20 for k in range(3)}, **{f"uniware/Purchase Orders__F{k}.csv": 20 for k in range(3)},
+    "uniware/Item Master.csv": 20, "uniware/Item_Master early.csv": 10, "reorder_status.csv": 20, "stores/junk.csv": 20,
+}
+GST_HEADER = "Product SKU Code,Channel Ledger,Qty,Total,Sales,Date"
+STOCK_HEADER = "Item SkuCode,Facility,Inventory,MRP"
+PO_HEADER = (
+    "PO Code,Item SkuCode,Purchase Order Status,Created,Vendor Name,Facility,Order Quantity,Recieved Quantity,Rejected Quantity,Pending Quantity,Total"
+)
+ITEM_HEADER = "Product Code,Category Code,Category Name,Gender,MRP,Year"
+NOTES_HEADER = "Sku Code,Item Name,Style Re-order Status,Reorder Status"
+
+
+def folder_lines(spark, sf_dir) -> DataFrame:
+    """(file, a, b, line): every line of every file, in the order (a, b); headers have a = -1.
+
+    All of lineitem is in the sales, stock and purchase files, by supplier; all
+    of part in the item masters, the notes and the junk. Every fiftieth SKU of a
+    sale is unknown, one sale in seven comes without money, one in seven with
+    its gross value only, and vendors have commas, quotes and line breaks.
+    """
+    line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    k, key = "cast(l_suppkey % 3 as string)", ("l_orderkey as a", "cast(l_linenumber as bigint) as b")
+    whole = "cast(cast(l_quantity as int) as string)"
+    price = "cast(cast(l_extendedprice as decimal(18,2)) as string)"
+    gst = f"""concat_ws(',', concat(if(l_partkey % 50 = 0, 'X', 'S'), l_partkey),
+        element_at(array('MYNTRAPPMP', 'SNAPMINT', 'PROMO', ' ajio ', 'Walk in'), cast(l_orderkey % 5 + 1 as int)), {whole},
+        case when l_linenumber = 5 then '' when l_linenumber = 4 then {price} else concat('"', format_number(l_extendedprice, 2), '"') end,
+        if(l_linenumber in (4, 5), '', {price}), date_format(l_shipdate, 'yyyy-MM-dd'))"""
+    stock = f"concat_ws(',', concat('S', l_partkey), concat('F', {k}), {whole}, cast(100 + l_partkey % 900 + l_linenumber as string))"
+    po = f"""concat_ws(',', concat('PO', l_orderkey, '-', l_linenumber), concat('S', l_partkey), if(l_linestatus = 'O', 'APPROVED', 'COMPLETE'),
+        date_format(l_shipdate, 'yyyy-MM-dd'), concat('"V', l_suppkey, if(l_linenumber = 2, concat(', ', repeat('"', 2), 'the\\nbest', repeat('"', 3)), '"')), concat('F', {k}), {whole}, '1', '0',
+        cast(cast(l_quantity as int) - 1 as string), {price})"""
+    item = "concat_ws(',', concat('S', p_partkey), 'C', {}, 'Men', cast(cast(p_retailprice as decimal(18,2)) as string), cast(2000 + p_size % 25 as string))"
+    note = f"""case when p_partkey % 3 = 0 then concat('s', p_partkey, ' ,,,Hold')
+        when p_partkey % 8 = 1 then concat(',', {style_sql('p_partkey')}, ',"Re-order, soon",') else concat('S', p_partkey, ',,,') end"""
+    parts = [
+        line.selectExpr(f"concat('uniware/Tally GST__F', {k}, '.csv') as file", *key, f"{gst} as line"),
+        line.filter("l_suppkey % 3 = 1").selectExpr("'uniware/copy of Tally GST__F1.csv' as file", *key, f"{gst} as line"),
+        line.filter("l_suppkey % 3 = 0 and l_linenumber > 2").selectExpr("'uniware/Tally GST old__F0.csv' as file", *key, f"{gst} as line"),
+        line.selectExpr(f"concat('uniware/Inventory__F', {k}, '.csv') as file", *key, f"{stock} as line"),
+        line.selectExpr(f"concat('uniware/Purchase Orders__F', {k}, '.csv') as file", *key, f"{po} as line"),
+        part.selectExpr("'uniware/Item Master.csv' as file", "p_partkey as a", "0L as b", item.format("p_brand") + " as line"),
+        part.selectExpr("'uniware/Item_Master early.csv' as file", "p_partkey as a", "0L as b", item.format("'Early'") + " as line"),
+        part.selectExpr("'reorder_status.csv' as file", "p_partkey as a", "0L as b", f"{note} as line"),
+        part.selectExpr("'stores/junk.csv' as file", "p_partkey as a", "0L as b", "concat('x,', p_size) as line"),
+    ]
+    heads = [
+        (f, -1, 0, next(h for start, h in (
+            ("uniware/Inv", STOCK_HEADER), ("uniware/Pur", PO_HEADER), ("uniware/Item", ITEM_HEADER), ("reorder", NOTES_HEADER), ("stores", "a,b"), ("uni", GST_HEADER),
+        ) if f.startswith(start))) for f in FOLDER_FILES
+    ]
+    out = spark.createDataFrame(heads, "file string, a long, b long, line string")
+    for frame in parts:
+        out = out.unionByName(frame)
+    return out
+
+
+def master_cells(spark, sf_dir, layout: int = 0) -> DataFrame:
+    """The master as decoded workbook cells: header in row 1, 0 or 2 and other columns first, by layout."""
+    row = (1, 0, 2)[layout]
+    names = (("Sku Code", "Item Name", "AZ ASIN", "FK SKU"), ("AZ ASIN", "Sku Code", "Remarks", "Item Name", "Sku Code"), ("Item Name", "FK SKU", "Sku Code", "FSN"))[layout]
+    cells = {
+        "Sku Code": "concat('S', p_partkey)", "Item Name": style_sql("p_partkey"), "AZ ASIN": "if(p_partkey % 2 = 0, concat('B', p_partkey), '')",
+        "FK SKU": "if(p_partkey % 3 = 0, concat('F', p_partkey), null)", "FSN": "concat(p_partkey, '.0')", "Remarks": "p_name",
+    }
+    file = f"{('Listing', 'Codes', 'Sheet of all')[layout]}.xlsx"
+    head = [(file, "Sheet1", i, ["Myntra, all ids"] if i < row else [*names[:-1], f' "{names[-1]}"\u00a0']) for i in range(row + 1)]
+    first = "'again'" if layout == 1 else cells[names[-1]]
+    body = table(spark, sf_dir, "part").selectExpr(
+        f"'{file}' as source_file", "'Sheet1' as sheet", f"p_partkey + {row + 1} as row_idx", f"array({', '.join(cells[n] for n in names[:-1])}, {first}) as cells"
+    )
+    return spark.createDataFrame(head, "source_file string, sheet string, row_idx long, cells array<string>").unionByName(body)
+
+
+def write_folder(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Put the files of ``folder_lines`` and the decoded master below ``root``, each file by one task."""
+    split = f"{root}/_split"
+    (
+        folder_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "a", "b")
+        .select("file", "line").write.partitionBy("file").text(split)
+    )
+    master_cells(spark, sf_dir).write.parquet(f"{root}/raw_cells")
+    jvm = spark._jvm
+    place = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    files = place(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    named = {s.getPath().getName().removeprefix("file=").replace("%2F", "/"): s.getPath() for s in files.listStatus(place(split)) if s.isDirectory()}
+    for name, day in FOLDER_FILES.items():
+        part = next(s.getPath() for s in files.listStatus(named[name]) if s.getPath().getName().startswith("part-"))
+        target = place(f"{root}/{name}")
+        files.mkdirs(target.getParent())
+        files.rename(part, target)
+        files.setTimes(target, int(dt.datetime(2001, 7, day, tzinfo=dt.timezone.utc).timestamp() * 1000), -1)
+    files.delete(place(split), True)

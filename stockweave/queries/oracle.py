@@ -815,3 +815,39 @@ UNION ALL SELECT 'run-2', key, CASE WHEN b AND c THEN 'ONGOING' WHEN c THEN 'NEW
 _q("norm_id", """
 WITH t AS (SELECT page_id, upper(trim(regexp_extract(url, '[^/]*$'))) AS key FROM pages)
 SELECT page_id, CASE WHEN key NOT IN ('', 'NAN', 'NONE', 'NAT') THEN key END AS key FROM t""", "")
+_q("master_layouts", """
+SELECT layout::INT AS layout, 'S' || p_partkey AS sku,
+       'ST' || (p_partkey // 8) || CASE (p_partkey // 8) % 4 WHEN 0 THEN '-AW24' WHEN 1 THEN '-SS25' WHEN 2 THEN '-AW' ELSE '' END AS style,
+       CASE WHEN layout < 2 AND p_partkey % 2 = 0 THEN 'B' || p_partkey END AS az_asin,
+       CASE WHEN layout <> 1 AND p_partkey % 3 = 0 THEN 'F' || p_partkey END AS fk_sku,
+       CASE WHEN layout = 2 THEN p_partkey::VARCHAR END AS fsn, p_partkey AS place
+FROM part, (VALUES (0), (1), (2)) AS v(layout)""", "")
+_q("folder_run", """
+WITH price AS (SELECT l_partkey, arg_max(100 + l_partkey % 900 + l_linenumber, (l_orderkey, l_linenumber)) AS mrp FROM lineitem WHERE l_suppkey % 3 = 0 GROUP BY 1),
+l AS (SELECT lineitem.*, 'F' || (l_suppkey % 3) AS f, l_extendedprice::DECIMAL(18,2) AS total, l_partkey % 50 <> 0 AND l_partkey IN (SELECT p_partkey FROM part) AS sold,
+             l_partkey IN (SELECT p_partkey FROM part) AS known, mrp,
+             ['sell_in', 'sell_out', 'exclude', 'sell_in', 'unknown'][(l_orderkey % 5 + 1)::INT] AS flow
+      FROM lineitem LEFT JOIN price USING (l_partkey)),
+s AS (SELECT f, flow, CASE WHEN l_linenumber = 4 THEN 'gross_fallback' WHEN l_linenumber = 5 AND sold AND mrp IS NOT NULL THEN 'imputed_mrp' ELSE 'as_reported' END AS basis,
+             CASE WHEN l_linenumber <> 5 THEN total WHEN sold THEN l_quantity::INT * mrp END AS net FROM l),
+sales AS (SELECT 'Tally GST__' || f || '.csv|' || flow || '|' || basis AS name, count(*)::DOUBLE AS n, coalesce(round(sum(net), 2), 0)::DOUBLE AS net FROM s GROUP BY 1),
+vendor AS (SELECT 'V' || l_suppkey || CASE WHEN l_linenumber = 2 THEN ', "the' || chr(10) || 'best"' ELSE '' END AS name,
+                  count(*)::DOUBLE AS n, sum(l_quantity::INT - 1)::DOUBLE AS pending FROM l GROUP BY 1),
+audit AS (SELECT kind || '|' || CASE kind WHEN 'sales' THEN 'Tally GST' WHEN 'inventory' THEN 'Inventory' ELSE 'Purchase Orders' END || '__' || f || '.csv' AS name,
+                 count(*)::DOUBLE AS n, sum(CASE WHEN kind = 'sales' THEN sold ELSE known END::INT)::DOUBLE AS matched, sum(l_quantity::INT)::DOUBLE AS qty
+          FROM l, (VALUES ('sales'), ('inventory'), ('purchase')) AS k(kind) GROUP BY 1),
+noted AS (SELECT DISTINCT p_partkey // 8 AS style FROM part WHERE p_partkey % 8 = 1 AND p_partkey % 3 <> 0),
+skus AS (SELECT p_brand || '|Men|' || CASE WHEN p_partkey // 8 IN (SELECT style FROM noted) THEN 'Re-order, soon' ELSE '' END || '|'
+                || CASE WHEN p_partkey % 3 = 0 THEN 'Hold' ELSE '' END AS name, count(*)::DOUBLE AS n
+         FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem) GROUP BY 1)
+SELECT 'sales' AS section, name, unnest(['rows', 'net']) AS figure, unnest([n, net]) AS value FROM sales
+UNION ALL SELECT 'stock', 'Inventory__' || f || '.csv|' || f, 'qty', sum(l_quantity::INT)::DOUBLE FROM l GROUP BY f
+UNION ALL SELECT 'vendor', name, unnest(['rows', 'pending']), unnest([n, pending]) FROM vendor
+UNION ALL SELECT 'audit', name, unnest(['rows', 'matched', 'qty']), unnest([n, matched, qty]) FROM audit
+UNION ALL SELECT 'skus', name, 'skus', n FROM skus
+UNION ALL VALUES ('skipped', 'Item Master.csv|uniware_item_master|dimension file, not a fact table - not loaded by design', 'files', 1.0::DOUBLE),
+  ('skipped', 'junk.csv|UNRECOGNISED|no rule matched', 'files', 1),
+  ('superseded', 'Item_Master early.csv|uniware_item_master|point-in-time snapshot — summing two would double-count stock; superseded by Item Master.csv', 'files', 1),
+  ('superseded', 'Tally GST old__F0.csv|uniware_tally_gst|overlapping window — summing two would double-count sales; superseded by Tally GST__F0.csv', 'files', 1),
+  ('superseded', 'copy of Tally GST__F1.csv|uniware_tally_gst|byte-identical duplicate of Tally GST__F1.csv', 'files', 1),
+  ('tie-out', 'PASS', 'files', 9), ('status', 'OK', 'runs', 1), ('status', 'SKIPPED', 'runs', 1)""", "")

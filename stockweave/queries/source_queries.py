@@ -15,7 +15,7 @@ from stockweave.functions.text import pick_column
 from stockweave.operators import lifecycle as L
 from stockweave.operators.unpivot import block_columns, unpivot_blocks, unpivot_matrix
 from stockweave.plans import merchandising as M
-from stockweave.plans.cycle import settings
+from stockweave.plans.cycle import run_folder, settings
 from stockweave.plans import reports as P
 from stockweave.plans import standins as T
 from stockweave.plans import verification as V
@@ -25,6 +25,7 @@ from stockweave.session import cut_lineage, work_dir
 from stockweave.sinks import publish as W
 from stockweave.sources import adapters as A
 from stockweave.sources import detect as D
+from stockweave.sources import dimensions as DM
 from stockweave.sources import scan as C
 from stockweave.sources import tables as B
 from stockweave.streaming import alert_state as SA
@@ -497,3 +498,63 @@ def po_history_ties(spark, sf):
         ["l_partkey", "l_suppkey"], ["stamp"], ["l_orderkey", "l_linenumber"],
     )
     return merged.select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_returnflag")
+
+
+# ------------------------------------------------------------ whole folders
+
+
+@query
+def master_layouts(spark, sf):
+    """The master sheet found and read in three layouts: header in row 1, 0 and 2, columns in other places, one name twice."""
+    out = None
+    for layout in range(3):
+        raw = DM.master_sheet(T.master_cells(spark, sf, layout).unionByName(order_sheets(spark, sf)))
+        ids = [F.col(f"`{c}`") if c in raw.columns else F.lit(None).cast("string") for c in ("AZ ASIN", "FK SKU", "FSN")]
+        rows = raw.select(
+            F.lit(layout).alias("layout"), F.col("Sku Code").alias("sku"), F.col("Item Name").alias("style"),
+            *[c.alias(n) for c, n in zip(ids, ("az_asin", "fk_sku", "fsn"))], (F.col("row_seq") - F.lit((2, 1, 3)[layout])).alias("place"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def folder_run(spark, sf):
+    """Thirteen files and a workbook, written from all of lineitem and part, through ``run_folder`` twice; what every table says of them.
+
+    Nothing but the folder is given. Read back from storage: facts, audit,
+    skipped and superseded files, rejects, tie-outs, the published SKU table and status rows.
+    """
+    root = work_dir(spark, "folder")
+    T.write_folder(spark, sf, f"{root}/in")
+    for n in range(2):
+        run_folder(spark, f"{root}/in", f"{root}/out", run_id=f"run-{n}", asof=T.ASOF)
+    sales, inventory, purchases = B.load_facts(spark, f"{root}/out/facts")
+    report = lambda n: spark.read.parquet(f"{root}/out/reports/{n}")
+
+    def says(df, section, name, **figures):
+        """One row per figure of each row."""
+        pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("figure"), v.cast("double").alias("value")) for k, v in figures.items()]))
+        return df.select(F.lit(section).alias("section"), name.alias("name"), pairs.alias("p")).select("section", "name", "p.*")
+
+    one, skus = F.lit(1), W.read_published(spark, f"{root}/out", "sku_wise")
+    by_basis = sales.groupBy("source_file", "flow", "value_basis").agg(F.count(one).alias("n"), F.round(F.sum("net_value"), 2).alias("net"))
+    vendors = purchases.groupBy("vendor").agg(F.count(one).alias("n"), F.sum("qty_pending").alias("pending"))
+    stock = inventory.groupBy("source_file", "location").agg(F.sum("qty_on_hand").alias("qty"))
+    kinds = skus.groupBy("Category", "Gender", "Style Re-order Status", "Reorder Status").agg(F.count(one).alias("n"))
+    col, text = F.col, lambda *cs: F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("-")) for c in cs])
+    parts = (
+        says(by_basis, "sales", text("source_file", "flow", "value_basis"), rows=col("n"), net=F.coalesce("net", F.lit(0.0))),
+        says(stock, "stock", text("source_file", "location"), qty=col("qty")),
+        says(vendors, "vendor", col("vendor"), rows=col("n"), pending=col("pending")),
+        says(report("load_audit"), "audit", text("kind", "source_file"), rows=col("rows"), matched=col("matched"), qty=col("qty")),
+        says(report("skipped_files"), "skipped", text("file", "kind", "reason"), files=one),
+        says(report("superseded_files"), "superseded", text("file", "kind", "reason"), files=one),
+        says(report("tie_out_sources").groupBy("result").agg(F.countDistinct("source_file").alias("n")), "tie-out", col("result"), files=col("n")),
+        says(kinds, "skus", text("Category", "Gender", "Style Re-order Status", "Reorder Status"), skus=col("n")),
+        says(W.read_status(spark, f"{root}/out").groupBy("verdict").agg(F.count(one).alias("n")), "status", col("verdict"), runs=col("n")),
+    )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -152,8 +152,8 @@ def match_store_profile(raw_cells: DataFrame, profiles=STORE_PROFILES) -> DataFr
     )
 
 
-def detect_master(raw_cells: DataFrame) -> DataFrame:
-    """The master sheet's file: its first rows name the SKU code and a marketplace id; last one wins."""
+def master_files(raw_cells: DataFrame) -> DataFrame:
+    """Workbooks whose first rows name the SKU code and a marketplace id; none of them is an extract."""
     text = F.lower(F.concat_ws(" ", "cells"))
 
     def says(word):
@@ -162,7 +162,12 @@ def detect_master(raw_cells: DataFrame) -> DataFrame:
     seen = raw_cells.filter("row_idx < 4").groupBy("source_file").agg(
         says("sku code").alias("sku"), (says("asin") | says("fsn") | says("myntra")).alias("market")
     )
-    return seen.filter("sku and market").agg(F.max("source_file").alias("source_file"))
+    return seen.filter("sku and market").select("source_file")
+
+
+def detect_master(raw_cells: DataFrame) -> DataFrame:
+    """The master sheet's file; of several the last one."""
+    return master_files(raw_cells).agg(F.max("source_file").alias("source_file"))
 
 
 # ---------------------------------------------------------------- duplicates

@@ -15,6 +15,7 @@ from stockweave.plans.reports import fact_exceptions
 from stockweave.session import cut_lineage
 from stockweave.sources import adapters as A
 from stockweave.sources import detect as D
+from stockweave.sources import dimensions as M
 from stockweave.sources import scan as C
 
 
@@ -104,10 +105,15 @@ def detect_sheets(raw_cells: DataFrame, profiles=D.STORE_PROFILES) -> tuple[Data
 
 
 def load_folder(
-    spark: SparkSession, root: str, lookup: DataFrame, channel_map: dict = S.CHANNEL_MAP,
-    facility: str | None = None, raw_cells: DataFrame | None = None, profiles=D.STORE_PROFILES,
+    spark: SparkSession, root: str, lookup: DataFrame | None = None, channel_map: dict = S.CHANNEL_MAP,
+    facility: str | None = None, raw_cells: DataFrame | None = None, profiles=D.STORE_PROFILES, master: DataFrame | None = None,
 ) -> Intake:
-    """Detect, drop duplicates, adapt every kind at once, scope, resolve and conform."""
+    """Detect, drop duplicates, adapt every kind at once, scope, resolve and conform.
+
+    Without a ``lookup`` it is made of ``master``, one row per SKU, and of the
+    list prices in the folder's own warehouse stock. Workbooks that are master
+    sheets are no extracts.
+    """
     csv_files, lines = detect_csv(spark, root, profiles)
     kept, lost = D.dedupe_files(csv_files, facility)
     kept = kept.filter(F.col("note") != UNCLOSED)
@@ -121,7 +127,7 @@ def load_folder(
     )
     sources: list[tuple[DataFrame, DataFrame]] = [(kept, staged)]
     if raw_cells is not None:
-        sheet_files, sheet_rows = detect_sheets(raw_cells, profiles)
+        sheet_files, sheet_rows = detect_sheets(raw_cells.join(D.master_files(raw_cells), "source_file", "left_anti"), profiles)
         sheet_kept, sheet_lost = D.dedupe_files(sheet_files, facility)
         below = sheet_rows.join(
             sheet_kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_row"), "path"
@@ -131,7 +137,7 @@ def load_folder(
         found.append(sheet_files)
 
     parts: dict[str, list[DataFrame]] = {"sales": [], "inventory": [], "purchase": []}
-    totals, turned_down, broken = [], [], []
+    totals, turned_down, broken, prices = [], [], [], None
     for files, below in sources:
         files = cut_lineage(files, "kept")
         # Rows are written once, split by kind, so an adapter reads its own files only.
@@ -151,6 +157,8 @@ def load_folder(
                 broken.append((mine, why))
                 continue
             parts[fact].append(out)
+            if kind == "uniware_inventory" and prices is None:
+                prices = M.stock_prices(mine, own)
             raw = A.raw_rows(kind, profile, own, mine)
             overflow = every.filter(~A.fits()).join(mine.select("path", F.col("name").alias("source_file")), "path")
             turned_down.append(A.rejects(raw, overflow))
@@ -159,6 +167,10 @@ def load_folder(
     if broken and not any(parts.values()):
         raise broken[0][1]
 
+    if lookup is None:
+        if master is None:
+            raise ValueError("either a lookup or a master is needed")
+        lookup = cut_lineage(FP.lookup_for(master, prices), "lookup")
     drops = None
     if facility:
         counted = []
@@ -181,15 +193,17 @@ def load_folder(
     sales = O.conform(O.value_basis(stacked("sales")), S.FACT_SALES)
     inventory = O.conform(stacked("inventory"), S.FACT_INVENTORY)
     purchases = O.conform(stacked("purchase"), S.FACT_PURCHASE)
-    listed = [f.select("name", "sheet", "kind", "note") for f in found]
+    listed = [f.select("path", "name", "sheet", "kind", "note") for f in found]
     # A workbook comes in through its sheets; one without any is accounted for by name.
     books = C.scan_inputs(spark, root).filter("suffix <> 'csv'").select(
-        "name", F.lit("").alias("sheet"), F.lit("workbook").alias("kind"), F.lit("workbook without decoded sheets in raw_cells").alias("note")
+        "path", "name", F.lit("").alias("sheet"), F.lit("workbook").alias("kind"), F.lit("workbook without decoded sheets in raw_cells").alias("note")
     )
     if raw_cells is not None:
         books = books.join(raw_cells.select(F.col("source_file").alias("name")).distinct(), "name", "left_anti")
     all_files = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*listed, books])
-    skipped = A.skipped_files(all_files)
+    # A file that another one stands for is listed as superseded only.
+    skipped = A.skipped_files(all_files.join(lost.select("path"), "path", "left_anti"))
+    all_files = all_files.drop("path")
     for files, why in broken:
         reason = F.lit(f"{type(why).__name__}: {str(why).splitlines()[0] if str(why) else ''}"[:300])
         skipped = skipped.unionByName(files.select(F.col("name").alias("file"), "sheet", "kind", reason.alias("reason")))

@@ -67,17 +67,18 @@ def scan_inputs(spark: SparkSession, root: str) -> DataFrame:
     return file_table(listing.select("path", "modificationTime", "length"), root)
 
 
-def read_lines(spark: SparkSession, root: str) -> DataFrame:
+def read_lines(spark: SparkSession, root: str, only: str | None = None) -> DataFrame:
     """Every CSV line with its file and its place: (path, block, seq, value).
 
     ``block`` and ``seq`` order the lines of a file without numbering them,
     which would need the whole file in one task. Only files of the file table
     are read: the rules on a path are a filter on file metadata, which Spark
     applies to the listing. Blank lines stay, as a quoted cell may hold them.
+    ``only``: the path of the one file to read, whatever the rules say of it.
     """
     lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").text(root)
     path = _plain(_decoded(F.col("_metadata.file_path")))
-    return lines.filter(wanted(path, root)).select(
+    return lines.filter(wanted(path, root) if only is None else path == _plain(F.lit(only))).select(
         path.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.col("value")
     )
 
