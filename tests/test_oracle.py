@@ -22,7 +22,7 @@ CORE = (
     "dedupe_files", "classify_source", "find_header_row", "match_store_profile", "adapt_tally_gst", "adapt_purchase_orders",
     "adapt_store_flat", "adapt_store_month", "adapt_store_matrix", "adapt_store_blocks", "tie_out", "rule_agreement",
     "input_fingerprint", "parse_dates", "period_from_name", "latest_runs", "po_history_ties", "alert_runs_waiting", "norm_id",
-    "inventory_position", "alert_lifecycle", "store_matrix_unpivot", "content_profile", "tie_out_sources", "reject_counts", "run_settings", "master_layouts", "folder_run",
+    "inventory_position", "alert_lifecycle", "store_matrix_unpivot", "content_profile", "tie_out_sources", "reject_counts", "run_settings", "master_layouts",
 )
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("STOCKWEAVE_ALL") else CORE
 
