@@ -520,7 +520,7 @@ def master_layouts(spark, sf):
 
 @query
 def folder_run(spark, sf):
-    """Thirteen files and a workbook, written from all of lineitem and part, through ``run_folder`` twice; what every table says of them.
+    """Fifteen files and a workbook, written from all of lineitem and part, through ``run_folder`` twice; what every table says of them.
 
     Nothing but the folder is given. Read back from storage: facts, audit,
     skipped and superseded files, rejects, tie-outs, the published SKU table and status rows.
