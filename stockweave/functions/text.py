@@ -26,7 +26,10 @@ def _tidy(value: Column) -> Column:
 
 def norm_id(c: str | Column) -> Column:
     """Identifier key: NFKC, trimmed, upper case; blank-like words become null."""
-    key = _tidy(nfkc(c))
+    value = as_col(c).cast("string")
+    # Trimming plain ASCII needs no regular expression; the characters are those of its \\s.
+    ascii_key = F.upper(F.btrim(value, F.lit(" \t\n\x0b\f\r")))
+    key = F.when(value.rlike("[^\\x00-\\x7F]"), _tidy(nfkc(value))).otherwise(ascii_key)
     return F.when(~key.isin(*NO_VALUE), key)
 
 

@@ -129,7 +129,8 @@ def resolve(
     left = facts.withColumn(id_column, norm_id(id_column))
     spread = [c for c in left.columns if c.startswith(("qty", "period", "source", "location"))] or left.columns[:3]
     left = left.withColumn("_key", spread_nulls(id_column, *spread))
-    joined = left.join(lookup, F.col("_key") == F.col("identifier_value"), "left")
+    # One lookup row per value: a partition's share of it fits a hash table, so the facts, far more rows, are not sorted.
+    joined = left.join(lookup.hint("shuffle_hash"), F.col("_key") == F.col("identifier_value"), "left")
     declared = F.try_element_at(F.col("by_type"), F.col(type_column))
     ladder = F.col("fallback.hit")
     style_hit = F.col("is_style") & declared.isNull() & ladder.isNull()

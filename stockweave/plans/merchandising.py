@@ -24,15 +24,31 @@ def q(name: str):
     return F.col(f"`{name}`")
 
 
+#: Per fact: the columns that SKU measures read.
+SKU_FACTS = {
+    "sales": ("master_sku", "style_code", "channel", "channel_type", "flow", "period_start", "period_end", "qty_sold", "qty_returned", "net_value"),
+    "inventory": ("master_sku", "style_code", "channel", "qty_on_hand", "value_on_hand"),
+    "purchase": ("master_sku", "created_date", "qty_ordered"),
+}
+
+
+def sku_fact(fact: DataFrame, name: str) -> DataFrame:
+    """Those rows and columns of a fact that ``sku_measures`` reads."""
+    return fact.filter("master_sku is not null").select(*SKU_FACTS[name])
+
+
 def sku_measures(
     sales: DataFrame, inventory: DataFrame, purchases: DataFrame, asof: dt.date,
     period_days: int = S.PERIOD_DAYS, recent_days: int = S.RECENT_DAYS,
 ) -> DataFrame:
     """All per-SKU sums from the three facts in one aggregation.
 
-    The facts are stacked and grouped once: the union is the SKU universe, so
-    there is no distinct, no universe join and no join per measure. Map-side
-    partial sums keep a best-selling SKU from becoming one task's work.
+    Each fact is summed by (SKU, style), then the sums are stacked and grouped
+    by SKU: the union is the SKU universe, so there is no distinct, no universe
+    join and no join per measure. Sums of rows have numbers only, which Spark
+    adds up in a hash table; the largest style, a text, would have it sort all
+    rows, and is taken from the sums. Map-side partial sums keep a best-selling
+    SKU from becoming one task's work.
     """
     start, recent = windows(asof, period_days, recent_days)
     in_period, in_recent = overlaps(start, asof), overlaps(recent, asof)
@@ -59,24 +75,28 @@ def sku_measures(
     }
     po_cols = {"Purchase. qty": F.col("qty_ordered")}
     sums = [*sale_cols, *stock_cols, *po_cols]
+    # name -> (source, how rows add up, value, type); text is not summed but grouped by.
     extra = {
-        "_so_net": (sales, F.when(sellout, F.col("net_value")).cast(EXACT), EXACT),
-        "_stock_value": (inventory, F.col("value_on_hand").cast(EXACT), EXACT),
-        "_first_sale": (sales, F.when(sellout, F.col("period_start")), "timestamp_ntz"),
-        "_first_po": (purchases, F.col("created_date"), "timestamp_ntz"),
-        "_sold_style": (sales, F.col("style_code"), "string"),
-        "_held_style": (inventory, F.col("style_code"), "string"),
+        "_so_net": (sales, "sum", F.when(sellout, F.col("net_value")).cast(EXACT), EXACT),
+        "_stock_value": (inventory, "sum", F.col("value_on_hand").cast(EXACT), EXACT),
+        "_first_sale": (sales, "min", F.when(sellout, F.col("period_start")), "timestamp_ntz"),
+        "_first_po": (purchases, "min", F.col("created_date"), "timestamp_ntz"),
     }
+    styles = {"_sold_style": sales, "_held_style": inventory}
 
     def part(df: DataFrame, own: dict) -> DataFrame:
-        return df.filter("master_sku is not null").select(
-            "master_sku",
-            *[own[n].cast("double").alias(n) if n in own else F.expr(f"cast(null as double) as `{n}`") for n in sums],
-            *[
-                value.cast(kind).alias(n) if src is df else F.expr(f"cast(null as {kind}) as `{n}`")
-                for n, (src, value, kind) in extra.items()
-            ],
+        named = [n for n, src in styles.items() if src is df]
+        mine = {n: (how, value, kind) for n, (src, how, value, kind) in extra.items() if src is df}
+        summed = df.filter("master_sku is not null").select(
+            "master_sku", *[F.col("style_code").alias(n) for n in named],
+            *[value.cast("double").alias(n) for n, value in own.items()], *[value.cast(kind).alias(n) for n, (_, value, kind) in mine.items()],
+        ).groupBy("master_sku", *named).agg(
+            *[F.expr(f"sum(`{n}`) as `{n}`") for n in own], *[F.expr(f"{how}(`{n}`) as `{n}`") for n, (how, _, _) in mine.items()]
         )
+        kinds = dict.fromkeys(sums, "double") | {n: kind for n, (_, _, _, kind) in extra.items()} | dict.fromkeys(styles, "string")
+        return summed.select("master_sku", *[
+            F.col(f"`{n}`").cast(kind).alias(n) if n in summed.columns else F.expr(f"cast(null as {kind}) as `{n}`") for n, kind in kinds.items()
+        ])
 
     stacked = part(sales, sale_cols).unionByName(part(inventory, stock_cols)).unionByName(part(purchases, po_cols))
     grouped = stacked.groupBy("master_sku").agg(

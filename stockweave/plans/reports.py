@@ -67,9 +67,10 @@ def sku(sales: DataFrame, inventory: DataFrame) -> DataFrame:
         "master_sku", "style_code", F.lit(None).cast("string").alias("flow"), F.lit(None).cast("string").alias("channel"),
         F.lit(None).cast("double").alias("qty_sold"), F.lit(None).cast("double").alias("net_value"), "qty_on_hand",
     )
-    # Channels are counted by pre-grouping on them, so no second distinct pass is needed.
-    by_channel = sold.unionByName(held).groupBy("master_sku", "flow", "channel").agg(
-        F.max("style_code").alias("style_code"), F.sum("qty_sold").alias("qty"),
+    # Channels are counted by pre-grouping on them, so no second distinct pass is needed. The style is grouped by
+    # as well: a largest text among the sums would have Spark sort all rows instead of hashing them.
+    by_channel = sold.unionByName(held).groupBy("master_sku", "style_code", "flow", "channel").agg(
+        F.sum("qty_sold").alias("qty"),
         F.try_sum(F.col("net_value").try_cast(EXACT)).alias("net"), F.sum("qty_on_hand").alias("stock"),
     )
     out = by_channel.groupBy("master_sku").agg(
@@ -124,12 +125,16 @@ def po_sku(purchases: DataFrame, inventory: DataFrame, sales: DataFrame) -> Data
         .unionByName(part(inventory, "qty_on_hand"))
         .unionByName(part(sales.filter("flow = 'sell_out'"), "qty_sold"))
     )
+    # Sums of numbers by SKU and style first: they are hashed, where a largest style would have all rows sorted.
+    by_style = stacked.groupBy("master_sku", "style_code").agg(
+        F.max("_po").alias("_po"), *[F.sum(n).alias(n) for n in names if n != "total"], F.try_sum(F.col("total").try_cast(EXACT)).alias("total"),
+    )
     return (
-        stacked.groupBy("master_sku").agg(
+        by_style.groupBy("master_sku").agg(
             F.max("style_code").alias("style_code"), F.max("_po").alias("_po"),
             unit_sum("qty_pending").alias("on_order"), unit_sum("qty_on_hand").alias("stock_on_hand"),
             unit_sum("qty_sold").alias("sell_out_units"), unit_sum("qty_ordered").alias("ordered_total"),
-            unit_sum("qty_received").alias("received_total"), money_sum("total").alias("po_value"),
+            unit_sum("qty_received").alias("received_total"), F.coalesce(F.try_sum("total").cast("double"), F.lit(0.0)).alias("po_value"),
         ).filter("_po").drop("_po")
         .withColumn("total_supply", F.col("stock_on_hand") + F.col("on_order"))
         .orderBy(F.desc_nulls_last("on_order"), "master_sku")

@@ -108,7 +108,7 @@ def override_rows(spark, sf_dir) -> DataFrame:
 def sales_extract(spark, sf_dir) -> DataFrame:
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     line = table(spark, sf_dir, "lineitem")
-    return line.join(order, F.expr("l_orderkey = o_orderkey")).selectExpr(
+    return line.join(order.hint("shuffle_hash"), F.expr("l_orderkey = o_orderkey")).selectExpr(
         "concat('sales_', o_orderpriority, '.csv') as source_file",
         "'uniware_tally_gst' as source_type",
         "concat_ws('/', o_orderpriority, l_returnflag) as ledger",

@@ -72,5 +72,5 @@ def cut_lineage(df, purpose: str = "stage", by: tuple = ()):
     """
     spark = df.sparkSession
     path = work_dir(spark, purpose)
-    df.write.mode("errorifexists").partitionBy(*by).parquet(path)
+    df.write.mode("errorifexists").partitionBy(*by).parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 """Row operators on small fixtures, skewed ones included."""
 
+import datetime as dt
 import random
 
 from pyspark.sql import functions as F
@@ -11,7 +12,10 @@ from stockweave.operators import overrides as N
 from stockweave.operators import resolve as R
 from stockweave.plans import alerts as A
 from stockweave.plans import facts as FP
+from stockweave.plans import merchandising as M
+from stockweave.plans import reports as P
 from stockweave.plans import verification as V
+from stockweave.queries import catalog
 
 
 def master(spark):
@@ -187,3 +191,68 @@ def test_tie_out_flags_a_difference(spark):
 def test_price_list_takes_the_last_row(spark):
     df = spark.createDataFrame([("S1", 5.0, 1), ("S1", 7.0, 2), (None, 9.0, 3)], "sku string, price double, row_seq int")
     assert [(r.master_sku, r.mrp) for r in FP.price_list(df, "sku", "price").collect()] == [("S1", 7.0)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_meet_the_lookup_unsorted(spark):
+    facts = spark.range(100).selectExpr("id as qty", "concat('B', id) as external_id", "'az_asin' as external_id_type")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(R.resolve(facts, R.build_lookup(master(spark))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def fact_rows(spark):
+    """A SKU of two styles, one never sold, one sold only, and rows without a SKU."""
+    stamp = "timestamp_ntz'2001-07-20 00:00:00'"
+    sales = spark.sql(f"""select *, 'sell_out' as flow, {stamp} as period_start, {stamp} as period_end, 1.0D as qty_returned from values
+        ('S1', 'A', 'Shop', 'd2c', 2.0D, 10.5D), ('S1', 'B', 'Shop', 'd2c', 3.0D, 1.25D), ('S1', 'A', 'Amazon Vendor Central', 'marketplace', 4.0D, cast(null as double)),
+        ('S3', cast(null as string), 'Shop', 'd2c', 1.0D, 1.0D), (null, 'Z', 'Shop', 'd2c', 9.0D, 9.0D)
+        as t(master_sku, style_code, channel, channel_type, qty_sold, net_value)""")
+    stock = spark.sql("""select * from values ('S1', 'A', 'Warehouse', 5.0D, 7.0D), ('S1', 'C', 'INCS', 1.0D, null), ('S2', 'D', 'INCS', 2.0D, 3.0D), (null, 'Y', 'INCS', 8.0D, 8.0D)
+        as t(master_sku, style_code, channel, qty_on_hand, value_on_hand)""")
+    bought = spark.sql(f"""select *, {stamp} as created_date, 'A' as style_code, qty_ordered as qty_pending, 0.0D as qty_received, 1.5D as total
+        from values ('S1', 6.0D), ('S1', 1.0D), ('S2', 1.0D), (null, 7.0D) as t(master_sku, qty_ordered)""")
+    return sales, stock, bought
+
+
+def test_sku_measures_hash_the_rows_and_take_the_largest_style(spark):
+    sales, stock, bought = fact_rows(spark)
+    out = M.sku_measures(sales, stock, bought, dt.date(2001, 8, 1))
+    got = {r["Sku Code"]: r for r in out.collect()}
+    assert {k: r["Item Name"] for k, r in got.items()} == {"S1": "C", "S2": "D", "S3": None}
+    assert [got["S1"][c] for c in ("Sale", "Coco-OR SALES", "D8 inv", "INCS inv", "Purchase. qty", "_so_net", "_stock_value", "_all_sold")] == [5.0, 4.0, 5.0, 1.0, 7.0, 11.75, 7.0, 9.0]
+    assert got["S2"]["_so_net"] is None and got["S2"]["Sale"] == 0.0 and got["S3"]["_first_po"] is None and got["S1"]["_first_po"] is not None
+    assert plan_of(out).count("HashAggregate(keys=[master_sku") >= 6  # rows of the three facts, before and after the shuffle
+
+
+def test_sku_reports_hash_the_rows(spark):
+    sales, stock, bought = fact_rows(spark)
+    report, cover = P.sku(sales, stock), P.po_sku(bought, stock, sales)
+    rows = {r.master_sku: r for r in report.collect()}
+    assert [rows["S1"][c] for c in ("style_code", "channels", "qty_sold_sell_out", "net_value_sell_out", "stock_on_hand")] == ["C", 2, 9.0, 11.75, 6.0] and set(rows) == {"S1", "S3"}
+    rows = {r.master_sku: r for r in cover.collect()}
+    assert [rows["S1"][c] for c in ("style_code", "on_order", "stock_on_hand", "sell_out_units", "po_value")] == ["C", 7.0, 6.0, 9.0, 3.0] and set(rows) == {"S1", "S2"}
+    for df in (report, cover):
+        assert "HashAggregate(keys=[master_sku" in plan_of(df)
+
+
+def test_queries_write_no_whole_facts(spark, tmp_path):
+    for name, sql in {
+        "lineitem": """select 1L as l_orderkey, id as l_partkey, id as l_suppkey, cast(id as int) as l_linenumber, 3.0D as l_quantity, 5.0D as l_extendedprice, 0.1D as l_discount,
+            0.0D as l_tax, 'N' as l_returnflag, 'O' as l_linestatus, timestamp_ntz'2001-07-01 00:00:00' as l_shipdate from range(1, 7)""",
+        "orders": "select 1L as o_orderkey, 1L as o_custkey, 'O' as o_orderstatus, 1.0D as o_totalprice, timestamp_ntz'2001-07-01 00:00:00' as o_orderdate, '9-NEW' as o_orderpriority",
+        "part": "select id as p_partkey, 'n' as p_name, 'b' as p_brand, 't' as p_type, 1 as p_size, 2.0D as p_retailprice from range(1, 7)",
+    }.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    before = set(catalog._STORED)
+    assert [r.channel for r in catalog.unknown_ledgers(spark, str(tmp_path)).collect()] == ["9-NEW/N"]
+    assert {r.result for r in catalog.tie_out(spark, str(tmp_path)).collect()} == {"PASS"}
+    assert set(catalog._STORED) == before
+    catalog.sku_table(spark, str(tmp_path))
+    assert {k[2] for k in set(catalog._STORED) - before} == {"sku-facts-sales", "sku-facts-inventory", "sku-facts-purchase", "svs-sku-2001-08-01"}
