@@ -69,7 +69,7 @@ def csv_table(spark: SparkSession, root: str, path: str) -> DataFrame | None:
     quoted cells, no task that needs the whole file.
     """
     lines = cut_lineage(C.read_lines(spark, root, only=path), "lines")
-    profile = C.content_profile(lines)
+    profile = cut_lineage(C.content_profile(lines, cut_lineage(C.block_starts(lines), "starts")), "profile")
     text, _ = C.join_records(C.decode_lines(lines, profile), profile)
     filled = F.exists("cells", lambda c: c != "")
     head = C.head_rows(text).filter(filled).orderBy("row_idx").limit(1).first()

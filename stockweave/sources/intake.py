@@ -44,8 +44,11 @@ def detect_csv(spark: SparkSession, root: str, profiles=D.STORE_PROFILES) -> tup
     files = C.scan_inputs(spark, root).filter("suffix = 'csv'")
     # The place of a line depends on how one scan was split; storing it makes it hold for every later read.
     lines = cut_lineage(C.read_lines(spark, root), "lines")
-    profile = C.content_profile(lines)
+    # Tables of one row per block or file are written, so that Spark knows they are small and all lines stay where they are.
+    profile = cut_lineage(C.content_profile(lines, cut_lineage(C.block_starts(lines), "starts")), "profile")
     text, unclosed = C.join_records(C.decode_lines(lines, profile), profile)
+    # Read for the headers and again for the bodies.
+    text = cut_lineage(text, "records")
     head = C.head_rows(text)
     kinds = D.classify_source(files.join(D.csv_headers(head), "path", "left"), profiles)
     kinds = kinds.join(unclosed.withColumn("_note", F.lit(UNCLOSED)), "path", "left").withColumn("note", F.coalesce("_note", "note")).drop("_note")
@@ -116,7 +119,7 @@ def load_folder(
     """
     csv_files, lines = detect_csv(spark, root, profiles)
     kept, lost = D.dedupe_files(csv_files, facility)
-    kept = kept.filter(F.col("note") != UNCLOSED)
+    kept = cut_lineage(kept.filter(F.col("note") != UNCLOSED), "kept")
     found = [csv_files.withColumn("kind", F.when(F.col("note") == UNCLOSED, "UNREADABLE").otherwise(F.col("kind")))]
     # Distinct kinds and the widest header: a handful of values, whatever the data size.
     width = kept.agg(F.coalesce(F.max(F.size("header")), F.lit(1))).first()[0]
@@ -129,6 +132,7 @@ def load_folder(
     if raw_cells is not None:
         sheet_files, sheet_rows = detect_sheets(raw_cells.join(D.master_files(raw_cells), "source_file", "left_anti"), profiles)
         sheet_kept, sheet_lost = D.dedupe_files(sheet_files, facility)
+        sheet_kept = cut_lineage(sheet_kept, "kept")
         below = sheet_rows.join(
             sheet_kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_row"), "path"
         ).filter("seq > header_row").drop("header_row").withColumn("width", F.lit(None).cast("int"))
@@ -139,7 +143,6 @@ def load_folder(
     parts: dict[str, list[DataFrame]] = {"sales": [], "inventory": [], "purchase": []}
     totals, turned_down, broken, prices = [], [], [], None
     for files, below in sources:
-        files = cut_lineage(files, "kept")
         # Rows are written once, split by kind, so an adapter reads its own files only.
         rows = cut_lineage(below, "rows", by=("kind", "profile"))
         for kind, profile_id in [tuple(r) for r in files.select("kind", "profile_id").distinct().collect()]:

@@ -6,15 +6,20 @@ splits, so one very large extract does not land in one task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stockweave import schemas as S
+from stockweave.session import cut_lineage
 
 # Bytes 0x80-0x9F of code page 1252 (fixed values; five of them are unused there).
 _C1 = "".join(chr(c) for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
 _CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 
 HEAD_ROWS = 25
+#: Lines of a block are looked at in parts of at most 2^16.
+PART_BITS = 16
 
 
 def _root(path: str) -> str:
@@ -23,7 +28,9 @@ def _root(path: str) -> str:
 
 def _decoded(path: Column) -> Column:
     """File path as listed, from the URL-encoded form the readers report."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    # Evaluated for every line: a path without an escape is as it was.
+    return F.when(F.contains(path, F.lit("%")), decoded).otherwise(path)
 
 
 def _plain(path: Column) -> Column:
@@ -31,11 +38,14 @@ def _plain(path: Column) -> Column:
     return F.regexp_replace(path, "^[a-z0-9]+:/+", "/")
 
 
+def _inside(path: Column, root: str) -> Column:
+    base = F.lit(_root(root))
+    return F.ltrim(F.substring(path, F.instr(path, base) + F.length(base) + 1, F.length(path)), F.lit("/"))
+
+
 def _places(path: Column, root: str) -> tuple[Column, Column, Column]:
     """(folders below the root, file name, lower-case suffix) of a plain path."""
-    base = F.lit(_root(root))
-    inside = F.substring(path, F.instr(path, base) + F.length(base) + 1, F.length(path))
-    parts = F.split(F.regexp_replace(inside, "^/+", ""), "/")
+    parts = F.split(_inside(path, root), "/")
     name = F.element_at(parts, -1)
     return F.slice(parts, F.lit(1), F.size(parts) - 1), name, F.lower(F.regexp_extract(name, "\\.([^.]+)$", 1))
 
@@ -46,8 +56,9 @@ def wanted(path: Column, root: str) -> Column:
     Temporary and control files, archives, scratch and earlier outputs are left
     out, whatever their depth.
     """
-    folders, name, suffix = _places(path, root)
-    closed = F.exists(folders, lambda f: f.startswith("_") | F.lower(f).isin(*S.EXCLUDED_FOLDERS))
+    _, name, suffix = _places(path, root)
+    # Tested for every line that is read: one pattern instead of a function over the list of folders.
+    closed = F.lower(_inside(path, root)).rlike(f"(^|/)(_[^/]*|{'|'.join(map(re.escape, S.EXCLUDED_FOLDERS))})/")
     return ~closed & ~name.startswith("~$") & ~name.startswith(".") & ~F.lower(name).isin(*S.CONTROL_FILES) & suffix.isin(*S.INPUT_SUFFIXES)
 
 
@@ -104,41 +115,44 @@ def join_records(lines: DataFrame, profile: DataFrame) -> tuple[DataFrame, DataF
     A line break inside a quoted cell belongs to its cell. Only files in which
     some line leaves a cell open can hold such a break. A line sets, swaps or
     keeps the state (outside or inside a cell), so states are found within each
-    block and carried from block to block: no task needs a whole file. A file
-    that ends inside a cell keeps its lines as they are.
+    part of a block and carried from part to part: no task needs a whole file,
+    nor a whole block. A file that ends inside a cell keeps its lines as they are.
     """
     odd = profile.filter("odd").select("path")
     plain = lines.join(odd, "path", "left_anti")
-    order = Window.partitionBy("path", "block").orderBy("seq")
+    part = ["path", "block", "_part"]
+    order = Window.partitionBy(*part).orderBy("seq")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     # After a line the state is (what the last setting line left, else the state before the block) + swaps, modulo 2.
     marked = (
         lines.join(odd, "path")
+        .withColumn("_part", F.shiftright("seq", PART_BITS))
         .withColumns({"_out": _open_after(F.col("value"), False), "_in": _open_after(F.col("value"), True)})
         .withColumn("_swap", (F.col("_out") & ~F.col("_in")).cast("int"))
         .withColumn("_swaps", F.sum("_swap").over(upto))
         .withColumn("_set", F.last(F.when(F.col("_out") == F.col("_in"), F.col("_out").cast("int") + F.col("_swaps")), True).over(upto))
         .withColumn("_set_before", F.lag("_set").over(order))
     )
-    # One row per block of a file.
-    along = Window.partitionBy("path").orderBy("block")
-    blocks = (
-        marked.groupBy("path", "block").agg(F.max_by(F.struct("_set", "_swaps"), "seq").alias("_end"))
+    # One row per part of a file, written: what is joined with the lines below is then known to be small.
+    along = Window.partitionBy("path").orderBy("block", "_part")
+    blocks = cut_lineage(
+        marked.groupBy(*part).agg(F.max_by(F.struct("_set", "_swaps"), "seq").alias("_end"))
         .withColumn("_flips", F.sum(F.when(F.col("_end._set").isNull(), F.col("_end._swaps")).otherwise(0)).over(along))
         .withColumn("_fixed", F.last(F.when(F.col("_end._set").isNotNull(), F.col("_end._set") + F.col("_end._swaps") + F.col("_flips")), True).over(along))
         .withColumn("_after", (F.coalesce("_fixed", F.lit(0)) + F.col("_flips")) % 2)
-        .select("path", "block", "_after", F.lag("_after", 1, 0).over(along).alias("_begin"))
+        .select(*part, "_after", F.lag("_after", 1, 0).over(along).alias("_begin")),
+        "parts",
     )
-    unclosed = blocks.groupBy("path").agg(F.max_by("_after", "block").alias("_last")).filter("_last = 1").select("path")
+    unclosed = blocks.groupBy("path").agg(F.max_by("_after", F.struct("block", "_part")).alias("_last")).filter("_last = 1").select("path")
     outside = (F.coalesce("_set_before", "_begin") + F.col("_swaps") - F.col("_swap")) % 2 == 0
-    begun = marked.join(blocks.select("path", "block", "_begin"), ["path", "block"]).withColumn(
+    begun = marked.join(blocks.select(*part, "_begin"), part).withColumn(
         "_start", F.last(F.when(outside, F.struct("block", "seq")), True).over(upto)
     )
-    # The record that an earlier block began.
-    latest = begun.groupBy("path", "block").agg(F.max("_start").alias("_latest"))
-    carried = latest.select("path", "block", F.last("_latest", True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
+    # The record that an earlier part began.
+    latest = begun.groupBy(*part).agg(F.max("_start").alias("_latest"))
+    carried = latest.select(*part, F.last("_latest", True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
     parts = F.array_sort(F.collect_list(F.struct("block", "seq", "value")))
-    whole = begun.join(carried, ["path", "block"]).join(unclosed, "path", "left_anti").withColumn("_record", F.coalesce("_start", "_carried"))
+    whole = begun.join(carried, part).join(unclosed, "path", "left_anti").withColumn("_record", F.coalesce("_start", "_carried"))
     joined = whole.groupBy("path", "_record").agg(parts.alias("_parts")).select(
         "path", F.col("_record.block").alias("block"), F.col("_record.seq").alias("seq"),
         F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"),
@@ -147,15 +161,20 @@ def join_records(lines: DataFrame, profile: DataFrame) -> tuple[DataFrame, DataF
     return plain.unionByName(joined).unionByName(left).filter("trim(value) <> ''"), unclosed
 
 
-def content_profile(lines: DataFrame) -> DataFrame:
+def block_starts(lines: DataFrame) -> DataFrame:
+    """First place of every block."""
+    return lines.groupBy("path", "block").agg(F.min("seq").alias("_start"))
+
+
+def content_profile(lines: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """One pass over all lines: per file its rows, content digest and whether it is UTF-8.
 
     The digest adds hashes of the lines with their places, so it merges
     map-side; files of equal digest and size hold the same lines in the same
     order. A place is the line's number within its block: files of one size
-    are cut into the same blocks.
+    are cut into the same blocks. ``starts``: the blocks' first places, if at hand.
     """
-    starts = lines.groupBy("path", "block").agg(F.min("seq").alias("_start"))
+    starts = block_starts(lines) if starts is None else starts
     lines = lines.join(starts, ["path", "block"]).withColumn("_nth", F.col("seq") - F.col("_start")).filter("trim(value) <> ''")
     h = F.xxhash64("block", "_nth", "value")
     return lines.groupBy("path").agg(

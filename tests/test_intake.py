@@ -213,8 +213,10 @@ def test_alias_headers(spark):
     assert B.looks_like_po(df) and not B.looks_like_po(real)
 
 
-def test_records_follow_the_csv_rules_across_blocks(spark):
-    # The csv module tells which lines make a record; lines are dealt over blocks of three.
+@pytest.mark.parametrize("bits", [16, 1])
+def test_records_follow_the_csv_rules_across_blocks(spark, monkeypatch, bits):
+    # The csv module tells which lines make a record; lines are dealt over blocks of three, and blocks over parts of two.
+    monkeypatch.setattr(C, "PART_BITS", bits)
     r, rows, want, open_ends = random.Random(4), [], {}, set()
     for n in range(60):
         lines = ["".join(r.choice('aa,""') for _ in range(r.randint(1, 7))) for _ in range(r.randint(1, 14))]
@@ -252,6 +254,13 @@ def test_an_inch_mark_swallows_no_row(spark, tmp_path, lookup):
     assert {r.file: r.reason for r in got.skipped.collect()} == {"Inventory Snapshot.csv": "a quoted cell is never closed"} and got.inventory.count() == 0
 
 
+def test_path_rules_of_every_line(spark):
+    names = ["a.csv", "_x/a.csv", "in/_x/a.csv", "OLD/a.csv", "old.csv", "bold/a.csv", "in/Exports/b/a.csv", "my_x/a.csv", "x_/_a.csv", ".git/a.csv", "agit/a.csv", "~$a.csv", "a.txt"]
+    df = spark.createDataFrame([(f"/r/in/{n}",) for n in names], "path string")
+    got = [r[0].removeprefix("/r/in/") for r in df.filter(C.wanted(df.path, "/r/in")).collect()]
+    assert sorted(got) == sorted(["a.csv", "old.csv", "bold/a.csv", "my_x/a.csv", "x_/_a.csv", "agit/a.csv"])
+
+
 def test_heading_cells(spark):
     df = spark.createDataFrame([('Item,Size 32",Name',), ('"a, b", "c ",d',), ('"x ""y"", z",,"w"',)], "value string")
     got = [r[0] for r in df.select(C.split_cells(df.value)).collect()]
