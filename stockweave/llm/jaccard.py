@@ -55,6 +55,8 @@ STAR_TURNS = 3
 #: Groups of up to so many classes are compared without a tree.
 SIDE = 12
 BUCKETS_PER_PARTITION = 2
+#: Smallest n-grams a class carries, so that its pairs are named under one n-gram; shorter lists are filled up.
+LEAST, NO_GRAM = 8, (1 << 63) - 1
 #: Pairs a task of the tree search holds to tell repeated ones.
 HELD_PAIRS = 1 << 18
 FLUSH_RECORDS = 1 << 19
@@ -70,7 +72,8 @@ def _words(text: str | None) -> list[bytes]:
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+    # Digests joined: quicker than a Python number per word.
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), dtype=">u8").astype(np.uint64)
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -133,8 +136,7 @@ def _points(k: int, groups: int, slots: int):
 
 
 def _count(counts: np.ndarray, words: np.ndarray, slots: int) -> None:
-    slot, n = np.unique((words % np.uint64(slots)).astype(np.int64), return_counts=True)
-    counts[slot] += n
+    np.add.at(counts, (words % np.uint64(slots)).astype(np.int64), 1)
 
 
 # ------------------------------------------------- 2. shared rare n-grams
@@ -193,18 +195,28 @@ SHARED = "gram long, d1 long, d2 long, n long"
 
 
 def _met(table: pa.Table) -> pa.Table:
-    """applyInArrow step over a bucket: the records of n-grams that at least two classes have."""
-    rows, decided = P.opened(table, GRAM)
-    if len(rows):
-        r = rows[np.lexsort((rows["d1"], rows["key"]))]
+    """applyInArrow step over a bucket: the classes of n-grams that at least two have.
+
+    N-grams of the same classes, as those of a passage mostly are, lead to the
+    same pairs: they go by one name, a hash of their classes, and are one group.
+    Were two lists of classes to share a name, their group would hold both.
+    """
+    r = np.concatenate(P.opened(table, GRAM))
+    if len(r):
+        r = r[np.lexsort((r["d2"], r["d1"], r["key"]))]
         new = np.concatenate([[True], r["key"][1:] != r["key"][:-1]])
-        group = np.cumsum(new) - 1
-        kind = new | np.concatenate([[True], r["d1"][1:] != r["d1"][:-1]])
-        several = (np.bincount(group, weights=kind) > 1) | (np.bincount(group, weights=r["many"]) > 0)
-        decided = np.concatenate([decided, r[several[group]]])
-    return pa.Table.from_arrays(
-        [pa.array(decided["key"].view(np.int64)), *(pa.array(decided[c].astype(np.int64)) for c in ("d1", "d2", "n"))], ["gram", "d1", "d2", "n"]
-    )
+        kind = new | np.concatenate([[True], (r["d1"][1:] != r["d1"][:-1]) | (r["d2"][1:] != r["d2"][:-1])])
+        r, new = r[kind], new[kind]
+        r["many"] = 0
+        at = np.flatnonzero(new)
+        kinds = np.diff(np.concatenate([at, [len(r)]]))
+        names = np.add.reduceat(P.mix(r["d1"].view(np.uint64) ^ P.mix(r["d2"].view(np.uint64) ^ STEPS[0])), at)
+        r["key"] = np.repeat(names, kinds)
+        r = r[np.repeat(kinds > 1, kinds)]
+        r = r[np.lexsort((r["d2"], r["d1"], r["key"]))]
+        again = (r[1:] == r[:-1]) if len(r) else np.zeros(0, dtype=bool)
+        r = r[~np.concatenate([np.zeros(min(1, len(r)), dtype=bool), again])]
+    return pa.Table.from_arrays([pa.array(r["key"].view(np.int64)), *(pa.array(r[c].astype(np.int64)) for c in ("d1", "d2", "n"))], ["gram", "d1", "d2", "n"])
 
 
 # --------------------------------------------------------- 3. trees of points
@@ -257,11 +269,26 @@ PAIRS = "a1 long, a2 long, b1 long, b2 long"
 PAIR_NAMES = ["a1", "a2", "b1", "b2"]
 
 
+def _meet_here(least: np.ndarray, gram: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the pairs are named under this n-gram: the smallest they share, as far as both lists of smallest ones tell.
+
+    Any n-gram of both that is smaller than one in both lists would be in both
+    lists itself, so what they have in common starts with the smallest shared one.
+    """
+    out = np.empty(len(i), dtype=bool)
+    for at in range(0, len(i), 1 << 14):
+        a, b = least[i[at : at + (1 << 14)]], least[j[at : at + (1 << 14)]]
+        both = np.where((a[:, :, None] == b[:, None, :]).any(axis=2), a, NO_GRAM).min(axis=1)
+        out[at : at + (1 << 14)] = (both == NO_GRAM) | (both == gram[i[at : at + (1 << 14)]])
+    return out
+
+
 def _searched(percent: int):
     """mapInArrow step over rows in order of (gram, part): pairs of different components that pass the bound.
 
     Small groups are compared side by side, ``SIDE`` rows apart at most;
-    larger ones by tree. A group that a batch cuts waits for its rest.
+    larger ones by tree. A pair that shares many n-grams is named under one of
+    them, see ``_meet_here``. A group that a batch cuts waits for its rest.
     """
 
     def search(rows: pa.Table) -> np.ndarray:
@@ -271,6 +298,7 @@ def _searched(percent: int):
         sizes, root, own = np.array(rows.column("n")), np.array(rows.column("r1")), np.array(rows.column("own"), dtype=bool)
         name = np.stack([np.array(rows.column("d1")), np.array(rows.column("d2"))], axis=1)
         points = _decode(rows.column("point"))
+        least = np.frombuffer(b"".join(rows.column("least").to_pylist()), dtype=">i8").reshape(len(gram), LEAST).astype(np.int64)
         count = np.bincount(group)
         found = [np.zeros((0, 2), dtype=np.int64)]
         for apart in range(1, min(SIDE, int(count.max()))):
@@ -279,6 +307,8 @@ def _searched(percent: int):
             fits = (root[i] != root[j]) & (own[i] | own[j])
             fits &= (100 * sizes[i] >= percent * sizes[j]) & (100 * sizes[j] >= percent * sizes[i])
             i, j = i[fits], j[fits]
+            here = _meet_here(least, gram, i, j)
+            i, j = i[here], j[here]
             good = _passes(points[i], points[j], sizes[i], sizes[j], percent)
             found.append(np.stack([i[good], j[good]], axis=1))
         for g in np.flatnonzero(count > SIDE):
@@ -288,6 +318,7 @@ def _searched(percent: int):
                 near = at[tree.near(points[at[k]].astype(np.int64), int(sizes[at[k]]))]
                 # Two own rows meet twice; the smaller one reports them.
                 near = near[(root[near] != root[at[k]]) & (~own[near] | (near > at[k]))]
+                near = near[_meet_here(least, gram, np.full(len(near), at[k]), near)]
                 found.append(np.stack([np.full(len(near), at[k]), near], axis=1))
         pairs = np.concatenate(found)
         a, b = name[pairs[:, 0]], name[pairs[:, 1]]
@@ -477,13 +508,18 @@ class Join:
             F.max(F.struct("rows", "root")).alias("most"), F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("sides")
         )
         open_ = open_.filter("sides > 1").select("gram", F.col("most.root").alias("main"), F.ceil(F.col("rows") / TREE_ROWS).cast("int").alias("parts"))
-        rows = known.join(open_, "gram").withColumn("home", F.pmod(F.xxhash64("d1", "d2"), F.col("parts")).cast("int"))
+        rows = C.staged(known.join(open_, "gram").withColumn("home", F.pmod(F.xxhash64("d1", "d2"), F.col("parts")).cast("int")), "jaccard-rest")
+        # An n-gram per row, each class once: a class has as many n-grams as its text allows.
+        grams = F.slice(F.array_sort(F.collect_list("gram")), 1, LEAST)
+        filled = F.concat(grams, F.array_repeat(F.lit(NO_GRAM).cast("long"), LEAST))
+        least = rows.groupBy("d1", "d2").agg(filled.alias("least"))
+        eight = F.concat(*[F.unhex(F.lpad(F.hex(F.col("least")[i]), 16, "0")) for i in range(LEAST)])
+        points = self.classes.select("d1", "d2", "point").join(least, ["d1", "d2"]).select("d1", "d2", "point", eight.alias("least"))
         # The largest component is spread over the parts; all others visit every part and are searched for in one.
         visits = F.when(F.col("root") == F.col("main"), F.array("home")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
         rows = rows.withColumn("part", F.explode(visits))
         rows = rows.withColumn("own", F.when(F.col("root") == F.col("main"), F.lit(True)).otherwise(F.col("part") == F.col("home")))
-        points = self.classes.select("d1", "d2", "point")
-        rows = rows.join(points, ["d1", "d2"]).select("gram", "part", "own", "d1", "d2", "n", F.xxhash64("root").alias("r1"), "point")
+        rows = rows.join(points, ["d1", "d2"]).select("gram", "part", "own", "d1", "d2", "n", F.xxhash64("root").alias("r1"), "point", "least")
         ordered = rows.repartition(C.partitions(self.spark), "gram", "part").sortWithinPartitions("gram", "part")
         return ordered.mapInArrow(_searched(self.percent), PAIRS).distinct()
 

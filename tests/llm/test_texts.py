@@ -8,9 +8,10 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from stockweave.llm import components, fingerprints, jaccard, langid, oracle, pieces, substrings, warc
+from stockweave.llm import components, fingerprints, jaccard, langid, oracle, packed, pieces, substrings, warc
 from tests.llm import odd
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -100,6 +101,40 @@ def test_join_loses_no_link(spark, monkeypatch):
     assert got == _joined(rows, 3, 90)
 
 
+def test_ngrams_of_the_same_classes_are_one_group():
+    records = np.zeros(4 * 40 + 3, dtype=jaccard.GRAM)
+    records["key"][:160], records["d1"][:160], records["n"] = np.repeat(np.arange(40), 4), np.tile([7, 8, 7, 9], 40), 50
+    records["d2"][:160], records["many"][:160:4] = np.tile([1, 1, 1, 2], 40), 1
+    records["key"][160:], records["d1"][160:] = [50, 50, 60], [7, 9, 7]
+    tables = [pa.Table.from_batches(packed.dealt(part, part["key"], decided, 1)) for decided, part in enumerate((records[::2], records[1::2]))]
+    out = jaccard._met(pa.concat_tables(tables)).to_pylist()
+    groups = {}
+    for row in out:
+        groups.setdefault(row["gram"], []).append((row["d1"], row["d2"]))
+    assert sorted(map(sorted, groups.values())) == [[(7, 0), (9, 0)], [(7, 1), (8, 1), (9, 2)]] and len(out) == 5
+    assert jaccard._met(pa.concat_tables(tables).slice(0, 0)).num_rows == 0
+
+
+@pytest.mark.parametrize("classes", [6, 40])
+def test_a_pair_is_named_under_one_of_its_ngrams(classes):
+    r = np.random.default_rng(3)
+    grams = {c: sorted(r.choice(30, r.integers(1, 30), replace=False).tolist()) for c in range(classes)}
+    point = np.ones(jaccard.GROUPS, dtype="<u2").tobytes()
+    least = {c: np.array((g + [jaccard.NO_GRAM] * 8)[: jaccard.LEAST], dtype=">i8").tobytes() for c, g in grams.items()}
+    found = []
+    for gram in range(30):
+        inside = [c for c, g in grams.items() if gram in g]
+        rows = [{"gram": gram, "part": 0, "own": True, "d1": c, "d2": 0, "n": 256, "r1": c, "point": point, "least": least[c]} for c in inside]
+        if rows:
+            for batch in jaccard._searched(90)(iter(pa.Table.from_pylist(rows).to_batches())):
+                found += [(x["a1"], x["b1"]) for x in batch.to_pylist()]
+    want = {(a, b) for a in grams for b in grams if a < b and set(grams[a]) & set(grams[b])}
+    assert set(found) == want
+    # Lists too short to hold a shared n-gram name their pair more than once, and lose none.
+    both = [p for p in want if set(grams[p[0]][: jaccard.LEAST]) & set(grams[p[1]][: jaccard.LEAST])]
+    assert all(found.count(p) == 1 for p in both) and len(both) > len(want) / 2
+
+
 def test_one_of_each(spark):
     docs = odd.documents(spark)
     out = jaccard.one_of_each(docs)
