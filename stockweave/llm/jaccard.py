@@ -34,6 +34,7 @@ empty table gives an empty result; other input columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,8 @@ LEAST, NO_GRAM = 8, (1 << 63) - 1
 #: Pairs a task of the tree search holds to tell repeated ones.
 HELD_PAIRS = 1 << 18
 FLUSH_RECORDS = 1 << 19
+#: Words and texts hashed together.
+BLOCK_WORDS, BLOCK_TEXTS = 1 << 16, 512
 #: Bits of the broadcast filter that says which texts a verification may need; false hits only cost time.
 FILTER_BITS = 1 << 24
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
@@ -88,9 +91,62 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def _name(grams: np.ndarray) -> tuple[int, int]:
-    """128 bits that name the set."""
-    return tuple(int(x.astype(np.int64)) for x in (P.mix(grams ^ STEPS[0]).sum(dtype=np.uint64), P.mix(grams ^ STEPS[1]).sum(dtype=np.uint64)))
+def _names(grams: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """128 bits that name each of the sets, which start at ``at`` and are not empty."""
+    return [np.add.reduceat(P.mix(grams ^ step), at).view(np.int64) for step in STEPS]
+
+
+def _blocks(texts: pa.Array) -> Iterator[list[list[bytes]]]:
+    """The words of the texts, some texts at once: a numpy call a text costs more than its work on a short one."""
+    block, held = [], 0
+    for text in texts:
+        block.append(_words(text.as_py()))
+        held += len(block[-1])
+        if held >= BLOCK_WORDS or len(block) >= BLOCK_TEXTS:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
+
+
+def _grams(texts: list[list[bytes]], k: int, worth=None) -> tuple[np.ndarray, ...]:
+    """Hashes of all words; of the distinct n-grams text after text in ascending order; how many each text has.
+
+    With ``worth``, a number per word hash, last the least worth of each n-gram's words.
+    """
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    words = _hashes(list(chain.from_iterable(texts)))
+    begin, n = np.cumsum(sizes) - sizes, np.where(sizes < k, np.minimum(sizes, 1), sizes - k + 1)
+    to = np.cumsum(n)
+    grams, least = np.zeros(int(n.sum()), dtype=np.uint64), None
+    often = worth(words) if worth else None
+    if worth:
+        least = np.zeros(len(grams), dtype=np.int64)
+    long = np.repeat(sizes >= k, sizes) & (np.arange(len(words)) + k <= np.repeat(begin + sizes, sizes))
+    into = np.repeat(sizes >= k, n)
+    if into.any():
+        grams[into] = shingles(words, k)[long[: len(words) - k + 1]]
+        if worth:
+            fewest = often[: len(words) - k + 1]
+            for j in range(1, k):
+                fewest = np.minimum(fewest, often[j : j + len(fewest)])
+            least[into] = fewest[long[: len(words) - k + 1]]
+    for i in np.flatnonzero((sizes < k) & (sizes > 0)):
+        part = slice(begin[i], begin[i] + sizes[i])
+        grams[to[i] - 1] = shingles(words[part], k)[0]
+        if worth:
+            least[to[i] - 1] = often[part].min()
+    for a, b in zip((to - n).tolist(), to.tolist(), strict=True):
+        if worth:
+            order = np.lexsort((grams[a:b], least[a:b]))
+            grams[a:b], least[a:b] = grams[a:b][order], least[a:b][order]
+        else:
+            grams[a:b].sort()
+    new = np.ones(len(grams), dtype=bool)
+    new[1:] = grams[1:] != grams[:-1]
+    new[(to - n)[n > 0]] = True
+    count = np.bincount(np.repeat(np.arange(len(texts)), n)[new], minlength=len(texts))
+    return words, grams[new], count, None if least is None else least[new]
 
 
 def needed(a, b, percent: int):
@@ -111,17 +167,21 @@ def _points(k: int, groups: int, slots: int):
         counts = np.zeros(slots, dtype=np.int64)
         kind = pa.null()
         for batch in batches:
-            kind, rows = batch.column("doc_id").type, []
-            for text in batch.column("text").to_pylist():
-                words = _hashes(_words(text))
+            kind, done = batch.column("doc_id").type, 0
+            for block in _blocks(batch.column("text")):
+                words, grams, n, _ = _grams(block, k)
                 _count(counts, words, slots)
-                grams = np.unique(shingles(words, k))
-                d1, d2 = _name(grams) if len(grams) else (None, None)
-                point = np.minimum(np.bincount((grams % np.uint64(groups)).astype(np.int64), minlength=groups), FULL_COUNT)
-                rows.append((len(grams), d1, d2, point.astype("<u2").tobytes() if len(grams) else None))
-            n, d1, d2, point = zip(*rows, strict=True) if rows else ((), (), (), ())
-            own = {"n": n, "d1": d1, "d2": d2, "point": point}
-            yield shaped(len(batch), {k: batch.column(k) for k in ("doc_id", "h1", "h2")} | own, kind)
+                some = n > 0
+                d1, d2 = (np.zeros(len(n), dtype=np.int64) for _ in range(2))
+                if some.any():
+                    d1[some], d2[some] = _names(grams, (np.cumsum(n) - n)[some])
+                cell = np.repeat(np.arange(len(n)), n) * groups + (grams % np.uint64(groups)).astype(np.int64)
+                point = np.minimum(np.bincount(cell, minlength=len(n) * groups), FULL_COUNT).astype("<u2").reshape(len(n), groups)
+                own = {"n": n, "d1": pa.array(d1, mask=~some), "d2": pa.array(d2, mask=~some)}
+                own["point"] = [row.tobytes() if full else None for row, full in zip(point, some.tolist(), strict=True)]
+                part = batch.slice(done, len(block))
+                done += len(block)
+                yield shaped(len(part), {c: part.column(c) for c in ("doc_id", "h1", "h2")} | own, kind)
         used = np.flatnonzero(counts)
         for at in range(0, len(used), 65536):
             part = used[at : at + 65536]
@@ -165,22 +225,20 @@ def _prefixes(k: int, percent: int, slots: int, buckets: int, shared):
         counts = np.frombuffer(shared.value, dtype=np.int64)
         held, size = [], 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                words = _hashes(_words(text))
-                if not len(words):
+            for block in _blocks(batch.column("text")):
+                _, grams, n, _ = _grams(block, k, lambda words: counts[(words % np.uint64(slots)).astype(np.int64)])
+                begin, some = np.cumsum(n) - n, n > 0
+                if not some.any():
                     continue
-                grams, at = np.unique(shingles(words, k), return_index=True)
-                often = counts[(words % np.uint64(slots)).astype(np.int64)]
-                rarest = often[at]
-                for j in range(1, min(k, len(words))):
-                    rarest = np.minimum(rarest, often[at + j])
-                n = len(grams)
-                first = np.lexsort((grams, rarest))[: n - (percent * n + 99) // 100 + 1]
-                own = np.zeros(len(first), dtype=GRAM)
-                own["key"], own["n"] = grams[first], n
-                own["d1"], own["d2"] = _name(grams)
+                begin, n = begin[some], n[some]
+                names = _names(grams, begin)
+                rarest = n - (percent * n + 99) // 100 + 1
+                who = np.repeat(np.arange(len(n)), rarest)
+                own = np.zeros(len(who), dtype=GRAM)
+                own["key"] = grams[begin[who] + np.arange(len(who)) - (np.cumsum(rarest) - rarest)[who]]
+                own["n"], own["d1"], own["d2"] = n[who], names[0][who], names[1][who]
                 held.append(own)
-                size += len(first)
+                size += len(own)
                 if size >= FLUSH_RECORDS:
                     yield from settle(held)
                     held, size = [], 0

@@ -135,6 +135,20 @@ def test_a_pair_is_named_under_one_of_its_ngrams(classes):
     assert all(found.count(p) == 1 for p in both) and len(both) > len(want) / 2
 
 
+def test_ngrams_of_many_texts_at_once():
+    texts = [(t or "") for _, t, *_ in odd.rows()] + ["", "a", "a b a b a b a b"]
+    for k in (1, 3, 5):
+        words, grams, n, least = jaccard._grams([jaccard._words(t) for t in texts], k)
+        want = [np.unique(jaccard.shingles(jaccard._hashes(jaccard._words(t)), k)) for t in texts]
+        assert n.tolist() == [len(w) for w in want] and grams.tolist() == np.concatenate(want).tolist() and least is None
+        worth = lambda h: (h % np.uint64(5)).astype(np.int64)
+        _, grams, n, least = jaccard._grams([jaccard._words(t) for t in texts], k, worth)
+        for t, at, size, own in zip(texts, np.cumsum(n) - n, n, want, strict=True):
+            h = jaccard._hashes(jaccard._words(t))
+            fewest = {int(jaccard.shingles(h[i : i + k], k)[0]): int(worth(h[i : i + k]).min()) for i in range(max(1, len(h) - k + 1)) if len(h)}
+            assert list(zip(least[at : at + size].tolist(), grams[at : at + size].tolist())) == sorted((fewest[g], g) for g in own.tolist())
+
+
 def test_one_of_each(spark):
     docs = odd.documents(spark)
     out = jaccard.one_of_each(docs)
