@@ -29,7 +29,6 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from os.path import commonprefix
 from struct import pack
 
 import numpy as np
@@ -52,6 +51,13 @@ ROWS_AT_ONCE = 512
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
+class _Packed(dict):
+    """Pieces with their ids as 32-bit numbers; other characters are spelled when asked for."""
+
+    def __missing__(self, part: str) -> bytes:
+        return self.spell(part)
+
+
 class Pieces:
     """Vocabulary, encoder and decoder of one model."""
 
@@ -82,8 +88,12 @@ class Pieces:
             else:
                 spelled = b" \xe2\x81\x87 " if p.type == UNKNOWN else b""
             self.spelled.append(spelled)
-        self.cut = self.endings = None
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.cut = self.starts = self.begin = None
+        self.states: dict[str, tuple] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}  # by the right piece, then the left one
+        self.n_pairs = 0
+        self.packed = _Packed({p: pack("=i", i) for p, i in self.ids.items()})
+        self.packed.spell = self._spell
         self.words: dict[str, bytes] = {}  # ids as 32-bit numbers
         self.older: dict[str, bytes] = {}
 
@@ -92,13 +102,32 @@ class Pieces:
         letters = {c for p in self.ids for c in p}
         alone = "".join(c for c in "\n\t\r\x0b\x0c" if c not in letters)
         self.cut = re.compile(f"{MARK}*[^{MARK}{re.escape(alone)}]+|{MARK}+" + (f"|[{re.escape(alone)}]" if alone else ""))
-        self.endings = {}  # the pieces spelled backwards, as a trie; key "" marks a whole piece
-        for p in self.ids:
-            if len(p) > 1 and p.strip(MARK):
-                node = self.endings
-                for c in reversed(p):
-                    node = node.setdefault(c, {})
-                node[""] = True
+        self.starts = {p[:n] for p in self.ids for n in range(len(p) + 1)}
+        self.begin = self._state("")
+
+    def _state(self, read: str) -> tuple[dict, list]:
+        """What is known after reading: by the next character the state that follows, if met yet; the pieces ending here.
+
+        ``read`` is the longest end of what was read that some piece starts with,
+        so all pieces of several characters that end here are ends of it. They
+        come longest first, each with its length and the left pieces it was tried with.
+        """
+        known = self.states.get(read)
+        if known is None:
+            ends = [read[n:] for n in range(len(read) - 1)]
+            pieces = [(p, len(p), self.pairs.setdefault(p, {})) for p in ends if p in self.ids and p.strip(MARK)]
+            known = self.states[read] = ({}, pieces, read)
+        return known
+
+    def _step(self, state: tuple, letter: str) -> tuple:
+        """The state after one more character; at most one for each start of a piece, so their number is bounded."""
+        read = state[2] + letter
+        while read not in self.starts:
+            read = read[1:]
+        follows = self._state(read)
+        if letter in self.starts:
+            state[0][letter] = follows
+        return follows
 
     def merge(self, word: str) -> list[str]:
         """Pieces and unknown characters of a word by merging the best pair, leftmost first."""
@@ -145,36 +174,32 @@ class Pieces:
 
     def stable(self, left: str, right: str) -> bool:
         """Whether merging leaves the two pieces as they are when they meet; ``left`` is empty at a word's start."""
-        known = self.pairs.get((left, right))
+        known = self.pairs.setdefault(right, {}).get(left)
         if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(left + right) == ([left, right] if left else [right])
+            if self.n_pairs >= KEPT_PAIRS:
+                for tried in self.pairs.values():
+                    tried.clear()
+                self.n_pairs = 0
+            known = self.pairs[right][left] = self.merge(left + right) == ([left, right] if left else [right])
+            self.n_pairs += 1
         return known
 
     def _ids(self, parts: list[str]) -> bytes:
-        try:
-            return pack(f"={len(parts)}i", *[self.ids[p] for p in parts])
-        except KeyError:
-            return self._spell(parts)
-
-    def _spell(self, parts: list[str]) -> bytes:
-        """With the bytes of unknown characters."""
-        out: list[int] = []
-        for p in parts:
-            i = self.ids.get(p)
-            if i is None:
-                out.extend(self.bytes[b] for b in p.encode("utf-8", "replace"))
-            else:
-                out.append(i)
-        return pack(f"={len(out)}i", *out)
+        packed = self.packed
+        return b"".join([packed[p] for p in parts])
+
+    def _spell(self, part: str) -> bytes:
+        """The bytes of an unknown character."""
+        spelled = part.encode("utf-8", "replace")
+        return pack(f"={len(spelled)}i", *[self.bytes[b] for b in spelled])
 
     def learn(self, words: set[str]) -> None:
         """Put the encodings of the words into ``self.words``, walking them in sorted order."""
         if len(self.words) > KEPT_WORDS:
             self.older, self.words = self.words, {}
-        endings, pairs, stable, older = self.endings, self.pairs, self.stable, self.older
-        path, last = "", [""]  # last[i]: the last piece of the encoding of path[:i]
+        stable, older, step, packed = self.stable, self.older, self._step, self.packed
+        # last[i]: the last piece of the encoding of path[:i]; states[i]: the state after path[:i].
+        path, last, states = "", [""], [self.begin]
         for word in sorted(words - self.words.keys()):
             if word in older:
                 self.words[word] = older[word]
@@ -182,33 +207,31 @@ class Pieces:
             if word.startswith(MARK * 2):
                 self.words[word] = self._ids(self.merge(word))
                 continue
-            same = len(commonprefix((path, word)))
-            del last[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                piece = at = word[end - 1]
-                node, start, starts = endings, end, []
-                while at in node:
-                    node = node[at]
-                    start -= 1
-                    if "" in node:
-                        starts.append(start)
-                    if not start:
-                        break
-                    at = word[start - 1]
-                for start in reversed(starts):
-                    longer = word[start:end]
-                    fits = pairs.get((last[start], longer))
-                    if fits or fits is None and stable(last[start], longer):
+            same = 0
+            for a, b in zip(path, word):
+                if a != b:
+                    break
+                same += 1
+            del last[same + 1 :], states[same + 1 :]
+            state = states[same]
+            for end, piece in enumerate(word[same:], same + 1):
+                state = state[0].get(piece) or step(state, piece)
+                for longer, size, tried in state[1]:
+                    left = last[end - size]
+                    fits = tried.get(left)
+                    if fits or fits is None and stable(left, longer):
                         piece = longer
                         break
                 last.append(piece)
+                states.append(state)
             path = word
             parts, end = [], len(word)
             while end:
-                parts.append(last[end])
-                end -= len(last[end])
+                piece = last[end]
+                parts.append(packed[piece])
+                end -= len(piece)
             parts.reverse()
-            self.words[word] = self._ids(parts)
+            self.words[word] = b"".join(parts)
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray | None]:
         if self.cut is None:

@@ -328,6 +328,21 @@ def test_long_words_after_spaces_equal_the_library():
     assert time.perf_counter() - before < 20
 
 
+def test_states_know_the_pieces_that_end_at_a_character():
+    own = pieces.Pieces(open(pieces.MODEL, "rb").read())
+    assert not list(own.encode([]))
+    r = random.Random(9)
+    known = [p for p in own.ids if len(p) > 3 and pieces.MARK not in p]
+    for _ in range(300):
+        word = pieces.MARK + "".join(r.choice([r.choice(known), r.choice("abé日\x00")]) for _ in range(5))
+        state = own.begin
+        for end, letter in enumerate(word, 1):
+            state = state[0].get(letter) or own._step(state, letter)
+            ends = [word[start:end] for start in range(end - 1) if word[start:end] in own.ids]
+            assert [(p, n) for p, n, _ in state[1]] == [(p, len(p)) for p in ends]
+    assert len(own.states) <= len(own.starts)
+
+
 def test_pieces_of_odd_rows(spark):
     rows = pieces.round_trip(odd.documents(spark)).collect()
     assert len(rows) == len(odd.rows()) and all(r.round_trip for r in rows) and all(r.n_tokens == 0 for r in rows if r.doc_id in (7, 8))
