@@ -56,11 +56,13 @@ def dealt(rows: np.ndarray, spread: np.ndarray, decided: int, buckets: int) -> I
     order = np.argsort(bucket, kind="stable")
     rows, bucket = rows[order], bucket[order]
     cuts = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0, [True]]))
+    # The payloads are the records themselves, not copies.
+    ends = (cuts * rows.itemsize).astype(np.int32)
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(bucket[cuts[:-1]], pa.int32()),
             pa.array(np.full(len(cuts) - 1, decided), pa.int32()),
-            pa.array([rows[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+            pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(ends), pa.py_buffer(rows.view(np.uint8))]),
         ],
         ["bucket", "decided", "payload"],
     )

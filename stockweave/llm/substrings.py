@@ -34,6 +34,7 @@ from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -43,8 +44,11 @@ from stockweave.llm import common as C, packed as P
 WIDTH = 35
 ANCHOR = 8
 #: Words hashed together, and records a task settles together.
-BLOCK_WORDS = 1 << 18
+BLOCK_WORDS = 1 << 16
 FLUSH_RECORDS = 1 << 20
+#: Bytes of text finished together; a row counts for ROW_BYTES at least.
+PART_BYTES = 1 << 20
+ROW_BYTES = 1 << 11
 #: Different runs of one anchor that a task ships; beyond them it already knows the anchor needs a count by window.
 SHIPPED_KINDS = 8
 BUCKETS_PER_PARTITION = 2
@@ -107,6 +111,15 @@ def _blocks(rows, weight) -> Iterator[list]:
         yield block
 
 
+def _parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``PART_BYTES`` of the column ``text``; a longer one stands alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(np.maximum(sizes, ROW_BYTES)) // PART_BYTES
+    cuts = np.flatnonzero(np.concatenate([[True], np.diff(part) != 0, [True]])) if len(batch) else []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def _stretches(flags: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First place and length of each stretch of consecutive flagged places."""
     at = place[flags]
@@ -114,10 +127,14 @@ def _stretches(flags: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.nda
     return at[first], np.diff(np.concatenate([first, [len(at)]]))
 
 
-def _pack(records: np.ndarray, decided: np.ndarray, buckets: int, by_key: bool) -> Iterator[pa.RecordBatch]:
-    """Settle records within the task; rows (bucket, decided, payload) of the rest and of what is settled."""
+def _pack(held: list[np.ndarray], settled: list[np.ndarray], buckets: int, by_key: bool) -> Iterator[pa.RecordBatch]:
+    """Settle records within the task; rows (bucket, decided, payload) of the rest and of what is settled. Empties both lists."""
+    records, decided = P.join(held), P.join(settled)
+    held.clear()
+    settled.clear()
     if len(records):
         r, first, same, kinds, rank = P.groups(records)
+        del records
         extra = (rank >= SHIPPED_KINDS) if by_key else np.zeros(len(r), dtype=bool)
         repeated = (same > 1) | (r["many"] > 0)
         # A copy of a shipped run is repeated; runs beyond the shipped ones need a count by window, one of each kind.
@@ -125,6 +142,7 @@ def _pack(records: np.ndarray, decided: np.ndarray, buckets: int, by_key: bool)
         decided = np.concatenate([decided, P.marked(r, status)])
         records = r[first & ~extra]
         records["many"] = repeated[first & ~extra]
+        del r, first, same, kinds, rank, extra, repeated, status
     yield from P.dealt(records, records["key"] if by_key else records["key"] ^ records["rest"], 0, buckets)
     yield from P.dealt(decided, decided["d1"].view(np.uint64), 1, buckets)
 
@@ -134,30 +152,35 @@ def _runs(width: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen, held, decided, size = _Hasher(width), {}, [], [], 0
-        for batch in batches:
-            rows = zip(batch.column("__text"), batch.column("__d1").to_pylist(), batch.column("__d2").to_pylist(), strict=True)
-            fresh = []
-            for text, d1, d2 in rows:
-                copies = seen.get((d1, d2), 0)
-                seen[d1, d2] = copies + 1
-                if copies == 0:
-                    fresh.append((d1, d2, (text.as_py() or "").encode("utf-8", "surrogatepass").split()))
-                elif copies == 1:
-                    # A second copy in this task: every window of the text is repeated.
-                    n = len((text.as_py() or "").encode("utf-8", "surrogatepass").split()) - width + 1
-                    if n > 0:
-                        decided.append(P.records(0, 0, d1, d2, np.zeros(1, dtype=np.uint32), n, FULL))
-            for block in _blocks(fresh, lambda row: len(row[2])):
-                d1, d2 = (np.array([row[k] for row in block], dtype=np.int64) for k in (0, 1))
-                place, owner, key, window, grams, sizes = hasher.windows([row[2] for row in block])
-                if not len(place):
-                    continue
+
+        def fresh() -> Iterator[tuple[int, int, list[bytes]]]:
+            """Texts not seen since the last records went out, cut into words only when their block is filled."""
+            for batch in batches:
+                for text, d1, d2 in zip(*(batch.column(c) for c in ("__text", "__d1", "__d2")), strict=True):
+                    name = d1.as_py(), d2.as_py()
+                    copies = seen.get(name, 0)
+                    seen[name] = copies + 1
+                    if copies > 1:
+                        continue
+                    words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
+                    if copies == 0:
+                        yield *name, words
+                    elif len(words) >= width:
+                        # A second copy in this task: every window of the text is repeated.
+                        decided.append(P.records(0, 0, *name, np.zeros(1, dtype=np.uint32), len(words) - width + 1, FULL))
+
+        # Short texts make few records or none, but their names are held too.
+        for block in _blocks(fresh(), lambda row: len(row[2]) + 1):
+            d1, d2 = (np.array([row[k] for row in block], dtype=np.int64) for k in (0, 1))
+            place, owner, key, window, grams, sizes = hasher.windows([row[2] for row in block])
+            if len(place):
                 begin = np.cumsum(sizes) - sizes
                 cut = np.concatenate([[True], (np.diff(place) != 1) | (key[1:] != key[:-1])])
                 first = np.flatnonzero(cut)
                 n = np.diff(np.concatenate([first, [len(place)]]))
                 at, who = place[first], owner[first]
                 held.append(P.records(key[first], grams(at, n + width - 1), d1[who], d2[who], at - begin[who], n))
+                size += len(first)
                 # Windows repeated within one document may stand in one run; settle them here.
                 order = np.lexsort((window, owner))
                 equal = (window[order][1:] == window[order][:-1]) & (owner[order][1:] == owner[order][:-1])
@@ -167,12 +190,11 @@ def _runs(width: int, buckets: int):
                 if len(at):
                     who = np.searchsorted(np.cumsum(sizes), at, side="right")
                     decided.append(P.records(0, 0, d1[who], d2[who], at - begin[who], n, FULL))
-                size += len(first)
-            # Names of short texts make no records but are held too.
             if size + len(seen) + len(decided) >= FLUSH_RECORDS:
-                yield from _pack(P.join(held), P.join(decided), buckets, True)
-                held, decided, size, seen = [], [], 0, {}
-        yield from _pack(P.join(held), P.join(decided), buckets, True)
+                yield from _pack(held, decided, buckets, True)
+                seen.clear()
+                size = 0
+        yield from _pack(held, decided, buckets, True)
 
     return run
 
@@ -231,7 +253,7 @@ def _first_pass(width: int, buckets: int, carried: list[str], keep_text: bool, s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held, size = _Hasher(width), [], 0
-        for batch in batches:
+        for batch in chain.from_iterable(_parts(large, "__text") for large in batches):
             rows, waiting = [], []
             texts, founds = batch.column("__text"), batch.column("__found")
             d1s, d2s = batch.column("__d1"), batch.column("__d2")
@@ -260,12 +282,14 @@ def _first_pass(width: int, buckets: int, carried: list[str], keep_text: bool, s
                 d1, d2 = (np.array([row[k] for row in block], dtype=np.int64)[who] for k in (0, 1))
                 held.append(P.records(key[pick], window[pick], d1, d2, place[pick] - begin[who], 1))
                 size += len(who)
-            if size >= FLUSH_RECORDS:
-                for packed in _pack(P.join(held), P.join([]), buckets, False):
-                    yield _shaped(dict(zip(packed.schema.names, packed.columns, strict=True)), len(packed), schema)
-                held, size = [], 0
-        for packed in _pack(P.join(held), P.join([]), buckets, False):
-            yield _shaped(dict(zip(packed.schema.names, packed.columns, strict=True)), len(packed), schema)
+                if size >= FLUSH_RECORDS:
+                    yield from shaped(_pack(held, [], buckets, False))
+                    size = 0
+        yield from shaped(_pack(held, [], buckets, False))
+
+    def shaped(packed: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in packed:
+            yield _shaped(dict(zip(rows.schema.names, rows.columns, strict=True)), len(rows), schema)
 
     return run
 
@@ -281,7 +305,7 @@ def _second_pass(width: int, carried: list[str], keep_text: bool, schema: pa.Sch
     """mapInArrow step: rows that waited, with the verdicts on their windows -> finished rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(_parts(large, "__packed") for large in batches):
             rows = []
             for text, sure, found in zip(batch.column("__packed"), batch.column("__sure"), batch.column("__found"), strict=True):
                 whole = zstandard.decompress(text.as_py())

@@ -5,11 +5,14 @@ import math
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
+import zstandard
 
 from stockweave.llm import components, fingerprints, jaccard, langid, oracle, packed, pieces, substrings, warc
 from tests.llm import odd
@@ -45,6 +48,58 @@ def test_substrings_with_partly_shared_runs(spark):
     assert got == _removed(rows, 20)
 
 
+def _peak_mb(step, batch):
+    tracemalloc.start()
+    sizes = [b.nbytes for b in step(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6, max(sizes) / 1e6
+
+
+def test_substrings_hold_a_part_of_a_batch_at_once():
+    r = random.Random(3)
+    texts = [" ".join(f"{r.randrange(1 << 20):x}" for _ in range(200)) for _ in range(4000)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), ids, ids], ["__text", "__d1", "__d2"])
+    peak, _ = _peak_mb(substrings._runs(35, 8), batch)
+    assert peak < 30
+
+    long, spans = pa.int64(), pa.list_(pa.struct([(n, pa.int64()) for n in ("at", "n", "status")]))
+    result = [("n_words", long), ("n_removed", long), ("kept_sha256", pa.string()), ("kept", pa.string())]
+    later = [("__packed", pa.binary()), ("__sure", pa.binary()), ("__open", pa.bool_())]
+    packs = [("bucket", pa.int32()), ("decided", pa.int32()), ("payload", pa.binary())]
+    schema = pa.schema([("__d1", long), ("__d2", long), *result, *later, *packs])
+    met = batch.append_column("__found", pa.nulls(len(texts), spans))
+    assert _peak_mb(substrings._first_pass(35, 8, [], True, schema), met)[1] < 3
+
+    waiting = pa.array([zstandard.compress(t.encode()) for t in texts])
+    met = pa.RecordBatch.from_arrays([waiting, pa.array([b""] * len(texts)), pa.nulls(len(texts), spans)], ["__packed", "__sure", "__found"])
+    assert _peak_mb(substrings._second_pass(35, [], True, pa.schema(result)), met)[1] < 3
+
+
+@pytest.mark.parametrize("limits", [{}, {"BLOCK_WORDS": 100, "FLUSH_RECORDS": 8, "PART_BYTES": 1 << 12}])
+def test_runs_are_judged_alike_in_blocks_of_any_size(monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(substrings, name, value)
+    r = random.Random(4)
+    passages = [[f"p{k}x{i}" for i in range(60)] for k in range(6)]
+    own = [[f"d{i}a{j}" for j in range(50)] for i in range(80)]
+    texts = [" ".join(own[i] + (passages[r.randrange(6)] if i % 3 else []) + own[i][:7]) for i in range(80)] + ["", "few words"]
+    texts += texts[:20]
+    names = [packed.mix(np.array([texts.index(t) + 1], dtype=np.uint64)).view(np.int64)[0] for t in texts]
+    ids = pa.array(names, pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), ids, ids], ["__text", "__d1", "__d2"])
+    table = pa.Table.from_batches(substrings._runs(20, 4)(iter([batch])))
+    found = {}
+    for bucket in range(4):
+        for row in substrings._judge(table.filter(pa.compute.equal(table["bucket"], bucket))).to_pylist():
+            found.setdefault(row["d1"], set()).update(range(row["at"], row["at"] + row["n"]))
+    seen = Counter(tuple(w[k : k + 20]) for w in map(str.split, texts) for k in range(len(w) - 19))
+    for name, text in zip(names, texts, strict=True):
+        w = text.split()
+        assert found.get(name, set()) >= {k for k in range(len(w) - 19) if seen[tuple(w[k : k + 20])] > 1}
+
+
 def test_deduplicated_keeps_columns_and_clean_texts(spark):
     docs = odd.documents(spark)
     out = substrings.deduplicated(docs)
