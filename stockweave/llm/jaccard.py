@@ -15,8 +15,8 @@ documents in a table of fixed size, so passages that many texts share come
 last. The join then goes from cheap to dear, and only ever needs connections:
 
 1. Texts with equal sets are one class; only classes go on.
-2. Each class is compared with one class of each n-gram it shares, first the
-   smallest, then in a few more turns another one, as far as the two are not
+2. Each class is compared with one class of each n-gram it shares, the
+   smallest, then in a second turn with a few others, as far as the two are not
    connected yet: a group of near copies costs its size, not its square.
 3. N-grams whose classes are not yet connected are searched in full by tree,
    between components only. Groups above ``TREE_ROWS`` are cut into parts: the
@@ -51,8 +51,8 @@ GROUPS = 256
 SLOTS = 1 << 18
 TREE_ROWS = 4096
 LEAF, FAN = 16, 8
-#: Turns of comparing each class with one class per shared n-gram before the full search.
-STAR_TURNS = 3
+#: Turns before the full search, with the salts of the classes that each is compared with per shared n-gram; 0 is the smallest class.
+STAR_TURNS = ((0,), (1, 2))
 #: Groups of up to so many classes are compared without a tree.
 SIDE = 12
 BUCKETS_PER_PARTITION = 2
@@ -325,6 +325,9 @@ def _passes(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percen
 
 PAIRS = "a1 long, a2 long, b1 long, b2 long"
 PAIR_NAMES = ["a1", "a2", "b1", "b2"]
+#: Pairs with the hashes of the texts that stand for their classes.
+HASHED = PAIRS + ", ah1 long, ah2 long, bh1 long, bh2 long"
+HASHED_NAMES = [*PAIR_NAMES, "ah1", "ah2", "bh1", "bh2"]
 
 
 def _meet_here(least: np.ndarray, gram: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -425,7 +428,7 @@ def _bounded(percent: int):
             if len(batch):
                 a, b = _decode(batch.column("pa")), _decode(batch.column("pb"))
                 keep = _passes(a, b, np.array(batch.column("na")), np.array(batch.column("nb")), percent)
-                yield batch.select(["a1", "a2", "b1", "b2"]).filter(pa.array(keep))
+                yield batch.select(HASHED_NAMES).filter(pa.array(keep))
 
     return run
 
@@ -446,7 +449,7 @@ def _verify(k: int, percent: int):
                 a = np.unique(shingles(_hashes(_words(ta.as_py())), k))
                 both = len(np.intersect1d(a, known, assume_unique=True))
                 keep.append(100 * both >= percent * (len(a) + len(known) - both))
-            yield batch.select(["a1", "a2", "b1", "b2"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(PAIR_NAMES).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -514,16 +517,19 @@ class Join:
         packed = self.texts.select("text").mapInArrow(C.released(_prefixes(self.k, self.percent, SLOTS, self.buckets, known)), P.PACKED)
         return C.staged(packed.groupBy("bucket").applyInArrow(_met, SHARED).distinct(), "jaccard-grams")
 
-    def star(self, rows: DataFrame, turn: int) -> DataFrame:
-        """Each class with one class of each n-gram it shares, if that is of another component.
+    def star(self, rows: DataFrame, salts: tuple[int, ...]) -> DataFrame:
+        """Each class with one class per salt of each n-gram it shares, if that is of another component.
 
-        In the first turn that is the smallest class, later one that a salted hash picks.
+        Salt 0 picks the smallest class, another one the class of smallest salted hash.
         """
-        rank = F.struct("n", "d1", "d2") if turn == 0 else F.struct(F.xxhash64("d1", "d2", F.lit(turn)).alias("h"), "n", "d1", "d2")
-        chosen = rows.groupBy("gram").agg(F.min_by(F.struct("n", "d1", "d2", "root"), rank).alias("m"))
-        pairs = rows.join(chosen, "gram").filter(F.col("root") != F.col("m.root"))
+        ranks = [F.struct(*([F.xxhash64("d1", "d2", F.lit(salt)).alias("h")] if salt else []), "n", "d1", "d2") for salt in salts]
+        chosen = rows.groupBy("gram").agg(*[F.min_by(F.struct("n", "d1", "d2", "root"), r).alias(f"m{i}") for i, r in enumerate(ranks)])
+        pairs = rows.join(chosen, "gram").withColumn("m", F.explode(F.array(*[f"m{i}" for i in range(len(salts))])))
+        pairs = pairs.filter(F.col("root") != F.col("m.root"))
         pairs = pairs.filter((F.col("m.n") * 100 >= F.col("n") * self.percent) & (F.col("n") * 100 >= F.col("m.n") * self.percent))
-        return pairs.select(F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("m.d1").alias("b1"), F.col("m.d2").alias("b2")).distinct()
+        pairs = pairs.select(F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("m.d1").alias("b1"), F.col("m.d2").alias("b2"))
+        # Dealt by class a, as the join that follows needs them: one shuffle for both.
+        return pairs.repartition("a1", "a2").distinct()
 
     def open_rows(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
         """The rows with the components they are in now, of n-grams with at least two components."""
@@ -532,31 +538,37 @@ class Join:
         several = rows.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("gram")
         return C.staged(rows.join(several, "gram", "left_semi"), "jaccard-open")
 
+    def hashed(self, pairs: DataFrame, points: bool = False) -> DataFrame:
+        """The pairs with the text hashes of both classes, and if asked for with their sizes and points."""
+        for end in "ab":
+            names = {"d1": f"{end}1", "d2": f"{end}2", "h1": f"{end}h1", "h2": f"{end}h2"}
+            names |= {"n": f"n{end}", "point": f"p{end}"} if points else {}
+            pairs = pairs.join(self.classes.select(*[F.col(c).alias(n) for c, n in names.items()]), [f"{end}1", f"{end}2"])
+        return pairs.select(*HASHED_NAMES, *(["na", "nb", "pa", "pb"] if points else []))
+
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """The pairs that the summed minima of their points let pass."""
-        a = self.classes.select(F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("n").alias("na"), F.col("point").alias("pa"))
-        b = self.classes.select(F.col("d1").alias("b1"), F.col("d2").alias("b2"), F.col("n").alias("nb"), F.col("point").alias("pb"))
-        both = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a1", "a2", "b1", "b2", "na", "nb", "pa", "pb")
-        return both.mapInArrow(_bounded(self.percent), PAIRS)
+        return self.hashed(pairs, points=True).mapInArrow(_bounded(self.percent), HASHED)
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose n-grams are similar enough; only texts of candidate classes are shuffled."""
+        """The hashed pairs whose n-grams are similar enough; only texts of candidate classes are shuffled."""
         with C.collected() as made:
             links = self._verified(C.staged(pairs, "jaccard-pairs"))
         C.discard(self.spark, made[:-1])
         return links
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a1").alias("d1"), F.col("a2").alias("d2")).union(pairs.select("b1", "b2")).distinct()
-        wanted = C.staged(self.classes.join(ends, ["d1", "d2"]).select("d1", "d2", "h1", "h2"), "jaccard-wanted")
+        wanted = pairs.select(F.col("ah1").alias("h1"), F.col("ah2").alias("h2")).union(pairs.select("bh1", "bh2"))
         flags = self.spark.sparkContext.broadcast(_filter_for(wanted, FILTER_BITS))
         some = self.texts.mapInArrow(_filtered(flags, FILTER_BITS), self.texts.schema)
-        texts = C.staged(
-            some.join(wanted, ["h1", "h2"]).groupBy("d1", "d2").agg(F.first("text").alias("text")), "jaccard-texts"
-        )
-        a = texts.select(F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("text").alias("ta"))
-        b = texts.select(F.col("d1").alias("b1"), F.col("d2").alias("b2"), F.col("text").alias("tb"))
-        both = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a1", "a2", "b1", "b2", "ta", "tb")
+        # Copies of a text become one before they are shuffled.
+        texts = some.groupBy("h1", "h2").agg(F.first("text").alias("text")).join(wanted, ["h1", "h2"], "left_semi")
+        texts = C.staged(texts, "jaccard-texts")
+        both = pairs
+        for end in "ab":
+            own = texts.select(F.col("h1").alias(f"{end}h1"), F.col("h2").alias(f"{end}h2"), F.col("text").alias(f"t{end}"))
+            both = both.join(own, [f"{end}h1", f"{end}h2"])
+        both = both.select(*PAIR_NAMES, "ta", "tb")
         return C.staged(both.mapInArrow(C.released(_verify(self.k, self.percent)), PAIRS), "jaccard-links")
 
     def rest(self, known: DataFrame) -> DataFrame:
@@ -584,18 +596,20 @@ class Join:
     def linked(self) -> DataFrame:
         """node, root of every class with a link; both are structs (d1, d2)."""
         rows = self.shared().withColumn("root", F.struct("d1", "d2"))
-        edges, before = None, []
-        for turn in range(STAR_TURNS):
-            found = self.edges(self.verified(self.bounded(self.star(rows, turn))))
-            edges = found if edges is None else edges.union(found)
-            labels = components(edges)
+        labels, before = None, []
+        for salts in STAR_TURNS:
+            labels = self.joined(labels, self.bounded(self.star(rows, salts)))
             with C.collected() as made:
                 rows = self.open_rows(rows, labels)
             C.discard(self.spark, before)
             before = made
             if rows.isEmpty():
                 return labels
-        return components(edges.union(self.edges(self.verified(self.rest(rows)))))
+        return self.joined(labels, self.hashed(self.rest(rows)))
+
+    def joined(self, labels: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        """The components (node, root) that ``labels`` and those of the pairs that are links make."""
+        return components(self.edges(self.verified(pairs)), labels)
 
     def edges(self, pairs: DataFrame) -> DataFrame:
         return pairs.select(_pair("a1", "a2").alias("a"), _pair("b1", "b2").alias("b"))

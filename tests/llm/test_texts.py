@@ -14,7 +14,7 @@ import pyarrow.compute  # noqa: F401
 import pytest
 import zstandard
 
-from stockweave.llm import components, fingerprints, jaccard, langid, oracle, packed, pieces, substrings, warc
+from stockweave.llm import common, components, fingerprints, jaccard, langid, oracle, packed, pieces, substrings, warc
 from tests.llm import odd
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -235,6 +235,46 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def _staged(monkeypatch):
+    made, real = [], common.staged
+    monkeypatch.setattr(common, "staged", lambda df, purpose: made.append(purpose) or real(df, purpose))
+    return made
+
+
+def test_a_star_is_gone_after_one_round(spark, monkeypatch):
+    # Each round is some shuffles, whatever the size; hubs of a large group of near copies have thousands of leaves.
+    made = _staged(monkeypatch)
+    star = [(0, i) for i in range(1, 3001)] + [(0, 1), (1, 0)]
+    got = components.components(spark.createDataFrame(star, "a long, b long")).collect()
+    assert sorted(r.node for r in got) == list(range(3001)) and len({r.root for r in got}) == 1
+    assert made.count("cc-points") == 1
+
+
+def test_components_go_on_from_known_ones(spark):
+    def sets(rows):
+        out = {}
+        for r in rows:
+            out.setdefault(r.root, set()).add(r.node)
+        return sorted(map(sorted, out.values()))
+
+    first = components.components(spark.createDataFrame([(1, 2), (2, 3), (10, 11), (20, 21), (30, 31)], "a long, b long"))
+    more = spark.createDataFrame([(3, 10), (11, 40), (40, 41), (50, 51), (21, 20)], "a long, b long")
+    assert sets(components.components(more, first).collect()) == [[1, 2, 3, 10, 11, 40, 41], [20, 21], [30, 31], [50, 51]]
+    assert sets(components.components(more.limit(0), first).collect()) == [[1, 2, 3], [10, 11], [20, 21], [30, 31]]
+
+
+def test_links_of_near_copies_take_few_steps(spark, monkeypatch):
+    # Two texts that share a passage stay apart, so that all turns run; copies and near copies are one component.
+    made = _staged(monkeypatch)
+    words, rows = odd.prose(7, 80).split(), []
+    for i in range(150):
+        rows.append((i, " ".join([*words[: i % 50 + 10], f"n{i % 100}", *words[i % 50 + 11 :]]), "", "", 0))
+    rows += [(1000 + i, " ".join(words[:40] + odd.prose(20 + i, 40).split()), "", "", 0) for i in range(4)]
+    got = odd.bag(jaccard.report(spark.createDataFrame(rows, odd.SCHEMA).repartition(3), 3, 90), "doc_id", "n_shingles", "component_id")
+    assert got == _joined(rows, 3, 90)
+    assert made.count("jaccard-pairs") <= 3 and "jaccard-wanted" not in made and made.count("cc-points") <= 8
+
+
 def test_levels_are_entropies():
     r = np.random.default_rng(1)
     data = np.concatenate([r.integers(0, k, 150) for k in (1, 2, 5, 60, 256)]).astype(np.uint8)
