@@ -14,7 +14,7 @@ from stockweave.operators.lifecycle import alert_diff, empty_state, next_state
 from stockweave.plans import alerts as A
 from stockweave.plans import merchandising as M
 from stockweave.plans import reports as P
-from stockweave.session import cut_lineage
+from stockweave.session import cut_lineage, together
 from stockweave.sinks import publish as W
 from stockweave.sources.dimensions import load_items, load_notes, master_sheet
 from stockweave.sources.intake import Intake, load_folder
@@ -90,7 +90,7 @@ def settings(asof: dt.date, rules: dict, channel_map: dict, facility: str | None
     def hashable(t: DataFrame) -> DataFrame:
         return t.select(*[F.array_sort(F.map_entries(t[c])).alias(c) if kind.startswith("map<") else t[c] for c, kind in t.dtypes])
 
-    digests = [[str(x) for x in table_digest(hashable(t)).first()] for t in tables]
+    digests = [[str(x) for x in row] for row in together(*[table_digest(hashable(t)).first for t in tables])]
     return json.dumps([facility, asof.isoformat(), rules, sorted(channel_map.items()), digests], sort_keys=True, default=str)
 
 
@@ -122,10 +122,21 @@ def run_cycle(
 
     The facts feed some twenty tables, the SKU table four; both are read back
     from storage, so no join is replayed and a lost executor costs a re-read.
+    Reports and SKU tables do not read each other and are made together;
+    readers see the run's tables once all of them are there.
     """
     W.write_facts(f"{out}/facts", *facts)
     sales, inventory, purchases = load_facts(spark, f"{out}/facts")
-    reports = report_set(sales, inventory, purchases, facility, intake)
+    made, _ = together(
+        lambda: sku_tables(spark, (sales, inventory, purchases), items, notes, out, run_id, asof, previous_state, rules, period_days, recent_days),
+        lambda: write_all_reports(spark, report_set(sales, inventory, purchases, facility, intake), out),
+    )
+    W.switch(spark, out, run_id)
+    return made
+
+
+def write_all_reports(spark: SparkSession, reports: dict[str, DataFrame], out: str) -> None:
+    """The reports and the payload made of them."""
     written = W.write_reports(f"{out}/reports", reports)
     # The payload reads the written reports; one that was left out has no rows.
     stored = {
@@ -133,31 +144,49 @@ def run_cycle(
     }
     W.write_reports(f"{out}/reports", {"dashboard": dashboard(stored)})
 
+
+def sku_tables(
+    spark: SparkSession, facts: tuple[DataFrame, DataFrame, DataFrame], items: DataFrame, notes: tuple[DataFrame, DataFrame], out: str, run_id: str,
+    asof: dt.date, previous_state: DataFrame | None, rules: dict, period_days: int, recent_days: int,
+) -> dict[str, DataFrame]:
+    """SKU and style tables, action list and alerts, written under the run's id; readers see them after ``switch``."""
+    sales, inventory, purchases = facts
     by_sku, by_style = notes
     sku_path = f"{out}/work/{run_id}/svs_sku"
     skus = M.svs_sku(sales, inventory, purchases, items, by_sku, by_style, asof, period_days, recent_days)
     skus.write.mode("overwrite").parquet(sku_path)
     skus = spark.read.schema(skus.schema).parquet(sku_path)
-    article_path = f"{out}/work/{run_id}/svs_article"
-    articles = M.svs_article(skus, by_style, asof, period_days, recent_days)
-    articles.write.mode("overwrite").parquet(article_path)
-    articles = spark.read.schema(articles.schema).parquet(article_path)
     start, _ = windows(asof, period_days, recent_days)
-    W.publish(M.lay_out(skus, M.SKU_LAYOUT, start, asof), out, "sku_wise", run_id)
-    W.publish(M.lay_out(articles, M.ARTICLE_LAYOUT, start, asof), out, "article_wise", run_id)
-    W.publish(M.action_list(articles), out, "action_list", run_id)
-
-    raised = A.evaluate(A.prepare(skus, rules.get("valuation", {}).get("fallback_to_asp", True)), rules)
-    alert_path = f"{out}/work/{run_id}/alerts"
-    raised.write.mode("overwrite").parquet(alert_path)
-    raised = spark.read.schema(raised.schema).parquet(alert_path)
-    diff = alert_diff(raised, previous_state if previous_state is not None else empty_state(spark), run_id)
-    W.publish(diff, out, "alert_lifecycle", run_id)
-    next_state(diff).write.mode("overwrite").parquet(f"{out}/alert_state/run_id={run_id}")
-    labelled = raised.join(diff.select("key", "status", "first_seen", "cycles"), "key")
-    W.publish(A.alert_summary(labelled), out, "alert_summary", run_id)
-    W.publish(A.top_alerts(labelled), out, "alert_digest", run_id)
-    W.switch(spark, out, run_id)
+
+    def by_style_tables() -> DataFrame:
+        article_path = f"{out}/work/{run_id}/svs_article"
+        articles = M.svs_article(skus, by_style, asof, period_days, recent_days)
+        articles.write.mode("overwrite").parquet(article_path)
+        articles = spark.read.schema(articles.schema).parquet(article_path)
+        together(
+            lambda: W.publish(M.lay_out(articles, M.ARTICLE_LAYOUT, start, asof), out, "article_wise", run_id),
+            lambda: W.publish(M.action_list(articles), out, "action_list", run_id),
+        )
+        return articles
+
+    def alert_tables() -> tuple[DataFrame, DataFrame]:
+        raised = A.evaluate(A.prepare(skus, rules.get("valuation", {}).get("fallback_to_asp", True)), rules)
+        alert_path = f"{out}/work/{run_id}/alerts"
+        raised.write.mode("overwrite").parquet(alert_path)
+        raised = spark.read.schema(raised.schema).parquet(alert_path)
+        diff = alert_diff(raised, previous_state if previous_state is not None else empty_state(spark), run_id)
+        labelled = raised.join(diff.select("key", "status", "first_seen", "cycles"), "key")
+        together(
+            lambda: W.publish(diff, out, "alert_lifecycle", run_id),
+            lambda: next_state(diff).write.mode("overwrite").parquet(f"{out}/alert_state/run_id={run_id}"),
+            lambda: W.publish(A.alert_summary(labelled), out, "alert_summary", run_id),
+            lambda: W.publish(A.top_alerts(labelled), out, "alert_digest", run_id),
+        )
+        return labelled, diff
+
+    articles, (labelled, diff), _ = together(
+        by_style_tables, alert_tables, lambda: W.publish(M.lay_out(skus, M.SKU_LAYOUT, start, asof), out, "sku_wise", run_id)
+    )
     return {"skus": skus, "articles": articles, "alerts": labelled, "lifecycle": diff}
 
 
@@ -200,13 +229,15 @@ def run_folder(
         status(True, "inputs unchanged", skipped=True)
         return None
     try:
-        master = R.load_master(master_sheet(raw_cells))[0] if lookup is None and raw_cells is not None else None
-        intake = load_folder(spark, root, lookup, channel_map, facility, raw_cells, master=master)
-        items = items if items is not None else cut_lineage(load_items(spark, root), "items")
+        def extracts() -> Intake:
+            master = R.load_master(master_sheet(raw_cells))[0] if lookup is None and raw_cells is not None else None
+            return load_folder(spark, root, lookup, channel_map, facility, raw_cells, master=master)
+
+        intake, own_items = together(extracts, lambda: items if items is not None else cut_lineage(load_items(spark, root), "items"))
         facts = (intake.sales, intake.inventory, intake.purchases)
         if previous_state is None:
             previous_state = W.last_state(spark, out, run_id, empty_state(spark))
-        tables = run_cycle(spark, facts, items, own_notes, out, run_id, asof, previous_state, rules, facility=facility, intake=intake)
+        tables = run_cycle(spark, facts, own_items, own_notes, out, run_id, asof, previous_state, rules, facility=facility, intake=intake)
     except Exception as why:
         status(False, str(why)[:500])
         raise

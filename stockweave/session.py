@@ -6,8 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Session settings the plans rely on. AQE turns shuffle joins into broadcast
@@ -74,3 +77,19 @@ def cut_lineage(df, purpose: str = "stage", by: tuple = ()):
     path = work_dir(spark, purpose)
     df.write.mode("errorifexists").partitionBy(*by).parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Jobs that one call of ``together`` hands to Spark at a time.
+JOBS_AT_ONCE = 6
+
+
+def together(*steps: Callable) -> list:
+    """Results of steps that do not depend on each other, in their order; their jobs share the executors.
+
+    A small job leaves most cores idle and a planned one waits for the driver,
+    so steps one after the other take the sum of those waits. Every step ends
+    before the first failure, by order, is raised.
+    """
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        running = [pool.submit(inheritable_thread_target(SparkSession.active())(step)) for step in steps]
+    return [r.result() for r in running]

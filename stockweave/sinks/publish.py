@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from stockweave import schemas as S
 from stockweave.functions.text import flatten_headers
+from stockweave.session import together
 
 # Report name -> written only when it has rows.
 REPORTS = {
@@ -20,24 +23,27 @@ PUBLISHED = ("sku_wise", "article_wise", "action_list", "alert_lifecycle", "aler
 
 def write_facts(root: str, sales: DataFrame, inventory: DataFrame, purchases: DataFrame) -> None:
     """Full overwrite of the three facts; sales split by flow, so a flow is one folder to read."""
-    sales.write.mode("overwrite").partitionBy("flow").parquet(f"{root}/fact_sales")
-    inventory.write.mode("overwrite").parquet(f"{root}/fact_inventory")
-    purchases.write.mode("overwrite").parquet(f"{root}/fact_purchase")
+    together(
+        lambda: sales.write.mode("overwrite").partitionBy("flow").parquet(f"{root}/fact_sales"),
+        lambda: inventory.write.mode("overwrite").parquet(f"{root}/fact_inventory"),
+        lambda: purchases.write.mode("overwrite").parquet(f"{root}/fact_purchase"),
+    )
 
 
 def write_reports(root: str, reports: dict[str, DataFrame]) -> list[str]:
     """One folder per report; reports that only matter with rows are left out when empty."""
-    written = []
-    for name, df in reports.items():
+    def write(name: str, df: DataFrame) -> bool:
         path, optional = f"{root}/{name}", REPORTS.get(name, False)
         flatten_headers(df).write.mode("overwrite").parquet(path)
         # Computed once: an optional report without rows is dropped after it was written.
         if optional and df.sparkSession.read.schema(flatten_headers(df).schema).parquet(path).isEmpty():
             files, place = _folder(df.sparkSession, path)
             files.delete(place, True)
-            continue
-        written.append(name)
-    return written
+            return False
+        return True
+
+    kept = together(*[partial(write, name, df) for name, df in reports.items()])
+    return [name for name, there in zip(reports, kept) if there]
 
 
 def publish(df: DataFrame, root: str, name: str, run_id: str) -> None:
@@ -62,8 +68,9 @@ def switch(spark: SparkSession, root: str, run_id: str, names=PUBLISHED) -> int:
     number = max(versions(spark, root), default=0) + 1
     manifest = spark.createDataFrame([(n, run_id) for n in names], VERSION)
     manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/version={number}")
-    for n, place in places.items():
-        spark.read.parquet(place).write.mode("overwrite").parquet(f"{root}/latest/{n}")
+    together(*[
+        lambda n=n, place=place: spark.read.parquet(place).write.mode("overwrite").parquet(f"{root}/latest/{n}") for n, place in places.items()
+    ])
     return number
 
 

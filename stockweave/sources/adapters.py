@@ -110,7 +110,8 @@ def pick_cells(rows: DataFrame, files: DataFrame, columns: dict[str, Source], ch
     """
     cell = lambda c: F.nullif(F.get("cells", F.col(f"_at_{c}")), F.lit(""))
     bad = [
-        F.when(F.trim(cell(c)).rlike(r"[^-\s]") & src.parse(cell(c)).isNull(), F.lit(src.headers[0]))
+        # The number first: it is a column as well and evaluated once for both, the pattern only where there is none.
+        F.when(src.parse(cell(c)).isNull() & F.trim(cell(c)).rlike(r"[^-\s]"), F.lit(src.headers[0]))
         for c, src in columns.items() if check and src.parse in (num, money)
     ]
     places = files.select(
@@ -126,14 +127,14 @@ def pick_cells(rows: DataFrame, files: DataFrame, columns: dict[str, Source], ch
     )
 
 
-def adapt(kind: str, rows: DataFrame, files: DataFrame) -> DataFrame:
+def adapt(kind: str, rows: DataFrame, files: DataFrame, picked: DataFrame | None = None) -> DataFrame:
     """All files of a kind at once, in canonical columns (before resolution).
 
     ``rows``: path, block, seq, cells below the header. ``files``: path, name,
-    sheet, header.
+    sheet, header. ``picked``: their ``pick_cells`` for the kind, if at hand.
     """
     spec = ADAPTERS[kind]
-    out = pick_cells(rows, files, spec.columns)
+    out = pick_cells(rows, files, spec.columns) if picked is None else picked.drop("bad")
     if spec.dates:
         out = parse_dates(out, spec.dates, by="source_file")
     out = out.withColumns({c: F.lit(v) for c, v in spec.constants.items()}).withColumn("source_type", F.lit(kind))
@@ -218,12 +219,13 @@ def adapt_profile(profile: StoreProfile, rows: DataFrame, files: DataFrame) -> t
     return ("inventory" if profile.kind.endswith("soh") else "sales"), adapt_flat(profile, rows, files)
 
 
-def raw_rows(kind: str, profile: StoreProfile | None, rows: DataFrame, files: DataFrame) -> DataFrame:
+def raw_rows(kind: str, profile: StoreProfile | None, rows: DataFrame, files: DataFrame, picked: DataFrame | None = None) -> DataFrame:
     """The numbers of a kind's rows as its files give them, and ``bad``, the headers whose cells hold no number.
 
     Nothing of what the facts go through has happened yet: no scope, ledger
     map, resolution, value basis. Matrices and blocks have no column per
-    measure; their raw rows are the unpivoted ones.
+    measure; their raw rows are the unpivoted ones. ``picked``: ``pick_cells``
+    of a kind without profile, checked, if at hand.
     """
     if profile is not None and profile.kind in ("store_blocks", "store_matrix_soh"):
         return adapt_profile(profile, rows, files)[1].withColumn("bad", F.array().cast("array<string>"))
@@ -232,14 +234,16 @@ def raw_rows(kind: str, profile: StoreProfile | None, rows: DataFrame, files: Da
             c: Source((h,), num if c.startswith(("qty", "gross", "net", "discount")) else text, True) for c, h in profile.columns.items()
         }
         return drop_total_rows(pick_cells(rows, files, wanted, True), "external_id").withColumn("source_type", F.lit(profile.kind))
-    out = pick_cells(rows, files, ADAPTERS[kind].columns, True).withColumn("source_type", F.lit(kind))
+    picked = pick_cells(rows, files, ADAPTERS[kind].columns, True) if picked is None else picked
+    out = picked.withColumn("source_type", F.lit(kind))
     return out.withColumn("value_on_hand", F.col("qty_on_hand") * F.col("mrp")) if kind == "uniware_inventory" else out
 
 
 def fits(cells: str = "cells", width: str = "width") -> Column:
     """Whether a row has nothing beyond its header's last column; blank cells there do not count."""
-    beyond = F.filter(cells, lambda c, i: (i >= F.col(width)) & (F.trim(c) != ""))
-    return F.coalesce(F.size(beyond) == 0, F.lit(True))
+    count = F.greatest(F.size(cells) - F.col(width), F.lit(0))
+    beyond = F.array_join(F.slice(cells, F.col(width) + 1, count), "")
+    return F.coalesce(F.trim(beyond) == "", F.lit(True))
 
 
 MORE_CELLS = "more cells than the header has columns"

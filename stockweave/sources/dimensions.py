@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockweave import schemas as S
 from stockweave.functions.text import clean_header, norm_id
 from stockweave.operators import overrides as N
 from stockweave.plans import facts as FP
-from stockweave.session import cut_lineage
+from stockweave.session import cut_lineage, together
 from stockweave.sources import adapters as A
 from stockweave.sources import detect as D
 from stockweave.sources import scan as C
@@ -70,7 +72,8 @@ def csv_table(spark: SparkSession, root: str, path: str) -> DataFrame | None:
     """
     lines = cut_lineage(C.read_lines(spark, root, only=path), "lines")
     profile = cut_lineage(C.content_profile(lines, cut_lineage(C.block_starts(lines), "starts")), "profile")
-    text, _ = C.join_records(C.decode_lines(lines, profile), profile)
+    # Read for the header and again for each table made of the rows.
+    text = cut_lineage(C.join_records(C.decode_lines(lines, profile), profile)[0], "records")
     filled = F.exists("cells", lambda c: c != "")
     head = C.head_rows(text).filter(filled).orderBy("row_idx").limit(1).first()
     if head is None:
@@ -96,7 +99,10 @@ def load_notes(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     sku = next((c for c in raw.columns if c.lower() in NOTES_SKU), None)
     style = next((c for c in raw.columns if c.lower() in NOTES_STYLE), None)
     pick = lambda c: F.col(f"`{c}`") if c in raw.columns else F.lit("")
-    return N.split_overrides(raw.select(pick(sku).alias("Sku Code"), pick(style).alias("Item Name"), *[pick(c).alias(c) for c in N.NOTES], "row_seq"))
+    both = N.split_overrides(raw.select(pick(sku).alias("Sku Code"), pick(style).alias("Item Name"), *[pick(c).alias(c) for c in N.NOTES], "row_seq"))
+    # Digested, and joined by several tables.
+    by_sku, by_style = together(*[partial(cut_lineage, notes, "notes") for notes in both])
+    return by_sku, by_style
 
 
 def stock_prices(files: DataFrame, rows: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,7 +12,7 @@ from stockweave.operators import facts as O
 from stockweave.plans import facts as FP
 from stockweave.plans import verification as V
 from stockweave.plans.reports import fact_exceptions
-from stockweave.session import cut_lineage
+from stockweave.session import cut_lineage, together
 from stockweave.sources import adapters as A
 from stockweave.sources import detect as D
 from stockweave.sources import dimensions as M
@@ -49,7 +49,7 @@ def detect_csv(spark: SparkSession, root: str, profiles=D.STORE_PROFILES) -> tup
     text, unclosed = C.join_records(C.decode_lines(lines, profile), profile)
     # Read for the headers and again for the bodies.
     text = cut_lineage(text, "records")
-    head = C.head_rows(text)
+    head = cut_lineage(C.head_rows(text), "head")
     kinds = D.classify_source(files.join(D.csv_headers(head), "path", "left"), profiles)
     kinds = kinds.join(unclosed.withColumn("_note", F.lit(UNCLOSED)), "path", "left").withColumn("note", F.coalesce("_note", "note")).drop("_note")
     blocks = F.col("kind") == "store_blocks"
@@ -117,63 +117,100 @@ def load_folder(
     list prices in the folder's own warehouse stock. Workbooks that are master
     sheets are no extracts.
     """
-    csv_files, lines = detect_csv(spark, root, profiles)
-    kept, lost = D.dedupe_files(csv_files, facility)
-    kept = cut_lineage(kept.filter(F.col("note") != UNCLOSED), "kept")
-    found = [csv_files.withColumn("kind", F.when(F.col("note") == UNCLOSED, "UNREADABLE").otherwise(F.col("kind")))]
-    # Distinct kinds and the widest header: a handful of values, whatever the data size.
-    width = kept.agg(F.coalesce(F.max(F.size("header")), F.lit(1))).first()[0]
-    # One cell more than the widest header: what stands there or beyond a file's own header is seen and reported.
-    own_width = F.when(~F.col("kind").isin("store_blocks", "store_matrix_soh"), F.size("header")).alias("width")
-    staged = C.body_cells(
-        lines, kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_block", "header_seq", own_width), max(width, 1) + 1
-    )
-    sources: list[tuple[DataFrame, DataFrame]] = [(kept, staged)]
-    if raw_cells is not None:
+    # Rows are written once, split by kind, so an adapter reads its own files only.
+    staged = partial(cut_lineage, purpose="rows", by=("kind", "profile"))
+
+    def judged(files: DataFrame, certain=F.lit(True)) -> list[DataFrame]:
+        kept, lost = D.dedupe_files(files, facility)
+        return together(lambda: cut_lineage(kept.filter(certain), "kept"), lambda: cut_lineage(lost, "lost"))
+
+    def from_csv() -> tuple[DataFrame, ...]:
+        csv_files, lines = detect_csv(spark, root, profiles)
+        kept, lost = judged(csv_files, F.col("note") != UNCLOSED)
+        # Distinct kinds and the widest header: a handful of values, whatever the data size.
+        width = kept.agg(F.coalesce(F.max(F.size("header")), F.lit(1))).first()[0]
+        # One cell more than the widest header: what stands there or beyond a file's own header is seen and reported.
+        own_width = F.when(~F.col("kind").isin("store_blocks", "store_matrix_soh"), F.size("header")).alias("width")
+        below = C.body_cells(
+            lines, kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_block", "header_seq", own_width), max(width, 1) + 1
+        )
+        return kept, lost, csv_files.withColumn("kind", F.when(F.col("note") == UNCLOSED, "UNREADABLE").otherwise(F.col("kind"))), staged(below)
+
+    def from_sheets() -> tuple[DataFrame, ...]:
         sheet_files, sheet_rows = detect_sheets(raw_cells.join(D.master_files(raw_cells), "source_file", "left_anti"), profiles)
-        sheet_kept, sheet_lost = D.dedupe_files(sheet_files, facility)
-        sheet_kept = cut_lineage(sheet_kept, "kept")
+        kept, lost = judged(sheet_files)
         below = sheet_rows.join(
-            sheet_kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_row"), "path"
+            kept.select("path", "kind", F.coalesce("profile_id", F.lit("-")).alias("profile"), "header_row"), "path"
         ).filter("seq > header_row").drop("header_row").withColumn("width", F.lit(None).cast("int"))
-        sources.append((sheet_kept, below))
-        lost = lost.unionByName(sheet_lost)
-        found.append(sheet_files)
-
+        return kept, lost, sheet_files, staged(below)
+
+    def adapted(kind: str, profile_id: str | None, files: DataFrame, rows: DataFrame) -> tuple | None:
+        mine = files.filter((F.col("kind") == kind) & F.col("profile_id").eqNullSafe(F.lit(profile_id)))
+        every = rows.filter((F.col("kind") == kind) & (F.col("profile") == (profile_id or "-"))).drop("kind", "profile")
+        own = every.filter(A.fits()).drop("width")
+        profile = next((p for p in profiles if p.profile_id == profile_id), None)
+        if profile is None and kind not in A.ADAPTERS:
+            return None
+        try:
+            # Cells become columns once, for the facts and for the tables that account for them.
+            picked = cut_lineage(A.pick_cells(own, mine, A.ADAPTERS[kind].columns, True), "picked") if profile is None else None
+            fact, out = A.adapt_profile(profile, own, mine) if profile is not None else (A.ADAPTERS[kind].fact, A.adapt(kind, own, mine, picked))
+            # Written here, so that a kind whose rows cannot be read fails alone.
+            out = cut_lineage(O.map_ledger(out, channel_map) if "ledger" in out.columns else out, "adapted")
+        except Exception as why:
+            return kind, mine, why
+        return kind, mine, own, every, profile, picked, fact, out
+
+    def accounted(kind, mine, own, every, profile, picked, fact, out) -> tuple[DataFrame, DataFrame]:
+        """What is turned down of a kind's rows, and their totals."""
+        scope = "facility" if fact == "purchase" else "location" if "mrp" in out.columns else None
+        raw = A.raw_rows(kind, profile, own, mine, picked)
+        if picked is None:
+            raw = cut_lineage(raw, "raw")
+        overflow = every.filter(~A.fits()).join(mine.select("path", F.col("name").alias("source_file")), "path")
+        return A.rejects(raw, overflow), V.source_totals(O.facility_rows(raw, scope, facility) if facility and scope else raw, fact)
+
+    sources = together(from_csv, *([from_sheets] if raw_cells is not None else []))
+    lost, found = reduce(DataFrame.unionByName, [s[1] for s in sources]), [s[2] for s in sources]
+    steps = []
+    for kept, _, _, rows in sources:
+        steps += [partial(adapted, *r, kept, rows) for r in kept.select("kind", "profile_id").distinct().collect()]
     parts: dict[str, list[DataFrame]] = {"sales": [], "inventory": [], "purchase": []}
-    totals, turned_down, broken, prices = [], [], [], None
-    for files, below in sources:
-        # Rows are written once, split by kind, so an adapter reads its own files only.
-        rows = cut_lineage(below, "rows", by=("kind", "profile"))
-        for kind, profile_id in [tuple(r) for r in files.select("kind", "profile_id").distinct().collect()]:
-            mine = files.filter((F.col("kind") == kind) & F.col("profile_id").eqNullSafe(F.lit(profile_id)))
-            every = rows.filter((F.col("kind") == kind) & (F.col("profile") == (profile_id or "-"))).drop("kind", "profile")
-            own = every.filter(A.fits()).drop("width")
-            profile = next((p for p in profiles if p.profile_id == profile_id), None)
-            if profile is None and kind not in A.ADAPTERS:
-                continue
-            try:
-                fact, out = A.adapt_profile(profile, own, mine) if profile is not None else (A.ADAPTERS[kind].fact, A.adapt(kind, own, mine))
-                # Written here, so that a kind whose rows cannot be read fails alone.
-                out = cut_lineage(O.map_ledger(out, channel_map) if "ledger" in out.columns else out, "adapted")
-            except Exception as why:
-                broken.append((mine, why))
-                continue
-            parts[fact].append(out)
-            if kind == "uniware_inventory" and prices is None:
-                prices = M.stock_prices(mine, own)
-            raw = A.raw_rows(kind, profile, own, mine)
-            overflow = every.filter(~A.fits()).join(mine.select("path", F.col("name").alias("source_file")), "path")
-            turned_down.append(A.rejects(raw, overflow))
-            scope = "facility" if fact == "purchase" else "location" if "mrp" in out.columns else None
-            totals.append(V.source_totals(O.facility_rows(raw, scope, facility) if facility and scope else raw, fact))
+    loaded, broken, prices = [], [], None
+    for done in filter(None, together(*steps)):
+        if len(done) == 3:
+            broken.append(done[1:])
+            continue
+        kind, mine, own, _, _, _, fact, out = done
+        loaded.append(done)
+        parts[fact].append(out)
+        if kind == "uniware_inventory" and prices is None:
+            prices = M.stock_prices(mine, own)
     if broken and not any(parts.values()):
         raise broken[0][1]
+    if lookup is None and master is None:
+        raise ValueError("either a lookup or a master is needed")
 
-    if lookup is None:
-        if master is None:
-            raise ValueError("either a lookup or a master is needed")
-        lookup = cut_lineage(FP.lookup_for(master, prices), "lookup")
+    listed = [f.select("path", "name", "sheet", "kind", "note") for f in found]
+    # A workbook comes in through its sheets; one without any is accounted for by name.
+    books = C.scan_inputs(spark, root).filter("suffix <> 'csv'").select(
+        "path", "name", F.lit("").alias("sheet"), F.lit("workbook").alias("kind"), F.lit("workbook without decoded sheets in raw_cells").alias("note")
+    )
+    if raw_cells is not None:
+        books = books.join(raw_cells.select(F.col("source_file").alias("name")).distinct(), "name", "left_anti")
+    all_files = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*listed, books])
+    # A file that another one stands for is listed as superseded only.
+    skipped = A.skipped_files(all_files.join(lost.select("path"), "path", "left_anti"))
+    all_files = all_files.drop("path")
+    for files, why in broken:
+        reason = F.lit(f"{type(why).__name__}: {str(why).splitlines()[0] if str(why) else ''}"[:300])
+        skipped = skipped.unionByName(files.select(F.col("name").alias("file"), "sheet", "kind", reason.alias("reason")))
+
+    lookup, skipped, *accounts = together(
+        lambda: lookup if lookup is not None else cut_lineage(FP.lookup_for(master, prices), "lookup"), lambda: cut_lineage(skipped, "skipped"),
+        *[partial(accounted, *x) for x in loaded],
+    )
+    turned_down, totals = [a[0] for a in accounts], [a[1] for a in accounts]
     drops = None
     if facility:
         counted = []
@@ -196,20 +233,6 @@ def load_folder(
     sales = O.conform(O.value_basis(stacked("sales")), S.FACT_SALES)
     inventory = O.conform(stacked("inventory"), S.FACT_INVENTORY)
     purchases = O.conform(stacked("purchase"), S.FACT_PURCHASE)
-    listed = [f.select("path", "name", "sheet", "kind", "note") for f in found]
-    # A workbook comes in through its sheets; one without any is accounted for by name.
-    books = C.scan_inputs(spark, root).filter("suffix <> 'csv'").select(
-        "path", "name", F.lit("").alias("sheet"), F.lit("workbook").alias("kind"), F.lit("workbook without decoded sheets in raw_cells").alias("note")
-    )
-    if raw_cells is not None:
-        books = books.join(raw_cells.select(F.col("source_file").alias("name")).distinct(), "name", "left_anti")
-    all_files = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*listed, books])
-    # A file that another one stands for is listed as superseded only.
-    skipped = A.skipped_files(all_files.join(lost.select("path"), "path", "left_anti"))
-    all_files = all_files.drop("path")
-    for files, why in broken:
-        reason = F.lit(f"{type(why).__name__}: {str(why).splitlines()[0] if str(why) else ''}"[:300])
-        skipped = skipped.unionByName(files.select(F.col("name").alias("file"), "sheet", "kind", reason.alias("reason")))
     return Intake(
         sales=sales, inventory=inventory, purchases=purchases, exceptions=fact_exceptions(sales, inventory, purchases),
         superseded=lost, skipped=skipped, facility_drops=drops, files=all_files,

@@ -26,18 +26,16 @@ def _root(path: str) -> str:
     return path.split(":", 1)[-1].rstrip("/") if "://" not in path else "/" + path.split("://", 1)[1].split("/", 1)[-1].rstrip("/")
 
 
-def _decoded(path: Column) -> Column:
-    """File path as listed, from the URL-encoded form the readers report."""
-    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    # Evaluated for every line: a path without an escape is as it was.
-    return F.when(F.contains(path, F.lit("%")), decoded).otherwise(path)
-
-
 def _plain(path: Column) -> Column:
     """Path without its scheme, so listings and readers agree."""
     return F.regexp_replace(path, "^[a-z0-9]+:/+", "/")
 
 
+def _unmarked(text: Column) -> Column:
+    """Text without a byte order mark before it."""
+    return F.when(F.startswith(text, F.lit("\ufeff")), F.substr(text, F.lit(2))).otherwise(text)
+
+
 def _inside(path: Column, root: str) -> Column:
     base = F.lit(_root(root))
     return F.ltrim(F.substring(path, F.instr(path, base) + F.length(base) + 1, F.length(path)), F.lit("/"))
@@ -83,15 +81,21 @@ def read_lines(spark: SparkSession, root: str, only: str | None = None) -> DataF
 
     ``block`` and ``seq`` order the lines of a file without numbering them,
     which would need the whole file in one task. Only files of the file table
-    are read: the rules on a path are a filter on file metadata, which Spark
-    applies to the listing. Blank lines stay, as a quoted cell may hold them.
+    are read: their names are a filter on file metadata, which Spark applies to
+    the listing. Blank lines stay, as a quoted cell may hold them.
     ``only``: the path of the one file to read, whatever the rules say of it.
     """
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").text(root)
-    path = _plain(_decoded(F.col("_metadata.file_path")))
-    return lines.filter(wanted(path, root) if only is None else path == _plain(F.lit(only))).select(
-        path.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.col("value")
+    below = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]")
+    file, path = F.col("_metadata.file_path").alias("_file"), _plain(F.col("path"))
+    listed = below.format("binaryFile").load(root).select(file, path.alias("path"))
+    # The rules are applied once per file: as a filter on lines they would be evaluated for each of them.
+    files = cut_lineage(listed.filter(wanted(F.col("path"), root) if only is None else F.col("path") == _plain(F.lit(only))), "listing")
+    # Names as the readers report them; Spark holds all of them on the driver anyway, and leaves out other files when it lists.
+    names = [r[0] for r in files.select("_file").collect()]
+    lines = below.format("text").load(root).filter(F.col("_metadata.file_path").isin(names)).select(
+        file, F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.col("value")
     )
+    return lines.join(files, "_file").select("path", "block", "seq", "value")
 
 
 def _stays_open(is_open: Column, piece: Column) -> Column:
@@ -119,46 +123,58 @@ def join_records(lines: DataFrame, profile: DataFrame) -> tuple[DataFrame, DataF
     nor a whole block. A file that ends inside a cell keeps its lines as they are.
     """
     odd = profile.filter("odd").select("path")
-    plain = lines.join(odd, "path", "left_anti")
+    filled = F.trim("value") != ""
+    # Names of files, which the driver has listed; as a filter they keep other files' lines from being read.
+    names = [r[0] for r in odd.collect()]
+    if not names:
+        return lines.filter(filled), odd
+    plain, mine = lines.filter(~F.col("path").isin(names)), lines.filter(F.col("path").isin(names))
     part = ["path", "block", "_part"]
     order = Window.partitionBy(*part).orderBy("seq")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    # After a line the state is (what the last setting line left, else the state before the block) + swaps, modulo 2.
+    # After a line the state is (what the last setting line left, else the state before the part) + swaps, modulo 2.
     marked = (
-        lines.join(odd, "path")
-        .withColumn("_part", F.shiftright("seq", PART_BITS))
+        mine.withColumn("_part", F.shiftright("seq", PART_BITS))
         .withColumns({"_out": _open_after(F.col("value"), False), "_in": _open_after(F.col("value"), True)})
         .withColumn("_swap", (F.col("_out") & ~F.col("_in")).cast("int"))
         .withColumn("_swaps", F.sum("_swap").over(upto))
         .withColumn("_set", F.last(F.when(F.col("_out") == F.col("_in"), F.col("_out").cast("int") + F.col("_swaps")), True).over(upto))
         .withColumn("_set_before", F.lag("_set").over(order))
     )
+
+    def outside(before: Column) -> Column:
+        """Whether a line begins a record, by the state before its part."""
+        return (F.coalesce("_set_before", before) + F.col("_swaps") - F.col("_swap")) % 2 == 0
+
     # One row per part of a file, written: what is joined with the lines below is then known to be small.
     along = Window.partitionBy("path").orderBy("block", "_part")
     blocks = cut_lineage(
-        marked.groupBy(*part).agg(F.max_by(F.struct("_set", "_swaps"), "seq").alias("_end"))
+        # The last record that begins in a part, for either state before it.
+        marked.groupBy(*part).agg(
+            F.max_by(F.struct("_set", "_swaps"), "seq").alias("_end"), *[F.max(F.when(outside(F.lit(b)), F.col("seq"))).alias(f"_last{b}") for b in (0, 1)]
+        )
         .withColumn("_flips", F.sum(F.when(F.col("_end._set").isNull(), F.col("_end._swaps")).otherwise(0)).over(along))
         .withColumn("_fixed", F.last(F.when(F.col("_end._set").isNotNull(), F.col("_end._set") + F.col("_end._swaps") + F.col("_flips")), True).over(along))
         .withColumn("_after", (F.coalesce("_fixed", F.lit(0)) + F.col("_flips")) % 2)
-        .select(*part, "_after", F.lag("_after", 1, 0).over(along).alias("_begin")),
+        .withColumn("_begin", F.lag("_after", 1, 0).over(along))
+        .withColumn("_latest", F.when(F.col("_begin") == 0, F.col("_last0")).otherwise(F.col("_last1")))
+        # The record that an earlier part began.
+        .withColumn("_carried", F.last(F.when(F.col("_latest").isNotNull(), F.struct("block", F.col("_latest").alias("seq"))), True).over(along.rowsBetween(Window.unboundedPreceding, -1)))
+        .select(*part, "_after", "_begin", "_carried"),
         "parts",
     )
-    unclosed = blocks.groupBy("path").agg(F.max_by("_after", F.struct("block", "_part")).alias("_last")).filter("_last = 1").select("path")
-    outside = (F.coalesce("_set_before", "_begin") + F.col("_swaps") - F.col("_swap")) % 2 == 0
-    begun = marked.join(blocks.select(*part, "_begin"), part).withColumn(
-        "_start", F.last(F.when(outside, F.struct("block", "seq")), True).over(upto)
+    unclosed = cut_lineage(blocks.groupBy("path").agg(F.max_by("_after", F.struct("block", "_part")).alias("_last")).filter("_last = 1").select("path"), "unclosed")
+    begun = marked.join(blocks.drop("_after"), part).withColumn(
+        "_start", F.last(F.when(outside(F.col("_begin")), F.struct("block", "seq")), True).over(upto)
     )
-    # The record that an earlier part began.
-    latest = begun.groupBy(*part).agg(F.max("_start").alias("_latest"))
-    carried = latest.select(*part, F.last("_latest", True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
     parts = F.array_sort(F.collect_list(F.struct("block", "seq", "value")))
-    whole = begun.join(carried, part).join(unclosed, "path", "left_anti").withColumn("_record", F.coalesce("_start", "_carried"))
+    whole = begun.join(unclosed, "path", "left_anti").withColumn("_record", F.coalesce("_start", "_carried"))
     joined = whole.groupBy("path", "_record").agg(parts.alias("_parts")).select(
         "path", F.col("_record.block").alias("block"), F.col("_record.seq").alias("seq"),
         F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"),
     )
-    left = lines.join(unclosed, "path", "left_semi")
-    return plain.unionByName(joined).unionByName(left).filter("trim(value) <> ''"), unclosed
+    left = mine.join(unclosed, "path", "left_semi")
+    return plain.unionByName(joined).unionByName(left).filter(filled), unclosed
 
 
 def block_starts(lines: DataFrame) -> DataFrame:
@@ -178,7 +194,7 @@ def content_profile(lines: DataFrame, starts: DataFrame | None = None) -> DataFr
     lines = lines.join(starts, ["path", "block"]).withColumn("_nth", F.col("seq") - F.col("_start")).filter("trim(value) <> ''")
     h = F.xxhash64("block", "_nth", "value")
     return lines.groupBy("path").agg(
-        F.bool_or(_open_after(F.regexp_replace("value", "^\\uFEFF", ""), False)).alias("odd"),
+        F.bool_or(_open_after(_unmarked(F.col("value")), False)).alias("odd"),
         F.count(F.lit(1)).alias("rows"),
         F.concat_ws(
             "-", F.sum(h.cast("decimal(38,0)")).cast("string"), F.bit_xor(F.xxhash64(F.lit("x"), "block", "_nth", "value")).cast("string"),
@@ -194,7 +210,7 @@ def decode_lines(lines: DataFrame, profile: DataFrame) -> DataFrame:
     known = profile.select("path", "utf8")
     text = F.when(F.col("utf8"), F.col("value")).otherwise(western)
     return lines.join(known, "path").select(
-        "path", "block", "seq", F.regexp_replace(text, "^\\uFEFF", "").alias("value")
+        "path", "block", "seq", _unmarked(text).alias("value")
     )
 
 
@@ -214,8 +230,9 @@ def split_cells(value: Column) -> Column:
 def head_rows(lines: DataFrame, n: int = HEAD_ROWS) -> DataFrame:
     """The first lines of every file, numbered from 0, as cell rows."""
     spec = Window.partitionBy("path").orderBy("seq")
-    first = lines.filter("block = 0").withColumn("row_idx", F.row_number().over(spec) - 1).filter(F.col("row_idx") < n)
-    return first.select("path", "row_idx", "block", "seq", split_cells(F.col("value")).alias("cells"))
+    # A bare row number under the filter: only then Spark keeps the first rows before it shuffles.
+    first = lines.filter("block = 0").withColumn("_n", F.row_number().over(spec)).filter(F.col("_n") <= n)
+    return first.select("path", (F.col("_n") - 1).alias("row_idx"), "block", "seq", split_cells(F.col("value")).alias("cells"))
 
 
 def body_cells(lines: DataFrame, files: DataFrame, columns: int) -> DataFrame:

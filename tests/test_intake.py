@@ -5,6 +5,7 @@ import datetime as dt
 import io
 import os
 import random
+import threading
 
 import pytest
 
@@ -13,8 +14,9 @@ from stockweave.plans import facts as FP
 from stockweave.plans import merchandising as M
 from stockweave.plans.reports import fact_exceptions
 from stockweave.plans.cycle import run_cycle
-from stockweave.session import work_dir
+from stockweave.session import together, work_dir
 from stockweave.sinks.publish import write_facts
+from stockweave.sources import adapters as A
 from stockweave.sources import detect as D
 from stockweave.sources import scan as C
 from stockweave.sources import tables as B
@@ -261,6 +263,49 @@ def test_path_rules_of_every_line(spark):
     assert sorted(got) == sorted(["a.csv", "old.csv", "bold/a.csv", "my_x/a.csv", "x_/_a.csv", "agit/a.csv"])
 
 
+def test_path_rules_are_applied_once_per_file(spark, tmp_path):
+    names = ["a b+%20[1].csv", "in/{x}*.CSV", "Old/a.csv", "_x/a.csv", "~$a.csv", "note.txt"]
+    for n in names:
+        put(tmp_path / "r 1" / n, f"h\n{n}\n")
+    lines = C.read_lines(spark, str(tmp_path / "r 1"))
+    files = {r.path for r in C.scan_inputs(spark, str(tmp_path / "r 1")).collect()}
+    assert {(r.path, r.value) for r in lines.filter("value <> 'h'").collect()} == {(p, p.split("/r 1/")[1]) for p in files if p.lower().endswith(".csv")}
+    assert len(files) == 2 and lines.count() == 4
+    plan = lines._jdf.queryExecution().executedPlan().toString().lower()
+    assert "rlike" not in plan and "regexp" not in plan and "decode" not in plan
+
+
+def test_first_rows_are_taken_before_the_shuffle(spark):
+    df = spark.createDataFrame([(f"p{n % 3}", 0, n, f"{n},x") for n in range(300)], "path string, block long, seq long, value string")
+    head = C.head_rows(df, 2)
+    assert "WindowGroupLimit" in head._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.path, r.row_idx, r.seq, r.cells) for r in head.collect()) == [(f"p{k}", i, k + 3 * i, [str(k + 3 * i), "x"]) for k in range(3) for i in range(2)]
+
+
+def test_cells_are_picked_once_for_facts_and_accounts(spark, folder, lookup, monkeypatch):
+    seen = []
+    pick = A.pick_cells
+    monkeypatch.setattr(A, "pick_cells", lambda rows, files, columns, check=False: seen.append(tuple(columns)) or pick(rows, files, columns, check))
+    got = load_folder(spark, folder, lookup)
+    read = [c for c in seen if len(c) > 2]  # list prices pick two columns of their own
+    assert len(read) == len(set(read)) == 6 and {r.reason for r in got.rejects.collect()} <= {A.MORE_CELLS}
+
+
+def test_steps_run_together(spark):
+    both = threading.Barrier(2, timeout=30)
+    assert together(lambda: (both.wait(), spark.range(3).count())[1], lambda: (both.wait(), "b")[1]) == [3, "b"]
+    ended = []
+    with pytest.raises(ZeroDivisionError):
+        together(lambda: 1 / 0, lambda: ended.append(spark.range(5).count()))
+    assert ended == [5] and together() == []
+
+
+def test_rows_beyond_the_header(spark):
+    rows = [(["a", "b", None], 2), (["a", "b", " "], 2), (["a", "b", "c"], 2), (["a", None, "c"], 1), (["a"], 3), (["a", "b"], None), ([], 0), (["x"], 0)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, cells array<string>, width int")
+    assert [r[0] for r in df.orderBy("i").select(A.fits()).collect()] == [True, True, False, False, True, True, True, False]
+
+
 def test_heading_cells(spark):
     df = spark.createDataFrame([('Item,Size 32",Name',), ('"a, b", "c ",d',), ('"x ""y"", z",,"w"',)], "value string")
     got = [r[0] for r in df.select(C.split_cells(df.value)).collect()]
