@@ -17,22 +17,35 @@ def bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def num(c: str | Column) -> Column:
-    """Text to double; anything that is not a number becomes null."""
+def num_text(c: str | Column) -> Column:
+    """Text of a number without the blanks around it."""
+    return F.trim(as_col(c).cast("string"))
+
+
+def text_value(c: str | Column) -> Column:
+    """The number that a trimmed text is, else null; names its text twice."""
+    text = as_col(c)
     # The JVM also accepts "12d" and "12f" as numbers; the extracts never mean that.
-    def parse(text: Column) -> Column:
-        return F.when(~F.lower(F.right(text, F.lit(1))).isin("d", "f", "n"), text.try_cast("double"))
+    return F.when(~F.lower(F.right(text, F.lit(1))).isin("d", "f", "n"), text.try_cast("double"))
 
-    return bind(F.trim(as_col(c).cast("string")), parse)
+
+def num(c: str | Column) -> Column:
+    """Text to double; anything that is not a number becomes null."""
+    return bind(num_text(c), text_value)
 
 
 # Currency signs, separators and blanks that surround amounts.
 _AROUND_MONEY = "₹$€,% \t\n\r\f\v\u00a0"
 
 
+def money_text(c: str | Column) -> Column:
+    """Text of an amount without currency signs, separators and blanks."""
+    return num_text(F.translate(as_col(c).cast("string"), _AROUND_MONEY, ""))
+
+
 def money(c: str | Column) -> Column:
     """Currency text such as '₹10,422.42' or '0.00%' to double."""
-    return num(F.translate(as_col(c).cast("string"), _AROUND_MONEY, ""))
+    return bind(money_text(c), text_value)
 
 
 def exact_sum(c: str | Column) -> Column:

@@ -16,7 +16,7 @@ from stockweave import schemas as S
 from stockweave.functions.dates import (
     back_fill_start, month_to_period, parse_dates, period_from_name, snapshot_date, warehouse_snapshot,
 )
-from stockweave.functions.numbers import money, num
+from stockweave.functions.numbers import money, money_text, num, num_text, text_value
 from stockweave.operators.facts import conform, drop_total_rows
 from stockweave.operators.unpivot import block_columns, unpivot_blocks
 from stockweave.sources.detect import STORE_PROFILES, StoreProfile
@@ -108,23 +108,26 @@ def pick_cells(rows: DataFrame, files: DataFrame, columns: dict[str, Source], ch
 
     ``check`` adds ``bad``: the headers of the cells that should hold a number and hold some other text.
     """
-    cell = lambda c: F.nullif(F.get("cells", F.col(f"_at_{c}")), F.lit(""))
-    bad = [
-        # The number first: it is a column as well and evaluated once for both, the pattern only where there is none.
-        F.when(src.parse(cell(c)).isNull() & F.trim(cell(c)).rlike(r"[^-\s]"), F.lit(src.headers[0]))
-        for c, src in columns.items() if check and src.parse in (num, money)
-    ]
+    clean = {num: num_text, money: money_text}
+    numbers = [c for c, src in columns.items() if src.parse in clean]
     places = files.select(
         "path", "name", "sheet", *[position(src).alias(f"_at_{c}") for c, src in columns.items()],
         *[c for c in ("modified", "heading") if c in files.columns],
     )
-    joined = rows.join(places, "path")
-    return joined.select(
-        F.concat("name", F.when(F.coalesce("sheet", F.lit("")) != "", F.concat(F.lit("::"), "sheet")).otherwise("")).alias("source_file"),
-        "name", *[c for c in ("modified", "heading") if c in files.columns], "block", "seq",
-        *[src.parse(cell(c)).alias(c) for c, src in columns.items()],
-        *([F.array_compact(F.array(*bad) if bad else F.array().cast("array<string>")).alias("bad")] if check else []),
+    own = ["source_file", "name", *[c for c in ("modified", "heading") if c in files.columns], "block", "seq"]
+    texts = rows.join(places, "path").withColumn(
+        "source_file", F.concat("name", F.when(F.coalesce("sheet", F.lit("")) != "", F.concat(F.lit("::"), "sheet")).otherwise(""))
+    ).select(*own, *[F.nullif(F.get("cells", F.col(f"_at_{c}")), F.lit("")).alias(f"_x_{c}") for c in columns])
+    # All numbers of a row by one expression: one for each makes code too long for the JVM to compile.
+    values = F.transform(F.array(*[clean[columns[c].parse](f"_x_{c}") for c in numbers]), text_value) if numbers else F.lit(None)
+    out = texts.withColumn("_values", values).select(
+        *own, *[(F.get("_values", F.lit(numbers.index(c))) if c in numbers else src.parse(F.col(f"_x_{c}"))).alias(c) for c, src in columns.items()],
+        *([f"_x_{c}" for c in numbers] if check else []),
     )
+    if not check:
+        return out
+    bad = [F.when(F.col(c).isNull() & F.trim(f"_x_{c}").rlike(r"[^-\s]"), F.lit(columns[c].headers[0])) for c in numbers]
+    return out.select(*own, *columns, F.array_compact(F.array(bad) if bad else F.array().cast("array<string>")).alias("bad"))
 
 
 def adapt(kind: str, rows: DataFrame, files: DataFrame, picked: DataFrame | None = None) -> DataFrame:
