@@ -79,8 +79,8 @@ def cut_lineage(df, purpose: str = "stage", by: tuple = ()):
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Jobs that one call of ``together`` hands to Spark at a time.
-JOBS_AT_ONCE = 6
+#: Steps that one call of ``together`` runs at a time; more of them plan at once in the driver's memory.
+JOBS_AT_ONCE = 2
 
 
 def together(*steps: Callable) -> list:
