@@ -122,15 +122,12 @@ def run_cycle(
 
     The facts feed some twenty tables, the SKU table four; both are read back
     from storage, so no join is replayed and a lost executor costs a re-read.
-    Reports and SKU tables do not read each other and are made together;
-    readers see the run's tables once all of them are there.
+    Readers see the run's tables once all of them are there.
     """
     W.write_facts(f"{out}/facts", *facts)
     sales, inventory, purchases = load_facts(spark, f"{out}/facts")
-    made, _ = together(
-        lambda: sku_tables(spark, (sales, inventory, purchases), items, notes, out, run_id, asof, previous_state, rules, period_days, recent_days),
-        lambda: write_all_reports(spark, report_set(sales, inventory, purchases, facility, intake), out),
-    )
+    write_all_reports(spark, report_set(sales, inventory, purchases, facility, intake), out)
+    made = sku_tables(spark, (sales, inventory, purchases), items, notes, out, run_id, asof, previous_state, rules, period_days, recent_days)
     W.switch(spark, out, run_id)
     return made
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections import deque
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future
 from functools import lru_cache
 
 from pyspark import inheritable_thread_target
@@ -79,17 +81,44 @@ def cut_lineage(df, purpose: str = "stage", by: tuple = ()):
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Steps that one call of ``together`` runs at a time; more of them plan at once in the driver's memory.
+#: Steps that run at a time in this process, however calls of ``together`` are nested: all of them plan in the driver's memory.
 JOBS_AT_ONCE = 2
+_helpers = threading.BoundedSemaphore(JOBS_AT_ONCE - 1)
 
 
 def together(*steps: Callable) -> list:
     """Results of steps that do not depend on each other, in their order; their jobs share the executors.
 
     A small job leaves most cores idle and a planned one waits for the driver,
-    so steps one after the other take the sum of those waits. Every step ends
-    before the first failure, by order, is raised.
+    so steps one after the other take the sum of those waits. The caller works
+    on the steps itself, with whatever helpers are free just now. Every step
+    ends before the first failure, by order, is raised.
     """
-    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        running = [pool.submit(inheritable_thread_target(SparkSession.active())(step)) for step in steps]
-    return [r.result() for r in running]
+    todo, ended = deque(enumerate(steps)), {}
+
+    def work() -> None:
+        while todo:
+            try:
+                i, step = todo.popleft()
+            except IndexError:  # another one took the last step
+                return
+            ended[i] = Future()
+            try:
+                ended[i].set_result(step())
+            except Exception as why:
+                ended[i].set_exception(why)
+
+    def help_out() -> None:
+        try:
+            work()
+        finally:
+            _helpers.release()
+
+    helping = []
+    while len(helping) + 1 < len(steps) and _helpers.acquire(blocking=False):
+        helping.append(threading.Thread(target=inheritable_thread_target(SparkSession.active())(help_out)))
+        helping[-1].start()
+    work()
+    for helper in helping:
+        helper.join()
+    return [ended[i].result() for i in range(len(steps))]
